@@ -1,0 +1,4 @@
+from . import loads, reshaping, scans, selections, values  # noqa: F401
+from .registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

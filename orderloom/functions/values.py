@@ -22,7 +22,7 @@ def join_list(items: Column, separator: str = ",") -> Column:
 
 def split_list(text: Column, separator: str = ",") -> Column:
     """Separated text to a list of trimmed, non-empty parts."""
-    parts = F.transform(F.split(text, f"\\Q{separator}\\E"), F.trim)
+    parts = F.transform(F.split(text, f"\\Q{separator}\\E"), lambda part: F.trim(part))
     return F.filter(parts, lambda part: part != "")
 
 

@@ -25,7 +25,7 @@ def text_kinds(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str,
         text = F.col(f"`{name}`")
         for kind, pattern in (("date", DATE_TEXT), ("timestamp", INSTANT_TEXT)):
             valid = text.rlike(pattern) & text.try_cast(kind).isNotNull()
-            tests.append(F.bool_and(valid).alias(f"{kind}_{i}"))
+            tests.append(F.bool_and(F.when(text.isNotNull(), valid)).alias(f"{kind}_{i}"))
     found = df.agg(*tests).first()
     kinds = {}
     for i, name in enumerate(names):

@@ -61,6 +61,6 @@ def read_csv(spark: SparkSession, path: str, schema: str, exact: bool = False) -
         spark.read.schema(schema)
         .options(header=True, multiLine=True, escape='"', emptyValue="", lineSep="\n", mode="FAILFAST")
         .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-        .option("nullValue", "" if exact else NULL_TOKEN)
+        .option("nullValue", UNUSED_TOKEN if exact else NULL_TOKEN)
     )
     return reader.csv(path)
