@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 from orderloom.functions import entity_type
 from orderloom.operators import loads
 from orderloom.operators.reshape import tidy
-from orderloom.plans.normalise import normalise, normalise_fixed, stage
-from orderloom.plans.run import row_counts as count_rows, run_selected as run_datasets
+from orderloom.plans.normalise import normalise_fixed, stage
+from orderloom.plans.paged import curate
+from orderloom.plans.run import entity_counts, row_counts as count_rows, run_selected as run_datasets
 from orderloom.schemas import DATASETS
 from orderloom.session import scratch_path
 from orderloom.sinks.csv import csv_lines as exact_lines, read_csv, write_csv
@@ -21,8 +22,8 @@ from orderloom.sources.bulk import keep_raw, scan_lines, to_lines
 from orderloom.streaming.landing import land_stream, read_landed
 
 from .fixtures import base_and_increment, landed, table
-from .registry import CUST, LIN, LOC, ORD, PAIR, PART, PRODUCT_LINES, TXN, bulk, query, utc, with_
-from .scans import order_docs, product_docs
+from .registry import CUST, LIN, LOC, ORD, PAIR, PART, PRODUCT_LINES, TXN, bulk, pages, query, utc, with_
+from .scans import CUSTOMER_PAGES, inventory_docs, order_docs, product_docs
 
 DOCUMENTS_SQL = """SELECT doc_id, text, lang, CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN NULL
     ELSE source || ', "quoted"' END AS note, n_chars FROM documents"""
@@ -237,15 +238,22 @@ def normalise_orders_variant(spark, sf_dir):
 
 
 @query(
-    with_(ORD, LIN)
-    + """SELECT 'orders' AS output, count(*) AS rows FROM ord
-    UNION ALL SELECT 'orders_line_items', count(DISTINCT parent_id) + (SELECT count(*) FROM ord
-      WHERE id NOT IN (SELECT parent_id FROM lin)) FROM lin"""
+    with_(ORD, LIN, PART, PAIR, CUST)
+    + """SELECT 'orders' AS output, count(*) AS rows FROM ord UNION ALL SELECT 'order_line_items', count(*) FROM lin
+    UNION ALL SELECT 'products', count(*) FROM prt UNION ALL SELECT 'product_variants', count(*) FROM pair
+    UNION ALL SELECT 'inventory_items', count(*) FROM prt UNION ALL SELECT 'inventory_levels', count(*) FROM pair
+    UNION ALL SELECT 'customers', count(*) FROM cust"""
 )
-def normalise_paged_orders(spark, sf_dir):
-    """Nested documents through the same normaliser: the list stays with its order."""
-    outputs = normalise(order_docs(spark, sf_dir), "orders", {"Order": []})
-    return count_rows({name: outputs[name] for name in ("orders", "orders_line_items")})
+def normalise_paged(spark, sf_dir):
+    """Curated tables of every paged dataset, and the plain form of one that has none."""
+    envelopes = pages(spark, sf_dir, "customer_pages", CUSTOMER_PAGES)
+    outputs = {
+        **curate(order_docs(spark, sf_dir), "orders"),
+        **curate(product_docs(spark, sf_dir), "products"),
+        **curate(inventory_docs(spark, sf_dir), "inventory_items"),
+        **curate(datasets.customers_paged(envelopes), "customers"),
+    }
+    return count_rows(outputs)
 
 
 @query(
@@ -254,22 +262,12 @@ def normalise_paged_orders(spark, sf_dir):
     UNION ALL SELECT 'customer', count(*) FROM cust UNION ALL SELECT 'inventory_item', count(*) FROM prt
     UNION ALL SELECT 'inventory_level', count(*) FROM pair UNION ALL SELECT 'location', count(*) FROM loc
     UNION ALL SELECT 'event', count(*) FROM events
-    UNION ALL SELECT 'product_variant', count(*) FROM pair UNION ALL SELECT 'product', count(*) FROM prt"""
+    UNION ALL SELECT CASE entity WHEN 'ProductVariant' THEN 'product_variant' WHEN 'ProductImage' THEN 'product_image'
+      ELSE lower(entity) END, count(*) FROM product_lines GROUP BY ALL"""
 )
 def row_counts(spark, sf_dir):
-    wanted = {
-        "order": ["order", "line_item"],
-        "product": ["product", "product_variant"],
-        "customer": ["customer"],
-        "inventory": ["inventory_item", "inventory_level"],
-        "location": ["location"],
-        "event": ["event"],
-    }
-    frames = {}
-    for dataset, names in wanted.items():
-        outputs = normalise_fixed(bulk(spark, sf_dir, dataset), dataset)
-        frames.update({name: outputs[name] for name in names})
-    return count_rows(frames)
+    counts = [entity_counts(bulk(spark, sf_dir, dataset)) for dataset in DATASETS]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query(

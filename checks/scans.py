@@ -244,7 +244,7 @@ def custom_dataset_linked(spark, sf_dir):
 
 
 @query(
-    """SELECT 'gid://shop/DocumentLabel/' || doc_id AS parent_id, 1 AS row_number, 'quality' AS name,
+    """SELECT 'gid://shop/DocumentLabel/' || doc_id AS parent_id, CAST(1 AS BIGINT) AS row_number, 'quality' AS name,
     CAST(quality AS BIGINT) AS score FROM labels
     UNION ALL SELECT 'gid://shop/DocumentLabel/' || doc_id, 2, 'toxic', CAST(toxic AS BIGINT) FROM labels"""
 )

@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from ..functions import entity_type
 
 
+# Partition column of a frame that was staged by entity type.
+STAGED_TYPE = "__entity"
+
+
 def date_window(
     df: DataFrame,
     field: str,
@@ -40,8 +44,11 @@ def status_in(df: DataFrame, statuses: list[str], field: str = "status") -> Data
 
 
 def of_entity(df: DataFrame, entity: str, field: str = "id", app: str | None = "shop") -> DataFrame:
-    """Rows of one entity type.  With the app known the test is a prefix, which
-    the scan understands; otherwise the type is taken from the id."""
+    """Rows of one entity type.  A staged frame reads only the folder of the type.
+    Otherwise, with the app known, the test is a prefix, which the scan
+    understands; without it the type is taken from the id."""
+    if field == "id" and STAGED_TYPE in df.columns:
+        return df.where(F.col(STAGED_TYPE) == entity)
     if app:
         return df.where(F.col(field).startswith(f"gid://{app}/{entity}/"))
     return df.where(entity_type(F.col(field)) == entity)

@@ -8,23 +8,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import entity_type, is_nested, snake
 from ..operators.entities import list_entity_types, prune_columns
-from ..operators.filters import of_entity
+from ..operators.filters import STAGED_TYPE, of_entity
 from ..operators.reshape import child_table, tidy
 from ..schemas import DATASETS
 from ..session import scratch_path
 
-# Partition column of a staged frame.
-STAGED_TYPE = "__entity"
-
 
 def rows_of(df: DataFrame, types: Sequence[str]) -> DataFrame:
     """Rows of some entity types, without the staging column.  On a staged frame
     this reads only the folders of these types."""
-    if STAGED_TYPE in df.columns:
-        return df.where(F.col(STAGED_TYPE).isin(list(types))).drop(STAGED_TYPE)
     if len(types) == 1:
-        return of_entity(df, types[0], app=None)
-    return df.where(entity_type(F.col("id")).isin(list(types)))
+        return of_entity(df, types[0], app=None).drop(STAGED_TYPE)
+    kind = F.col(STAGED_TYPE) if STAGED_TYPE in df.columns else entity_type(F.col("id"))
+    return df.where(kind.isin(list(types))).drop(STAGED_TYPE)
 
 
 def normalise(
@@ -79,6 +75,9 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, f"stage-{name}")
     if "id" not in df.columns:
         df.write.parquet(path)
-    else:
-        df.withColumn(STAGED_TYPE, entity_type(F.col("id"))).write.partitionBy(STAGED_TYPE).parquet(path)
-    return spark.read.parquet(path)
+        return spark.read.parquet(path)
+    if STAGED_TYPE not in df.columns:
+        df = df.withColumn(STAGED_TYPE, entity_type(F.col("id")))
+    df.write.partitionBy(STAGED_TYPE).parquet(path)
+    # The schema is known; an export without rows leaves no file to read it from.
+    return spark.read.schema(df.schema).parquet(path)
