@@ -126,7 +126,7 @@ def upsert_partitioned(spark, sf_dir):
     """Upsert into a stored table; only the months of the increment are rewritten."""
     base, increment = base_and_increment(spark, sf_dir)
     path = scratch_path(spark, "stored-orders")
-    base.write.partitionBy("month").parquet(path)
+    base.hint("rebalance", F.col("month")).write.partitionBy("month").parquet(path)
     loads.upsert_partitions(spark, path, increment, ["id"], newest_first(), "month")
     return spark.read.parquet(path).select(*COLUMNS)
 

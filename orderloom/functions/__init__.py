@@ -1,5 +1,5 @@
 from .dates import iso_date, resolve_date
-from .gids import entity_type, gid_key, make_gid
+from .gids import entity_type, gid_key, is_entity, make_gid
 from .names import clean_name, snake, snake_text
 from .values import is_nested, join_list, json_path, json_text, manifest_type, split_list
 
@@ -7,6 +7,7 @@ __all__ = [
     "clean_name",
     "entity_type",
     "gid_key",
+    "is_entity",
     "is_nested",
     "iso_date",
     "join_list",

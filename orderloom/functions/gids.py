@@ -20,3 +20,8 @@ def gid_key(gid: Column) -> Column:
 def make_gid(entity: str, *parts: Column, app: str = "shop") -> Column:
     """Build an id; several key parts are joined with a dash."""
     return F.concat(F.lit(f"gid://{app}/{entity}/"), F.concat_ws("-", *[p.cast("string") for p in parts]))
+
+
+def is_entity(gid: Column, entity: str, app: str = "shop") -> Column:
+    """Whether an id is of a type; a prefix test, which scans understand.  False for null."""
+    return F.coalesce(gid.startswith(f"gid://{app}/{entity}/"), F.lit(False))

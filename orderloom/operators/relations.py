@@ -84,17 +84,19 @@ def connection_documents(
     )
 
 
-def linked_to(mixed: DataFrame, roots: DataFrame, depth: int = 2, link: str = "__parentId") -> DataFrame:
+def linked_to(mixed: DataFrame, roots: DataFrame, depth: int, link: str = "__parentId") -> DataFrame:
     """The given root rows of a mixed frame and everything linked below them.
 
-    Works level by level with semi joins on the link.  The levels of a mixed
-    export are few and fixed, and each level is cut from the rows that have a
-    link at all.
+    A row is kept when its owner is: its parent for linked rows, itself for a
+    root.  The ids of the owners are gathered level by level from two narrow
+    columns, so whole rows are shuffled once, whatever the depth.
     """
-    linked = mixed.where(F.col(link).isNotNull())
-    kept, level = roots, roots
-    for _ in range(depth):
-        ids = level.select(F.col("id").alias("__key"))
-        level = linked.join(ids, linked[link] == ids["__key"], "left_semi")
-        kept = kept.unionByName(level)
-    return kept
+    level = roots.select(F.col("id").alias("__key"))
+    keys = level
+    links = mixed.where(F.col(link).isNotNull()).select("id", F.col(link).alias("__link"))
+    for _ in range(depth - 1):
+        below = links.join(level, links["__link"] == level["__key"], "left_semi")
+        level = below.select(F.col("id").alias("__key"))
+        keys = keys.unionAll(level)
+    owned = mixed.withColumn("__owner", F.coalesce(link, "id"))
+    return owned.join(keys, owned["__owner"] == keys["__key"], "left_semi").drop("__owner")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import clean_name, entity_type
+from ..functions import clean_name, entity_type, is_entity
 from ..operators.filters import date_window, event_filter, lookup, of_entity, status_in
 from ..operators.relations import linked_to
 from ..operators.reshape import drop_sections
@@ -52,15 +52,9 @@ def products(
     field: str = "updated_at",
 ) -> DataFrame:
     """Products of the given statuses with variants, images and wanted metafields."""
-    owner = entity_type(F.col("__parentId"))
-    if not (product_metafields and variant_metafields):
-        unwanted = F.lit(False)
-        if not product_metafields:
-            unwanted = unwanted | (owner == "Product")
-        if not variant_metafields:
-            unwanted = unwanted | (owner == "ProductVariant")
-        is_metafield = F.coalesce(entity_type(F.col("id")) == "Metafield", F.lit(False))
-        bulk = bulk.where(~(is_metafield & F.coalesce(unwanted, F.lit(False))))
+    for owner, wanted in (("Product", product_metafields), ("ProductVariant", variant_metafields)):
+        if not wanted:
+            bulk = bulk.where(~(is_entity(F.col("id"), "Metafield") & is_entity(F.col("__parentId"), owner)))
     roots = status_in(of_entity(bulk, "Product"), statuses)
     roots = date_window(roots, WINDOW_FIELDS[field], since, to)
     return linked_to(bulk, roots, depth=2)

@@ -1,0 +1,81 @@
+import datetime as dt
+import json
+from pathlib import Path
+
+from pyspark.sql import functions as F
+
+from orderloom.sinks.csv import read_csv, write_csv
+from orderloom.sinks.manifest import manifest
+from orderloom.sinks.outputs import write_all, write_dataset, write_measured
+
+from .conftest import rows
+
+AWKWARD = [
+    (1, 'say "hi", please', "line\nbreak"), (2, "", None), (3, None, ""), (4, " padded ", "\\N"), (5, "a\\b", '""'),
+    (6, "tab\there", "é ü 漢"),
+]
+SCHEMA = "id int, a string, b string"
+
+
+def test_exact_bytes(spark, tmp_path):
+    df = spark.createDataFrame(AWKWARD[:3], SCHEMA).coalesce(1)
+    write_csv(df, str(tmp_path / "x"), exact=True)
+    (part,) = (tmp_path / "x").glob("part-*")
+    assert part.read_text() == '"id","a","b"\n"1","say ""hi"", please","line\nbreak"\n"2","",\n"3",,""\n'
+
+
+def test_every_file_has_a_header(spark, tmp_path):
+    df = spark.createDataFrame(AWKWARD, SCHEMA).repartition(3)
+    write_csv(df, str(tmp_path / "x"), exact=True)
+    parts = list((tmp_path / "x").glob("part-*"))
+    filled = [p for p in parts if p.stat().st_size]
+    assert len(filled) > 1 and all(p.read_text().startswith('"id","a","b"\n') for p in filled)
+    assert rows(read_csv(spark, str(tmp_path / "x"), SCHEMA, exact=True)) == AWKWARD
+
+
+def test_portable_form_is_lossless(spark, tmp_path):
+    # The null token itself is the one text that the portable form cannot hold.
+    kept = [r for r in AWKWARD if "\\N" not in r]
+    write_csv(spark.createDataFrame(kept, SCHEMA), str(tmp_path / "x"))
+    assert rows(read_csv(spark, str(tmp_path / "x"), SCHEMA)) == kept
+
+
+def test_nested_values_are_written_as_json(spark, tmp_path):
+    df = spark.sql("select 1 id, named_struct('a', 'x', 'b', cast(null as string)) s, array('p', 'q') t")
+    write_csv(df.coalesce(1), str(tmp_path / "x"), exact=True)
+    back = read_csv(spark, str(tmp_path / "x"), "id int, s string, t string", exact=True)
+    assert rows(back) == [(1, '{"a":"x","b":null}', '["p","q"]')]
+
+
+def test_manifest(spark):
+    df = spark.createDataFrame(
+        [(1, None, dt.date(2024, 1, 1)), (2, "x", None)], "id bigint, note string, day date"
+    ).withColumn("amount", F.lit(1).cast("decimal(10,2)"))
+    assert rows(manifest(df, "things", ["id"], incremental=False)) == [
+        ("things", 1, "id", "INTEGER", True, False, True, 2, 0),
+        ("things", 2, "note", "STRING", False, False, True, 2, 1),
+        ("things", 3, "day", "DATE", False, False, True, 2, 1),
+        ("things", 4, "amount", "NUMERIC", False, False, True, 2, 0),
+    ]
+
+
+def test_dataset_with_manifest(spark, tmp_path):
+    df = spark.createDataFrame(AWKWARD, SCHEMA)
+    figures = write_dataset(df, str(tmp_path), "order", fmt="csv")
+    assert figures["items"] == 6 and figures["items_per_second"] > 0
+    assert read_csv(spark, f"{tmp_path}/order", SCHEMA, exact=True).count() == 6
+    (part,) = Path(f"{tmp_path}/order.manifest").glob("part-*")
+    entries = [json.loads(line) for line in part.read_text().splitlines()]
+    assert [(e["column"], e["type"], e["is_key"], e["rows"]) for e in entries] == [
+        ("id", "INTEGER", True, 6), ("a", "STRING", False, 6), ("b", "STRING", False, 6),
+    ]
+
+
+def test_no_rows_no_dataset(spark, tmp_path):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert write_all({"a_b": empty, "c": spark.range(3)}, str(tmp_path)) ["a_b"] is None
+    assert not (tmp_path / "a_b").exists() and (tmp_path / "c").exists()
+
+
+def test_measured_rows(spark, tmp_path):
+    assert write_measured(spark.range(1234), str(tmp_path / "x"))["items"] == 1234
