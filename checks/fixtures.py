@@ -526,7 +526,7 @@ def event_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     kind = F.col("event_type")
     subject = F.element_at(
-        F.array(*[F.lit(s) for s in ("Order", "Product", "ProductVariant")]), (F.col("user_id") % 3 + 1).cast("int")
+        F.array(*[F.lit(s) for s in ("Order", "Product", "PriceRule")]), (F.col("user_id") % 3 + 1).cast("int")
     )
     return lines_of(
         e.select(

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from orderloom import schemas
 from orderloom.functions import entity_type, join_list
 from orderloom.operators import curated
-from orderloom.plans.normalise import normalise
+from orderloom.operators.inference import promote_types
+from orderloom.plans.normalise import normalise, stage
 from orderloom.sources import datasets
-from orderloom.sources.bulk import list_entity_keys, scan_by_entity, scan_lines
+from orderloom.sources.bulk import scan_by_entity, scan_lines
 from orderloom.sources.pages import array_records, flatten_pages, scan_json_array
 
 from .fixtures import landed
@@ -219,9 +220,8 @@ def events_dataset(spark, sf_dir):
 
 
 def custom_outputs(spark, sf_dir):
-    path = landed(spark, sf_dir, "custom")
-    name, frame = datasets.custom(spark, " My Documents-1 ", path)
-    return normalise(frame, name, list_entity_keys(scan_lines(spark, path)))
+    name, frame, keys = datasets.custom(spark, " My Documents-1 ", landed(spark, sf_dir, "custom"))
+    return normalise(promote_types(stage(spark, frame, name)), name, keys)
 
 
 @query(

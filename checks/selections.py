@@ -67,13 +67,13 @@ def non_empty_list(spark, sf_dir):
 
 @query(
     """SELECT 'gid://shop/Event/' || event_id AS id, event_type AS action,
-    'gid://shop/' || ['Order', 'Product', 'ProductVariant'][user_id % 3 + 1] || '/' || user_id AS subject
+    'gid://shop/' || ['Order', 'Product', 'PriceRule'][user_id % 3 + 1] || '/' || user_id AS subject
     FROM events WHERE event_type IN ('click', 'error') AND user_id % 3 IN (0, 2)"""
 )
 def event_type_filter(spark, sf_dir):
     log = scan_bulk(spark, landed(spark, sf_dir, "event"), ddl(EVENT, {"subject": "string"}))
     kept = datasets.events(
-        log, verbs=["click", " Error"], resources=["order", "product_variant"], resource_field="subject"
+        log, verbs=["click", " Error"], resources=["order", "PriceRule"], resource_field="subject"
     )
     return kept.select("id", "action", "subject")
 

@@ -1,10 +1,11 @@
 from .dates import iso_date, resolve_date
 from .gids import entity_type, gid_key, is_entity, make_gid
-from .names import clean_name, snake, snake_text
+from .names import clean_name, dataset_name, snake, snake_text
 from .values import is_nested, join_list, json_path, json_text, manifest_type, split_list
 
 __all__ = [
     "clean_name",
+    "dataset_name",
     "entity_type",
     "gid_key",
     "is_entity",

@@ -25,6 +25,11 @@ def snake_text(names: Column) -> Column:
     return F.lower(names)
 
 
+def dataset_name(title: str) -> str:
+    """Dataset name from a title: trimmed, lower case, blanks and dashes to `_`."""
+    return re.sub("[ -]", "_", title.strip().lower())
+
+
 def clean_name(names: Column) -> Column:
-    """Dataset name from free text: trimmed, lower case, blanks and dashes to `_`."""
+    """`dataset_name` over a column of titles."""
     return F.translate(F.lower(F.trim(names, F.lit(" \t\n\r\f\v"))), " -", "__")

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .filters import STAGED_TYPE
+
 DATE_TEXT = r"^\d{4}-\d{2}-\d{2}$"
 INSTANT_TEXT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:?\d{2})?$"
 
@@ -17,7 +19,7 @@ def text_kinds(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str,
     as times of day or amounts, stays text.
     """
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    names = [n for n in names if columns is None or n in columns]
+    names = [n for n in names if (columns is None or n in columns) and n not in ("id", STAGED_TYPE)]
     if not names:
         return {}
     tests = []

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import entity_type, json_text
+from ..operators.entities import MAX_ENTITY_TYPES
 from ..operators.inference import promote_types
 from ..schemas import ddl
 
@@ -18,11 +20,60 @@ def scan_bulk(spark: SparkSession, path: str | Sequence[str], schema: str | None
     job.  Without one, types are inferred from all lines (not a sample, so keys
     that first occur late are kept) and date and timestamp text is promoted.
     """
-    paths = [path] if isinstance(path, str) else list(path)
     if schema:
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(paths)
-    inferred = spark.read.option("samplingRatio", 1.0).option("mode", "FAILFAST").json(paths)
-    return promote_types(inferred)
+        return typed_scan(spark, path, schema)
+    schema, _ = infer_schema(scan_lines(spark, path))
+    return promote_types(typed_scan(spark, path, schema))
+
+
+def typed_scan(spark: SparkSession, path: str | Sequence[str], schema: str | T.StructType) -> DataFrame:
+    paths = [path] if isinstance(path, str) else list(path)
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(paths)
+
+
+# How inferred types are read: text for what has no single type, doubles for
+# fractions.  Names in backticks are passed over.
+INFERRED_TYPE = re.compile(r"`(?:[^`]|``)*`|OBJECT<>|OBJECT<|(?:(?<=: )|(?<=ARRAY<))(?:VOID|VARIANT)\b|DECIMAL\(\d+,[1-9]\d*\)")
+READ_AS = {"OBJECT<>": "STRING", "OBJECT<": "STRUCT<", "VOID": "STRING", "VARIANT": "STRING"}
+
+
+def readable_type(inferred: str) -> str:
+    def read_as(match: re.Match) -> str:
+        found = match.group()
+        return found if found.startswith("`") else READ_AS.get(found, "DOUBLE")
+
+    return INFERRED_TYPE.sub(read_as, inferred)
+
+
+def infer_schema(lines: DataFrame) -> tuple[T.StructType, dict[str, list[str]]]:
+    """Schema of an export, and the keys of each entity type in it.
+
+    One pass over the lines, parsed once; types are merged before the shuffle,
+    and one row per entity type comes back.
+    """
+    parsed = lines.select(
+        entity_type(F.get_json_object("value", "$.id")).alias("entity_type"), F.parse_json("value").alias("record")
+    )
+    found = (
+        parsed.rollup("entity_type")
+        .agg(F.grouping("entity_type").alias("whole"), F.schema_of_variant_agg("record").alias("type"))
+        .limit(MAX_ENTITY_TYPES + 3)
+        .collect()
+    )
+    if len(found) > MAX_ENTITY_TYPES + 2:
+        raise ValueError(f"more than {MAX_ENTITY_TYPES} entity types")
+    schema, keys = T.StructType([]), {}
+    for row in sorted(found, key=lambda r: r["entity_type"] or ""):
+        if row["type"] == "VOID":
+            continue
+        if not row["type"].startswith("OBJECT<") or row["type"] == "OBJECT<>":
+            raise ValueError("an export holds one JSON object per line")
+        fields = T.StructType.fromDDL(readable_type(row["type"]))
+        if row["whole"]:
+            schema = fields
+        elif row["entity_type"] is not None:
+            keys[row["entity_type"]] = fields.names
+    return schema, keys
 
 
 def scan_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

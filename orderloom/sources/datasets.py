@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import clean_name, entity_type, is_entity
+from ..functions import dataset_name, entity_type, is_entity
 from ..operators.filters import date_window, event_filter, lookup, of_entity, status_in
 from ..operators.relations import linked_to
 from ..operators.reshape import drop_sections
-from .bulk import scan_bulk
+from .bulk import infer_schema, list_entity_keys, scan_lines, typed_scan
 from .pages import flatten_pages
 
 # --- fixed values: window fields by parameter name --------------------------
@@ -92,12 +92,22 @@ def events(
     )
 
 
-def custom(spark: SparkSession, name: str, path: str, schema: str | None = None) -> tuple[str, DataFrame]:
-    """Any other export: its cleaned name and its frame, inferred unless typed."""
-    cleaned = spark.range(1).select(clean_name(F.lit(name)).alias("name")).first()["name"]
-    if not cleaned:
+def custom(
+    spark: SparkSession, title: str, path: str, schema: str | None = None
+) -> tuple[str, DataFrame, dict[str, list[str]]]:
+    """Any other export: its cleaned name, its frame and the keys of its entities.
+
+    Without a schema the types are inferred.  An object whose keys are data
+    should be read as a map: give a schema then.
+    """
+    name = dataset_name(title)
+    if not name:
         raise ValueError("a custom dataset needs a name")
-    return cleaned, scan_bulk(spark, path, schema)
+    lines = scan_lines(spark, path)
+    if schema:
+        return name, typed_scan(spark, path, schema), list_entity_keys(lines)
+    schema, keys = infer_schema(lines)
+    return name, typed_scan(spark, path, schema), keys
 
 
 def orders_paged(

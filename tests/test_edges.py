@@ -11,7 +11,15 @@ from orderloom.operators.inference import text_kinds
 from orderloom.operators.reshape import array_child, non_empty, object_child, tidy
 from orderloom.plans.normalise import normalise, normalise_fixed, stage
 from orderloom.schemas import PAGED_ORDER, dataset_schema, page
-from orderloom.sources.bulk import entity_keys, list_entity_keys, scan_bulk, scan_by_entity, scan_lines
+from orderloom.sources.bulk import (
+    entity_keys,
+    infer_schema,
+    list_entity_keys,
+    scan_bulk,
+    scan_by_entity,
+    scan_lines,
+    typed_scan,
+)
 from orderloom.sources.pages import flatten_pages, scan_json_array, scan_pages
 
 from .conftest import rows
@@ -130,3 +138,33 @@ def test_pretty_array(spark, tmp_path):
     path = tmp_path / "array.json"
     path.write_text(json.dumps([{"id": "1", "n": 1}, {"id": "2", "n": 2}], indent=2))
     assert rows(scan_json_array(spark, str(path), "id string, n int", pretty=True)) == [("1", 1), ("2", 2)]
+
+
+def test_inferred_types_and_keys(spark, jsonl):
+    path = jsonl(
+        {"id": "gid://s/A/1", "n": 1, "x": 1.5, "only_null": None, "xs": [{"a": 1}], "odd key": {"VOID": "v"}, "m": 1, "e": {}},
+        {"id": "gid://s/A/2", "n": 12345678901234567890, "xs": [{"b": 2.25}], "m": {"z": 1}},
+        {"id": "gid://s/B/1", "t": "text", "VOID": 3},
+        {"no_id": True},
+    )
+    schema, keys = infer_schema(scan_lines(spark, path))
+    assert keys == {"A": ["e", "id", "m", "n", "odd key", "only_null", "x", "xs"], "B": ["VOID", "id", "t"]}
+    df = typed_scan(spark, path, schema)
+    assert dict(df.dtypes) == {
+        "VOID": "bigint", "e": "string", "id": "string", "m": "string", "n": "decimal(20,0)", "no_id": "boolean",
+        "odd key": "struct<VOID:string>", "only_null": "string", "t": "string", "x": "double",
+        "xs": "array<struct<a:bigint,b:double>>",
+    }
+    assert rows(df.where("id like '%/A/%'").select("m", "e", "xs")) == [("1", "{}", [(1, None)]), ('{"z":1}', None, [(None, 2.25)])]
+    outputs = normalise(df, "x", keys)
+    assert outputs["a"].columns == keys["A"][:4] + ["odd key", "only_null", "x", "xs"]
+    assert rows(outputs["x_odd key"]) == [("gid://s/A/1", "v")]
+
+
+def test_inference_without_lines(spark, jsonl):
+    assert scan_bulk(spark, jsonl()).columns == []
+
+
+def test_inference_wants_objects(spark, jsonl):
+    with pytest.raises(ValueError, match="one JSON object per line"):
+        scan_bulk(spark, jsonl("[1, 2]"))
