@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
@@ -131,6 +132,16 @@ def upsert_partitioned(spark, sf_dir):
     return spark.read.parquet(path).select(*COLUMNS)
 
 
+@query(MERGED_SQL + COLUMNS_SQL)
+def upsert_versions(spark, sf_dir):
+    """Base, then increment, each as a new version of the table."""
+    base, increment = base_and_increment(spark, sf_dir)
+    first, second = scratch_path(spark, "orders-1"), scratch_path(spark, "orders-2")
+    loads.upsert_table(spark, None, base, first, ["id"], newest_first())
+    loads.upsert_table(spark, first, increment, second, ["id"], newest_first())
+    return spark.read.parquet(second).select(*COLUMNS)
+
+
 @query(MERGED_SQL + COLUMNS_SQL + " WHERE changed")
 def latest_per_key(spark, sf_dir):
     _, increment = base_and_increment(spark, sf_dir)
@@ -304,3 +315,35 @@ def run_selected(spark, sf_dir):
         for dataset, outputs in results.items()
     ]
     return reduce(DataFrame.unionByName, tables)
+
+
+@query(
+    with_(ORD, LIN)
+    + """, kept AS (SELECT * FROM ord WHERE created_at >= DATE '1997-05-10' AND created_at < DATE '2024-01-20')
+    SELECT 'order' AS dataset, 'order' AS output, count(*) AS rows FROM kept
+    UNION ALL SELECT 'order', 'line_item', count(*) FROM lin WHERE parent_id IN (SELECT id FROM kept)
+    UNION ALL SELECT 'order', 'order_total_tax_set', count(tax) FROM kept
+    UNION ALL SELECT 'order', 'order_variant', count(variant_id) FROM lin WHERE parent_id IN (SELECT id FROM kept)
+    UNION ALL SELECT 'event', 'event', count(*) FROM events WHERE event_type = 'click' AND user_id % 3 IN (0, 2)
+      AND ts >= DATE '1997-05-10' AND ts < DATE '2024-01-20'"""
+)
+def run_windowed(spark, sf_dir):
+    """Orders of a window given in relative dates, and some events."""
+    results = run_datasets(
+        spark,
+        lambda name: landed(spark, sf_dir, name),
+        ["orders"],
+        events=True,
+        since="60 weeks ago",
+        to="2024-01-20",
+        field="created_at",
+        verbs="click, none",
+        resources=["Order", "PriceRule"],
+        anchor=date(1998, 7, 4),
+    )
+    shown = {"order": ["order", "line_item", "order_total_tax_set", "order_variant"], "event": ["event"]}
+    tables = [
+        count_rows({n: results[dataset][n] for n in names}).select(F.lit(dataset).alias("dataset"), "output", "rows")
+        for dataset, names in shown.items()
+    ]
+    return reduce(DataFrame.unionByName, tables)

@@ -1,4 +1,4 @@
-from .dates import iso_date, resolve_date
+from .dates import date_bound, iso_date, resolve_date
 from .gids import entity_type, gid_key, is_entity, make_gid
 from .names import clean_name, dataset_name, snake, snake_text
 from .values import is_nested, join_list, json_path, json_text, manifest_type, split_list
@@ -6,6 +6,7 @@ from .values import is_nested, join_list, json_path, json_text, manifest_type, s
 __all__ = [
     "clean_name",
     "dataset_name",
+    "date_bound",
     "entity_type",
     "gid_key",
     "is_entity",

@@ -159,6 +159,9 @@ EVENT = {
     "criticalAlert": "boolean",
 }
 
+# The resource an event is about; exports carry it only when asked for.
+EVENT_SUBJECT = {"subject": "string"}
+
 # Dataset -> entity -> contract, in output order.
 DATASETS = {
     "order": {"Order": {**ORDER, **ORDER_TRANSACTIONS}, "LineItem": LINE_ITEM},

@@ -155,7 +155,7 @@ def test_inferred_types_and_keys(spark, jsonl):
         "odd key": "struct<VOID:string>", "only_null": "string", "t": "string", "x": "double",
         "xs": "array<struct<a:bigint,b:double>>",
     }
-    assert rows(df.where("id like '%/A/%'").select("m", "e", "xs")) == [("1", "{}", [(1, None)]), ('{"z":1}', None, [(None, 2.25)])]
+    assert rows(df.where("id like '%/A/%'").select("m", "e", "xs")) == [("1", "{}", [(1, None)]), ('{"z": 1}', None, [(None, 2.25)])]
     outputs = normalise(df, "x", keys)
     assert outputs["a"].columns == keys["A"][:4] + ["odd key", "only_null", "x", "xs"]
     assert rows(outputs["x_odd key"]) == [("gid://s/A/1", "v")]
