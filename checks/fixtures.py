@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderloom.functions import make_gid
-from orderloom.operators.relations import connection_documents
+from orderloom.operators.relations import connection_documents, nest_connections
 from orderloom.session import scratch_path
 from orderloom.sources.bulk import to_lines
 
@@ -176,14 +176,12 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem"), "l_orderkey", LINE_ORDER, node, F.expr(LINE_BLOCK)
     )
     rows = order_rows(spark, sf_dir, transactions=False)
-    docs = rows.join(lists, rows["o_orderkey"] == lists["l_orderkey"], "left")
+    docs = nest_connections(rows, lists, "o_orderkey", "l_orderkey")
     return docs.select(
         F.col("o_orderkey").alias("page_key"),
         F.coalesce("part", F.lit(0)).alias("page_part"),
         *[c for c in rows.columns if c != "o_orderkey"],
-        F.struct(F.coalesce("offset", F.lit(0)).alias("offset"), F.coalesce("edges", F.slice("edges", 1, 0)).alias("edges")).alias(
-            "lineItems"
-        ),
+        F.struct(F.coalesce("offset", F.lit(0)).alias("offset"), "edges").alias("lineItems"),
     )
 
 
@@ -317,7 +315,7 @@ def product_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = connection_documents(pairs(spark, sf_dir), "l_partkey", ["l_suppkey"], node, F.expr(PAIR_BLOCK))
     part = table(spark, sf_dir, "part")
     images = F.struct(F.array(F.struct(F.struct(*image_columns()).alias("node"))).alias("edges"))
-    docs = part.join(lists, part["p_partkey"] == lists["l_partkey"], "left")
+    docs = nest_connections(part, lists, "p_partkey", "l_partkey")
     return docs.select(
         F.col("p_partkey").alias("page_key"),
         F.coalesce("part", F.lit(0)).alias("page_part"),
@@ -474,7 +472,7 @@ def inventory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     node = F.struct(*level_columns(), text(F.col("quantity")).alias("available"))
     lists = connection_documents(pairs(spark, sf_dir), "l_partkey", ["l_suppkey"], node, F.expr(PAIR_BLOCK))
     part = table(spark, sf_dir, "part")
-    docs = part.join(lists, part["p_partkey"] == lists["l_partkey"], "left")
+    docs = nest_connections(part, lists, "p_partkey", "l_partkey")
     cost = F.struct(
         F.col("p_retailprice").cast("decimal(18,2)").cast("string").alias("amount"), F.lit("USD").alias("currencyCode")
     )

@@ -107,6 +107,35 @@ def lookup_children(spark, sf_dir):
     )
 
 
+@query(with_(PART) + "SELECT id, p_name AS title, handle FROM prt WHERE handle = 'red-bolt-7'")
+def lookup_by_handle(spark, sf_dir):
+    products = filters.of_entity(bulk(spark, sf_dir, "product"), "Product")
+    return filters.lookup(products, "handle", "red-bolt-7").select("id", "title", "handle")
+
+
+@query(
+    """SELECT 'gid://shop/Metafield/' || p_partkey || '-size' AS id, 'size' AS key, CAST(p_size AS VARCHAR) AS value
+    FROM part WHERE p_partkey = 7
+    UNION ALL SELECT 'gid://shop/Metafield/' || p_partkey || '-brand', 'brand', p_brand FROM part WHERE p_partkey = 7"""
+)
+def lookup_by_owner(spark, sf_dir):
+    found = filters.lookup(bulk(spark, sf_dir, "product"), "__parentId", "gid://shop/Product/7")
+    return filters.of_entity(found, "Metafield").select("id", "key", "value")
+
+
+@query(
+    with_(PAIR)
+    + """SELECT level_id AS id, location_id, quantity AS available FROM pair WHERE item_id = 'gid://shop/InventoryItem/7'"""
+)
+def levels_by_item(spark, sf_dir):
+    found = filters.lookup(bulk(spark, sf_dir, "inventory"), "__parentId", "gid://shop/InventoryItem/7")
+    return found.select(
+        "id",
+        F.col("location.id").alias("location_id"),
+        F.filter("quantities", lambda q: q["name"] == "available")[0]["quantity"].alias("available"),
+    )
+
+
 @query(
     with_(PAIR)
     + """SELECT level_id AS id, item_id AS parent_id, quantity AS available FROM pair

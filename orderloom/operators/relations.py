@@ -13,6 +13,18 @@ CONNECTION_SIZE = 250
 # --- end of fixed values ----------------------------------------------------
 
 
+def distinct_keys(df: DataFrame, key: str = "id", name: str = "__key") -> DataFrame:
+    """Distinct keys for the right side of a semi or anti join.
+
+    Copies are dropped before and in a shuffle of the bare keys, so copies of one
+    key do not gather in the join.  The second column keeps that shuffle apart
+    from the join's own: only a side that comes straight from a shuffle lets
+    adaptive execution split a hot key on the other side.
+    """
+    keys = df.select(F.col(key).alias(name))
+    return keys.withColumn("__apart", F.xxhash64(name)).distinct().select(name)
+
+
 def attach_parent(
     child: DataFrame, parent: DataFrame, columns: Sequence[str], prefix: str = "parent_", key: str = "id"
 ) -> DataFrame:
@@ -27,7 +39,7 @@ def attach_parent(
 
 def orphans(child: DataFrame, parent: DataFrame, key: str = "id", link: str = "parent_id") -> DataFrame:
     """Children whose parent is missing.  Rows without a link are not children."""
-    keys = parent.select(F.col(key).alias("__key"))
+    keys = distinct_keys(parent, key)
     linked = child.where(F.col(link).isNotNull())
     return linked.join(keys, linked[link] == keys["__key"], "left_anti")
 
@@ -84,19 +96,34 @@ def connection_documents(
     )
 
 
+def nest_connections(parent: DataFrame, connections: DataFrame, key: str, link: str) -> DataFrame:
+    """Parents with the parts of their connection, one row per part; a parent
+    without any keeps one row.
+
+    This is a left join, written as an inner join and the rest: a parent with
+    very many parts makes the right side heavy, and adaptive execution can split
+    that side of an inner join only.
+    """
+    with_parts = parent.join(connections, parent[key] == connections[link]).drop(link)
+    owners = connections.select(F.col(link).alias("__key")).distinct()
+    without = parent.join(owners, parent[key] == owners["__key"], "left_anti")
+    return with_parts.unionByName(without, allowMissingColumns=True)
+
+
 def linked_to(mixed: DataFrame, roots: DataFrame, depth: int, link: str = "__parentId") -> DataFrame:
     """The given root rows of a mixed frame and everything linked below them.
 
     A row is kept when its owner is: its parent for linked rows, itself for a
     root.  The ids of the owners are gathered level by level from two narrow
-    columns, so whole rows are shuffled once, whatever the depth.
+    columns and made distinct before they are shuffled, so whole rows move once,
+    whatever the depth.
     """
-    level = roots.select(F.col("id").alias("__key"))
+    level = distinct_keys(roots)
     keys = level
     links = mixed.where(F.col(link).isNotNull()).select("id", F.col(link).alias("__link"))
     for _ in range(depth - 1):
         below = links.join(level, links["__link"] == level["__key"], "left_semi")
-        level = below.select(F.col("id").alias("__key"))
+        level = distinct_keys(below)
         keys = keys.unionAll(level)
     owned = mixed.withColumn("__owner", F.coalesce(link, "id"))
     return owned.join(keys, owned["__owner"] == keys["__key"], "left_semi").drop("__owner")

@@ -7,7 +7,7 @@ from checks.fixtures import landed, table
 from orderloom import schemas
 from orderloom.operators.filters import date_window, of_entity
 from orderloom.operators.loads import latest_per_key
-from orderloom.operators.relations import attach_parent, orphans, with_children
+from orderloom.operators.relations import attach_parent, linked_to, orphans, with_children
 from orderloom.operators.reshape import array_child, object_child
 from orderloom.plans.normalise import normalise_fixed, stage
 from orderloom.sources.bulk import scan_bulk
@@ -97,6 +97,18 @@ def test_hot_parent_is_split_among_tasks(spark, small_skew_limits):
     parents = spark.range(4000).select(F.col("id").cast("string").alias("id"), F.col("id").alias("size"))
     assert "skew=true" in final_plan(attach_parent(children, parents, ["size"]))
     assert "skew=true" in final_plan(orphans(children, parents))
+    links = children.withColumnsRenamed({"parent_id": "__parentId", "payload": "id"})
+    roots = parents.select("id", F.lit(None).cast("string").alias("__parentId"))
+    assert "skew=true" in final_plan(linked_to(roots.union(links.select("id", "__parentId")), roots, 1))
+
+
+def test_copies_of_a_parent_are_dropped_before_the_join(spark, small_skew_limits):
+    children = spark.range(1000).select(F.col("id").cast("string").alias("parent_id"))
+    copies = spark.range(0, 300_000, 1, 16).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("string").alias("id"))
+    text = plan(orphans(children, copies))
+    right = text.split("SortMergeJoin")[1]
+    assert right.count("HashAggregate(keys=[__key") == 2 and right.count("Exchange hashpartitioning(__key") == 2
+    assert orphans(children, copies).count() == sum(1 for i in range(1000) if i and i % 3 == 0)
 
 
 def test_no_explicit_broadcast_of_data():

@@ -9,7 +9,14 @@ from orderloom.operators.entities import write_split
 from orderloom.operators.filters import of_entity
 from orderloom.operators.keys import pk_violations
 from orderloom.operators.ordinals import occurrence
-from orderloom.operators.relations import attach_parent, connection_documents, linked_to, orphans, with_children
+from orderloom.operators.relations import (
+    attach_parent,
+    connection_documents,
+    linked_to,
+    nest_connections,
+    orphans,
+    with_children,
+)
 from orderloom.operators.reshape import array_child
 
 from .conftest import rows
@@ -111,3 +118,14 @@ def test_split_is_a_partition_of_the_input(spark, tmp_path):
     counts = {r["entity_type"]: r["count"] for r in back.groupBy("entity_type").count().collect()}
     assert counts == Counter(i.split("/")[3] for i in ids)
     assert of_entity(df, "Refund").count() == counts["Refund"]
+
+
+def test_parents_without_parts_keep_a_row(spark):
+    parents = spark.createDataFrame([(1, "a"), (2, "b")], "k int, name string")
+    parts = spark.createDataFrame([(1, 0, 5), (1, 1, 6)], "link int, part int, v int")
+    assert rows(nest_connections(parents, parts, "k", "link")) == [(1, "a", 0, 5), (1, "a", 1, 6), (2, "b", None, None)]
+
+
+def test_copies_of_a_root_do_not_multiply(spark):
+    mixed = spark.createDataFrame([("P/1", None), ("P/1", None), ("V/1", "P/1")], "id string, __parentId string")
+    assert rows(linked_to(mixed, mixed.where("id = 'P/1'"), 2).select("id")) == [("P/1",), ("P/1",), ("V/1",)]
