@@ -141,7 +141,7 @@ ITEMS_SQL = """SELECT parent_id AS order_id, rn AS row_number, id AS line_item_i
 
 @query(with_(LIN) + ITEMS_SQL)
 def order_line_items(spark, sf_dir):
-    return reshape.rename_snake(curated.order_line_items(order_docs(spark, sf_dir)))
+    return reshape.rename_snake(curated.order_line_items(order_docs(spark, sf_dir, "id", "lineItems")))
 
 
 @query(
@@ -158,7 +158,8 @@ def order_items_with_header(spark, sf_dir):
         utc("createdAt", "created_at"),
         F.col("totalPriceSet.shopMoney.amount").alias("total"),
     ]
-    rows = curated.nodes(order_docs(spark, sf_dir), "lineItems", "order_id", *carried)
+    docs = order_docs(spark, sf_dir, "id", "name", "createdAt", "totalPriceSet", "lineItems")
+    rows = curated.nodes(docs, "lineItems", "order_id", *carried)
     return rows.select(
         "order_id",
         "row_number",
@@ -178,12 +179,12 @@ def order_items_with_header(spark, sf_dir):
     CAST(n_lines * 0.5 AS DOUBLE) AS weight, 'KILOGRAMS' AS weight_unit FROM pair"""
 )
 def product_variants(spark, sf_dir):
-    return reshape.rename_snake(curated.product_variants(product_docs(spark, sf_dir)))
+    return reshape.rename_snake(curated.product_variants(product_docs(spark, sf_dir, "id", "variants")))
 
 
 @query(LEVELS_SQL)
 def inventory_levels(spark, sf_dir):
-    return level_columns(curated.inventory_levels(inventory_docs(spark, sf_dir)))
+    return level_columns(curated.inventory_levels(inventory_docs(spark, sf_dir, "id", "inventoryLevels")))
 
 
 @query(
@@ -256,7 +257,7 @@ def parent_link(spark, sf_dir):
     FROM few WHERE n <= 3 GROUP BY product_id"""
 )
 def nested_first_n(spark, sf_dir):
-    docs = curated.first_documents(product_docs(spark, sf_dir), "variants")
+    docs = curated.first_documents(product_docs(spark, sf_dir, "id", "variants"), "variants")
     lists = docs.select("id", F.col("variants.edges.node.id").alias("variant_ids")).where(
         F.col("variant_ids").isNotNull()
     )
@@ -339,7 +340,7 @@ def location_with_levels(spark, sf_dir):
 @query(with_(LIN) + "SELECT parent_id, rn AS row_number, id, quantity FROM lin")
 def child_row_number(spark, sf_dir):
     """Ordinals from the position in the list; a continued list starts at its offset."""
-    docs = order_docs(spark, sf_dir).select(
+    docs = order_docs(spark, sf_dir, "id", "lineItems").select(
         "id", F.col("lineItems.offset").alias("first"), F.col("lineItems.edges.node").alias("items")
     )
     rows = reshape.array_child(docs, "items", first=F.col("first"))

@@ -16,23 +16,38 @@ from orderloom.sources.pages import array_records, flatten_pages, scan_json_arra
 from .fixtures import landed
 from .registry import CUST, LIN, LOC, ORD, PAIR, PART, PRODUCT_LINES, TXN, bulk, pages, query, utc, with_
 
-ORDER_PAGES = schemas.page("orders", schemas.PAGED_ORDER)
-PRODUCT_PAGES = schemas.page("products", schemas.PAGED_PRODUCT)
 CUSTOMER_PAGES = schemas.page("customers", schemas.CUSTOMER)
-INVENTORY_PAGES = schemas.page("inventoryItems", schemas.PAGED_INVENTORY_ITEM)
 METAFIELD_PAGES = schemas.page("metafields", schemas.PAGED_METAFIELD)
 
 
-def order_docs(spark, sf_dir):
-    return flatten_pages(pages(spark, sf_dir, "order_pages", ORDER_PAGES), "orders")
+def document_pages(spark, sf_dir, fixture, key, contract, fields):
+    """Pages scanned with the fields that a query uses, or with all."""
+    wanted = schemas.pick(contract, *fields) if fields else contract
+    return pages(spark, sf_dir, fixture, schemas.page(key, wanted))
 
 
-def product_docs(spark, sf_dir):
-    return flatten_pages(pages(spark, sf_dir, "product_pages", PRODUCT_PAGES), "products")
+def order_pages(spark, sf_dir, *fields):
+    return document_pages(spark, sf_dir, "order_pages", "orders", schemas.PAGED_ORDER, fields)
 
 
-def inventory_docs(spark, sf_dir):
-    return flatten_pages(pages(spark, sf_dir, "inventory_pages", INVENTORY_PAGES), "inventoryItems")
+def product_pages(spark, sf_dir, *fields):
+    return document_pages(spark, sf_dir, "product_pages", "products", schemas.PAGED_PRODUCT, fields)
+
+
+def inventory_pages(spark, sf_dir, *fields):
+    return document_pages(spark, sf_dir, "inventory_pages", "inventoryItems", schemas.PAGED_INVENTORY_ITEM, fields)
+
+
+def order_docs(spark, sf_dir, *fields):
+    return flatten_pages(order_pages(spark, sf_dir, *fields), "orders")
+
+
+def product_docs(spark, sf_dir, *fields):
+    return flatten_pages(product_pages(spark, sf_dir, *fields), "products")
+
+
+def inventory_docs(spark, sf_dir, *fields):
+    return flatten_pages(inventory_pages(spark, sf_dir, *fields), "inventoryItems")
 
 
 @query(
@@ -263,7 +278,7 @@ def custom_dataset_child(spark, sf_dir):
     WHERE created_at >= DATE '1996-01-01' AND created_at < DATE '1998-01-01'"""
 )
 def orders_paged(spark, sf_dir):
-    envelopes = pages(spark, sf_dir, "order_pages", ORDER_PAGES)
+    envelopes = order_pages(spark, sf_dir, "id", "createdAt", "totalPriceSet", "lineItems")
     docs = datasets.orders_paged(envelopes, "1996-01-01", "1997-12-31")
     return docs.select(
         "id",
@@ -283,7 +298,7 @@ def orders_paged(spark, sf_dir):
     FROM prt LEFT JOIN lists ON product_id = id"""
 )
 def products_paged(spark, sf_dir):
-    docs = datasets.products_paged(pages(spark, sf_dir, "product_pages", PRODUCT_PAGES))
+    docs = datasets.products_paged(product_pages(spark, sf_dir, "id", "title", "status", "tags", "variants", "images"))
     first_variant = F.col("variants.edges")[0]["node"]
     return docs.select(
         "id",
@@ -310,7 +325,8 @@ def customers_paged(spark, sf_dir):
     FROM prt LEFT JOIN lists ON l_partkey = p_partkey"""
 )
 def inventory_items_paged(spark, sf_dir):
-    docs = datasets.inventory_items_paged(pages(spark, sf_dir, "inventory_pages", INVENTORY_PAGES))
+    envelopes = inventory_pages(spark, sf_dir, "id", "sku", "tracked", "variant", "inventoryLevels")
+    docs = datasets.inventory_items_paged(envelopes)
     return docs.select(
         "id",
         "sku",
@@ -323,7 +339,7 @@ def inventory_items_paged(spark, sf_dir):
 
 @query(with_(PART) + "SELECT id, p_name AS title, handle, status FROM prt WHERE status = 'DRAFT'")
 def product_drafts(spark, sf_dir):
-    docs = datasets.product_drafts(pages(spark, sf_dir, "product_pages", PRODUCT_PAGES))
+    docs = datasets.product_drafts(product_pages(spark, sf_dir, "id", "title", "handle", "status"))
     return docs.select("id", "title", "handle", "status")
 
 
@@ -333,7 +349,7 @@ def product_drafts(spark, sf_dir):
     WHERE status = 'ARCHIVED'"""
 )
 def products_archived(spark, sf_dir):
-    docs = datasets.products_archived(pages(spark, sf_dir, "product_pages", PRODUCT_PAGES))
+    docs = datasets.products_archived(product_pages(spark, sf_dir, "id", "title", "handle", "status", "publishedAt"))
     return docs.select("id", "title", "handle", "status", utc("publishedAt", "published_at"))
 
 
@@ -394,5 +410,5 @@ def level_columns(levels):
 
 @query(LEVELS_SQL)
 def inventory_levels_paged(spark, sf_dir):
-    docs = datasets.inventory_items_paged(pages(spark, sf_dir, "inventory_pages", INVENTORY_PAGES))
+    docs = datasets.inventory_items_paged(inventory_pages(spark, sf_dir, "id", "inventoryLevels"))
     return level_columns(curated.inventory_levels(docs))

@@ -8,13 +8,19 @@ ENTITY_PATTERN = r"^gid://[^/]+/([^/]+)/"
 KEY_PATTERN = r"^gid://[^/]+/[^/]+/(.+)$"
 
 
+def first_group(text: Column, pattern: str) -> Column:
+    # The plain extraction gives "" for no match, and telling that from a match
+    # would evaluate the pattern twice.
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), F.lit(0))
+
+
 def entity_type(gid: Column) -> Column:
     """Entity type of a global id; null for anything that is not one."""
-    return F.nullif(F.regexp_extract(gid, ENTITY_PATTERN, 1), F.lit(""))
+    return first_group(gid, ENTITY_PATTERN)
 
 
 def gid_key(gid: Column) -> Column:
-    return F.nullif(F.regexp_extract(gid, KEY_PATTERN, 1), F.lit(""))
+    return first_group(gid, KEY_PATTERN)
 
 
 def make_gid(entity: str, *parts: Column, app: str = "shop") -> Column:
