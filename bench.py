@@ -20,7 +20,6 @@ from orderloom.session import clear_scratch, local_session  # noqa: E402
 
 HEADLINE = [
     "order_line_items",
-    "order_items_with_header",
     "normalise_orders",
     "entity_split",
     "upsert_incremental",
@@ -29,7 +28,6 @@ HEADLINE = [
     "csv_roundtrip",
     "csv_roundtrip_exact",
     "scan_bulk_jsonl",
-    "products_dataset",
     "orders_dataset",
     "custom_dataset",
     "run_selected",
@@ -37,8 +35,6 @@ HEADLINE = [
     "location_with_levels",
     "parent_occurrence",
     "entity_keys",
-    "array_child_struct",
-    "pk_violations",
 ]
 
 
