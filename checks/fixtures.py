@@ -548,6 +548,12 @@ def custom_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with linked labels: an export that no contract describes."""
     d, l = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     day = day_after("2023-01-01", F.col("doc_id") % 400)
+
+    def score(name: str, days: int) -> Column:
+        return F.struct(
+            F.lit(name).alias("name"), F.col(name).alias("score"), text(F.date_add(day, days)).alias("ratedOn")
+        )
+
     return lines_of(
         d.select(
             make_gid("Document", F.col("doc_id")).alias("id"),
@@ -559,8 +565,7 @@ def custom_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         l.select(
             make_gid("DocumentLabel", F.col("doc_id")).alias("id"),
-            F.array(F.struct(F.lit("quality").alias("name"), F.col("quality").alias("score")),
-                    F.struct(F.lit("toxic").alias("name"), F.col("toxic").alias("score"))).alias("scores"),
+            F.array(score("quality", 7), score("toxic", 8)).alias("scores"),
             make_gid("Document", F.col("doc_id")).alias("__parentId"),
         ),
     )

@@ -9,15 +9,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from orderloom.functions import entity_type
 from orderloom.operators import loads
+from orderloom.operators.filters import of_entity
 from orderloom.operators.reshape import tidy
 from orderloom.plans.normalise import normalise_fixed, stage
 from orderloom.plans.paged import curate
 from orderloom.plans.run import entity_counts, row_counts as count_rows, run_selected as run_datasets
-from orderloom.schemas import DATASETS
+from orderloom.schemas import DATASETS, dataset_schema
 from orderloom.session import scratch_path
 from orderloom.sinks.csv import csv_lines as exact_lines, read_csv, write_csv
 from orderloom.sinks.manifest import manifest as manifest_of
-from orderloom.sinks.outputs import write_measured
+from orderloom.sinks.outputs import load_all, write_measured
 from orderloom.sources import datasets
 from orderloom.sources.bulk import keep_raw, scan_lines, to_lines
 from orderloom.streaming.landing import land_stream, read_landed
@@ -175,6 +176,31 @@ def stream_landing(spark, sf_dir):
     return read_landed(spark, target, ["id"], newest_first()).select(*COLUMNS)
 
 
+@query(
+    with_(ORD)
+    + """SELECT id, name, updated_at, '{"shopMoney":{"amount":"' || total || '","currencyCode":"USD"}}' AS total_price_set
+    FROM ord"""
+)
+def stream_orders(spark, sf_dir):
+    """The mixed order export as a stream: normalised and landed batch by batch."""
+    target = scratch_path(spark, "landed-orders")
+    newest = [F.col("updated_at").desc()]
+    stream = land_stream(
+        spark,
+        landed(spark, sf_dir, "order"),
+        dataset_schema("order"),
+        target,
+        scratch_path(spark, "progress"),
+        ["id"],
+        newest,
+        prepare=lambda batch: tidy(of_entity(batch, "Order").select("id", "name", "updatedAt", "totalPriceSet")),
+        files_per_batch=1,
+    )
+    stream.awaitTermination()
+    rows = read_landed(spark, target, ["id"], newest)
+    return rows.select("id", "name", utc("updated_at"), "total_price_set")
+
+
 # --- whole datasets ----------------------------------------------------------------
 
 
@@ -347,3 +373,23 @@ def run_windowed(spark, sf_dir):
         for dataset, names in shown.items()
     ]
     return reduce(DataFrame.unionByName, tables)
+
+
+@query(
+    with_(ORD, LIN, TXN)
+    + """SELECT 'order' AS output, count(*) AS rows FROM ord UNION ALL SELECT 'line_item', count(*) FROM lin
+    UNION ALL SELECT 'order_transactions', count(*) FROM txn UNION ALL SELECT 'order_variant', count(variant_id) FROM lin"""
+)
+def load_incremental(spark, sf_dir):
+    """Two overlapping windows loaded one after the other give every row once."""
+    names = ["order", "line_item", "order_transactions", "order_variant"]
+    versions = [scratch_path(spark, "version-1"), scratch_path(spark, "version-2")]
+    windows = [(None, "1999-01-01"), ("1998-06-01", None)]
+    current = None
+    for version, (since, to) in zip(versions, windows):
+        results = run_datasets(
+            spark, lambda name: landed(spark, sf_dir, name), ["orders", "order_transactions"], since=since, to=to
+        )
+        load_all(spark, {name: results["order"][name] for name in names}, current, version)
+        current = version
+    return count_rows({name: spark.read.parquet(f"{current}/{name}") for name in names})

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from orderloom import schemas
 from orderloom.functions import entity_type, join_list
 from orderloom.operators import curated
-from orderloom.operators.inference import promote_types
 from orderloom.plans.normalise import normalise, stage
 from orderloom.sources import datasets
 from orderloom.sources.bulk import scan_by_entity, scan_lines
@@ -236,7 +235,7 @@ def events_dataset(spark, sf_dir):
 
 def custom_outputs(spark, sf_dir):
     name, frame, keys = datasets.custom(spark, " My Documents-1 ", landed(spark, sf_dir, "custom"))
-    return normalise(promote_types(stage(spark, frame, name)), name, keys)
+    return normalise(stage(spark, frame, name), name, keys, promote=True)
 
 
 @query(
@@ -250,20 +249,29 @@ def custom_dataset(spark, sf_dir):
     return table.withColumn("created_at", utc("created_at"))
 
 
+SCORES = """WITH s AS (SELECT 'gid://shop/DocumentLabel/' || doc_id AS id, 'gid://shop/Document/' || doc_id AS parent_id,
+    quality, toxic, DATE '2023-01-01' + CAST(doc_id % 400 AS INTEGER) + 7 AS q_day,
+    DATE '2023-01-01' + CAST(doc_id % 400 AS INTEGER) + 8 AS t_day FROM labels)
+"""
+
+
 @query(
-    """SELECT 'gid://shop/DocumentLabel/' || doc_id AS id, 'gid://shop/Document/' || doc_id AS parent_id,
-    '[{"name":"quality","score":' || quality || '},{"name":"toxic","score":' || toxic || '}]' AS scores FROM labels"""
+    SCORES
+    + """SELECT id, parent_id, '[{"name":"quality","ratedOn":"' || strftime(q_day, '%Y-%m-%d') || '","score":' || quality
+    || '},{"name":"toxic","ratedOn":"' || strftime(t_day, '%Y-%m-%d') || '","score":' || toxic || '}]' AS scores FROM s"""
 )
 def custom_dataset_linked(spark, sf_dir):
     return custom_outputs(spark, sf_dir)["document_label"]
 
 
 @query(
-    """SELECT 'gid://shop/DocumentLabel/' || doc_id AS parent_id, CAST(1 AS BIGINT) AS row_number, 'quality' AS name,
-    CAST(quality AS BIGINT) AS score FROM labels
-    UNION ALL SELECT 'gid://shop/DocumentLabel/' || doc_id, 2, 'toxic', CAST(toxic AS BIGINT) FROM labels"""
+    SCORES
+    + """SELECT id AS parent_id, CAST(1 AS BIGINT) AS row_number, 'quality' AS name, q_day AS rated_on,
+    CAST(quality AS BIGINT) AS score FROM s
+    UNION ALL SELECT id, 2, 'toxic', t_day, CAST(toxic AS BIGINT) FROM s"""
 )
 def custom_dataset_child(spark, sf_dir):
+    """Dates inside the list are dates in its child table."""
     return custom_outputs(spark, sf_dir)["my_documents_1_scores"]
 
 

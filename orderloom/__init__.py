@@ -7,7 +7,7 @@ from .operators.reshape import array_child, nested_to_json, object_child, rename
 from .plans.normalise import normalise, normalise_fixed
 from .plans.run import run_selected
 from .session import local_session, tune
-from .sinks.outputs import write_all, write_dataset
+from .sinks.outputs import load_all, write_all, write_dataset
 from .sources.bulk import scan_bulk
 from .sources.pages import flatten_pages
 from .streaming.landing import land_stream, read_landed
@@ -19,6 +19,7 @@ __all__ = [
     "full_load",
     "land_stream",
     "latest_per_key",
+    "load_all",
     "local_session",
     "nested_to_json",
     "normalise",

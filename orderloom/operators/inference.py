@@ -19,7 +19,7 @@ def text_kinds(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str,
     as times of day or amounts, stays text.
     """
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    names = [n for n in names if (columns is None or n in columns) and n not in ("id", STAGED_TYPE)]
+    names = [n for n in names if (columns is None or n in columns) and n not in ("id", "parent_id", STAGED_TYPE)]
     if not names:
         return {}
     tests = []

@@ -15,12 +15,18 @@ def rename_snake(df: DataFrame) -> DataFrame:
 
 
 def parent_link(df: DataFrame) -> DataFrame:
-    """Expose the link of connection children as `parent_id`."""
+    """Expose the link of connection children as `parent_id`, marked as a link."""
     for linked in (PARENT_LINK, snake(PARENT_LINK)):
-        df = df.withColumnRenamed(linked, "parent_id")
+        if linked in df.columns:
+            df = df.withColumnRenamed(linked, "parent_id").withMetadata("parent_id", {"linked": True})
     return df
 
 
+def is_linked(df: DataFrame) -> bool:
+    """Whether the rows are connection children, as against a child table."""
+    return "parent_id" in df.columns and bool(df.schema["parent_id"].metadata.get("linked"))
+
+
 def nested_to_json(df: DataFrame) -> DataFrame:
     """Turn every struct, list and map column into JSON text."""
     return df.select(

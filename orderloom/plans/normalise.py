@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import entity_type, is_nested, snake
 from ..operators.entities import list_entity_types, prune_columns
 from ..operators.filters import STAGED_TYPE, of_entity
+from ..operators.inference import promote_types
 from ..operators.reshape import child_table, tidy
 from ..schemas import DATASETS
 from ..session import scratch_path
@@ -24,15 +25,23 @@ def rows_of(df: DataFrame, types: Sequence[str]) -> DataFrame:
 
 
 def normalise(
-    df: DataFrame, name: str, keys: dict[str, list[str]] | None = None, children: bool = True
+    df: DataFrame,
+    name: str,
+    keys: dict[str, list[str]] | None = None,
+    children: bool = True,
+    promote: bool = False,
 ) -> dict[str, DataFrame]:
     """Entity tables and child tables of an export, by output name.
 
     `keys` holds the fields of each entity type: the contract for a fixed
     dataset, or the key scan of a custom one.  An export of one type gives one
     table under the dataset's name; several types give one table each.  Every
-    nested column also becomes a child table `<name>_<column>`.
+    nested column also becomes a child table `<name>_<column>`.  `promote` turns
+    date and timestamp text into dates and timestamps, in child tables too; it
+    reads the text columns once and is meant for staged frames.
     """
+    if promote:
+        df = promote_types(df)
     types = list(keys) if keys else (list_entity_types(df) if "id" in df.columns else [])
     whole = df.drop(STAGED_TYPE)
     outputs = {}
@@ -49,7 +58,7 @@ def normalise(
             owners = [t for t in types if keys and field.name in keys[t]]
             child = child_table(rows_of(df, owners) if len(types) > 1 and owners else whole, field.name)
             if child is not None:
-                outputs[f"{name}_{snake(field.name)}"] = child
+                outputs[f"{name}_{snake(field.name)}"] = promote_types(child) if promote else child
     return outputs
 
 

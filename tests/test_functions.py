@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 from orderloom.functions import clean_name, entity_type, gid_key, manifest_type, resolve_date, snake, snake_text, split_list
 from orderloom.operators.keys import primary_key
 from orderloom.operators.filters import date_window, search, status_in
-from orderloom.operators.reshape import first_n
+from orderloom.operators.reshape import first_n, tidy
 from orderloom.plans.run import selected
 from orderloom.schemas import ddl
 
@@ -87,13 +87,20 @@ def test_manifest_types():
         assert {manifest_type(k) for k in kinds} == {name}
 
 
-def test_primary_keys():
-    assert primary_key("inventory_level", ["id"]) == ["parent_id", "id"]
-    assert primary_key("order", []) == ["id"]
-    assert primary_key("order_transactions", ["parent_id", "row_number", "id"]) == ["parent_id", "row_number"]
-    assert primary_key("order_customer", ["parent_id", "id"]) == ["parent_id"]
-    assert primary_key("product_variant", ["id", "title"]) == ["id"]
-    assert primary_key("metafield", ["id"]) == []
+def test_primary_keys(spark):
+    def key(name, *columns):
+        return primary_key(name, spark.createDataFrame([], ", ".join(f"{c} string" for c in columns)))
+
+    assert key("inventory_level", "id") == ["parent_id", "id"]
+    assert key("order", "id") == ["id"]
+    assert key("order_transactions", "parent_id", "row_number", "id") == ["parent_id", "row_number"]
+    assert key("order_customer", "parent_id", "id") == ["parent_id"]
+    assert key("product_variant", "id", "title") == ["id"]
+    assert key("document", "id") == ["id"]
+    assert key("things", "a") == []
+    linked = tidy(spark.createDataFrame([], "id string, __parentId string, title string"))
+    assert primary_key("line_item", linked) == ["parent_id", "id"]
+    assert primary_key("line_item", linked.select("title", "parent_id", "id")) == ["parent_id", "id"]
 
 
 def test_window_sides(spark):

@@ -7,7 +7,7 @@ from checks.fixtures import landed, table
 from orderloom import schemas
 from orderloom.operators.filters import date_window, of_entity
 from orderloom.operators.loads import latest_per_key
-from orderloom.operators.relations import attach_parent, linked_to, orphans, with_children
+from orderloom.operators.relations import attach_parent, linked_to, nest_connections, orphans, with_children
 from orderloom.operators.reshape import array_child, object_child
 from orderloom.plans.normalise import normalise_fixed, stage
 from orderloom.sources.bulk import scan_bulk
@@ -102,6 +102,13 @@ def test_hot_parent_is_split_among_tasks(spark, small_skew_limits):
     assert "skew=true" in final_plan(linked_to(roots.union(links.select("id", "__parentId")), roots, 1))
 
 
+def test_many_parts_of_a_parent_are_split_among_tasks(spark, small_skew_limits):
+    link = F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 5000).cast("string")
+    parts = spark.range(0, 300_000, 1, 16).select(link.alias("link"), F.sha2(F.col("id").cast("string"), 256).alias("edges"))
+    parents = spark.range(6000).select(F.col("id").cast("string").alias("id"))
+    assert "skew=true" in final_plan(nest_connections(parents, parts, "id", "link"))
+
+
 def test_copies_of_a_parent_are_dropped_before_the_join(spark, small_skew_limits):
     children = spark.range(1000).select(F.col("id").cast("string").alias("parent_id"))
     copies = spark.range(0, 300_000, 1, 16).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("string").alias("id"))

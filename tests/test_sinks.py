@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from orderloom.sinks.csv import read_csv, write_csv
 from orderloom.sinks.manifest import manifest
-from orderloom.sinks.outputs import write_all, write_dataset, write_measured
+from orderloom.sinks.outputs import load_all, write_all, write_dataset, write_measured
 
 from .conftest import rows
 
@@ -79,3 +79,30 @@ def test_no_rows_no_dataset(spark, tmp_path):
 
 def test_measured_rows(spark, tmp_path):
     assert write_measured(spark.range(1234), str(tmp_path / "x"))["items"] == 1234
+
+
+def test_loads_by_key_and_without(spark, tmp_path):
+    keyed = "id string, state string, updated_at int"
+    first = {
+        "order": spark.createDataFrame([("a", "old", 1), ("b", "old", 1)], keyed),
+        "order_tags": spark.createDataFrame([("a", 1, "x"), ("a", 2, "y")], "parent_id string, row_number int, item string"),
+        "plain": spark.createDataFrame([("k",)], "v string"),
+    }
+    second = {
+        "order": spark.createDataFrame([("b", "new", 2), ("b", "newest", 3), ("c", "new", 2)], keyed),
+        "order_tags": spark.createDataFrame([("a", 2, "z")], "parent_id string, row_number int, item string"),
+        "plain": spark.createDataFrame([("k",)], "v string"),
+        "fresh": spark.createDataFrame([(1,)], "n int"),
+    }
+    v1, v2, v3 = (str(tmp_path / v) for v in ("v1", "v2", "v3"))
+    load_all(spark, first, None, v1)
+    load_all(spark, second, v1, v2)
+    got = {n: rows(spark.read.parquet(f"{v2}/{n}")) for n in second}
+    assert got == {
+        "order": [("a", "old", 1), ("b", "newest", 3), ("c", "new", 2)],
+        "order_tags": [("a", 1, "x"), ("a", 2, "z")],
+        "plain": [("k",), ("k",)],
+        "fresh": [(1,)],
+    }
+    load_all(spark, second, v1, v3, incremental=False)
+    assert spark.read.parquet(f"{v3}/order").count() == 3
