@@ -26,7 +26,7 @@ from .scans import LEVELS_SQL, inventory_docs, level_columns, order_docs, produc
     p_size AS total_inventory FROM prt"""
 )
 def rename_snake(spark, sf_dir):
-    rows = of_entity(bulk(spark, sf_dir, "product"), "Product").select(
+    rows = of_entity(bulk(spark, sf_dir, "product"), "Product", app="shop").select(
         "id", "title", "handle", "vendor", "productType", "status",
         utc("createdAt"), utc("updatedAt"), utc("publishedAt"), "totalInventory",
     )
@@ -52,7 +52,7 @@ def nested_to_json(spark, sf_dir):
 )
 def flatten_money(spark, sf_dir):
     return reshape.flatten(
-        of_entity(bulk(spark, sf_dir, "order"), "Order"),
+        of_entity(bulk(spark, sf_dir, "order"), "Order", app="shop"),
         {
             "total": "totalPriceSet.shopMoney.amount",
             "total_currency": "totalPriceSet.shopMoney.currencyCode",
@@ -71,7 +71,7 @@ def flatten_money(spark, sf_dir):
 )
 def flatten_customer(spark, sf_dir):
     return reshape.flatten(
-        of_entity(bulk(spark, sf_dir, "order"), "Order"),
+        of_entity(bulk(spark, sf_dir, "order"), "Order", app="shop"),
         {
             "customer_id": "customer.id",
             "first_name": "customer.firstName",
@@ -246,7 +246,7 @@ def entity_prune(spark, sf_dir):
 
 @query(with_(LIN) + "SELECT id, parent_id, title, quantity FROM lin")
 def parent_link(spark, sf_dir):
-    rows = of_entity(bulk(spark, sf_dir, "order"), "LineItem")
+    rows = of_entity(bulk(spark, sf_dir, "order"), "LineItem", app="shop")
     return reshape.parent_link(rows).select("id", "parent_id", "title", "quantity")
 
 
@@ -267,7 +267,7 @@ def nested_first_n(spark, sf_dir):
 
 @query(with_(PAIR) + "SELECT level_id AS id, 'available' AS name, quantity FROM pair")
 def quantity_by_name(spark, sf_dir):
-    levels = of_entity(bulk(spark, sf_dir, "inventory"), "InventoryLevel")
+    levels = of_entity(bulk(spark, sf_dir, "inventory"), "InventoryLevel", app="shop")
     kept = reshape.named_elements(levels, "quantities", ["available"])
     return kept.select("id", F.inline("quantities"))
 
@@ -294,9 +294,9 @@ def optional_sections(spark, sf_dir):
 )
 def parent_child_join(spark, sf_dir):
     mixed = bulk(spark, sf_dir, "order")
-    items = reshape.parent_link(of_entity(mixed, "LineItem")).select("id", "parent_id", "quantity")
+    items = reshape.parent_link(of_entity(mixed, "LineItem", app="shop")).select("id", "parent_id", "quantity")
     heads = reshape.flatten(
-        of_entity(mixed, "Order"), {"name": "name", "total": "totalPriceSet.shopMoney.amount"}, keep=["id"]
+        of_entity(mixed, "Order", app="shop"), {"name": "name", "total": "totalPriceSet.shopMoney.amount"}, keep=["id"]
     )
     return attach_parent(items, heads, ["name", "total"], prefix="order_")
 
@@ -309,8 +309,8 @@ def parent_child_join(spark, sf_dir):
 def orphan_children(spark, sf_dir):
     """Line items whose order is not in a partial export."""
     mixed = bulk(spark, sf_dir, "order")
-    items = reshape.parent_link(of_entity(mixed, "LineItem")).select("id", "parent_id", "quantity")
-    return orphans(items, date_window(of_entity(mixed, "Order"), "createdAt", to="1999-01-01"))
+    items = reshape.parent_link(of_entity(mixed, "LineItem", app="shop")).select("id", "parent_id", "quantity")
+    return orphans(items, date_window(of_entity(mixed, "Order", app="shop"), "createdAt", to="1999-01-01"))
 
 
 @query(
@@ -322,7 +322,7 @@ def orphan_children(spark, sf_dir):
     SELECT id, s_name AS name, n_levels, levels FROM loc LEFT JOIN lists ON location_id = id"""
 )
 def location_with_levels(spark, sf_dir):
-    levels = of_entity(bulk(spark, sf_dir, "inventory"), "InventoryLevel").select(
+    levels = of_entity(bulk(spark, sf_dir, "inventory"), "InventoryLevel", app="shop").select(
         "id",
         F.col("location.id").alias("location_id"),
         F.filter("quantities", lambda q: q["name"] == "available")[0]["quantity"].alias("available"),

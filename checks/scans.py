@@ -133,7 +133,7 @@ def page_flatten(spark, sf_dir):
     ON lin.parent_id = kept.id"""
 )
 def orders_dataset(spark, sf_dir):
-    kept = datasets.orders(bulk(spark, sf_dir, "order"), True, "1997-01-01", "1999-01-01", "updated_at")
+    kept = datasets.orders(bulk(spark, sf_dir, "order"), True, "1997-01-01", "1999-01-01", "updated_at", "shop")
     return kept.select(
         "id",
         F.col("__parentId").alias("parent_id"),

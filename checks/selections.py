@@ -52,7 +52,7 @@ def status_in(spark, sf_dir):
 
 @query(with_(LIN) + "SELECT id, title, quantity, sku FROM lin")
 def entity_filter(spark, sf_dir):
-    return filters.of_entity(bulk(spark, sf_dir, "order"), "LineItem").select("id", "title", "quantity", "sku")
+    return filters.of_entity(bulk(spark, sf_dir, "order"), "LineItem", app="shop").select("id", "title", "quantity", "sku")
 
 
 @query(

@@ -28,6 +28,7 @@ def make_gid(entity: str, *parts: Column, app: str = "shop") -> Column:
     return F.concat(F.lit(f"gid://{app}/{entity}/"), F.concat_ws("-", *[p.cast("string") for p in parts]))
 
 
-def is_entity(gid: Column, entity: str, app: str = "shop") -> Column:
-    """Whether an id is of a type; a prefix test, which scans understand.  False for null."""
-    return F.coalesce(gid.startswith(f"gid://{app}/{entity}/"), F.lit(False))
+def is_entity(gid: Column, entity: str, app: str | None = None) -> Column:
+    """Whether an id is of a type.  With the app known this is a prefix test, which
+    scans understand; without it the type is taken from the id."""
+    return gid.startswith(f"gid://{app}/{entity}/") if app else entity_type(gid) == entity

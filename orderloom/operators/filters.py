@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions import entity_type
+from ..functions import entity_type, is_entity
 
 
 # Partition column of a frame that was staged by entity type.
@@ -43,15 +43,15 @@ def status_in(df: DataFrame, statuses: list[str], field: str = "status") -> Data
     return df.where(F.lower(F.col(field)).isin([s.lower() for s in statuses]))
 
 
-def of_entity(df: DataFrame, entity: str, field: str = "id", app: str | None = "shop") -> DataFrame:
-    """Rows of one entity type.  A staged frame reads only the folder of the type.
-    Otherwise, with the app known, the test is a prefix, which the scan
-    understands; without it the type is taken from the id."""
+def of_entity(df: DataFrame, entity: str, field: str = "id", app: str | None = None) -> DataFrame:
+    """Rows of one entity type, of any app unless one is given.
+
+    A staged frame reads only the folder of the type.  Otherwise, with the app
+    known, the test is a prefix, which the scan understands.
+    """
     if field == "id" and STAGED_TYPE in df.columns:
         return df.where(F.col(STAGED_TYPE) == entity)
-    if app:
-        return df.where(F.col(field).startswith(f"gid://{app}/{entity}/"))
-    return df.where(entity_type(F.col(field)) == entity)
+    return df.where(is_entity(F.col(field), entity, app))
 
 
 def event_filter(

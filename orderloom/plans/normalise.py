@@ -19,7 +19,7 @@ def rows_of(df: DataFrame, types: Sequence[str]) -> DataFrame:
     """Rows of some entity types, without the staging column.  On a staged frame
     this reads only the folders of these types."""
     if len(types) == 1:
-        return of_entity(df, types[0], app=None).drop(STAGED_TYPE)
+        return of_entity(df, types[0]).drop(STAGED_TYPE)
     kind = F.col(STAGED_TYPE) if STAGED_TYPE in df.columns else entity_type(F.col("id"))
     return df.where(kind.isin(list(types))).drop(STAGED_TYPE)
 

@@ -49,9 +49,8 @@ def write_csv(df: DataFrame, path: str, exact: bool = False) -> None:
     row_in_task = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     line = csv_line(flat)
     first = F.concat(F.lit(header + "\n"), line)
-    flat.select(F.when(row_in_task == 0, first).otherwise(line).alias("value")).write.mode("overwrite").option(
-        "lineSep", "\n"
-    ).text(path)
+    lines = flat.select(F.when(row_in_task == 0, first).otherwise(line).alias("value"))
+    lines.write.mode("overwrite").options(lineSep="\n", maxRecordsPerFile=0).text(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: str, exact: bool = False) -> DataFrame:

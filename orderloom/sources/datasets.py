@@ -2,7 +2,8 @@
 
 Every function takes a scanned frame and returns a frame of the same shape, so
 the normaliser works on any of them.  A window or status filter selects the
-root entities; rows linked to them follow their root.
+root entities; rows linked to them follow their root.  `app` is the app part of
+the ids; given, entity tests reach the scan as prefixes.
 """
 
 from __future__ import annotations
@@ -22,12 +23,12 @@ WINDOW_FIELDS = {"updated_at": "updatedAt", "created_at": "createdAt"}
 
 
 def windowed(
-    mixed: DataFrame, root: str, since: str | None, to: str | None, field: str, depth: int = 0
+    mixed: DataFrame, root: str, since: str | None, to: str | None, field: str, app: str | None, depth: int = 0
 ) -> DataFrame:
     """Root rows in the window with their linked rows; no window, no join."""
     if since is None and to is None:
         return mixed
-    roots = date_window(of_entity(mixed, root), WINDOW_FIELDS[field], since, to)
+    roots = date_window(of_entity(mixed, root, app=app), WINDOW_FIELDS[field], since, to)
     return linked_to(mixed, roots, depth) if depth else roots
 
 
@@ -37,9 +38,10 @@ def orders(
     since: str | None = None,
     to: str | None = None,
     field: str = "updated_at",
+    app: str | None = None,
 ) -> DataFrame:
     """Orders and their line items, with transactions if wanted."""
-    return windowed(drop_sections(bulk, transactions=transactions), "Order", since, to, field, depth=1)
+    return windowed(drop_sections(bulk, transactions=transactions), "Order", since, to, field, app, depth=1)
 
 
 def products(
@@ -50,27 +52,37 @@ def products(
     since: str | None = None,
     to: str | None = None,
     field: str = "updated_at",
+    app: str | None = None,
 ) -> DataFrame:
     """Products of the given statuses with variants, images and wanted metafields."""
     for owner, wanted in (("Product", product_metafields), ("ProductVariant", variant_metafields)):
         if not wanted:
-            bulk = bulk.where(~(is_entity(F.col("id"), "Metafield") & is_entity(F.col("__parentId"), owner)))
-    roots = status_in(of_entity(bulk, "Product"), statuses)
+            unwanted = is_entity(F.col("id"), "Metafield", app) & is_entity(F.col("__parentId"), owner, app)
+            bulk = bulk.where(~F.coalesce(unwanted, F.lit(False)))
+    roots = status_in(of_entity(bulk, "Product", app=app), statuses)
     roots = date_window(roots, WINDOW_FIELDS[field], since, to)
     return linked_to(bulk, roots, depth=2)
 
 
 def customers(
-    bulk: DataFrame, since: str | None = None, to: str | None = None, field: str = "updated_at"
+    bulk: DataFrame,
+    since: str | None = None,
+    to: str | None = None,
+    field: str = "updated_at",
+    app: str | None = None,
 ) -> DataFrame:
-    return windowed(bulk, "Customer", since, to, field)
+    return windowed(bulk, "Customer", since, to, field, app)
 
 
 def inventory(
-    bulk: DataFrame, since: str | None = None, to: str | None = None, field: str = "updated_at"
+    bulk: DataFrame,
+    since: str | None = None,
+    to: str | None = None,
+    field: str = "updated_at",
+    app: str | None = None,
 ) -> DataFrame:
     """Inventory items with their levels per location."""
-    return windowed(bulk, "InventoryItem", since, to, field, depth=1)
+    return windowed(bulk, "InventoryItem", since, to, field, app, depth=1)
 
 
 def locations(bulk: DataFrame) -> DataFrame:

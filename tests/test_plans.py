@@ -35,7 +35,7 @@ def staged(spark, orders):
 
 
 def test_entity_prefix_reaches_the_json_scan(orders):
-    assert "StringStartsWith(id,gid://shop/LineItem/)" in plan(of_entity(orders, "LineItem").select("id", "sku"))
+    assert "StringStartsWith(id,gid://shop/LineItem/)" in plan(of_entity(orders, "LineItem", app="shop").select("id", "sku"))
 
 
 def test_json_scan_reads_wanted_columns_only(orders):
