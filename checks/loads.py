@@ -393,3 +393,32 @@ def load_incremental(spark, sf_dir):
         load_all(spark, {name: results["order"][name] for name in names}, current, version)
         current = version
     return count_rows({name: spark.read.parquet(f"{current}/{name}") for name in names})
+
+
+@query(
+    with_(ORD, LIN, PART, PAIR, CUST)
+    + """, kept AS (SELECT * FROM ord WHERE created_at >= DATE '1997-01-01' AND created_at < DATE '1999-01-01')
+    SELECT 'inventory_items' AS dataset, 'inventory_items' AS output, count(*) AS rows FROM prt
+    UNION ALL SELECT 'inventory_items', 'inventory_levels', count(*) FROM pair
+    UNION ALL SELECT 'products_legacy', 'products', count(*) FROM prt
+    UNION ALL SELECT 'products_legacy', 'product_variants', count(*) FROM pair
+    UNION ALL SELECT 'orders_legacy', 'orders', count(*) FROM kept
+    UNION ALL SELECT 'orders_legacy', 'order_line_items', count(*) FROM lin WHERE parent_id IN (SELECT id FROM kept)
+    UNION ALL SELECT 'customers_legacy', 'customers', count(*) FROM cust"""
+)
+def run_paged(spark, sf_dir):
+    """All paged datasets by their flags, orders in a closed window."""
+    folders = {
+        "inventory_items": "inventory_pages",
+        "products_legacy": "product_pages",
+        "orders_legacy": "order_pages",
+        "customers_legacy": "customer_pages",
+    }
+    results = run_datasets(
+        spark, lambda flag: landed(spark, sf_dir, folders[flag]), folders, since="1997-01-01", to="1998-12-31"
+    )
+    tables = [
+        count_rows(outputs).select(F.lit(dataset).alias("dataset"), "output", "rows")
+        for dataset, outputs in results.items()
+    ]
+    return reduce(DataFrame.unionByName, tables)

@@ -124,6 +124,7 @@ def test_search_and_first_n(spark):
 
 def test_selection_order():
     assert selected(["locations", "products_drafts", "orders", "products"], events=True) == ["product", "order", "location", "event"]
+    assert selected(["customers_legacy", "inventory_items", "unknown"]) == ["inventory_items", "customers_legacy"]
     assert selected([]) == []
 
 

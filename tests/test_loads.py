@@ -40,6 +40,17 @@ def test_partition_upsert_leaves_other_partitions_alone(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "t" / "part=x").glob("*.parquet")) == before
 
 
+def test_partition_names_keep_their_type(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for part in ("2024-01-01", "7"):
+        base = spark.createDataFrame([("a", 1, "old", part)], SCHEMA)
+        base.write.mode("overwrite").partitionBy("part").parquet(path)
+        increment = spark.createDataFrame([("a", 2, "new", part), ("b", 2, "new", None)], SCHEMA)
+        for _ in range(2):
+            upsert_partitions(spark, path, increment, ["id"], newest(), "part")
+        assert rows(spark.read.parquet(path).select("id", "version", F.col("part").cast("string"))) == [("a", 2, part), ("b", 2, None)]
+
+
 def test_full_load_replaces(spark, tmp_path):
     for data in (BASE, INCREMENT):
         full_load(spark.createDataFrame(data, SCHEMA), str(tmp_path / "t"))
