@@ -12,7 +12,7 @@ from decimal import Decimal
 import duckdb
 import pandas as pd
 
-from orderloom.session import local_session
+from orderloom.session import clear_scratch, local_session
 
 from . import ORACLES, QUERIES
 
@@ -76,6 +76,7 @@ def main() -> int:
         print("ok  " if ok else "FAIL", name, note, flush=True)
         if not ok:
             failed.append(name)
+    clear_scratch(spark)
     print(f"{len(names) - len(failed)} of {len(names)} agree; failed: {failed}")
     return 1 if failed else 0
 

@@ -1,8 +1,9 @@
 """Fully quoted CSV with a header.
 
 Two forms.  The portable form goes through the CSV writer and marks NULL with a
-token.  The exact form writes NULL as an unquoted empty field and empty text as
-`""`, byte for byte as a quote-all exporter does.
+token, the one text it cannot hold.  The exact form writes NULL as an unquoted
+empty field and empty text as `""`, byte for byte as a quote-all exporter does;
+a lone NULL in a table of one column is an empty line then, which readers skip.
 """
 
 from __future__ import annotations
@@ -13,7 +14,9 @@ from ..operators.reshape import nested_to_json
 
 NULL_TOKEN = "\\N"
 # Never occurs in the exact form, so that the reader takes no text for NULL.
-UNUSED_TOKEN = "\u0001"
+UNUSED_TOKEN = "\uffffNULL\uffff"
+# Not a character.  The reader would otherwise treat NUL as an escape and drop it.
+UNUSED_ESCAPE = "\uffff"
 
 
 def quoted(text: Column) -> Column:
@@ -60,6 +63,7 @@ def read_csv(spark: SparkSession, path: str, schema: str, exact: bool = False) -
         spark.read.schema(schema)
         .options(header=True, multiLine=True, escape='"', emptyValue="", lineSep="\n", mode="FAILFAST")
         .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .option("charToEscapeQuoteEscaping", UNUSED_ESCAPE)
         .option("nullValue", UNUSED_TOKEN if exact else NULL_TOKEN)
     )
     return reader.csv(path)

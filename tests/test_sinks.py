@@ -2,6 +2,7 @@ import datetime as dt
 import json
 from pathlib import Path
 
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from orderloom.sinks.csv import read_csv, write_csv
@@ -40,6 +41,20 @@ def test_portable_form_is_lossless(spark, tmp_path):
     assert rows(read_csv(spark, str(tmp_path / "x"), SCHEMA)) == kept
 
 
+PIECES = ['"', ",", "\n", "\r", "\r\n", "\\", " ", "\t", "'", "é", "漢", "a", "\\N", '""', "#", "\u2028", "\x00", "\x01", "😀"]
+odd_text = st.none() | st.lists(st.sampled_from(PIECES), max_size=8).map("".join)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(odd_text, odd_text), min_size=200, max_size=400))
+def test_any_text_survives_the_exact_form(spark, tmp_path_factory, pairs):
+    path = str(tmp_path_factory.mktemp("csv") / "x")
+    data = [(i, a, b) for i, (a, b) in enumerate(pairs)]
+    write_csv(spark.createDataFrame(data, SCHEMA), path, exact=True)
+    back = {r[0]: tuple(r) for r in read_csv(spark, path, SCHEMA, exact=True).collect()}
+    assert [back.get(row[0]) for row in data] == data
+
+
 def test_nested_values_are_written_as_json(spark, tmp_path):
     df = spark.sql("select 1 id, named_struct('a', 'x', 'b', cast(null as string)) s, array('p', 'q') t")
     write_csv(df.coalesce(1), str(tmp_path / "x"), exact=True)
