@@ -8,24 +8,119 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import oracles
+from ..session import scratch_path
+from . import oracles, quality_classifier, toxicity
+from .decontamination import contamination
+from .language_id import identify, learn
+from .mixing import mixed_counts
+from .quality_rules import risk_controlled
+from .samples import fold
+from .sharding import shard_plan
+from .simhash import near_duplicate_groups
 from .substring_dedup import remove_repeats
+from .token_counts import count_tokens
+
+TOKENIZER = "byte_bpe_50k.json"
+CONTEXT_TOKENS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(folds: int, out: int):
+    """Whether a document is kept from learning; a null id is not."""
+    return F.coalesce(fold("doc_id", folds) == out, F.lit(False)).alias("held_out")
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document, through a cache that starts empty."""
+    import public_tokenizers
+
+    counts = count_tokens(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path(TOKENIZER),
+        scratch_path(spark, "token-cache"),
+        ["doc_id"],
+    )
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > CONTEXT_TOKENS).alias("over_limit"))
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often a mix of weighted sources takes every document."""
+    mixed = mixed_counts(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2.0)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document."""
+    scores = toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out=(3, 1))
+    return scores.select("doc_id", held_out(3, 1), "score", "predicted", "threshold", "rejected")
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark spans of 10 words in every document."""
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"], span=10)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint and near-duplicate group of every document."""
+    groups = near_duplicate_groups(table(spark, sf_dir, "documents"), shingle=3, radius=3)
+    digits = F.lower(F.lpad(F.hex("simhash"), 16, "0"))
+    return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of every document, and whether rules with controlled risk keep it."""
+    return risk_controlled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    identifier = learn(docs.filter(fold("doc_id", 4) != 2))
+    guess = docs.select("doc_id", held_out(4, 2), identify(spark, identifier).alias("guess"))
+    return guess.select("doc_id", "held_out", F.col("guess.lang").alias("lang_pred"), "guess.score", "guess.bits", "guess.rejected")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of repeated spans of 35 words."""
     cut = remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"], width=35)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place in eight shards of nearly equal bytes."""
+    plan = shard_plan(table(spark, sf_dir, "documents"), shards=8)
+    return plan.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document."""
+    scores = quality_classifier.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out=(4, 2))
+    return scores.select("doc_id", held_out(4, 2), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
+    "op2_mixing": op2_mixing,
+    "op3_toxicity": op3_toxicity,
+    "op4_decontamination": op4_decontamination,
+    "op5_simhash": op5_simhash,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_language_id": op7_language_id,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_sharding": op9_sharding,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_decontamination": oracles.DECONTAMINATION,
     "op8_substring_dedup": oracles.SUBSTRING_DEDUP,
 }
