@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -49,7 +50,8 @@ def main() -> None:
     cores = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(cores, memory=os.environ.get("BENCH_MEMORY", "8g"))
+    scratch = tempfile.mkdtemp(prefix="orderloom-bench-")
+    spark = local_session(scratch, cores, memory=os.environ.get("BENCH_MEMORY", "8g"))
     seconds = {}
     for name in names:
         run(spark, sf_dir, name)

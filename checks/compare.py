@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from decimal import Decimal
 
@@ -67,7 +68,7 @@ def compare(spark, con, sf_dir: str, name: str) -> tuple[bool, str]:
 def main() -> int:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
-    spark, con, failed = local_session(8), database(sf_dir), []
+    spark, con, failed = local_session(tempfile.mkdtemp(prefix="orderloom-"), 8), database(sf_dir), []
     for name in names:
         try:
             ok, note = compare(spark, con, sf_dir, name)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -14,12 +13,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Writing by entity type keeps one open file per type instead of sorting the
-    # rows; with more types than this Spark goes back to sorting.
-    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
-_local_scratch: dict[str, str] = {}
+_folders: dict[str, str] = {}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -29,13 +25,14 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
-    """A session for tests and benches on one machine."""
+def local_session(scratch: str, cores: int | str = "*", memory: str = "8g", partitions: int = 8) -> SparkSession:
+    """A session for tests and benches on one machine; `scratch` takes its intermediate data."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("orderloom")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
+        .config("spark.checkpoint.dir", scratch)
         .config("spark.ui.enabled", "false")
     )
     for key, value in RUNTIME_SETTINGS.items():
@@ -45,23 +42,22 @@ def local_session(cores: int | str = "*", memory: str = "8g", partitions: int =
     return tune(spark)
 
 
+def use_shared_dir(spark: SparkSession, folder: str) -> None:
+    """Name the shared folder of an application that was started without one."""
+    _folders[spark.sparkContext.applicationId] = folder
+
+
+def has_shared_dir(spark: SparkSession) -> bool:
+    return bool(spark.conf.get("spark.checkpoint.dir", None)) or spark.sparkContext.applicationId in _folders
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named by `spark.checkpoint.dir`.
-
-    Only a local-mode session may go without the setting; it then gets one
-    temporary folder for its lifetime.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    """The folder all executors can reach, as named by `spark.checkpoint.dir` or, where
+    that is unset, by `use_shared_dir`."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _folders.get(spark.sparkContext.applicationId)
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = context.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="orderloom-")
-        context.setCheckpointDir(_local_scratch[app])
-    return _local_scratch[app]
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -12,8 +12,8 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(4, memory="4g", partitions=4)
+def spark(tmp_path_factory):
+    session = local_session(str(tmp_path_factory.mktemp("shared")), 4, memory="4g", partitions=4)
     yield session
     session.stop()
 
