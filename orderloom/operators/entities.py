@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import entity_type, snake
-from .filters import of_entity
-
-# More entity types than this are not an export, but a wrong id column.
-MAX_ENTITY_TYPES = 1000
+from .filters import STAGED_TYPE, of_entity
 
 
 def entity_types(df: DataFrame, field: str = "id") -> DataFrame:
@@ -18,11 +15,15 @@ def entity_types(df: DataFrame, field: str = "id") -> DataFrame:
 
 
 def list_entity_types(df: DataFrame, field: str = "id") -> list[str]:
-    """Distinct entity types on the driver; their number is checked."""
-    rows = entity_types(df, field).limit(MAX_ENTITY_TYPES + 1).collect()
-    if len(rows) > MAX_ENTITY_TYPES:
-        raise ValueError(f"more than {MAX_ENTITY_TYPES} entity types in {field}")
-    return sorted(row["entity_type"] for row in rows)
+    """Distinct entity types on the driver: each becomes a table, so a plan there."""
+    return sorted(row["entity_type"] for row in entity_types(df, field).collect())
+
+
+def present_types(df: DataFrame, field: str = "id") -> set[str | None]:
+    """The entity types of all rows, None among them if rows without a global id occur.
+    On a staged frame this reads folder names only."""
+    kind = F.col(STAGED_TYPE) if STAGED_TYPE in df.columns else entity_type(F.col(field))
+    return {row["entity_type"] for row in df.select(kind.alias("entity_type")).distinct().collect()}
 
 
 def prune_columns(df: DataFrame, keys: set[str] | list[str]) -> DataFrame:

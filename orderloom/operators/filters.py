@@ -38,9 +38,15 @@ def date_window(
     return df
 
 
+def spellings(words: list[str]) -> list[str]:
+    """Each word as given, in capitals, in small letters and capitalised: literals that
+    a scan can compare with the bare column."""
+    return sorted({form for w in words for form in (w, w.upper(), w.lower(), w.capitalize())})
+
+
 def status_in(df: DataFrame, statuses: list[str], field: str = "status") -> DataFrame:
-    """Rows with one of the statuses, in any letter case; no status, no rows."""
-    return df.where(F.lower(F.col(field)).isin([s.lower() for s in statuses]))
+    """Rows with one of the statuses, in any of its usual spellings; no status, no rows."""
+    return df.where(F.col(field).isin(spellings(statuses)))
 
 
 def of_entity(df: DataFrame, entity: str, field: str = "id", app: str | None = None) -> DataFrame:
@@ -63,8 +69,10 @@ def event_filter(
 ) -> DataFrame:
     """Events by verb and by the entity type of their resource; none given means all."""
     if verbs:
-        df = df.where(F.lower(F.col(verb_field)).isin([v.strip().lower() for v in verbs]))
+        df = df.where(F.col(verb_field).isin(spellings([v.strip() for v in verbs])))
     if resources:
+        if resource_field not in df.columns:
+            raise ValueError(f"a filter by resource needs the field {resource_field}")
         wanted = [r.strip().lower().replace("_", "") for r in resources]
         df = df.where(F.lower(entity_type(F.col(resource_field))).isin(wanted))
     return df

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from .filters import STAGED_TYPE
 
 DATE_TEXT = r"^\d{4}-\d{2}-\d{2}$"
-INSTANT_TEXT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:?\d{2})?$"
+INSTANT_TEXT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:?\d{2})?$"
 
 
 def text_kinds(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, str]:

@@ -11,6 +11,7 @@ from .ordinals import occurrence
 # --- fixed value: entries of one connection that a document carries ---------
 CONNECTION_SIZE = 250
 # --- end of fixed values ----------------------------------------------------
+SLICES = 32
 
 
 def distinct_keys(df: DataFrame, key: str = "id", name: str = "__key") -> DataFrame:
@@ -26,15 +27,22 @@ def distinct_keys(df: DataFrame, key: str = "id", name: str = "__key") -> DataFr
 
 
 def attach_parent(
-    child: DataFrame, parent: DataFrame, columns: Sequence[str], prefix: str = "parent_", key: str = "id"
+    child: DataFrame,
+    parent: DataFrame,
+    columns: Sequence[str],
+    prefix: str = "parent_",
+    key: str = "id",
+    orphans_too: bool = True,
 ) -> DataFrame:
-    """Children with columns of their parent.
+    """Children with columns of their parent, null for a child whose parent is missing;
+    without `orphans_too` such children are left out.
 
     The parent is unique by key and the child side is the large one, so a hot
     parent only lengthens child partitions; adaptive execution splits those.
     """
     renamed = parent.select(F.col(key).alias("__key"), *[F.col(c).alias(f"{prefix}{c}") for c in columns])
-    return child.join(renamed, child["parent_id"] == renamed["__key"]).drop("__key")
+    how = "left" if orphans_too else "inner"
+    return child.join(renamed, child["parent_id"] == renamed["__key"], how).drop("__key")
 
 
 def orphans(child: DataFrame, parent: DataFrame, key: str = "id", link: str = "parent_id") -> DataFrame:
@@ -56,11 +64,15 @@ def with_children(
 ) -> DataFrame:
     """Every parent with its first n children nested as a list.
 
-    The ordinal limit is applied before the shuffle too, so no task sees more
-    than n rows of a parent from each input partition, and no list exceeds n.
+    The first n are taken in two steps, of each slice of the input and then of all,
+    so a parent's children never meet in one task: it sees n of each of at most
+    `SLICES` slices, whatever n is, and no list exceeds n.
     """
+    sliced = child.withColumn("__slice", F.spark_partition_id() % SLICES)
+    first = F.row_number().over(Window.partitionBy(link, "__slice").orderBy(*order))
+    few = sliced.withColumn("__ordinal", first).where(F.col("__ordinal") <= n)
     ordinal = F.row_number().over(Window.partitionBy(link).orderBy(*order))
-    few = child.withColumn("__ordinal", ordinal).where(F.col("__ordinal") <= n)
+    few = few.withColumn("__ordinal", ordinal).where(F.col("__ordinal") <= n)
     lists = few.groupBy(F.col(link).alias("__link")).agg(
         F.array_sort(F.collect_list(F.struct("__ordinal", F.struct(*fields).alias("value")))).alias("__sorted")
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import entity_type, is_nested, snake
-from ..operators.entities import list_entity_types, prune_columns
+from ..operators.entities import list_entity_types, present_types, prune_columns
 from ..operators.filters import STAGED_TYPE, of_entity
 from ..operators.inference import promote_types
 from ..operators.reshape import child_table, tidy
@@ -24,6 +24,12 @@ def rows_of(df: DataFrame, types: Sequence[str]) -> DataFrame:
     return df.where(kind.isin(list(types))).drop(STAGED_TYPE)
 
 
+def without_type(df: DataFrame) -> DataFrame:
+    """Rows without a global id."""
+    kind = F.col(STAGED_TYPE) if STAGED_TYPE in df.columns else entity_type(F.col("id"))
+    return df.where(kind.isNull()).drop(STAGED_TYPE)
+
+
 def normalise(
     df: DataFrame,
     name: str,
@@ -36,7 +42,9 @@ def normalise(
     `keys` holds the fields of each entity type: the contract for a fixed
     dataset, or the key scan of a custom one.  An export of one type gives one
     table under the dataset's name; several types give one table each.  Every
-    nested column also becomes a child table `<name>_<column>`.  `promote` turns
+    nested column also becomes a child table `<name>_<column>`.  No line is lost: a
+    type that `keys` does not name gets a table with all columns, and lines without a
+    global id go to `<name>_rest`.  `promote` turns
     date and timestamp text into dates and timestamps, in child tables too; it
     reads the text columns once and is meant for staged frames.
     """
@@ -46,16 +54,22 @@ def normalise(
     whole = df.drop(STAGED_TYPE)
     outputs = {}
     if len(types) > 1:
+        present = present_types(df)
+        named = dict(keys) if keys else {}
+        types += sorted(t for t in present if t is not None and t not in types)
         for kind in types:
             rows = rows_of(df, [kind])
-            outputs[snake(kind)] = tidy(prune_columns(rows, keys[kind]) if keys else rows)
+            output = snake(kind) if snake(kind) not in outputs else f"{name}_{kind}"
+            outputs[output] = tidy(prune_columns(rows, named[kind]) if kind in named else rows)
+        if None in present:
+            outputs[f"{name}_rest"] = tidy(without_type(df))
     else:
         outputs[name] = tidy(whole)
     if children and "id" in df.columns:
         for field in whole.schema.fields:
             if not is_nested(field.dataType):
                 continue
-            owners = [t for t in types if keys and field.name in keys[t]]
+            owners = [t for t in types if keys and field.name in keys.get(t, whole.columns)]
             child = child_table(rows_of(df, owners) if len(types) > 1 and owners else whole, field.name)
             if child is not None:
                 outputs[f"{name}_{snake(field.name)}"] = promote_types(child) if promote else child
@@ -70,18 +84,20 @@ def contract_keys(name: str, df: DataFrame) -> dict[str, list[str]]:
 
 
 def normalise_fixed(df: DataFrame, name: str) -> dict[str, DataFrame]:
-    """Normalise a fixed dataset by its contract; nothing is looked up in the data."""
+    """Normalise a fixed dataset by its contract, and what else is in the data as it is."""
     return normalise(df, name, contract_keys(name, df))
 
 
-def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def stage(spark: SparkSession, df: DataFrame, name: str, staged: list[str] | None = None) -> DataFrame:
     """Write a frame to the shared folder as Parquet, by entity type, and read it back.
 
     JSON is parsed once for all outputs, each output reads only its columns and
     the folders of its entities, and a lost executor costs a re-read, not a
-    re-parse.  The write has no shuffle.
+    re-parse.  The write has no shuffle.  The folder is added to `staged`.
     """
     path = scratch_path(spark, f"stage-{name}")
+    if staged is not None:
+        staged.append(path)
     if "id" not in df.columns:
         df.write.parquet(path)
         return spark.read.parquet(path)

@@ -56,6 +56,7 @@ def paged_outputs(
     flag: str,
     since: str | None = None,
     to: str | None = None,
+    staged: list[str] | None = None,
 ) -> dict[str, DataFrame]:
     """Outputs of a paged dataset from its landed pages, by its flag.  Only orders
     are windowed: created in a closed window of days.
@@ -66,4 +67,4 @@ def paged_outputs(
     key, name = PAGED_FLAGS[flag]
     pages = scan_pages(spark, paths(flag), schemas.page(key, NODES[key]))
     docs = datasets.orders_paged(pages, since, to) if name == "orders" else flatten_pages(pages, key)
-    return curate(stage(spark, docs, name).drop(STAGED_TYPE), name)
+    return curate(stage(spark, docs, name, staged).drop(STAGED_TYPE), name)

@@ -190,6 +190,9 @@ PRIMARY_KEYS = {
     "inventory_level": ["parent_id", "id"],
     "location": ["id"],
     "event": ["id"],
+    "order_line_items": ["order_id", "row_number"],
+    "product_variants": ["product_id", "variant_id"],
+    "inventory_levels": ["inventory_item_id", "level_id"],
 }
 # --- end of fixed values ----------------------------------------------------
 
@@ -224,8 +227,15 @@ def connection(contract: dict[str, str]) -> str:
 
 def pick(contract: dict[str, str], *fields: str) -> dict[str, str]:
     """Part of a contract.  A JSON scan parses every field of its schema, nested
-    ones too, so a job that needs few fields should scan with few."""
-    return {field: contract[field] for field in fields}
+    ones too, so a job that needs few fields should scan with few.  `name.offset`
+    picks of a connection only what tells an owner's first document from others."""
+    picked = {}
+    for field in fields:
+        name, _, part = field.partition(".")
+        if part not in ("", "offset"):
+            raise ValueError(f"can't pick {field}")
+        picked[name] = "struct<`offset`:bigint>" if part else contract[name]
+    return picked
 
 
 def without_parent(contract: dict[str, str]) -> dict[str, str]:

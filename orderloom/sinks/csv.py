@@ -1,14 +1,17 @@
 """Fully quoted CSV with a header.
 
 Two forms.  The portable form goes through the CSV writer and marks NULL with a
-token, the one text it cannot hold.  The exact form writes NULL as an unquoted
-empty field and empty text as `""`, byte for byte as a quote-all exporter does;
-a lone NULL in a table of one column is an empty line then, which readers skip.
+token; text that is the token itself is refused.  The exact form writes NULL as an
+unquoted empty field and empty text as `""`, byte for byte as a quote-all exporter
+does; NULL in a table of one column would be an empty line, which readers skip, and is
+refused.  So what is written comes back whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.reshape import nested_to_json
 
@@ -33,6 +36,18 @@ def csv_lines(df: DataFrame) -> DataFrame:
     return flat.select(csv_line(flat).alias("value"))
 
 
+def refused(df: DataFrame, bad: Callable[[Column], Column], what: str) -> DataFrame:
+    """The rows; a text column with a bad value fails the job."""
+    columns = []
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.StringType) or len(df.columns) == 1:
+            failed = F.raise_error(F.lit(f"this form of CSV can't hold {what}")).cast(field.dataType)
+            column = F.when(bad(column.cast("string")), failed).otherwise(column).alias(field.name)
+        columns.append(column)
+    return df.select(*columns)
+
+
 def write_csv(df: DataFrame, path: str, exact: bool = False) -> None:
     """Write all columns; nested ones as JSON text.
 
@@ -40,7 +55,10 @@ def write_csv(df: DataFrame, path: str, exact: bool = False) -> None:
     that produce them, without a shuffle.
     """
     flat = nested_to_json(df)
+    if exact and len(flat.columns) == 1:
+        flat = refused(flat, lambda c: c.isNull(), "NULL in a table of one column")
     if not exact:
+        flat = refused(flat, lambda c: c == NULL_TOKEN, f"text {NULL_TOKEN}, which stands for NULL")
         (
             flat.write.mode("overwrite")
             .options(header=True, quoteAll=True, escape='"', nullValue=NULL_TOKEN)

@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import entity_type, json_text
-from ..operators.entities import MAX_ENTITY_TYPES
 from ..operators.inference import promote_types
 from ..schemas import ddl
 
@@ -57,11 +56,8 @@ def infer_schema(lines: DataFrame) -> tuple[T.StructType, dict[str, list[str]]]:
     found = (
         parsed.rollup("entity_type")
         .agg(F.grouping("entity_type").alias("whole"), F.schema_of_variant_agg("record").alias("type"))
-        .limit(MAX_ENTITY_TYPES + 3)
         .collect()
     )
-    if len(found) > MAX_ENTITY_TYPES + 2:
-        raise ValueError(f"more than {MAX_ENTITY_TYPES} entity types")
     schema, keys = T.StructType([]), {}
     for row in sorted(found, key=lambda r: r["entity_type"] or ""):
         if row["type"] == "VOID":
@@ -105,17 +101,11 @@ def entity_keys(lines: DataFrame) -> DataFrame:
     return keys.distinct()
 
 
-# A wider export than this has data in its key names.
-MAX_KEYS = 100_000
-
-
 def list_entity_keys(lines: DataFrame) -> dict[str, list[str]]:
-    """The same on the driver, entity type -> sorted keys; the size is checked."""
-    rows = entity_keys(lines).limit(MAX_KEYS + 1).collect()
-    if len(rows) > MAX_KEYS:
-        raise ValueError(f"more than {MAX_KEYS} keys; pass the fields of each entity instead")
+    """The same on the driver, entity type -> sorted keys: each becomes a column of a
+    table.  An export whose keys are data should be read as maps, with a schema."""
     found: dict[str, list[str]] = {}
-    for row in sorted(rows):
+    for row in sorted(entity_keys(lines).collect()):
         found.setdefault(row["entity_type"], []).append(row["key"])
     return found
 

@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import dataset_name, entity_type, is_entity
-from ..operators.filters import date_window, event_filter, lookup, of_entity, status_in
+from ..operators.curated import first_documents
+from ..operators.filters import cap, date_window, event_filter, lookup, of_entity, status_in
 from ..operators.relations import linked_to
 from ..operators.reshape import drop_sections
 from .bulk import infer_schema, list_entity_keys, scan_lines, typed_scan
@@ -96,7 +97,7 @@ def events(
     to: str | None = None,
     verbs: list[str] | None = None,
     resources: list[str] | None = None,
-    resource_field: str = "id",
+    resource_field: str = "subject",
 ) -> DataFrame:
     """Activity log, windowed on its creation time only."""
     return event_filter(
@@ -125,13 +126,18 @@ def custom(
 def orders_paged(
     pages: DataFrame, since: str | None = None, to: str | None = None, max_items: int | None = None
 ) -> DataFrame:
-    """Nested order documents created in a closed window of days."""
+    """Nested order documents created in a closed window of days.  An order may go on
+    in further documents; `max_items` counts orders, the first by id."""
     docs = date_window(flatten_pages(pages, "orders"), "createdAt", since, to, closed=True)
-    return docs if max_items is None else docs.orderBy("id", "lineItems.offset").limit(max_items)
+    if max_items is None:
+        return docs
+    few = cap(first_documents(docs, "lineItems"), max_items, "id").select(F.col("id").alias("__key"))
+    return docs.join(few, docs["id"] == few["__key"], "left_semi")
 
 
 def products_paged(pages: DataFrame, max_items: int | None = None) -> DataFrame:
-    return flatten_pages(pages, "products", max_items, ["id"])
+    """A row per product, with the first of its connection's documents."""
+    return cap(first_documents(flatten_pages(pages, "products"), "variants"), max_items, "id")
 
 
 def customers_paged(pages: DataFrame, max_items: int | None = None) -> DataFrame:
@@ -139,18 +145,19 @@ def customers_paged(pages: DataFrame, max_items: int | None = None) -> DataFrame
 
 
 def inventory_items_paged(pages: DataFrame, max_items: int | None = None) -> DataFrame:
-    return flatten_pages(pages, "inventoryItems", max_items, ["id"])
+    """A row per item, with the first of its connection's documents."""
+    return cap(first_documents(flatten_pages(pages, "inventoryItems"), "inventoryLevels"), max_items, "id")
 
 
 def product_drafts(pages: DataFrame) -> DataFrame:
-    return status_in(flatten_pages(pages, "products"), ["draft"])
+    return status_in(products_paged(pages), ["draft"])
 
 
 def products_archived(pages: DataFrame) -> DataFrame:
-    return status_in(flatten_pages(pages, "products"), ["archived"])
+    return status_in(products_paged(pages), ["archived"])
 
 
-# Owner columns by owner type: name -> path below `owner`.
+# --- fixed values: owner columns by owner type, name -> path below `owner` ---
 METAFIELD_OWNERS = {
     "Product": {"owner_id": "id", "owner_title": "title", "owner_handle": "handle"},
     "ProductVariant": {
@@ -162,6 +169,7 @@ METAFIELD_OWNERS = {
         "product_handle": "product.handle",
     },
 }
+# --- end of fixed values ----------------------------------------------------
 
 
 def metafields_by_owner(pages: DataFrame, owner: str) -> DataFrame:

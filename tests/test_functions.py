@@ -63,6 +63,16 @@ def test_strict_dates_fail(spark):
         spark.createDataFrame([("soon",)], "t string").select(resolve_date(F.col("t"), anchor)).collect()
 
 
+def test_dates_are_strict_and_zones_count(spark):
+    anchor = F.lit("2024-03-31").cast("date")
+    texts = ["2024-01-02 rubbish", "2024-01-02x", "2024-01-02T23:30:00-05:00", "2024-01-02 10:00", "2024-02-30", "2024-01-02T01:00:00Z"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r[0]: str(r[1]) if r[1] else None for r in df.select("t", resolve_date(F.col("t"), anchor, strict=False)).collect()}
+    assert got == dict(zip(texts, [None, None, "2024-01-03", "2024-01-02", None, "2024-01-02"]))
+    with pytest.raises(Exception, match="not a date"):
+        df.limit(1).select(resolve_date(F.col("t"), anchor)).collect()
+
+
 def test_clean_name(spark):
     df = spark.createDataFrame([("My Query-1",), ("  A-b C\t",)], "n string")
     assert rows(df.select(clean_name(F.col("n")))) == [("a_b_c",), ("my_query_1",)]
@@ -124,7 +134,8 @@ def test_search_and_first_n(spark):
 
 def test_selection_order():
     assert selected(["locations", "products_drafts", "orders", "products"], events=True) == ["product", "order", "location", "event"]
-    assert selected(["customers_legacy", "inventory_items", "unknown"]) == ["inventory_items", "customers_legacy"]
+    with pytest.warns(UserWarning, match="unknown"):
+        assert selected(["customers_legacy", "inventory_items", "unknown"]) == ["inventory_items", "customers_legacy"]
     assert selected([]) == []
 
 

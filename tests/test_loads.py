@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from orderloom.operators.loads import full_load, latest_per_key, upsert, upsert_partitions
@@ -24,6 +25,14 @@ def test_upsert_twice_is_upsert_once(spark):
     assert rows(upsert(once, increment, ["id"], newest())) == MERGED
 
 
+def test_null_keys_do_not_multiply(spark):
+    base = spark.createDataFrame(BASE, SCHEMA)
+    increment = spark.createDataFrame([(None, 1, "n", "x"), (None, 2, "newest", "x")], SCHEMA)
+    once = upsert(base, increment, ["id"], newest())
+    twice = upsert(once, increment, ["id"], newest())
+    assert rows(twice) == rows(once) and once.where("id is null").count() == 1
+
+
 def test_upsert_keeps_columns_in_order(spark):
     base = spark.createDataFrame(BASE, SCHEMA)
     increment = spark.createDataFrame(INCREMENT, SCHEMA).select("part", "state", "version", "id")
@@ -93,3 +102,23 @@ def test_stream_state_equals_batch_state(spark, tmp_path):
     compact(spark, target, str(tmp_path / "compacted"), ["id"], newest())
     state = read_landed(spark, str(tmp_path / "compacted"), ["id"], newest())
     assert rows(state.select(*columns)) == MERGED
+
+    # The stream goes on into the compacted table, with the same checkpoint.
+    target = str(tmp_path / "compacted")
+    arrive(source, "3.json", [dict(zip(columns, r)) for r in [("a", 9, "late", "x"), ("e", 1, "new", "z")]])
+    land()
+    got = {r["id"]: r["state"] for r in read_landed(spark, target, ["id"], newest()).collect()}
+    assert got == {"a": "late", "b": "newest", "c": "old", "d": "new", "e": "new"}
+
+
+def test_a_malformed_line_fails_the_stream(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for name, line in (("broken", '{"id": "a", "ver'), ("wrong", '{"id": "a", "version": "x"}')):
+        (source / f"{name}.json").write_text(line + "\n")
+        stream = land_stream(
+            spark, str(source), SCHEMA, str(tmp_path / name), str(tmp_path / f"progress-{name}"), ["id"], newest()
+        )
+        with pytest.raises(Exception):
+            stream.awaitTermination()
+        (source / f"{name}.json").unlink()

@@ -85,13 +85,24 @@ def test_first_children_of_every_parent(children, parents, by_parent):
 
 
 def test_join_and_orphans_partition_the_children(children, parents, by_parent):
-    joined = attach_parent(children, parents, ["size"])
+    joined = attach_parent(children, parents, ["size"], orphans_too=False)
     lost = orphans(children, parents)
     missing = sum(len(v) for p, v in by_parent.items() if int(p[1:]) >= 290)
     assert lost.count() == missing and joined.count() + missing == N
     assert joined.where("parent_size <> cast(substring(parent_id, 2) as int) * 10").isEmpty()
 
 
+def test_children_without_parent_stay(children, parents):
+    joined = attach_parent(children, parents, ["size"])
+    assert joined.count() == N and joined.where("parent_size is null").count() == orphans(children, parents).count()
+
+
+def test_first_children_beyond_any_group_limit(spark, children, parents, by_parent):
+    nested = with_children(parents, children, 2500, ["line"], ["id"], name="first")
+    hot = nested.where("id = 'p0'").first()["first"]
+    assert [c["id"] for c in hot] == [i for _, i in by_parent["p0"][:2500]]
+
+
 def test_children_without_link_are_no_orphans(spark, parents):
     df = spark.createDataFrame([("x", None)], "id string, parent_id string")
     assert orphans(df, parents).isEmpty()

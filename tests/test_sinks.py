@@ -2,6 +2,7 @@ import datetime as dt
 import json
 from pathlib import Path
 
+import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -35,12 +36,22 @@ def test_every_file_has_a_header(spark, tmp_path):
 
 
 def test_portable_form_is_lossless(spark, tmp_path):
-    # The null token itself is the one text that the portable form cannot hold.
+    # The null token itself is the one text that the portable form refuses.
     kept = [r for r in AWKWARD if "\\N" not in r]
     write_csv(spark.createDataFrame(kept, SCHEMA), str(tmp_path / "x"))
     assert rows(read_csv(spark, str(tmp_path / "x"), SCHEMA)) == kept
 
 
+def test_what_a_form_cannot_hold_is_refused(spark, tmp_path):
+    token = spark.createDataFrame([("a",), ("\\N",)], "t string")
+    with pytest.raises(Exception, match="can't hold text"):
+        write_csv(token, str(tmp_path / "a"))
+    write_csv(token, str(tmp_path / "b"), exact=True)
+    assert rows(read_csv(spark, str(tmp_path / "b"), "t string", exact=True)) == [("\\N",), ("a",)]
+    with pytest.raises(Exception, match="can't hold NULL"):
+        write_csv(spark.createDataFrame([("a",), (None,)], "t string"), str(tmp_path / "c"), exact=True)
+
+
 PIECES = ['"', ",", "\n", "\r", "\r\n", "\\", " ", "\t", "'", "é", "漢", "a", "\\N", '""', "#", "\u2028", "\x00", "\x01", "😀"]
 odd_text = st.none() | st.lists(st.sampled_from(PIECES), max_size=8).map("".join)
 
