@@ -7,20 +7,21 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from orderloom.functions import entity_type
+from orderloom.functions import make_gid
 from orderloom.operators import loads
-from orderloom.operators.filters import of_entity
+from orderloom.operators.filters import STAGED_TYPE, of_entity
+from orderloom.operators.keys import pk_violations, primary_key
 from orderloom.operators.reshape import tidy
 from orderloom.plans.normalise import normalise_fixed, stage
 from orderloom.plans.paged import curate
-from orderloom.plans.run import entity_counts, row_counts as count_rows, run_selected as run_datasets
+from orderloom.plans.run import entity_counts, run_and_write, run_selected as run_datasets
 from orderloom.schemas import DATASETS, dataset_schema
 from orderloom.session import scratch_path
 from orderloom.sinks.csv import csv_lines as exact_lines, read_csv, write_csv
 from orderloom.sinks.manifest import manifest as manifest_of
 from orderloom.sinks.outputs import load_all, write_measured
 from orderloom.sources import datasets
-from orderloom.sources.bulk import keep_raw, scan_lines, to_lines
+from orderloom.sources.bulk import keep_raw, scan_bulk, scan_lines, to_lines
 from orderloom.streaming.landing import land_stream, read_landed
 
 from .fixtures import base_and_increment, landed, table
@@ -79,25 +80,35 @@ def manifest(spark, sf_dir):
 
 @query(
     with_(ORD, LIN)
-    + """SELECT 'Order' AS entity_type, count(*) AS lines FROM ord
-    UNION ALL SELECT 'LineItem', count(*) FROM lin"""
+    + """SELECT id, NULL AS parent_id, name, created_at, total, NULL AS title, NULL AS quantity FROM ord
+    UNION ALL SELECT id, parent_id, NULL, NULL, NULL, title, quantity FROM lin"""
 )
 def raw_copy(spark, sf_dir):
-    """The kept raw file holds every line."""
+    """The kept raw file holds every line, whole."""
     path = scratch_path(spark, "raw-order")
     keep_raw(spark, landed(spark, sf_dir, "order"), path)
-    kind = entity_type(F.get_json_object("value", "$.id")).alias("entity_type")
-    return scan_lines(spark, path).groupBy(kind).agg(F.count(F.lit(1)).alias("lines"))
+    return scan_bulk(spark, path, dataset_schema("order")).select(
+        "id",
+        F.col("__parentId").alias("parent_id"),
+        "name",
+        utc("createdAt", "created_at"),
+        F.col("totalPriceSet.shopMoney.amount").alias("total"),
+        "title",
+        F.col("quantity").cast("int").alias("quantity"),
+    )
 
 
-@query()
+@query(
+    with_(ORD, LIN)
+    + """SELECT 'order' AS dataset, (SELECT count(*) FROM ord) + (SELECT count(*) FROM lin) AS items,
+    true AS consistent"""
+)
 def throughput(spark, sf_dir):
-    """Items, seconds and items per second of writing the order export as Parquet."""
+    """Items of writing the order export as Parquet; whether the rate is theirs over the seconds."""
     figures = write_measured(bulk(spark, sf_dir, "order"), scratch_path(spark, "measured"))
-    return spark.createDataFrame(
-        [("order", figures["items"], figures["seconds"], figures["items_per_second"])],
-        "dataset string, items bigint, seconds double, items_per_second double",
-    )
+    rate = figures["items"] / figures["seconds"]
+    consistent = abs(figures["items_per_second"] - rate) <= 1e-6 * rate
+    return spark.createDataFrame([("order", figures["items"], consistent)], "dataset string, items bigint, consistent boolean")
 
 
 # --- loads -----------------------------------------------------------------------
@@ -143,22 +154,25 @@ def upsert_versions(spark, sf_dir):
     return spark.read.parquet(second).select(*COLUMNS)
 
 
-@query(MERGED_SQL + COLUMNS_SQL + " WHERE changed")
+@query(MERGED_SQL + COLUMNS_SQL)
 def latest_per_key(spark, sf_dir):
-    _, increment = base_and_increment(spark, sf_dir)
-    return loads.latest_per_key(increment, ["id"], newest_first())
+    """Of the stored rows and both versions of the increment."""
+    base, increment = base_and_increment(spark, sf_dir)
+    return loads.latest_per_key(base.unionByName(increment), ["id"], newest_first())
 
 
 @query(
     MERGED_SQL
-    + """SELECT id, created_at, total FROM o WHERE created_at < TIMESTAMP '1998-01-01'"""
+    + """SELECT id, created_at, total FROM o WHERE created_at < TIMESTAMP '1998-01-01'
+    UNION ALL SELECT id, created_at, total FROM o WHERE changed
+    UNION ALL SELECT id, created_at, CAST(total + 10 AS DECIMAL(18,2)) FROM o WHERE changed"""
 )
 def full_load(spark, sf_dir):
     """Loading twice leaves the second load only."""
     base, increment = base_and_increment(spark, sf_dir)
     path = scratch_path(spark, "full-load")
     loads.full_load(increment, path)
-    loads.full_load(base, path)
+    loads.full_load(base.unionByName(increment), path)
     return spark.read.parquet(path).select("id", "created_at", "total")
 
 
@@ -208,34 +222,62 @@ def normalised_orders(spark, sf_dir) -> dict[str, DataFrame]:
     return normalise_fixed(datasets.orders(bulk(spark, sf_dir, "order"), transactions=True), "order")
 
 
-ORDER_OUTPUTS_SQL = with_(ORD, LIN, TXN) + """
-    SELECT 'order' AS output, count(*) AS rows, count(DISTINCT id) AS owners FROM ord
-    UNION ALL SELECT 'line_item', count(*), count(DISTINCT id) FROM lin
-    UNION ALL SELECT 'order_total_price_set', count(*), count(DISTINCT id) FROM ord
-    UNION ALL SELECT 'order_subtotal_price_set', count(*), count(DISTINCT id) FROM ord
-    UNION ALL SELECT 'order_total_tax_set', count(*), count(DISTINCT id) FROM ord WHERE tax IS NOT NULL
-    UNION ALL SELECT 'order_total_shipping_price_set', count(*), count(DISTINCT id) FROM ord
-    UNION ALL SELECT 'order_customer', count(*), count(DISTINCT id) FROM ord
-    UNION ALL SELECT 'order_shipping_address', count(*), count(DISTINCT id) FROM ord
-    UNION ALL SELECT 'order_billing_address', count(*), count(DISTINCT id) FROM ord WHERE o_orderstatus <> 'O'
-    UNION ALL SELECT 'order_transactions', count(*), count(DISTINCT parent_id) FROM txn
-    UNION ALL SELECT 'order_variant', count(*), count(DISTINCT id) FROM lin WHERE variant_id IS NOT NULL"""
+def contents(outputs: dict[str, DataFrame], shown: dict[str, str], dataset: str | None = None) -> DataFrame:
+    """(output, entry) of every row of the outputs: their columns in `shown`, joined.
+    An output that `shown` lacks gets its name alone."""
+    parts = []
+    for name, df in outputs.items():
+        columns = [F.col(c).cast("string") for c in shown.get(name, "").split()]
+        parts.append(df.select(F.lit(name).alias("output"), F.concat_ws("|", *columns).alias("entry")))
+    whole = reduce(DataFrame.unionByName, parts)
+    return whole if dataset is None else whole.select(F.lit(dataset).alias("dataset"), "output", "entry")
 
 
-@query(ORDER_OUTPUTS_SQL)
+def entries(*parts: tuple[str, str, str]) -> str:
+    """SQL for `contents`: output, the entry's columns, and where they come from."""
+    return " UNION ALL ".join(
+        f"SELECT '{output}' AS output, concat_ws('|', {columns}) AS entry FROM {source}" for output, columns, source in parts
+    )
+
+
+def usd(amount: str) -> str:
+    """SQL for the JSON text of an amount."""
+    return f"""'{{"amount":"' || {amount} || '","currencyCode":"USD"}}'"""
+
+
+ORDER_SHOWN = {
+    "order": "id name email cancel_reason",
+    "line_item": "id parent_id title quantity sku",
+    "order_total_price_set": "parent_id shop_money",
+    "order_subtotal_price_set": "parent_id shop_money",
+    "order_total_tax_set": "parent_id shop_money",
+    "order_total_shipping_price_set": "parent_id shop_money",
+    "order_customer": "parent_id id first_name last_name email",
+    "order_shipping_address": "parent_id first_name city country",
+    "order_billing_address": "parent_id first_name country",
+    "order_transactions": "parent_id row_number id kind status gateway",
+    "order_variant": "parent_id id title sku price",
+}
+ORDER_ENTRIES = [
+    ("order", "id, name, email, cancel_reason", "ord"),
+    ("line_item", "id, parent_id, title, quantity, sku", "lin"),
+    ("order_total_price_set", f"id, {usd('total')}", "ord"),
+    ("order_subtotal_price_set", f"id, {usd('subtotal')}", "ord"),
+    ("order_total_tax_set", f"id, {usd('tax')}", "ord WHERE tax IS NOT NULL"),
+    ("order_total_shipping_price_set", f"id, {usd(chr(39) + '5.00' + chr(39))}", "ord"),
+    ("order_customer", "id, customer_id, c_name, c_mktsegment, email", "ord"),
+    ("order_shipping_address", "id, c_name, 'City ' || c_nationkey, 'N' || c_nationkey", "ord"),
+    ("order_billing_address", "id, c_name, 'N' || c_nationkey", "ord WHERE o_orderstatus <> 'O'"),
+    ("order_transactions", "parent_id, row_number, id, kind, 'SUCCESS', 'manual'", "txn"),
+    ("order_variant", "id, variant_id, variant_title, variant_sku, variant_price", "lin WHERE variant_id IS NOT NULL"),
+]
+
+
+@query(with_(ORD, LIN, TXN) + entries(*ORDER_ENTRIES))
 def normalise_orders(spark, sf_dir):
-    """All outputs of the order dataset: rows and distinct owners of each."""
+    """All outputs of the order dataset, row by row."""
     staged = stage(spark, datasets.orders(bulk(spark, sf_dir, "order"), transactions=True), "order")
-    parts = []
-    for name, df in normalise_fixed(staged, "order").items():
-        # Child tables are counted by owner, entity tables by their own id.
-        owner = "parent_id" if name.startswith("order_") else "id"
-        parts.append(
-            df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(owner).alias("owners")).select(
-                F.lit(name).alias("output"), "rows", "owners"
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    return contents(normalise_fixed(staged, "order"), ORDER_SHOWN)
 
 
 @query(
@@ -274,23 +316,50 @@ def normalise_orders_variant(spark, sf_dir):
     return normalised_orders(spark, sf_dir)["order_variant"]
 
 
-@query(
-    with_(ORD, LIN, PART, PAIR, CUST)
-    + """SELECT 'orders' AS output, count(*) AS rows FROM ord UNION ALL SELECT 'order_line_items', count(*) FROM lin
-    UNION ALL SELECT 'products', count(*) FROM prt UNION ALL SELECT 'product_variants', count(*) FROM pair
-    UNION ALL SELECT 'inventory_items', count(*) FROM prt UNION ALL SELECT 'inventory_levels', count(*) FROM pair
-    UNION ALL SELECT 'customers', count(*) FROM cust"""
-)
+PAGED_SHOWN = {
+    "orders": "id name email total_price customer_id",
+    "order_line_items": "order_id row_number line_item_id quantity variant_id",
+    "products": "id title handle vendor status",
+    "product_variants": "product_id variant_id title sku price",
+    "inventory_items": "id sku variant_id product_handle",
+    "inventory_levels": "inventory_item_id level_id location_id",
+    "customers": "id first_name email",
+}
+PAGED_ENTRIES = [
+    ("products", "id, p_name, handle, p_brand, status", "prt"),
+    ("product_variants", "product_id, variant_id, 'S' || l_suppkey, 'P' || l_partkey || '-S' || l_suppkey, price", "pair"),
+    (
+        "inventory_items",
+        "'gid://shop/InventoryItem/' || p_partkey, 'P' || p_partkey, 'gid://shop/ProductVariant/' || p_partkey, handle",
+        "prt",
+    ),
+    ("inventory_levels", "item_id, level_id, location_id", "pair"),
+    ("customers", "id, c_name, email", "cust"),
+]
+
+
+def order_entries(orders: str, lines: str) -> list[tuple[str, str, str]]:
+    return [
+        ("orders", "id, name, email, total, customer_id", orders),
+        ("order_line_items", "parent_id, rn, id, quantity, variant_id", lines),
+    ]
+
+
+@query(with_(ORD, LIN, PART, PAIR, CUST) + entries(*order_entries("ord", "lin"), *PAGED_ENTRIES))
 def normalise_paged(spark, sf_dir):
     """Curated tables of every paged dataset, and the plain form of one that has none."""
     envelopes = pages(spark, sf_dir, "customer_pages", CUSTOMER_PAGES)
-    outputs = {
-        **curate(order_docs(spark, sf_dir), "orders"),
-        **curate(product_docs(spark, sf_dir), "products"),
-        **curate(inventory_docs(spark, sf_dir), "inventory_items"),
-        **curate(datasets.customers_paged(envelopes), "customers"),
+    documents = {
+        "orders": order_docs(spark, sf_dir),
+        "products": product_docs(spark, sf_dir),
+        "inventory_items": inventory_docs(spark, sf_dir),
+        "customers": datasets.customers_paged(envelopes),
     }
-    return count_rows(outputs)
+    outputs = {}
+    for name, docs in documents.items():
+        # The nested JSON is parsed once for all tables that are cut from it.
+        outputs |= curate(stage(spark, docs, name).drop(STAGED_TYPE), name)
+    return contents(outputs, PAGED_SHOWN)
 
 
 @query(
@@ -307,28 +376,70 @@ def row_counts(spark, sf_dir):
     return reduce(DataFrame.unionByName, counts)
 
 
+SELECTED_SHOWN = {
+    "product": {
+        "product": "id status",
+        "product_variant": "id parent_id",
+        "product_image": "id parent_id",
+        "product_tags": "parent_id row_number item",
+    },
+    "customer": {
+        "customer": "id first_name email",
+        "customer_email_marketing_consent": "parent_id marketing_state",
+        "customer_default_address": "parent_id city",
+        "customer_addresses": "parent_id row_number",
+    },
+    "event": {"event": "id action message"},
+    "my_documents": {
+        "document": "id",
+        "document_label": "id",
+        "my_documents_origin_info": "parent_id",
+        "my_documents_scores": "parent_id row_number",
+    },
+}
+SELECTED_ENTRIES = {
+    "product": [
+        ("product", "id, status", "kept WHERE entity = 'Product'"),
+        ("product_variant", "id, parent_id", "kept WHERE entity = 'ProductVariant'"),
+        ("product_image", "id, parent_id", "kept WHERE entity = 'ProductImage'"),
+        (
+            "product_tags",
+            "id, i, tags[i]",
+            "(SELECT id, tags, unnest(range(1, len(tags) + 1)) AS i FROM prt WHERE status IN ('ACTIVE', 'ARCHIVED'))",
+        ),
+    ],
+    "customer": [
+        ("customer", "id, c_name, email", "cust"),
+        ("customer_email_marketing_consent", "id, consent", "cust WHERE consent IS NOT NULL"),
+        ("customer_default_address", "id, 'City ' || c_nationkey", "cust WHERE c_acctbal >= 0"),
+        ("customer_addresses", "id, i", "(SELECT id, unnest(range(1, n_addresses + 1)) AS i FROM cust)"),
+    ],
+    "event": [("event", "'gid://shop/Event/' || event_id, event_type, props", "events")],
+    "my_documents": [
+        ("document", "'gid://shop/Document/' || doc_id", "documents"),
+        ("document_label", "'gid://shop/DocumentLabel/' || doc_id", "labels"),
+        ("my_documents_origin_info", "'gid://shop/Document/' || doc_id", "documents"),
+        ("my_documents_scores", "'gid://shop/DocumentLabel/' || doc_id, i", "(SELECT doc_id, unnest([1, 2]) AS i FROM labels)"),
+    ],
+}
+
+
+def of_datasets(parts: dict[str, list[tuple[str, str, str]]]) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS dataset, * FROM ({entries(*own)})" for name, own in parts.items())
+
+
+def contents_of_run(results, shown) -> DataFrame:
+    return reduce(DataFrame.unionByName, [contents(outputs, shown[name], name) for name, outputs in results.items()])
+
+
 @query(
     with_(ORD, LIN, CUST, PART, PAIR, PRODUCT_LINES)
     + """, kept AS (SELECT * FROM product_lines WHERE entity <> 'Metafield'
-                    AND root IN (SELECT id FROM prt WHERE status IN ('ACTIVE', 'ARCHIVED')))
-    SELECT 'product' AS dataset, 'product' AS output, count(*) AS rows FROM kept WHERE entity = 'Product'
-    UNION ALL SELECT 'product', 'product_variant', count(*) FROM kept WHERE entity = 'ProductVariant'
-    UNION ALL SELECT 'product', 'product_image', count(*) FROM kept WHERE entity = 'ProductImage'
-    UNION ALL SELECT 'product', 'metafield', count(*) FROM kept WHERE entity = 'Metafield'
-    UNION ALL SELECT 'product', 'product_tags', CAST(sum(len(tags)) AS BIGINT) FROM prt
-      WHERE status IN ('ACTIVE', 'ARCHIVED')
-    UNION ALL SELECT 'customer', 'customer', count(*) FROM cust
-    UNION ALL SELECT 'customer', 'customer_email_marketing_consent', count(consent) FROM cust
-    UNION ALL SELECT 'customer', 'customer_default_address', count(*) FROM cust WHERE c_acctbal >= 0
-    UNION ALL SELECT 'customer', 'customer_addresses', CAST(sum(n_addresses) AS BIGINT) FROM cust
-    UNION ALL SELECT 'event', 'event', count(*) FROM events
-    UNION ALL SELECT 'my_documents', 'document', count(*) FROM documents
-    UNION ALL SELECT 'my_documents', 'document_label', count(*) FROM labels
-    UNION ALL SELECT 'my_documents', 'my_documents_origin_info', count(*) FROM documents
-    UNION ALL SELECT 'my_documents', 'my_documents_scores', 2 * count(*) FROM labels"""
+                    AND root IN (SELECT id FROM prt WHERE status IN ('ACTIVE', 'ARCHIVED'))) """
+    + of_datasets(SELECTED_ENTRIES)
 )
 def run_selected(spark, sf_dir):
-    """A selection of datasets, a custom one among them: rows of every output."""
+    """A selection of datasets, a custom one among them: every row of every output."""
     results = run_datasets(
         spark,
         lambda name: landed(spark, sf_dir, name),
@@ -336,22 +447,40 @@ def run_selected(spark, sf_dir):
         events=True,
         custom={"My Documents": landed(spark, sf_dir, "custom")},
     )
-    tables = [
-        count_rows(outputs).select(F.lit(dataset).alias("dataset"), "output", "rows")
-        for dataset, outputs in results.items()
-    ]
-    return reduce(DataFrame.unionByName, tables)
+    # The contract's metafields were not wanted, so their tables are empty.
+    return contents_of_run(results, SELECTED_SHOWN)
+
+
+def windowed_entries(parts):
+    """Order entries of the orders in `kept`, with all their lines."""
+    windowed = []
+    for output, columns, source in parts:
+        source = source.replace("ord", "kept", 1) if source.startswith("ord") else source
+        if source.startswith(("lin", "txn")):
+            link = "WHERE" if "WHERE" not in source else "AND"
+            source = f"{source} {link} parent_id IN (SELECT id FROM kept)"
+        windowed.append((output, columns, source))
+    return windowed
+
+
+WINDOWED = windowed_entries([part for part in ORDER_ENTRIES if part[0] != "order_transactions"])
 
 
 @query(
     with_(ORD, LIN)
-    + """, kept AS (SELECT * FROM ord WHERE created_at >= DATE '1997-05-10' AND created_at < DATE '2024-01-20')
-    SELECT 'order' AS dataset, 'order' AS output, count(*) AS rows FROM kept
-    UNION ALL SELECT 'order', 'line_item', count(*) FROM lin WHERE parent_id IN (SELECT id FROM kept)
-    UNION ALL SELECT 'order', 'order_total_tax_set', count(tax) FROM kept
-    UNION ALL SELECT 'order', 'order_variant', count(variant_id) FROM lin WHERE parent_id IN (SELECT id FROM kept)
-    UNION ALL SELECT 'event', 'event', count(*) FROM events WHERE event_type = 'click' AND user_id % 3 IN (0, 2)
-      AND ts >= DATE '1997-05-10' AND ts < DATE '2024-01-20'"""
+    + """, kept AS (SELECT * FROM ord WHERE created_at >= DATE '1997-05-10' AND created_at < DATE '2024-01-20') """
+    + of_datasets(
+        {
+            "order": WINDOWED,
+            "event": [
+                (
+                    "event",
+                    "'gid://shop/Event/' || event_id, event_type, props",
+                    "events WHERE event_type = 'click' AND user_id % 3 IN (0, 2) AND ts >= DATE '1997-05-10' AND ts < DATE '2024-01-20'",
+                )
+            ],
+        }
+    )
 )
 def run_windowed(spark, sf_dir):
     """Orders of a window given in relative dates, and some events."""
@@ -367,58 +496,127 @@ def run_windowed(spark, sf_dir):
         resources=["Order", "PriceRule"],
         anchor=date(1998, 7, 4),
     )
-    shown = {"order": ["order", "line_item", "order_total_tax_set", "order_variant"], "event": ["event"]}
-    tables = [
-        count_rows({n: results[dataset][n] for n in names}).select(F.lit(dataset).alias("dataset"), "output", "rows")
-        for dataset, names in shown.items()
-    ]
-    return reduce(DataFrame.unionByName, tables)
+    return contents_of_run(results, {"order": ORDER_SHOWN, "event": {"event": "id action message"}})
 
 
-@query(
-    with_(ORD, LIN, TXN)
-    + """SELECT 'order' AS output, count(*) AS rows FROM ord UNION ALL SELECT 'line_item', count(*) FROM lin
-    UNION ALL SELECT 'order_transactions', count(*) FROM txn UNION ALL SELECT 'order_variant', count(variant_id) FROM lin"""
-)
+def loaded(spark, sf_dir, flags, windows, **options) -> dict[str, DataFrame]:
+    """The tables after loading windows of datasets one after the other."""
+    current, names = None, {}
+    for since, to in windows:
+        results = run_datasets(spark, lambda name: landed(spark, sf_dir, options.get(name, name)), flags, since=since, to=to)
+        outputs = {name: df for tables in results.values() for name, df in tables.items()}
+        version = scratch_path(spark, "version")
+        load_all(spark, outputs, current, version)
+        current, names = version, outputs
+    return {name: spark.read.parquet(f"{current}/{name}") for name in names}
+
+
+@query(with_(ORD, LIN, TXN) + entries(*ORDER_ENTRIES))
 def load_incremental(spark, sf_dir):
     """Two overlapping windows loaded one after the other give every row once."""
-    names = ["order", "line_item", "order_transactions", "order_variant"]
-    versions = [scratch_path(spark, "version-1"), scratch_path(spark, "version-2")]
     windows = [(None, "1999-01-01"), ("1998-06-01", None)]
-    current = None
-    for version, (since, to) in zip(versions, windows):
-        results = run_datasets(
-            spark, lambda name: landed(spark, sf_dir, name), ["orders", "order_transactions"], since=since, to=to
-        )
-        load_all(spark, {name: results["order"][name] for name in names}, current, version)
-        current = version
-    return count_rows({name: spark.read.parquet(f"{current}/{name}") for name in names})
+    return contents(loaded(spark, sf_dir, ["orders", "order_transactions"], windows), ORDER_SHOWN)
+
+
+PAGED_FOLDERS = {
+    "inventory_items": "inventory_pages",
+    "products_legacy": "product_pages",
+    "orders_legacy": "order_pages",
+    "customers_legacy": "customer_pages",
+}
+
+
+@query(with_(ORD, LIN, PART, PAIR, CUST) + entries(*order_entries("ord", "lin"), *PAGED_ENTRIES))
+def load_incremental_paged(spark, sf_dir):
+    """Overlapping windows of all paged datasets: loading rows again changes nothing."""
+    windows = [(None, "1998-12-31"), ("1998-06-01", None)]
+    return contents(loaded(spark, sf_dir, PAGED_FOLDERS, windows, **PAGED_FOLDERS), PAGED_SHOWN)
 
 
 @query(
     with_(ORD, LIN, PART, PAIR, CUST)
-    + """, kept AS (SELECT * FROM ord WHERE created_at >= DATE '1997-01-01' AND created_at < DATE '1999-01-01')
-    SELECT 'inventory_items' AS dataset, 'inventory_items' AS output, count(*) AS rows FROM prt
-    UNION ALL SELECT 'inventory_items', 'inventory_levels', count(*) FROM pair
-    UNION ALL SELECT 'products_legacy', 'products', count(*) FROM prt
-    UNION ALL SELECT 'products_legacy', 'product_variants', count(*) FROM pair
-    UNION ALL SELECT 'orders_legacy', 'orders', count(*) FROM kept
-    UNION ALL SELECT 'orders_legacy', 'order_line_items', count(*) FROM lin WHERE parent_id IN (SELECT id FROM kept)
-    UNION ALL SELECT 'customers_legacy', 'customers', count(*) FROM cust"""
+    + """, kept AS (SELECT * FROM ord WHERE created_at >= DATE '1997-01-01' AND created_at < DATE '1999-01-01') """
+    + entries(*order_entries("kept", "lin WHERE parent_id IN (SELECT id FROM kept)"), *PAGED_ENTRIES)
 )
 def run_paged(spark, sf_dir):
     """All paged datasets by their flags, orders in a closed window."""
-    folders = {
-        "inventory_items": "inventory_pages",
-        "products_legacy": "product_pages",
-        "orders_legacy": "order_pages",
-        "customers_legacy": "customer_pages",
-    }
     results = run_datasets(
-        spark, lambda flag: landed(spark, sf_dir, folders[flag]), folders, since="1997-01-01", to="1998-12-31"
+        spark, lambda flag: landed(spark, sf_dir, PAGED_FOLDERS[flag]), PAGED_FOLDERS, since="1997-01-01", to="1998-12-31"
     )
-    tables = [
-        count_rows(outputs).select(F.lit(dataset).alias("dataset"), "output", "rows")
-        for dataset, outputs in results.items()
-    ]
-    return reduce(DataFrame.unionByName, tables)
+    return contents({name: df for outputs in results.values() for name, df in outputs.items()}, PAGED_SHOWN)
+
+
+@query(
+    with_(LIN)
+    + """, repeated AS (SELECT count(*) FILTER (n > 1) AS lines, count(*) FILTER (n_variants > 1) AS variants
+      FROM (SELECT id, count(*) AS n, count(variant_id) AS n_variants FROM lin GROUP BY id))
+    SELECT output, key, CASE output WHEN 'line_item' THEN lines WHEN 'order_variant' THEN variants ELSE 0 END AS violations
+    FROM (VALUES ('order', 'id'), ('line_item', 'parent_id,id'), ('order_total_price_set', 'parent_id'),
+      ('order_subtotal_price_set', 'parent_id'), ('order_total_tax_set', 'parent_id'),
+      ('order_total_shipping_price_set', 'parent_id'), ('order_customer', 'parent_id'),
+      ('order_shipping_address', 'parent_id'), ('order_billing_address', 'parent_id'),
+      ('order_transactions', 'parent_id,row_number'), ('order_variant', 'parent_id')) AS v(output, key), repeated"""
+)
+def primary_keys(spark, sf_dir):
+    """The key of every output of the order dataset, and how many of its values repeat."""
+    staged = stage(spark, datasets.orders(bulk(spark, sf_dir, "order"), transactions=True), "order")
+    parts = []
+    for name, df in normalise_fixed(staged, "order").items():
+        key = primary_key(name, df)
+        repeated = pk_violations(df, key).agg(F.count(F.lit(1)).alias("violations"))
+        parts.append(repeated.select(F.lit(name).alias("output"), F.lit(",".join(key)).alias("key"), "violations"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    with_(PART, PAIR, PRODUCT_LINES)
+    + """SELECT CASE entity WHEN 'ProductVariant' THEN 'product_variant' WHEN 'ProductImage' THEN 'product_image'
+      ELSE lower(entity) END AS output, concat_ws('|', id, parent_id) AS entry FROM product_lines
+    UNION ALL SELECT 'media_image', concat_ws('|', 'gid://shop/MediaImage/' || p_partkey, id) FROM prt
+    UNION ALL SELECT 'product_rest', 'plain-' || p_partkey FROM prt"""
+)
+def normalise_products_all(spark, sf_dir):
+    """An export with a type that the contract lacks and with plain ids: no line is lost."""
+    parts = table(spark, sf_dir, "part")
+    owner = make_gid("Product", F.col("p_partkey"))
+    images = parts.select(make_gid("MediaImage", F.col("p_partkey")).alias("id"), owner.alias("__parentId"))
+    plain = parts.select(F.concat(F.lit("plain-"), "p_partkey").alias("id"), F.lit(None).cast("string").alias("__parentId"))
+    path = scratch_path(spark, "mixed-product")
+    lines = scan_lines(spark, landed(spark, sf_dir, "product")).unionByName(to_lines(images)).unionByName(to_lines(plain))
+    lines.write.text(path)
+    outputs = normalise_fixed(stage(spark, scan_bulk(spark, path, dataset_schema("product")), "product"), "product")
+    tables = ["product", "product_variant", "product_image", "metafield", "media_image", "product_rest"]
+    shown = dict.fromkeys(tables, "id parent_id") | {"product": "id"}
+    return contents({name: outputs[name] for name in tables}, shown)
+
+
+@query(
+    with_(LOC)
+    + """SELECT 'location' AS output, count(*) AS items, 'id' AS key, true AS timed FROM loc
+    UNION ALL SELECT 'location_address', count(*), 'parent_id', true FROM loc
+    UNION ALL SELECT 'location_fulfillment_service', count(*), 'parent_id', true FROM loc WHERE outside HAVING count(*) > 0
+    UNION ALL SELECT 'event', count(*), 'id', true FROM events"""
+)
+def run_written(spark, sf_dir):
+    """Run and write: figures of each output, read back with its manifest."""
+    folder = scratch_path(spark, "written")
+    figures = run_and_write(spark, folder, lambda name: landed(spark, sf_dir, name), ["locations"], events=True)
+    rows = []
+    for dataset, outputs in figures.items():
+        for name, own in outputs.items():
+            if own is None:
+                continue
+            columns = spark.read.json(f"{folder}/{dataset}/{name}.manifest")
+            key = [r["column"] for r in columns.where("is_key").orderBy("position").select("column").collect()]
+            items = spark.read.parquet(f"{folder}/{dataset}/{name}").count()
+            rows.append((name, items, ",".join(key), own["items"] == items and own["seconds"] > 0))
+    return spark.createDataFrame(rows, "output string, items bigint, key string, timed boolean")
+
+
+@query("SELECT 'event' AS output, count(*) AS rows FROM events HAVING count(*) < 0")
+def empty_dataset(spark, sf_dir):
+    """A run whose window is before all events leaves no output."""
+    folder = scratch_path(spark, "nothing")
+    figures = run_and_write(spark, folder, lambda name: landed(spark, sf_dir, name), [], events=True, to="1990-01-01")
+    rows = [(name, own["items"]) for outputs in figures.values() for name, own in outputs.items() if own is not None]
+    return spark.createDataFrame(rows, "output string, rows bigint")

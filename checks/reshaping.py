@@ -197,7 +197,7 @@ def inventory_levels(spark, sf_dir):
     c_mktsegment AS customer_last_name, email AS customer_email, CAST(NULL AS VARCHAR) AS customer_phone FROM ord"""
 )
 def order_header(spark, sf_dir):
-    rows = reshape.rename_snake(curated.order_header(order_docs(spark, sf_dir)))
+    rows = reshape.rename_snake(curated.order_header(order_docs(spark, sf_dir, "header", "lineItems")))
     for column in ("created_at", "updated_at", "processed_at", "cancelled_at"):
         rows = rows.withColumn(column, utc(column))
     return rows
@@ -210,7 +210,7 @@ def order_header(spark, sf_dir):
     status, CASE WHEN len(tags) = 0 THEN '[]' ELSE '["' || array_to_string(tags, '","') || '"]' END AS tags FROM prt"""
 )
 def product_header(spark, sf_dir):
-    rows = reshape.tidy(curated.product_header(product_docs(spark, sf_dir)))
+    rows = reshape.tidy(curated.product_header(product_docs(spark, sf_dir, "header", "variants")))
     for column in ("created_at", "updated_at", "published_at"):
         rows = rows.withColumn(column, utc(column))
     return rows
@@ -228,7 +228,7 @@ def product_header(spark, sf_dir):
     p_name AS product_title, handle AS product_handle FROM prt"""
 )
 def inventory_item_header(spark, sf_dir):
-    rows = reshape.rename_snake(curated.inventory_item_header(inventory_docs(spark, sf_dir)))
+    rows = reshape.rename_snake(curated.inventory_item_header(inventory_docs(spark, sf_dir, "header", "inventoryLevels")))
     return rows.withColumn("created_at", utc("created_at")).withColumn("updated_at", utc("updated_at"))
 
 
@@ -385,12 +385,16 @@ def entity_types(spark, sf_dir):
     return distinct_entity_types(bulk(spark, sf_dir, "product"))
 
 
-@query(with_(PART, PAIR, PRODUCT_LINES) + "SELECT id, entity AS entity_type FROM product_lines")
+@query(
+    with_(PART, PAIR, PRODUCT_LINES)
+    + "SELECT id, entity AS entity_type, parent_id, status, updated_at FROM product_lines"
+)
 def entity_split(spark, sf_dir):
     """One folder per entity type, read back as one table."""
     path = scratch_path(spark, "split-product")
     write_split(bulk(spark, sf_dir, "product"), path)
-    return spark.read.parquet(path).select("id", "entity_type")
+    back = spark.read.parquet(path)
+    return back.select("id", "entity_type", F.col("__parentId").alias("parent_id"), "status", utc("updatedAt", "updated_at"))
 
 
 @query(

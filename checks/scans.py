@@ -20,8 +20,13 @@ METAFIELD_PAGES = schemas.page("metafields", schemas.PAGED_METAFIELD)
 
 
 def document_pages(spark, sf_dir, fixture, key, contract, fields):
-    """Pages scanned with the fields that a query uses, or with all."""
-    wanted = schemas.pick(contract, *fields) if fields else contract
+    """Pages scanned with the fields that a query uses, or with all.  `header` stands
+    for all but the entries of the connection that is named last."""
+    wanted = contract
+    if fields[:1] == ("header",):
+        wanted = schemas.pick(contract, *[f for f in contract if f != fields[1]], f"{fields[1]}.offset")
+    elif fields:
+        wanted = schemas.pick(contract, *fields)
     return pages(spark, sf_dir, fixture, schemas.page(key, wanted))
 
 
@@ -347,7 +352,7 @@ def inventory_items_paged(spark, sf_dir):
 
 @query(with_(PART) + "SELECT id, p_name AS title, handle, status FROM prt WHERE status = 'DRAFT'")
 def product_drafts(spark, sf_dir):
-    docs = datasets.product_drafts(product_pages(spark, sf_dir, "id", "title", "handle", "status"))
+    docs = datasets.product_drafts(product_pages(spark, sf_dir, "id", "title", "handle", "status", "variants.offset"))
     return docs.select("id", "title", "handle", "status")
 
 
@@ -357,7 +362,7 @@ def product_drafts(spark, sf_dir):
     WHERE status = 'ARCHIVED'"""
 )
 def products_archived(spark, sf_dir):
-    docs = datasets.products_archived(product_pages(spark, sf_dir, "id", "title", "handle", "status", "publishedAt"))
+    docs = datasets.products_archived(product_pages(spark, sf_dir, "id", "title", "handle", "status", "publishedAt", "variants.offset"))
     return docs.select("id", "title", "handle", "status", utc("publishedAt", "published_at"))
 
 

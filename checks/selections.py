@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orderloom.functions import split_list
 from orderloom.operators import filters
 from orderloom.operators.reshape import non_empty
 from orderloom.schemas import EVENT, ddl
 from orderloom.sources import datasets
 from orderloom.sources.bulk import scan_bulk
 
-from .fixtures import landed, table
+from .fixtures import handle, landed, table
 from .registry import CUST, LIN, ORD, PAIR, PART, bulk, pages, query, utc, with_
 from .scans import CUSTOMER_PAGES, CUSTOMER_SQL, customer_columns
 
@@ -84,9 +83,8 @@ def event_type_filter(spark, sf_dir):
 )
 def event_verb_list(spark, sf_dir):
     """Verbs given as one comma list."""
-    verbs = split_list(F.lit("view, purchase"))
     log = bulk(spark, sf_dir, "event")
-    return log.where(F.array_contains(verbs, F.col("action"))).select("id", "action")
+    return filters.event_filter(log, "view, purchase".split(",")).select("id", "action")
 
 
 @query(CUSTOMER_SQL + " WHERE c_custkey = 42")
@@ -109,12 +107,10 @@ def lookup_children(spark, sf_dir):
 
 @query(with_(PART) + "SELECT id, p_name AS title, handle FROM prt WHERE p_partkey = 7")
 def lookup_by_handle(spark, sf_dir):
-    """Handles end in the part's number; its words differ from one scale to the next."""
-    words = ["blue", "cold", "hot", "large", "new", "old", "red", "small"]
-    things = ["anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget"]
+    """The handle is that of one part."""
+    wanted = table(spark, sf_dir, "part").where("p_partkey = 7").select(handle()).first()[0]
     products = filters.of_entity(bulk(spark, sf_dir, "product"), "Product")
-    found = filters.search(products, [("handle", "in", [f"{w}-{t}-7" for w in words for t in things])])
-    return found.select("id", "title", "handle")
+    return filters.lookup(products, "handle", wanted).select("id", "title", "handle")
 
 
 @query(

@@ -10,7 +10,7 @@ from orderloom.operators.keys import pk_violations as repeated_keys
 from orderloom.sources.bulk import scan_bulk, scan_lines
 
 from .fixtures import landed, table
-from .registry import ORD, PART, bulk, query, utc, with_
+from .registry import LIN, ORD, PART, bulk, query, utc, with_
 
 
 @query(
@@ -79,9 +79,9 @@ def infer_types(spark, sf_dir):
 
 
 @query(
-    with_(ORD)
+    with_(ORD, LIN)
     + """SELECT id, total, c_name AS first_name, CASE WHEN o_orderpriority NOT IN ('5-LOW', '2-HIGH')
-    THEN 'AUTHORIZATION' END AS first_kind FROM ord"""
+    THEN 'AUTHORIZATION' END AS first_kind FROM ord UNION ALL SELECT id, NULL, NULL, NULL FROM lin"""
 )
 def json_paths(spark, sf_dir):
     lines = scan_lines(spark, landed(spark, sf_dir, "order"))
@@ -91,7 +91,7 @@ def json_paths(spark, sf_dir):
         json_path(value, "$.totalPriceSet.shopMoney.amount").alias("total"),
         json_path(value, "$.customer.firstName").alias("first_name"),
         json_path(value, "$.transactions[0].kind").alias("first_kind"),
-    ).where(F.col("id").startswith("gid://shop/Order/"))
+    )
 
 
 @query(
