@@ -1,5 +1,9 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as contract
@@ -29,3 +33,20 @@ def test_contract(spark):
         "order_id", "row_number", "line_item_id", "quantity", "price", "order_name", "created_at", "total",
     ]
     assert df.count() == 6000
+
+
+def test_entry_without_the_corpus_package():
+    """The other queries stay when that package and its pipeline are gone."""
+    code = (
+        "import sys\n"
+        "class Gone:\n"
+        "    def find_spec(self, name, path=None, target=None):\n"
+        "        if name == 'corpus_pipeline' or name.startswith('orderloom.llm'):\n"
+        "            raise ModuleNotFoundError(name, name=name)\n"
+        "sys.meta_path.insert(0, Gone())\n"
+        "import __spark_entry__ as e\n"
+        "from checks import QUERIES\n"
+        "assert set(e.queries()) == set(QUERIES) and set(e.oracle_sql()) == set(QUERIES)\n"
+    )
+    root = Path(__file__).resolve().parents[1]
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
