@@ -51,24 +51,27 @@ def winnow(hashes: str, width: int) -> Column:
     h = F.col(hashes)
     last = F.greatest(F.size(h) - width, F.lit(0))
     windows = F.when(F.size(h) > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(windows, lambda i: F.array_min(F.slice(h, i + 1, width))))
+    # Elements are taken one by one: a slice would copy the whole array each time.
+    return F.array_distinct(F.transform(windows, lambda i: F.least(*[F.get(h, i + j) for j in range(width)])))
 
 
-def span_keys(tokens: str, at: Column, width: Column) -> Column:
-    """128 bits of hash of `width` words from `at`."""
-    span = F.array_join(F.slice(F.col(tokens), at + 1, width), " ")
-    return F.struct(F.xxhash64(span).alias("s1"), F.xxhash64(F.lit(1), span).alias("s2"))
+def span_key(tokens: str, at: Column, width: int) -> list[Column]:
+    """128 bits of hash of `width` words from `at`, as s1 and s2; places beyond the end
+    count for nothing."""
+    span = [F.get(F.col(tokens), at + j) for j in range(width)]
+    return [F.xxhash64(*span).alias("s1"), F.xxhash64(F.lit(1), *span).alias("s2")]
 
 
 def item_spans(benchmark: DataFrame, item_id: str, text: str, span: int) -> DataFrame:
-    """(width, s1, s2, item_id, tokens of the span, distinct) of every item's spans."""
+    """(item_id, width, span, s1, s2) of every item's spans, span as an array of words."""
     items = benchmark.select(F.col(item_id).alias("item_id"), words(text).alias("w")).filter("size(w) > 0")
     width = F.least(F.size("w"), F.lit(span))
     at = F.explode(F.sequence(F.lit(0), F.size("w") - width))
     rows = items.select("item_id", "w", width.alias("width"), at.alias("at"))
-    return rows.select("item_id", "width", F.slice("w", F.col("at") + 1, F.col("width")).alias("span")).select(
-        "item_id", "width", "span", span_keys("span", F.lit(0), F.col("width")).alias("key")
-    ).select("item_id", "width", "span", "key.*")
+    own = F.transform(F.sequence(F.lit(0), F.col("width") - 1), lambda j: F.get("w", F.col("at") + j))
+    return rows.select("item_id", "width", own.alias("span")).select(
+        "item_id", "width", "span", *span_key("span", F.lit(0), span)
+    )
 
 
 def gram_hashes(tokenized: DataFrame, tokens: str, k: int, *keep: str) -> DataFrame:
@@ -80,7 +83,10 @@ def gram_hashes(tokenized: DataFrame, tokens: str, k: int, *keep: str) -> DataFr
 def fingerprints(tokenized: DataFrame, tokens: str, k: int, w: int, *keep: str) -> DataFrame:
     """Rows of `keep` and hash: each text's winnowed k-grams."""
     picked = winnow("g", w) if w > 1 else F.array_distinct("g")
-    return gram_hashes(tokenized, tokens, k, *keep).select(*keep, F.explode(picked).alias("hash"))
+    # Of a plain explode the optimizer would filter the texts by the size of the array,
+    # and for that compute all of it again, once more for every element.
+    rows = gram_hashes(tokenized, tokens, k, *keep).select(*keep, F.explode_outer(picked).alias("hash"))
+    return rows.filter("hash IS NOT NULL")
 
 
 def shared_spans(docs: DataFrame, spans: DataFrame, text: str, span: int, k: int) -> DataFrame | None:
@@ -100,18 +106,18 @@ def shared_spans(docs: DataFrame, spans: DataFrame, text: str, span: int, k: int
         once = texts.groupBy(*TEXT_KEY).agg(F.first("text").alias("text"))
         hit_texts = once.join(hits.select(*TEXT_KEY).distinct(), list(TEXT_KEY), "left_semi")
         hit_texts = staged(hit_texts.select(*TEXT_KEY, words("text").alias("w")), "hit-texts")
-        at = F.posexplode("g").alias("at", "hash")
+        at = F.posexplode_outer("g").alias("at", "hash")
         places = gram_hashes(hit_texts, "w", gram, *TEXT_KEY).select(*TEXT_KEY, at)
         places = places.join(hits, [*TEXT_KEY, "hash"], "left_semi").groupBy(*TEXT_KEY).agg(F.collect_set("at").alias("places"))
         # Extend: all spans that hold a hit, as far as the text goes.
         around = F.flatten(F.transform("places", lambda p: F.sequence(F.greatest(p - (width - gram), F.lit(0)), p)))
         candidates = hit_texts.join(places, list(TEXT_KEY)).select(*TEXT_KEY, "w", F.array_distinct(around).alias("c"))
         fits = F.filter("c", lambda c: c + width <= F.size("w"))
-        candidates = candidates.select(*TEXT_KEY, "w", F.explode(fits).alias("at")).select(
-            *TEXT_KEY, "at", F.lit(width).alias("width"), span_keys("w", F.col("at"), F.lit(width)).alias("key")
-        )
+        keyed = F.transform(fits, lambda at: F.struct(at.alias("at"), *span_key("w", at, width)))
+        candidates = candidates.select(*TEXT_KEY, F.explode_outer(keyed).alias("c")).select(*TEXT_KEY, "c.*")
+        candidates = candidates.withColumn("width", F.lit(width))
         known = spans.filter(F.col("width") == width).select("s1", "s2").distinct()
-        shared = candidates.select(*TEXT_KEY, "at", "width", "key.*").join(known, ["s1", "s2"], "left_semi")
+        shared = candidates.join(known, ["s1", "s2"], "left_semi").select(*TEXT_KEY, "at", "width", "s1", "s2")
         found = shared if found is None else found.unionByName(shared)
     return found
 
