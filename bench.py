@@ -36,6 +36,9 @@ HEADLINE = [
     "location_with_levels",
     "parent_occurrence",
     "entity_keys",
+    "products_dataset",
+    "run_paged",
+    "load_incremental",
 ]
 
 

@@ -53,8 +53,11 @@ def has_shared_dir(spark: SparkSession) -> bool:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by `spark.checkpoint.dir` or, where
-    that is unset, by `use_shared_dir`."""
+    that is unset, by `use_shared_dir`.  Local mode, which has no other executors, may
+    go without either and uses its warehouse folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or _folders.get(spark.sparkContext.applicationId)
+    if not folder and spark.sparkContext.master.partition("[")[0] == "local":
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/")

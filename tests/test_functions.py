@@ -10,6 +10,7 @@ from orderloom.operators.filters import date_window, search, status_in
 from orderloom.operators.reshape import first_n, tidy
 from orderloom.plans.run import selected
 from orderloom.schemas import ddl
+from orderloom.session import has_shared_dir, scratch_path, shared_dir
 
 from .conftest import rows
 
@@ -142,3 +143,9 @@ def test_selection_order():
 def test_contracts_with_two_shapes():
     with pytest.raises(ValueError):
         ddl({"a": "int"}, {"a": "string"})
+
+
+def test_intermediate_data_goes_to_the_shared_folder(spark):
+    folder = shared_dir(spark)
+    assert folder == spark.conf.get("spark.checkpoint.dir") and has_shared_dir(spark)
+    assert scratch_path(spark, "x").startswith(f"{folder}/orderloom/") and scratch_path(spark, "x") != scratch_path(spark, "x")
