@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words as W
-from .samples import Adam, fold, labelled_sample, sigmoid, staged, temperature
+from .samples import Adam, fold, labelled_sample, sigmoid, temperature
+from .scratch import staged
 
 SIZE = 32
 # Rows of words, words in capitals, and marks.
@@ -83,7 +84,7 @@ def context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For mapInArrow on texts: the task's table of context sums, in blocks of rows."""
     table = np.zeros(ROWS * SIZE)
     for batch in batches:
-        for _, buffer, bounds in W.chunks(batch.column(0), 1 << 20):
+        for _, buffer, bounds in W.chunks(batch.column(0)):
             add_contexts(table, *tokens(buffer, bounds))
     blocks = table.astype(np.int64).reshape(-1, BLOCK * SIZE)
     some = np.flatnonzero(blocks.any(axis=1))
@@ -124,7 +125,7 @@ def pooled(vectors: np.ndarray, texts: pa.Array) -> np.ndarray:
     logarithm of its length."""
     out = np.zeros((len(texts), features()))
     ends = np.cumsum(REGIONS)
-    for at, buffer, bounds in W.chunks(texts, 1 << 19):
+    for at, buffer, bounds in W.chunks(texts):
         rows, hashes, first = tokens(buffer, bounds)
         n = np.diff(first)
         some = np.flatnonzero(n)
@@ -219,7 +220,7 @@ def learn(
 
     rows = docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")  # bounded by PER_CLASS
     rows = rows.select("doc_id", "label", F.arrow_udf(pool, "array<double>")("text").alias("x"))
-    found = rows.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
+    found = staged(rows.dropDuplicates(["doc_id"]), "sample-features").toPandas().sort_values("doc_id")
     truth = found["label"].to_numpy(dtype=int)
     if len(set(truth.tolist())) < 2:
         return vectors, None
@@ -253,5 +254,5 @@ def scored(docs: DataFrame, labels: DataFrame, text: str = "text", **options) ->
     read.
     """
     vectors, net = learn(docs, labels, text, **options)
-    rows = docs.select("doc_id", quality(docs.sparkSession, vectors, net, text).alias("score"))
+    rows = staged(docs.select("doc_id", quality(docs.sparkSession, vectors, net, text).alias("score")), "scores")
     return rows.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

@@ -15,6 +15,7 @@ from .language_id import identify, learn
 from .mixing import mixed_counts
 from .quality_rules import risk_controlled
 from .samples import fold
+from .scratch import staged
 from .sharding import shard_plan
 from .simhash import near_duplicate_groups
 from .substring_dedup import remove_repeats
@@ -83,7 +84,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     docs = table(spark, sf_dir, "documents")
     identifier = learn(docs.filter(fold("doc_id", 4) != 2))
-    guess = docs.select("doc_id", held_out(4, 2), identify(spark, identifier).alias("guess"))
+    guess = staged(docs.select("doc_id", held_out(4, 2), identify(spark, identifier).alias("guess")), "languages")
     return guess.select("doc_id", "held_out", F.col("guess.lang").alias("lang_pred"), "guess.score", "guess.bits", "guess.rejected")
 
 

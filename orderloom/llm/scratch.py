@@ -15,6 +15,9 @@ from ..session import scratch_path
 
 # Shuffle files of a staging job go when the job ends, as its rows are stored.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# Whole texts go to Python in batches of so many bytes, which bounds a task's buffers.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = str(8 << 20)
 
 
 @contextmanager
@@ -35,6 +38,6 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """The rows of `df`, written once below the shared folder and read from there."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    with setting(spark, CLEANUP, "true"):
+    with setting(spark, CLEANUP, "true"), setting(spark, BATCH, BATCH_BYTES):
         df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

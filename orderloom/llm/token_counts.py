@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import CLEANUP, setting
 from .keys import utf8_bytes
+from .scratch import BATCH, BATCH_BYTES, CLEANUP, setting
 
 CACHE_SCHEMA = "digest binary, n_tokens long, tokenizer string"
 # Texts are encoded in runs of about so many characters.
@@ -109,7 +109,7 @@ class TokenCache:
         return stored.filter(F.col("tokenizer") == tokenizer).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
 
     def append(self, counts: DataFrame, tokenizer: str) -> None:
-        with setting(self.spark, CLEANUP, "true"):
+        with setting(self.spark, CLEANUP, "true"), setting(self.spark, BATCH, BATCH_BYTES):
             counts.select("digest", "n_tokens", F.lit(tokenizer).alias("tokenizer")).write.mode("append").partitionBy(
                 "tokenizer"
             ).option("compression", "zstd").parquet(self.path)

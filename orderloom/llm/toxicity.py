@@ -20,7 +20,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import words as W
-from .samples import Adam, fold, labelled_sample, sigmoid, staged, temperature
+from .samples import Adam, fold, labelled_sample, sigmoid, temperature
+from .scratch import staged
 
 ROWS = 1 << 15
 SIZE = 16
@@ -32,7 +33,7 @@ PAD = ROWS
 # of at most so many words.
 PER_CLASS = 4000
 SAMPLE_WORDS = 4096
-SCORE_BYTES = 1 << 19
+SCORE_BYTES = 1 << 18
 THRESHOLD = 0.7
 FEWEST = 20
 
@@ -189,18 +190,18 @@ def learn(
     def ids_of(texts: pa.Array) -> pa.Array:
         found: list[bytes | None] = []
         for _, ids, first in word_ids(texts):
-            found += [ids[a:b].tobytes() if b - a <= SAMPLE_WORDS else None for a, b in zip(first[:-1], first[1:])]
+            found += [ids[a:b].astype(np.uint16).tobytes() if b - a <= SAMPLE_WORDS else None for a, b in zip(first[:-1], first[1:])]
         return pa.array(found, pa.binary())
 
     rows = docs.select("doc_id", F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     # Bounded by PER_CLASS; of an id's texts one is taken.
     rows = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "lang", F.arrow_udf(ids_of, "binary")("text").alias("ids"))
-    found = rows.filter("ids IS NOT NULL").dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id")
+    found = staged(rows.filter("ids IS NOT NULL").dropDuplicates(["doc_id"]), "sample-ids").toPandas().sort_values("doc_id")
     truth = found["label"].to_numpy(dtype=int)
     if len(set(truth.tolist())) < 2:
         rng = np.random.default_rng(0)
         return Judge(fresh(rng)._replace(out=np.zeros(FILTERS * len(WIDTHS), np.float32)), {}, THRESHOLD)
-    ids = [np.frombuffer(x, np.int32).reshape(-1, 1 + len(PREFIXES)) for x in found["ids"]]
+    ids = [np.frombuffer(x, np.uint16).reshape(-1, 1 + len(PREFIXES)) for x in found["ids"]]
     part = np.random.default_rng(1).permutation(len(ids)) % 5 == 0
     net = fit([x for x, p in zip(ids, part) if not p], truth[~part])
     mine = [x for x, p in zip(ids, part) if p]
@@ -250,7 +251,7 @@ def scored(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "
     """
     judge = learn(docs, labels, text, lang, **options)
     score = toxicity(docs.sparkSession, judge, text)
-    rows = docs.select("doc_id", threshold(judge, lang).alias("threshold"), score.alias("score"))
+    rows = staged(docs.select("doc_id", threshold(judge, lang).alias("threshold"), score.alias("score")), "scores")
     return rows.select(
         "doc_id", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "threshold",
         (F.col("score") >= F.col("threshold")).alias("rejected"),
@@ -261,4 +262,4 @@ def clean_documents(docs: DataFrame, labels: DataFrame, text: str = "text", lang
     """The documents that are not rejected; columns stay as they are."""
     judge = learn(docs, labels, text, lang, **options)
     score = toxicity(docs.sparkSession, judge, text)
-    return docs.filter(score < threshold(judge, lang))
+    return staged(docs.filter(score < threshold(judge, lang)), "clean")

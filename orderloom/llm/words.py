@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text handled at once; a longer text is handled alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 BASE = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
