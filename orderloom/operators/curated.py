@@ -10,12 +10,44 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .reshape import flatten
 
-MONEY_FIELDS = {
-    "totalPrice": "totalPriceSet",
-    "subtotalPrice": "subtotalPriceSet",
-    "totalTax": "totalTaxSet",
-    "totalShippingPrice": "totalShippingPriceSet",
+# --- fixed values: output columns of each table, name -> path in the document --
+ORDER_PLAIN = ["id", "name", "email", "phone", "createdAt", "updatedAt", "processedAt", "cancelledAt", "cancelReason"]
+ORDER_NESTED = {
+    "totalPrice": "totalPriceSet.shopMoney.amount",
+    "totalPriceCurrency": "totalPriceSet.shopMoney.currencyCode",
+    "subtotalPrice": "subtotalPriceSet.shopMoney.amount",
+    "subtotalPriceCurrency": "subtotalPriceSet.shopMoney.currencyCode",
+    "totalTax": "totalTaxSet.shopMoney.amount",
+    "totalTaxCurrency": "totalTaxSet.shopMoney.currencyCode",
+    "totalShippingPrice": "totalShippingPriceSet.shopMoney.amount",
+    "totalShippingPriceCurrency": "totalShippingPriceSet.shopMoney.currencyCode",
+    "customerId": "customer.id",
+    "customerFirstName": "customer.firstName",
+    "customerLastName": "customer.lastName",
+    "customerEmail": "customer.email",
+    "customerPhone": "customer.phone",
 }
+PRODUCT_PLAIN = [
+    "id", "title", "handle", "description", "productType", "vendor",
+    "createdAt", "updatedAt", "publishedAt", "status", "tags",
+]
+VARIANT_PLAIN = ["title", "sku", "price", "compareAtPrice"]
+ITEM_PLAIN = [
+    "id", "sku", "tracked", "createdAt", "updatedAt", "countryCodeOfOrigin",
+    "harmonizedSystemCode", "provinceCodeOfOrigin", "requiresShipping",
+]
+ITEM_NESTED = {
+    "unitCostAmount": "unitCost.amount",
+    "unitCostCurrency": "unitCost.currencyCode",
+    "variantId": "variant.id",
+    "variantTitle": "variant.title",
+    "variantSku": "variant.sku",
+    "variantPrice": "variant.price",
+    "productId": "variant.product.id",
+    "productTitle": "variant.product.title",
+    "productHandle": "variant.product.handle",
+}
+# --- end of fixed values ----------------------------------------------------
 
 
 def first_documents(docs: DataFrame, connection: str) -> DataFrame:
@@ -36,13 +68,7 @@ def nodes(docs: DataFrame, connection: str, owner: str, *carried: Column) -> Dat
 
 
 def order_header(docs: DataFrame) -> DataFrame:
-    money = {}
-    for name, source in MONEY_FIELDS.items():
-        money[name] = f"{source}.shopMoney.amount"
-        money[f"{name}Currency"] = f"{source}.shopMoney.currencyCode"
-    customer = {f"customer{f[0].upper()}{f[1:]}": f"customer.{f}" for f in ("id", "firstName", "lastName", "email", "phone")}
-    plain = ["id", "name", "email", "phone", "createdAt", "updatedAt", "processedAt", "cancelledAt", "cancelReason"]
-    return flatten(first_documents(docs, "lineItems"), {**money, **customer}, keep=plain)
+    return flatten(first_documents(docs, "lineItems"), ORDER_NESTED, keep=ORDER_PLAIN)
 
 
 def order_line_items(docs: DataFrame) -> DataFrame:
@@ -61,17 +87,14 @@ def order_line_items(docs: DataFrame) -> DataFrame:
 
 
 def product_header(docs: DataFrame) -> DataFrame:
-    return first_documents(docs, "variants").select(
-        "id", "title", "handle", "description", "productType", "vendor",
-        "createdAt", "updatedAt", "publishedAt", "status", "tags",
-    )
+    return first_documents(docs, "variants").select(*PRODUCT_PLAIN)
 
 
 def product_variants(docs: DataFrame) -> DataFrame:
     return nodes(docs, "variants", "productId").select(
         "productId",
         F.col("node.id").alias("variantId"),
-        *[F.col(f"node.{f}").alias(f) for f in ("title", "sku", "price", "compareAtPrice")],
+        *[F.col(f"node.{f}").alias(f) for f in VARIANT_PLAIN],
         F.col("node.inventoryQuantity").cast("int").alias("inventoryQuantity"),
         F.col("node.weight").try_cast("double").alias("weight"),
         F.col("node.weightUnit").alias("weightUnit"),
@@ -79,24 +102,7 @@ def product_variants(docs: DataFrame) -> DataFrame:
 
 
 def inventory_item_header(docs: DataFrame) -> DataFrame:
-    return flatten(
-        first_documents(docs, "inventoryLevels"),
-        {
-            "unitCostAmount": "unitCost.amount",
-            "unitCostCurrency": "unitCost.currencyCode",
-            "variantId": "variant.id",
-            "variantTitle": "variant.title",
-            "variantSku": "variant.sku",
-            "variantPrice": "variant.price",
-            "productId": "variant.product.id",
-            "productTitle": "variant.product.title",
-            "productHandle": "variant.product.handle",
-        },
-        keep=[
-            "id", "sku", "tracked", "createdAt", "updatedAt", "countryCodeOfOrigin",
-            "harmonizedSystemCode", "provinceCodeOfOrigin", "requiresShipping",
-        ],
-    )
+    return flatten(first_documents(docs, "inventoryLevels"), ITEM_NESTED, keep=ITEM_PLAIN)
 
 
 def inventory_levels(docs: DataFrame) -> DataFrame:
