@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions import entity_type, is_nested, snake
 from ..operators.entities import list_entity_types, present_types, prune_columns
 from ..operators.filters import STAGED_TYPE, of_entity
-from ..operators.inference import promote_types
+from ..operators.inference import cast_columns, nested_text_kinds
 from ..operators.reshape import child_table, tidy
 from ..schemas import DATASETS
 from ..session import scratch_path
@@ -44,12 +44,12 @@ def normalise(
     table under the dataset's name; several types give one table each.  Every
     nested column also becomes a child table `<name>_<column>`.  No line is lost: a
     type that `keys` does not name gets a table with all columns, and lines without a
-    global id go to `<name>_rest`.  `promote` turns
-    date and timestamp text into dates and timestamps, in child tables too; it
-    reads the text columns once and is meant for staged frames.
+    global id go to `<name>_rest`.  `promote` turns date and timestamp text into dates
+    and timestamps, in child tables too; one job looks at all text, so the frame is
+    best staged.
     """
-    if promote:
-        df = promote_types(df)
+    kinds = nested_text_kinds(df) if promote else {}
+    df = cast_columns(df, {column: kind for (column, field), kind in kinds.items() if field is None})
     types = list(keys) if keys else (list_entity_types(df) if "id" in df.columns else [])
     whole = df.drop(STAGED_TYPE)
     outputs = {}
@@ -72,7 +72,8 @@ def normalise(
             owners = [t for t in types if keys and field.name in keys.get(t, whole.columns)]
             child = child_table(rows_of(df, owners) if len(types) > 1 and owners else whole, field.name)
             if child is not None:
-                outputs[f"{name}_{snake(field.name)}"] = promote_types(child) if promote else child
+                own = {snake(inner): kind for (column, inner), kind in kinds.items() if column == field.name and inner}
+                outputs[f"{name}_{snake(field.name)}"] = cast_columns(child, own)
     return outputs
 
 
