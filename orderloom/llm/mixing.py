@@ -175,5 +175,6 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     held = sized(docs, F.struct("*").alias("doc"), doc_id=doc_id, text=text, source=source)
     held = staged(held.withColumn("row", F.monotonically_increasing_id()), "documents")
     taken = mix(held.select("row", "source", "size", "order"), **options).filter("copies > 0").select("row", "copies")
-    repeated = held.select("row", "doc").join(taken, "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    # Dealt by row at any size, so small and large inputs go the same way.
+    repeated = held.select("row", "doc").join(taken.hint("merge"), "row").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return repeated.select(*[F.col("doc")[name].alias(name) for name in names])
