@@ -104,7 +104,8 @@ def shared_spans(docs: DataFrame, spans: DataFrame, text: str, span: int, k: int
         hits = staged(hits.distinct(), "hits")
         # One text for each key that has a hit; copies are dropped before the shuffle.
         once = texts.groupBy(*TEXT_KEY).agg(F.first("text").alias("text"))
-        hit_texts = once.join(hits.select(*TEXT_KEY).distinct(), list(TEXT_KEY), "left_semi")
+        # Both sides are dealt by key whatever their size, as the first one is anyway.
+        hit_texts = once.join(hits.select(*TEXT_KEY).distinct().hint("merge"), list(TEXT_KEY), "left_semi")
         hit_texts = staged(hit_texts.select(*TEXT_KEY, words("text").alias("w")), "hit-texts")
         at = F.posexplode_outer("g").alias("at", "hash")
         places = gram_hashes(hit_texts, "w", gram, *TEXT_KEY).select(*TEXT_KEY, at)
