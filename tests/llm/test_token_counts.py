@@ -50,6 +50,15 @@ def test_spaces_and_marks(library, fast):
     assert fast(odd) == counts(library, odd)
 
 
+def test_long_runs_of_white_space(spark, library, fast):
+    n = 1_200_000
+    odd = [" " * n + "a", "a" + "\n" * n, "a" + "\t" * n + "b <|endoftext|>", "\u3000" * n + "b"]
+    assert fast(odd) == counts(library, odd)
+    rows = [(1, odd[0], "en", "s", 0, 0.0), (2, "a b", "en", "s", 0, 0.0)]
+    got = T.count_tokens(frame(spark, rows), PATH, scratch_path(spark, "cache"), ["doc_id"]).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == dict(zip((1, 2), counts(library, [odd[0], "a b"])))
+
+
 def test_every_document_and_a_warm_cache(spark, library):
     rows = odd_corpus(seed=21)
     cache = scratch_path(spark, "cache")
