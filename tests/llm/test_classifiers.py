@@ -167,6 +167,38 @@ def test_kneser_ney_is_a_distribution():
         assert (np.diff(model.hashes[order].astype(object)) > 0).all()
 
 
+def test_no_gram_is_dropped_in_any_number_of_parts(spark):
+    seen = {"aa": {}, "bb": {}}
+    rng = random.Random(7)
+    for lang, letters in (("aa", "abcdefg "), ("bb", "efghijkl ")):
+        for _ in range(800):
+            gram = sum(ord(rng.choice(letters)) << 16 * i for i in range(4))
+            seen[lang][gram] = seen[lang].get(gram, 0) + rng.choice([1, 1, 2, 5, 100_000])
+    counts = spark.createDataFrame([(lang, g, n) for lang, own in seen.items() for g, n in own.items()], "lang string, gram long, n long")
+    wanted = np.array(sorted({g for own in seen.values() for g in own} | {ord("z")}), dtype=np.uint64)
+    want = []
+    for own in seen.values():
+        codes = np.array(sorted(own), dtype=np.uint64)
+        n = np.array([own[int(c)] for c in codes])
+        model = L.train(codes, n)
+        assert len(model.hashes[4]) == len(own) and L.discount(n) != 0.5
+        want.append(-np.log2(L.chance(model, wanted, 4)))
+    for size, parts in ((1 << 22, 1), (200, None)):
+        langs, shared = L.shared_models(spark, counts, size)
+        assert langs == ["aa", "bb"] and (len(shared) == parts if parts else len(shared) > 4)
+        grams = [sum(len(m[0][4]) for m in part) for part in (b.value for b in shared)]
+        assert sum(grams) == sum(map(len, seen.values()))
+        assert np.allclose(L.Scorer(shared, 2).measure(wanted), np.column_stack(want), atol=1e-4)
+
+
+def test_models_in_parts_name_the_same_languages(spark):
+    docs = frame(spark, languages(3, 300))
+    whole, cut = L.learn(docs), L.learn(docs, part_grams=50)
+    assert len(whole.parts) == 1 < len(cut.parts) and np.allclose(whole.limits, cut.limits, atol=1e-4)
+    pairs = docs.select(L.identify(spark, whole).alias("a"), L.identify(spark, cut).alias("b")).collect()
+    assert all(r["a"]["lang"] == r["b"]["lang"] and abs(r["a"]["bits"] - r["b"]["bits"]) < 1e-4 for r in pairs)
+
+
 def test_language_id_without_rows(spark):
     identifier = L.learn(empty(spark))
     rows = languages(2, 6)
