@@ -17,15 +17,16 @@ def fold(doc_id: str | Column, folds: int) -> Column:
     return F.crc32(column.cast("string").cast("binary")) % folds
 
 
-def labelled_sample(labels: DataFrame, label: str, eligible: Column, per_class: int) -> tuple[DataFrame, dict[int, float]]:
-    """(doc_id, label) of about `per_class` eligible ids of each class at most, chosen by
-    a hash of the id, and for each class how many labelled ids a chosen one stands for.
-
-    Labels other than 0 and 1 and null ids are passed over; an id with both labels
-    counts as 1.
-    """
+def known_labels(labels: DataFrame, label: str, eligible: Column) -> DataFrame:
+    """(doc_id, label) of every eligible id.  Labels other than 0 and 1 and null ids are
+    passed over; an id with both labels counts as 1."""
     known = labels.filter(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & eligible)
-    known = staged(known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label")), "labels")
+    return staged(known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label")), "labels")
+
+
+def sampled(known: DataFrame, per_class: int) -> tuple[DataFrame, dict[int, float]]:
+    """About `per_class` ids of each class at most of known labels, chosen by a hash of the
+    id, and for each class how many labelled ids a chosen one stands for."""
     n = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     share = {c: min(1.0, per_class / n[c]) for c in n}
     slot = F.pmod(F.xxhash64(F.lit(9), "doc_id"), F.lit(SLOTS))
@@ -36,6 +37,11 @@ def labelled_sample(labels: DataFrame, label: str, eligible: Column, per_class:
     return staged(known.filter(keep), "sample"), {c: 1 / share[c] for c in n}
 
 
+def labelled_sample(labels: DataFrame, label: str, eligible: Column, per_class: int) -> tuple[DataFrame, dict[int, float]]:
+    """A sample of the eligible ids, as `sampled` has it."""
+    return sampled(known_labels(labels, label, eligible), per_class)
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 

@@ -3,10 +3,10 @@
 Words are hashed into embeddings: a word's is the sum of three, of the word and of its
 first 5 and 7 bytes, so forms of a stem share what is learned.  Filters over 1, 2 and
 3 words run over the whole text; each keeps its maximum, and a logistic layer turns
-these into a logit.  It is trained on a bounded sample of labelled texts, calibrated
-on a part of it that training does not see, with the classes weighed as they are
-among all labels.  For each language, a threshold on the calibrated score is set on
-that part too.
+these into a logit.  It is trained on a bounded sample of labelled texts.  All other
+labelled texts, whole, calibrate it, from counts of their logits by language, with the
+classes weighed as they are among all labels.  For each language, a threshold on the
+calibrated score is set from these counts too.
 """
 
 from __future__ import annotations
@@ -18,9 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import words as W
-from .samples import Adam, fold, labelled_sample, sigmoid, temperature
+from .samples import Adam, fold, known_labels, sampled, sigmoid, temperature
 from .scratch import staged
 
 ROWS = 1 << 15
@@ -34,6 +35,9 @@ PAD = ROWS
 PER_CLASS = 4000
 SAMPLE_WORDS = 4096
 SCORE_BYTES = 1 << 18
+# Logits are counted in steps of so much, within a range, each with its mean.
+LOGIT_STEP = 1 / 256
+LOGIT_RANGE = 32
 THRESHOLD = 0.7
 FEWEST = 20
 
@@ -161,10 +165,10 @@ class Judge(NamedTuple):
     default: float
 
 
-def set_threshold(score: np.ndarray, truth: np.ndarray, weight: np.ndarray, default: float) -> float:
+def set_threshold(score: np.ndarray, truth: np.ndarray, cases: np.ndarray, weight: np.ndarray, default: float) -> float:
     """The middle of the range of thresholds with the best F1; the default where there
-    are too few cases of a class."""
-    if (truth == 1).sum() < FEWEST or (truth == 0).sum() < FEWEST:
+    are too few cases of a class.  An entry stands for so many cases and has their weight."""
+    if cases[truth == 1].sum() < FEWEST or cases[truth == 0].sum() < FEWEST:
         return default
     order = np.argsort(-score, kind="stable")
     hits, false = np.cumsum((weight * truth)[order]), np.cumsum((weight * (1 - truth))[order])
@@ -175,17 +179,41 @@ def set_threshold(score: np.ndarray, truth: np.ndarray, weight: np.ndarray, defa
     return float(np.clip((score[order][i] + low) / 2, 0.3, 0.9))
 
 
+def logit_counts(net: Net, docs: DataFrame, known: DataFrame, fitted: DataFrame):
+    """For pandas: lang, raw (mean logit), n0 and n1 (cases of a class) of each step of the
+    logits of all labelled rows of (doc_id, lang, text) whose id is not among the fitted.
+    Every row of docs is scored where it lies; only ids and logits move."""
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(net))
+
+    def raw(texts: pa.Array) -> pa.Array:
+        net = Net(*shared.value)
+        out = np.zeros(len(texts))
+        for rows, ids, first in word_ids(texts, SCORE_BYTES):
+            out[rows] = logits(net, ids, first)
+        return pa.array(out)
+
+    rows = staged(docs.select("doc_id", "lang", F.arrow_udf(raw, "double")("text").alias("raw")), "logits")
+    rows = rows.join(known, "doc_id").join(fitted, "doc_id", "left_anti")
+    step = F.floor(F.greatest(F.least("raw", F.lit(LOGIT_RANGE)), F.lit(-LOGIT_RANGE)) / LOGIT_STEP).alias("step")
+    classes = [F.count_if(F.col("label") == c).alias(f"n{c}") for c in (0, 1)]
+    counts = rows.groupBy("lang", step).agg(F.avg("raw").alias("raw"), *classes)
+    return counts.toPandas().sort_values(["lang", "step"])
+
+
 def learn(
     docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang", label: str = "toxic", held_out: tuple[int, int] = (3, 1)
 ) -> Judge:
     """A judge from labelled documents whose fold (of `held_out[0]`) is not `held_out[1]`.
 
     About `PER_CLASS` labels of each class and the texts of at most `SAMPLE_WORDS` words
-    among theirs are learned from; a fifth calibrates.  Without labels of both classes
-    every score is the same.
+    among theirs are learned from, but a fifth; this and all other labelled texts, of any
+    length, calibrate and set the thresholds.  Without labels of both classes every score
+    is the same.
     """
     folds, out = held_out
-    chosen, stands_for = labelled_sample(labels, label, fold("doc_id", folds) != out, PER_CLASS)
+    eligible = fold("doc_id", folds) != out
+    known = known_labels(labels, label, eligible)
+    chosen, _ = sampled(known, PER_CLASS)
 
     def ids_of(texts: pa.Array) -> pa.Array:
         found: list[bytes | None] = []
@@ -193,9 +221,9 @@ def learn(
             found += [ids[a:b].astype(np.uint16).tobytes() if b - a <= SAMPLE_WORDS else None for a, b in zip(first[:-1], first[1:])]
         return pa.array(found, pa.binary())
 
-    rows = docs.select("doc_id", F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+    texts = docs.filter(eligible).select("doc_id", F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     # Bounded by PER_CLASS; of an id's texts one is taken.
-    rows = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "lang", F.arrow_udf(ids_of, "binary")("text").alias("ids"))
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", F.arrow_udf(ids_of, "binary")("text").alias("ids"))
     found = staged(rows.filter("ids IS NOT NULL").dropDuplicates(["doc_id"]), "sample-ids").toPandas().sort_values("doc_id")
     truth = found["label"].to_numpy(dtype=int)
     if len(set(truth.tolist())) < 2:
@@ -204,19 +232,25 @@ def learn(
     ids = [np.frombuffer(x, np.uint16).reshape(-1, 1 + len(PREFIXES)) for x in found["ids"]]
     part = np.random.default_rng(1).permutation(len(ids)) % 5 == 0
     net = fit([x for x, p in zip(ids, part) if not p], truth[~part])
-    mine = [x for x, p in zip(ids, part) if p]
-    first = np.r_[0, np.cumsum([len(x) for x in mine])]
-    raw = logits(net, np.concatenate(mine), first)
-    known, langs = truth[part], found["lang"].to_numpy()[part]
-    weight = np.where(known == 1, stands_for[1], stands_for[0])
-    scale, shift = temperature(raw, known, weight)
+    # Bounded by PER_CLASS, as the sample is.
+    fitted = [(x,) for x in found["doc_id"][~part].tolist()]
+    fitted = docs.sparkSession.createDataFrame(fitted, StructType([texts.schema["doc_id"]]))
+    counts = logit_counts(net, texts, known, fitted)
+    cases = np.concatenate([counts["n0"], counts["n1"]]).astype(float)
+    raw, langs = np.tile(counts["raw"].to_numpy(), 2), np.tile(counts["lang"].to_numpy(dtype=object), 2)
+    classes = np.repeat([0, 1], len(counts))
+    raw, langs, classes, cases = raw[cases > 0], langs[cases > 0], classes[cases > 0], cases[cases > 0]
+    weight = cases.copy()
+    for c in (0, 1):
+        weight[classes == c] *= 1 + (truth[~part] == c).sum() / max(1, cases[classes == c].sum())
+    scale, shift = temperature(raw, classes, weight)
     net = net._replace(scale=scale, shift=shift)
     score = sigmoid(scale * raw + shift)
-    default = set_threshold(score, known, weight, THRESHOLD)
-    thresholds = {
-        name: set_threshold(score[langs == name], known[langs == name], weight[langs == name], default)
-        for name in sorted({x for x in langs if x is not None})
-    }
+    default = set_threshold(score, classes, cases, weight, THRESHOLD)
+    thresholds = {}
+    for name in sorted({x for x in langs if x is not None}):
+        own = langs == name
+        thresholds[name] = set_threshold(score[own], classes[own], cases[own], weight[own], default)
     return Judge(net, thresholds, default)
 
 

@@ -56,6 +56,33 @@ def test_toxicity_finds_held_out_texts(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, r in got.items() if not r["rejected"]}
 
 
+def test_thresholds_follow_all_labelled_texts(spark, monkeypatch):
+    rows, labels = made_up(6, 900, lambda rng: "vile")
+    rows = [(i, t, "xx" if i % 10 < 2 else "en", *rest) for i, t, _, *rest in rows]
+    rows[0] = (0, "vile " + "ka " * 5000, *rows[0][2:])
+    cases, given = [], X.set_threshold
+    monkeypatch.setattr(X, "PER_CLASS", 60)
+    monkeypatch.setattr(X, "set_threshold", lambda *a: cases.append((a[1], a[2])) or given(*a))
+    judge = X.learn(frame(spark, rows), spark.createDataFrame(labels, LABELS))
+    inside = [i for i in range(900) if fold(i, 3) != 1]
+    assert 0 in inside and sorted(judge.thresholds) == ["en", "xx"]
+    for c in (0, 1):
+        n = [cases_[truth == c].sum() for truth, cases_ in cases]
+        labelled = sum((i % 3 == 0) == c for i in inside)
+        # About 60 ids of a class are sampled, and four fifths of them fitted.
+        assert labelled - 80 < n[0] < labelled - 20 and n[0] == n[1] + n[2]
+        assert min(n) >= X.FEWEST
+
+
+def test_long_texts_are_calibrated_on(spark):
+    texts = ["vile " + "ka " * (X.SAMPLE_WORDS + 10), "ka lo", "mi ne"]
+    docs = spark.createDataFrame([(i, "en", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")
+    known = spark.createDataFrame([(0, 1), (1, 0), (2, 0), (9, 1)], "doc_id long, label int")
+    fitted = spark.createDataFrame([(2,)], "doc_id long")
+    got = X.logit_counts(X.fresh(np.random.default_rng(0)), docs, known, fitted)
+    assert got["n1"].sum() == 1 and got["n0"].sum() == 1
+
+
 def test_toxicity_scores_texts_alone(spark):
     rows, labels = made_up(2, 300, lambda rng: "vile")
     known = spark.createDataFrame(labels, LABELS)
