@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from . import oracles, quality_classifier, toxicity
+from .alignment import align, with_pair_counts
 from .decontamination import contamination
 from .language_id import identify, learn
 from .mixing import mixed_counts
+from .periodic_runs import periodic_runs
 from .quality_rules import risk_controlled
 from .samples import fold
 from .scratch import staged
@@ -20,9 +22,13 @@ from .sharding import shard_plan
 from .simhash import near_duplicate_groups
 from .substring_dedup import remove_repeats
 from .token_counts import count_tokens
+from .token_files import read_tokens, write_tokens
 
 TOKENIZER = "byte_bpe_50k.json"
+OTHER_TOKENIZER = "piece_bpe_32k.model"
 CONTEXT_TOKENS = 512
+END_ID = 2
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -108,6 +114,59 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", held_out(4, 2), "score", "predicted")
 
 
+def repeated_tail(doc_id: str, text: str):
+    """A text as it is or, where h = crc32(doc_id) is a multiple of 10, its words with
+    those from word a on, a = floor(h / 10) % n, replaced by repeats of the first p of
+    them, p = 1 + floor((n - a) / (3 + floor(h / 10) % 8))."""
+    h = F.crc32(F.col(doc_id).cast("string").cast("binary"))
+    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+    n, g = F.size(words).cast("long"), F.floor(h / 10)
+    a = g % F.nullif(n, F.lit(0))
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    times = F.ceil((n - a) / p).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(words, (a + 1).cast("int"), p.cast("int")), times)), 1, (n - a).cast("int"))
+    head = F.slice(words, 1, a.cast("int"))
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(F.concat(head, tail), " ")).otherwise(F.col(text))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", repeated_tail("doc_id", "text").alias("text"))
+    found = periodic_runs(docs, ["doc_id"], min_length=6, min_periods=4)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "strongest.start", "strongest.length", "strongest.period",
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and ids, as read back from its token files."""
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-files")
+    write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), END_ID, path, ["doc_id"])
+    return read_tokens(spark, path, with_ids=False)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How two tokenizers' tokens of every document overlap."""
+    import public_tokenizers
+
+    paths = public_tokenizers.path(TOKENIZER), public_tokenizers.path(OTHER_TOKENIZER)
+    aligned = align(table(spark, sf_dir, "documents"), *paths, ["doc_id"])
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    kept = aligned.select(
+        "doc_id", F.monotonically_increasing_id().alias("row"), "n_a", "n_b", "n_groups", "n_links", digest, "a_ids", "b_ids"
+    )
+    return with_pair_counts(staged(kept, "aligned"), *paths, "row").select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_mixing": op2_mixing,
@@ -119,6 +178,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_sharding": op9_sharding,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_files": op12_token_files,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLES: dict[str, str] = {
