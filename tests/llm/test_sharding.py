@@ -1,5 +1,6 @@
 import zlib
 
+import numpy as np
 import pytest
 
 from orderloom.llm import sharding as H
@@ -23,7 +24,7 @@ def check(got, rows, shards, slack):
 @pytest.mark.parametrize("shards,range_bytes", [(8, 64 << 20), (8, 900), (1, 500), (3, 64 << 20)])
 def test_shards_are_near_equal_and_gapless(spark, monkeypatch, shards, range_bytes):
     monkeypatch.setattr(H, "RANGE_BYTES", range_bytes)
-    rows = [r for r in odd_corpus(seed=15, n=400) if len(r[1] or "") < 3000]
+    rows = odd_corpus(seed=15, n=400)
     got = H.shard_plan(frame(spark, rows), shards=shards).collect()
     largest = max(len((r[1] or "").encode()) for r in rows) + 1
     check(got, rows, shards, 2 * largest)
@@ -62,4 +63,24 @@ def test_more_shards_than_rows_and_none(spark):
     assert len({(r["shard"], r["slot"]) for r in got}) == 2
     same = [(1, "a", "en", "s", 0, 0.0)] * 5
     got = H.shard_plan(frame(spark, same)).collect()
-    assert sorted((r["shard"], r["slot"]) for r in got) == [(got[0]["shard"], i) for i in range(5)]
+    check(got, same, 8, 2)
+
+
+@pytest.mark.parametrize("doc_id", [1, None])
+def test_repeated_rows_are_cut(spark, monkeypatch, doc_id):
+    rows = [(doc_id, "twelve bytes", "en", "s", 0, 0.0)] * 800 + [(10 + i, f"text {i}", "en", "s", 0, 0.0) for i in range(401)]
+    got = H.shard_plan(frame(spark, rows)).collect()
+    check(got, rows, 8, 13)
+    again = H.shard_plan(frame(spark, rows, 7)).collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, again))
+    monkeypatch.setattr(H, "RANGE_BYTES", 200)
+    check(H.shard_plan(frame(spark, rows)).collect(), rows, 8, 13)
+
+
+def test_points_of_all_parts():
+    low = H.LOWEST
+    points = [(low, low, low), (3, low, low), (3, 5, low), (3, 5, 7), (3, 5, 9), (3, 8, low), (4, low, low)]
+    rows = [(0, 0, 0), (3, 4, 9), (3, 5, 6), (3, 5, 7), (3, 5, 8), (3, 5, 9), (3, 6, 0), (3, 8, 0), (3, 9, 1), (4, low, low), (5, 0, 0)]
+    want = [sum(p <= r for p in points) for r in rows]
+    assert H.ranges_of(points, [np.array(c) for c in zip(*rows)]).tolist() == want
+    assert H.point_at((3, H.HIGHEST - 1), H.HIGHEST) == (4, low, low)
