@@ -1,14 +1,20 @@
 """Quality rules whose cutoffs come from labelled holdouts, with a guarantee.
 
-A rule rejects a text when one of its measures exceeds a cutoff.  For each stratum
-and rule, the cutoffs of a fixed grid are tested on the labelled good texts: a cutoff
-is valid if the exact (Clopper-Pearson) upper bound of its false rejection rate is
-at most the rule's share of the allowed rate.  All tests of all strata share one
-error probability (Bonferroni), so with probability 1 - `error` no stratum loses
-more than `max_false_rejection` of its good texts to all rules together.  Of the
-valid cutoffs that is taken which rejects the largest share of the labelled bad
-texts, less `PRICE` times that of the good ones, and of equals the loosest.  A stratum
-with too few labels gets none, and keeps all that the fixed base rules keep.
+A rule rejects a text when one of its measures exceeds a cutoff of a fixed grid.  Each
+stratum's labelled texts are parted by a hash of the text.  A quarter proposes: from no
+cutoffs at all, the one that most improves on it is tightened by a step, again and again,
+which gives a sequence of ever stricter sets of cutoffs.  The other three quarters decide:
+in the order of the sequence, a set is valid if the exact (Clopper-Pearson) upper bound
+of the share of good texts that its rules reject together is at most the allowed one.  The
+first set that isn't ends the test, and the last valid one is used.  Tested in a fixed
+order, all sets of a stratum share one error probability undivided; strata divide it
+(Bonferroni).  So with probability 1 - `error` no stratum loses more than
+`max_false_rejection` of its good texts.  A stratum with too few labels gets no cutoffs,
+and keeps all that the fixed base rules keep.
+
+Trials are distinct texts: an id counts once, whatever its rows, and a text once, whatever
+its copies.  Near copies are separate texts here; the bound takes them as independent, so
+a corpus full of them is best deduplicated first.
 """
 
 from __future__ import annotations
@@ -22,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .keys import TEXT_KEY, text_key
 from .scratch import staged
 
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
@@ -33,8 +40,10 @@ FEATURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 # Fixed before any label is seen.
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-# What a share of good texts weighs against one of bad texts, when cutoffs are chosen.
+# What a share of good texts weighs against one of bad texts, when cutoffs are proposed.
 PRICE = 10
+# One labelled text in so many proposes, the others decide.
+PROPOSE = 4
 
 
 def measure(texts: pa.Array) -> pa.Array:
@@ -112,40 +121,76 @@ def at_most(k: int, n: int, rate: float) -> float:
     return min(1.0, math.exp(min(0.0, log_term + math.log(total))))
 
 
+def levels() -> list[Column]:
+    """For each rule, how many cutoffs of its grid a text's measure `f` exceeds."""
+    found = []
+    for rule, (value, grid) in RULES.items():
+        over = [F.when(F.expr(f"({value}) > {cutoff}D"), 1).otherwise(0) for cutoff in grid]
+        found.append(sum(over[1:], over[0]).alias(rule))
+    return found
+
+
+def proposed(level: np.ndarray, good: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """Ever stricter sets of cutoffs, each by rule the index in its grid (its length: none).
+    `level` has a row per kind of text, by rule the cutoffs exceeded, and `n` its number."""
+    sizes = np.array([len(grid) for _, grid in RULES.values()])
+    n_good, n_bad = max(1, n[good].sum()), max(1, n[~good].sum())
+    current, sequence = sizes.copy(), []
+    rejected = np.zeros(len(level), dtype=bool)
+    while True:
+        best, step = 0.0, None
+        for rule in range(len(sizes)):
+            for cutoff in range(current[rule]):
+                more = ~rejected & (level[:, rule] > cutoff)
+                use = n[more & ~good].sum() / n_bad - PRICE * n[more & good].sum() / n_good
+                if use > best:
+                    best, step = use, (rule, cutoff)
+        if step is None:
+            return sequence
+        current = current.copy()
+        # One step of the grid at a time, so that a set between may hold where the last doesn't.
+        rule, cutoff = step
+        for between in range(int(current[rule]) - 1, cutoff - 1, -1):
+            current = current.copy()
+            current[rule] = between
+            sequence.append(current)
+        rejected |= level[:, rule] > cutoff
+
+
+def valid_set(sequence: list[np.ndarray], level: np.ndarray, n: np.ndarray, rate: float, error: float) -> np.ndarray | None:
+    """The last set of the sequence before the first that may reject more than `rate` of the
+    good texts, of which `level` and `n` tell."""
+    chosen = None
+    for current in sequence:
+        rejected = int(n[(level > current).any(axis=1)].sum())
+        if at_most(rejected, int(n.sum()), rate) > error:
+            break
+        chosen = current
+    return chosen
+
+
 def cutoffs(labelled: DataFrame, max_false_rejection: float, error: float, strata: int) -> DataFrame:
     """Per stratum the cutoff of each rule, NaN where none is valid and of use.
 
-    `labelled` has a row per labelled text that the base rules keep: stratum, good and
-    the features `f`.
+    `labelled` has a row per distinct labelled text that the base rules keep: stratum, good,
+    the features `f` and `proposes`.
     """
-    tests = max(1, strata) * sum(len(grid) for _, grid in RULES.values())
-    allowed = max_false_rejection / len(RULES)
-    counts = [F.count_if("good").alias("n_good"), F.count_if(~F.col("good")).alias("n_bad")]
-    names = []
-    for rule, (value, grid) in RULES.items():
-        for i, cutoff in enumerate(grid):
-            names.append((rule, f"{rule}_{i}", cutoff))
-            over = F.expr(f"({value}) > {cutoff}D")
-            counts.append(F.count_if(over & F.col("good")).alias(f"{rule}_{i}_good"))
-            counts.append(F.count_if(over & ~F.col("good")).alias(f"{rule}_{i}_bad"))
-    counted = labelled.groupBy("stratum").agg(*counts)
-
-    def choose(batches):
-        for batch in batches:
-            rows = []
-            for row in batch.to_dict("records"):
-                chosen = {"stratum": row["stratum"], **dict.fromkeys(RULES, math.nan)}
-                best = dict.fromkeys(RULES, 0.0)
-                for rule, test, cutoff in reversed(names):  # from the loosest on
-                    good, bad = row[f"{test}_good"], row[f"{test}_bad"]
-                    use = bad / max(1, row["n_bad"]) - PRICE * good / max(1, row["n_good"])
-                    if use > best[rule] and at_most(good, row["n_good"], allowed) <= error / tests:
-                        chosen[rule], best[rule] = cutoff, use
-                rows.append(chosen)
-            yield pd.DataFrame(rows, columns=["stratum", *RULES])
+    # A stratum has as many rows as there are kinds of texts, a fixed number at most.
+    kinds = labelled.groupBy("stratum", "proposes", "good", *levels()).agg(F.count("*").alias("n"))
+
+    def choose(table: pd.DataFrame) -> pd.DataFrame:
+        level, n = table[list(RULES)].to_numpy(dtype=int), table["n"].to_numpy(dtype=int)
+        good, first = table["good"].to_numpy(dtype=bool), table["proposes"].to_numpy(dtype=bool)
+        sequence = proposed(level[first], good[first], n[first])
+        holdout = ~first & good
+        found = valid_set(sequence, level[holdout], n[holdout], max_false_rejection, error / max(1, strata))
+        chosen = {"stratum": table["stratum"].iloc[0]}
+        for i, (rule, (_, grid)) in enumerate(RULES.items()):
+            chosen[rule] = math.nan if found is None or found[i] == len(grid) else grid[found[i]]
+        return pd.DataFrame([chosen], columns=["stratum", *RULES])
 
     schema = "stratum string, " + ", ".join(f"{rule} double" for rule in RULES)
-    return counted.mapInPandas(choose, schema)
+    return kinds.groupBy("stratum").applyInPandas(choose, schema)
 
 
 def risk_controlled(
@@ -161,16 +206,22 @@ def risk_controlled(
     """One row per document: doc_id, the five features, base_failed, rejected_by (the
     rules whose cutoff it exceeds) and kept.
 
-    Texts labelled 1 are good, those labelled 0 bad.  All labelled documents are used;
-    ids with both labels count as good, other labels are passed over.  Null is a stratum of its own.  Documents
-    of a stratum without valid cutoffs are judged by the base rules alone, as are all
-    when there are no labels.  Null and empty texts fail the base rules.  Repeated rows
-    are judged alike; no rows give no rows; other columns are not read.
+    Texts labelled 1 are good, those labelled 0 bad.  All labelled documents are used, each
+    id once (with the least of its texts, by hash) and each text of a stratum once; an id or
+    text with both labels counts as good, other labels are passed over.  Null is a stratum of
+    its own.  Documents of a stratum without valid cutoffs are judged by the base rules
+    alone, as are all when there are no labels.  Null and empty texts fail the base rules.
+    Repeated rows are judged alike; no rows give no rows; other columns are not read.
     """
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(stratum).cast("string").alias("stratum"), features(text).alias("f"))
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"), F.col(stratum).cast("string").alias("stratum"), features(text).alias("f"), *text_key(text)
+    )
     rows = staged(rows, "features").withColumn("base_failed", base_failed())
     known = labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(doc_id).alias("doc_id")).agg((F.max(label) == 1).alias("good"))
-    labelled = rows.filter("NOT base_failed").join(known, "doc_id")
+    ids = rows.filter("NOT base_failed").join(known, "doc_id").select("doc_id", F.struct(*TEXT_KEY, "stratum", "f", "good").alias("t"))
+    once = ids.groupBy("doc_id").agg(F.min_by("t", F.struct(*[f"t.{k}" for k in TEXT_KEY], F.col("t.stratum"))).alias("t")).select("t.*")
+    labelled = once.groupBy("stratum", *TEXT_KEY).agg(F.first("f").alias("f"), F.max("good").alias("good"))
+    labelled = labelled.withColumn("proposes", F.pmod(F.xxhash64(F.lit(6), *TEXT_KEY), F.lit(PROPOSE)) == 0)
     strata = rows.select("stratum").distinct().count()
     chosen = staged(cutoffs(labelled, max_false_rejection, error, strata), "cutoffs")
     judged = rows.alias("r").join(chosen.alias("c"), F.col("r.stratum").eqNullSafe(F.col("c.stratum")), "left")

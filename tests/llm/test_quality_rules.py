@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -69,3 +70,64 @@ def test_few_labels_give_no_cutoffs(spark):
     by_text = [(r["n_words"], r["base_failed"]) for r in got]
     assert all(failed for n, failed in by_text if n < 20)
     assert Q.risk_controlled(empty(spark), labels).collect() == []
+
+
+def labelled_corpus(n, rng):
+    """A fifth bad, by symbols; of the good texts one in 200 has symbols too."""
+    rows, labels = [], []
+    for i in range(n):
+        bad, odd = i % 5 == 0, i % 200 == 1
+        text = plain(rng, 30)
+        rows.append((i, text.replace(" ", "## ") if bad or odd else text, "de" if i % 3 == 2 else "en", "s", 0, 0.0))
+        labels.append((i, 0 if bad else 1, 0))
+    return rows, labels
+
+
+def test_the_registered_risk_and_copies(spark):
+    rows, labels = labelled_corpus(3000, random.Random(2))
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    got = {r["doc_id"]: r for r in Q.risk_controlled(frame(spark, rows), known).collect()}
+    for lang in ("en", "de"):
+        good = [r for r in rows if r[2] == lang and r[0] % 5]
+        assert 0 < sum(not got[r[0]]["kept"] for r in good) <= 0.02 * len(good)
+    assert not any(got[i]["kept"] for i in range(0, 3000, 5))
+    # Rows that repeat are no more evidence: few texts get no cutoff, however often they are there.
+    few = rows[:150]
+    for copies in (1, 40):
+        again = Q.risk_controlled(frame(spark, few * copies), known).collect()
+        assert len(again) == 150 * copies and all(r["kept"] == (not r["base_failed"]) for r in again)
+    many = Q.risk_controlled(frame(spark, rows * 3), known).collect()
+    assert all(r["kept"] == got[r["doc_id"]]["kept"] for r in many)
+
+
+def test_copies_under_other_ids_are_one_trial(spark):
+    rows, labels = labelled_corpus(150, random.Random(3))
+    copies = [(i + 1000 * k, *row[1:]) for k in range(40) for i, row in enumerate(rows)]
+    known = [(i + 1000 * k, label, 0) for k in range(40) for i, label, _ in labels]
+    got = Q.risk_controlled(frame(spark, copies), spark.createDataFrame(known, "doc_id long, quality int, toxic int")).collect()
+    assert all(r["kept"] == (not r["base_failed"]) for r in got)
+
+
+def brute_valid(sequence, level, n, rate, error):
+    chosen = None
+    for current in sequence:
+        rejected = sum(m for row, m in zip(level, n) if any(v > c for v, c in zip(row, current)))
+        if sum(math.comb(int(sum(n)), i) * rate**i * (1 - rate) ** (int(sum(n)) - i) for i in range(rejected + 1)) > error:
+            return chosen
+        chosen = current
+    return chosen
+
+
+def test_sequences_tighten_and_stop():
+    rng = np.random.default_rng(4)
+    sizes = [len(grid) for _, grid in Q.RULES.values()]
+    for _ in range(30):
+        level = np.column_stack([rng.integers(0, s + 1, 40) * (rng.random(40) < 0.2) for s in sizes])
+        good, n = rng.random(40) < 0.6, rng.integers(1, 9, 40)
+        sequence = Q.proposed(level, good, n)
+        for before, after in zip([np.array(sizes), *sequence], sequence):
+            assert (before - after).sum() == 1 and (after >= 0).all()
+        for rate in (0.05, 0.3):
+            want = brute_valid(sequence, level[good], n[good], rate, 0.05)
+            got = Q.valid_set(sequence, level[good], n[good], rate, 0.05)
+            assert (got is None and want is None) or (got == want).all()
