@@ -586,6 +586,48 @@ def untyped_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+DRIFTS = 3
+
+
+def drift_export(spark: SparkSession, sf_dir: str, part: int) -> DataFrame:
+    """Events in three exports whose inferred types differ; every tenth event of an export
+    is in the one before it too, older.  `due` is a date, then also text; `amount` whole,
+    then fractional, then null; `moment` a date, then an instant; `seen` null until the
+    last, a date; `extra` absent, a number, an object."""
+    e = table(spark, sf_dir, "events")
+    n, kind = F.col("event_id"), F.col("event_type")
+    own = e.where((n % DRIFTS == part) | ((n % 10 == 0) & (n % DRIFTS == part + 1)))
+    day = F.date_format("ts", "yyyy-MM-dd")
+    due = F.when(kind == "error", F.lit("soon")).otherwise(day) if part == 1 else day
+    amounts = [F.floor("value"), F.col("value").cast("decimal(18,2)").cast("double"), F.lit(None).cast("double")]
+    extras = [None, n, F.struct(kind.alias("kind"))]
+    columns = [
+        make_gid("Event", n).alias("id"),
+        due.alias("due"),
+        amounts[part].alias("amount"),
+        (instant(F.col("ts")) if part else day).alias("moment"),
+        (day if part == 2 else F.lit(None).cast("string")).alias("seen"),
+        F.concat(F.lit(f"202{part}-01-01T00:00:00Z")).alias("updatedAt"),
+    ]
+    return own.select(*columns, *[x.alias("extra") for x in extras[part : part + 1] if x is not None]).select(
+        to_json_line("id", "due", "amount", "moment", "seen", "updatedAt", *(["extra"] if part else []))
+    )
+
+
+def to_json_line(*columns: str) -> Column:
+    """A line with all fields, null ones too."""
+    return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("value")
+
+
+def mixed_customer_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers, and lines that their contract does not name: images with an id of another
+    type, and notes without a global id."""
+    n = table(spark, sf_dir, "nation")
+    images = n.select(make_gid("MediaImage", F.col("n_nationkey")).alias("id"), F.col("n_name").alias("firstName"))
+    notes = n.select(F.concat(F.lit("note-"), F.col("n_nationkey").cast("string")).alias("id"), F.col("n_name").alias("lastName"))
+    return customer_export(spark, sf_dir).unionAll(lines_of(images, notes))
+
+
 # --- pages -----------------------------------------------------------------------
 
 
@@ -653,6 +695,8 @@ EXPORTS = {
     "event": event_export,
     "custom": custom_export,
     "untyped": untyped_export,
+    "customer_mixed": mixed_customer_export,
+    **{f"drift_{i}": lambda s, d, i=i: drift_export(s, d, i) for i in range(DRIFTS)},
     "customer_arrays": customer_arrays,
     "order_pages": lambda s, d: page_lines(order_documents(s, d), "orders"),
     "product_pages": lambda s, d: page_lines(product_documents(s, d), "products"),

@@ -12,7 +12,7 @@ from orderloom.operators import loads
 from orderloom.operators.filters import STAGED_TYPE, of_entity
 from orderloom.operators.keys import pk_violations, primary_key
 from orderloom.operators.reshape import tidy
-from orderloom.plans.normalise import normalise_fixed, stage
+from orderloom.plans.normalise import normalise, normalise_fixed, stage
 from orderloom.plans.paged import curate
 from orderloom.plans.run import entity_counts, run_and_write, run_selected as run_datasets
 from orderloom.schemas import DATASETS, dataset_schema
@@ -24,7 +24,7 @@ from orderloom.sources import datasets
 from orderloom.sources.bulk import keep_raw, scan_bulk, scan_lines, to_lines
 from orderloom.streaming.landing import land_stream, read_landed
 
-from .fixtures import base_and_increment, landed, table
+from .fixtures import DRIFTS, base_and_increment, landed, table
 from .registry import CUST, LIN, LOC, ORD, PAIR, PART, PRODUCT_LINES, TXN, bulk, pages, query, utc, with_
 from .scans import CUSTOMER_PAGES, inventory_docs, order_docs, product_docs
 
@@ -316,6 +316,24 @@ def normalise_orders_variant(spark, sf_dir):
     return normalised_orders(spark, sf_dir)["order_variant"]
 
 
+@query(
+    with_(CUST)
+    + entries(
+        ("customer", "id, email, c_name, marketing", "(SELECT *, consent AS marketing FROM cust)"),
+        ("media_image", "'gid://shop/MediaImage/' || n_nationkey, n_name", "nation"),
+        ("customer_rest", "'note-' || n_nationkey, n_name", "nation"),
+    )
+)
+def normalise_customers_all(spark, sf_dir):
+    """Lines that a contract of one type does not name get tables of their own."""
+    staged = stage(spark, scan_bulk(spark, landed(spark, sf_dir, "customer_mixed"), dataset_schema("customer")), "customer")
+    outputs = normalise_fixed(staged, "customer")
+    shown = {"customer": "id email first_name marketing", "media_image": "id first_name", "customer_rest": "id last_name"}
+    tables = {name: outputs[name] for name in shown}
+    state = F.get_json_object("email_marketing_consent", "$.marketingState")
+    return contents({**tables, "customer": tables["customer"].withColumn("marketing", state)}, shown)
+
+
 PAGED_SHOWN = {
     "orders": "id name email total_price customer_id",
     "order_line_items": "order_id row_number line_item_id quantity variant_id",
@@ -518,6 +536,26 @@ def load_incremental(spark, sf_dir):
     return contents(loaded(spark, sf_dir, ["orders", "order_transactions"], windows), ORDER_SHOWN)
 
 
+@query(
+    """WITH e AS (SELECT *, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN event_id % 3 = 0 THEN 0 WHEN event_id % 3 = 1 THEN 1
+      ELSE 2 END AS part FROM events)
+    SELECT 'gid://shop/Event/' || event_id AS id, CASE WHEN part = 1 AND event_type = 'error' THEN 'soon' ELSE day END AS due,
+      CASE part WHEN 0 THEN floor(value) WHEN 1 THEN CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) END AS amount,
+      CASE WHEN part = 0 THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) ELSE ts END AS moment,
+      CASE WHEN part = 2 THEN CAST(ts AS DATE) END AS seen,
+      CASE part WHEN 1 THEN CAST(event_id AS VARCHAR) WHEN 2 THEN '{"kind":"' || event_type || '"}' END AS extra FROM e"""
+)
+def load_type_change(spark, sf_dir):
+    """Three exports whose inferred types differ, loaded one after the other."""
+    current = None
+    for part in range(DRIFTS):
+        name, frame, keys = datasets.custom(spark, "drift", landed(spark, sf_dir, f"drift_{part}"))
+        version = scratch_path(spark, "version")
+        load_all(spark, normalise(stage(spark, frame, name), name, keys, children=False, promote=True), current, version)
+        current = version
+    return spark.read.parquet(f"{current}/drift").select("id", "due", "amount", utc("moment"), "seen", "extra")
+
+
 PAGED_FOLDERS = {
     "inventory_items": "inventory_pages",
     "products_legacy": "product_pages",

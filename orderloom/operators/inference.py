@@ -10,6 +10,8 @@ from .filters import STAGED_TYPE
 
 DATE_TEXT = r"^\d{4}-\d{2}-\d{2}$"
 INSTANT_TEXT = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:?\d{2})?$"
+# A kind's text; the first that fits is taken.
+KINDS = {"date": DATE_TEXT, "timestamp": f"{DATE_TEXT}|{INSTANT_TEXT}"}
 
 
 def text_values(df: DataFrame) -> dict[tuple[str, str | None], Callable]:
@@ -45,28 +47,29 @@ def text_values(df: DataFrame) -> dict[tuple[str, str | None], Callable]:
 
 
 def nested_text_kinds(df: DataFrame) -> dict[tuple[str, str | None], str]:
-    """Which text values, in columns and one level below, are only dates or only
-    timestamps.  One aggregate over everything; a single row comes back.  Other text,
+    """Which text values, in columns and one level below, are only dates, or only dates and
+    timestamps, which makes them timestamps: what a column is then follows from what its
+    parts are.  One aggregate over everything; a single row comes back.  Other text,
     such as times of day or amounts, stays text."""
     values = {k: v for k, v in text_values(df).items() if (k[1] or k[0]) not in ("id", "parent_id", STAGED_TYPE)}
     if not values:
         return {}
     tests = []
     for i, passes in enumerate(values.values()):
-        for kind, pattern in (("date", DATE_TEXT), ("timestamp", INSTANT_TEXT)):
+        for kind, pattern in KINDS.items():
             valid = passes(lambda text, kind=kind, pattern=pattern: text.rlike(pattern) & text.try_cast(kind).isNotNull())
             tests.append(F.bool_and(valid).alias(f"{kind}_{i}"))
     found = df.agg(*tests).first()
     kinds = {}
     for i, key in enumerate(values):
-        for kind in ("date", "timestamp"):
+        for kind in reversed(KINDS):
             if found[f"{kind}_{i}"]:
                 kinds[key] = kind
     return kinds
 
 
 def text_kinds(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, str]:
-    """Which text columns hold only dates or only timestamps."""
+    """Which text columns hold only dates, or only dates and timestamps."""
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and (columns is None or f.name in columns)]
     return {name: kind for (name, _), kind in nested_text_kinds(df.select(*[F.col(f"`{n}`") for n in names])).items()}
 
@@ -78,5 +81,5 @@ def cast_columns(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
 
 
 def promote_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Cast the text columns whose every non-null value is a date or a timestamp."""
+    """Cast the text columns whose every non-null value is a date, or a date or timestamp."""
     return cast_columns(df, text_kinds(df, columns))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import entity_type, is_nested, snake
-from ..operators.entities import list_entity_types, present_types, prune_columns
+from ..operators.entities import present_types, prune_columns
 from ..operators.filters import STAGED_TYPE, of_entity
 from ..operators.inference import cast_columns, nested_text_kinds
 from ..operators.reshape import child_table, tidy
@@ -41,25 +41,26 @@ def normalise(
 
     `keys` holds the fields of each entity type: the contract for a fixed
     dataset, or the key scan of a custom one.  An export of one type gives one
-    table under the dataset's name; several types give one table each.  Every
-    nested column also becomes a child table `<name>_<column>`.  No line is lost: a
-    type that `keys` does not name gets a table with all columns, and lines without a
-    global id go to `<name>_rest`.  `promote` turns date and timestamp text into dates
+    table under the dataset's name, with all lines; several types give one table each,
+    the only type of a contract still under the dataset's name.  Every nested column also becomes a
+    child table `<name>_<column>`.  No line is lost: a type that `keys` does not name
+    gets a table with all columns, and lines without a global id then go to
+    `<name>_rest`.  `promote` turns date and timestamp text into dates
     and timestamps, in child tables too; one job looks at all text, so the frame is
     best staged.
     """
     kinds = nested_text_kinds(df) if promote else {}
     df = cast_columns(df, {column: kind for (column, field), kind in kinds.items() if field is None})
-    types = list(keys) if keys else (list_entity_types(df) if "id" in df.columns else [])
+    types, named = list(keys or ()), dict(keys or {})
+    present = present_types(df) if "id" in df.columns else set()
+    types += sorted(t for t in present if t is not None and t not in named)
     whole = df.drop(STAGED_TYPE)
     outputs = {}
     if len(types) > 1:
-        present = present_types(df)
-        named = dict(keys) if keys else {}
-        types += sorted(t for t in present if t is not None and t not in types)
         for kind in types:
             rows = rows_of(df, [kind])
-            output = snake(kind) if snake(kind) not in outputs else f"{name}_{kind}"
+            output = name if len(named) == 1 and kind in named else snake(kind)
+            output = output if output not in outputs else f"{name}_{kind}"
             outputs[output] = tidy(prune_columns(rows, named[kind]) if kind in named else rows)
         if None in present:
             outputs[f"{name}_rest"] = tidy(without_type(df))

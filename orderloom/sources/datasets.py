@@ -15,7 +15,7 @@ from ..operators.curated import first_documents
 from ..operators.filters import cap, date_window, event_filter, lookup, of_entity, status_in
 from ..operators.relations import linked_to
 from ..operators.reshape import drop_sections
-from .bulk import infer_schema, list_entity_keys, scan_lines, typed_scan
+from .bulk import list_entity_keys, scan_inferred, scan_lines, typed_scan
 from .pages import flatten_pages
 
 # --- fixed values: window fields by parameter name --------------------------
@@ -106,21 +106,20 @@ def events(
 
 
 def custom(
-    spark: SparkSession, title: str, path: str, schema: str | None = None
+    spark: SparkSession, title: str, path: str, schema: str | None = None, staged: list[str] | None = None
 ) -> tuple[str, DataFrame, dict[str, list[str]]]:
     """Any other export: its cleaned name, its frame and the keys of its entities.
 
-    Without a schema the types are inferred.  An object whose keys are data
-    should be read as a map: give a schema then.
+    Without a schema the types are inferred, from records parsed once and staged (the
+    folder is added to `staged`).  An object whose keys are data should be read as a map:
+    give a schema then.
     """
     name = dataset_name(title)
     if not name:
         raise ValueError("a custom dataset needs a name")
-    lines = scan_lines(spark, path)
     if schema:
-        return name, typed_scan(spark, path, schema), list_entity_keys(lines)
-    schema, keys = infer_schema(lines)
-    return name, typed_scan(spark, path, schema), keys
+        return name, typed_scan(spark, path, schema), list_entity_keys(scan_lines(spark, path))
+    return name, *scan_inferred(spark, path, staged)
 
 
 def orders_paged(
