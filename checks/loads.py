@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from orderloom.functions import make_gid
 from orderloom.operators import loads
@@ -16,12 +16,13 @@ from orderloom.plans.normalise import normalise, normalise_fixed, stage
 from orderloom.plans.paged import curate
 from orderloom.plans.run import entity_counts, run_and_write, run_selected as run_datasets
 from orderloom.schemas import DATASETS, dataset_schema
-from orderloom.session import scratch_path
-from orderloom.sinks.csv import csv_lines as exact_lines, read_csv, write_csv
+from orderloom.session import scratch_path, settings
+from orderloom.sinks.csv import csv_lines as exact_lines, read_csv, read_csv_split, write_csv
 from orderloom.sinks.manifest import manifest as manifest_of
 from orderloom.sinks.outputs import load_all, write_measured
 from orderloom.sources import datasets
 from orderloom.sources.bulk import keep_raw, scan_bulk, scan_lines, to_lines
+from orderloom.sources.pages import scan_json_split
 from orderloom.streaming.landing import land_stream, read_landed
 
 from .fixtures import DRIFTS, base_and_increment, landed, table
@@ -58,6 +59,35 @@ def csv_roundtrip_exact(spark, sf_dir):
     return through_csv(spark, sf_dir, exact=True)
 
 
+def small_splits(spark):
+    """Settings under which the files of a check have several splits, whatever its size."""
+    return settings(spark, spark__sql__files__maxPartitionBytes="256k", spark__sql__files__openCostInBytes="4k")
+
+
+@query(DOCUMENTS_SQL)
+def csv_split_read(spark, sf_dir):
+    """One file of records that span lines, read by several tasks."""
+    path, stored = scratch_path(spark, "csv"), scratch_path(spark, "csv-read")
+    write_csv(noted_documents(spark, sf_dir).coalesce(1), path, exact=True)
+    with small_splits(spark):
+        read_csv_split(spark, path, DOCUMENTS_DDL, exact=True).write.parquet(stored)
+    return spark.read.parquet(stored)
+
+
+@query(DOCUMENTS_SQL)
+def json_pretty_split(spark, sf_dir):
+    """One pretty-printed list of objects, read by several tasks."""
+    path, stored = scratch_path(spark, "pretty"), scratch_path(spark, "pretty-read")
+    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false", "pretty": "true"})
+    number = F.row_number().over(Window.orderBy("doc_id"))  # the file's one writer sees every row anyway
+    rows = noted_documents(spark, sf_dir).select(record.alias("r"), number.alias("i"), F.count("*").over(Window.partitionBy()).alias("n"))
+    text = F.concat(F.when(F.col("i") == 1, F.lit("[\n")).otherwise(F.lit("")), "r", F.when(F.col("i") == F.col("n"), F.lit("\n]")).otherwise(F.lit(",")))
+    rows.coalesce(1).sortWithinPartitions("i").select(text.alias("value")).write.text(path)
+    with small_splits(spark):
+        scan_json_split(spark, path, DOCUMENTS_DDL).write.parquet(stored)
+    return spark.read.parquet(stored)
+
+
 @query(
     f"""SELECT '"' || doc_id || '","' || replace(text, '"', '""') || '","' || lang || '",'
     || COALESCE('"' || replace(note, '"', '""') || '"', '') || ',"' || n_chars || '"' AS value FROM ({DOCUMENTS_SQL})"""

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +44,20 @@ def local_session(scratch: str, cores: int | str = "*", memory: str = "8g", part
     return tune(spark)
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Hold runtime settings for a block; `__` in a name stands for a dot."""
+    wanted = {key.replace("__", "."): value for key, value in values.items()}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def use_shared_dir(spark: SparkSession, folder: str) -> None:
     """Name the shared folder of an application that was started without one."""
     _folders[spark.sparkContext.applicationId] = folder

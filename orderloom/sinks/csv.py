@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.reshape import nested_to_json
+from ..sources.spanning import csv_records, typed
 
 NULL_TOKEN = "\\N"
 # Never occurs in the exact form, so that the reader takes no text for NULL.
@@ -74,14 +75,23 @@ def write_csv(df: DataFrame, path: str, exact: bool = False) -> None:
     lines.write.mode("overwrite").options(lineSep="\n", maxRecordsPerFile=0).text(path)
 
 
+def read_options(exact: bool) -> dict[str, str]:
+    """How values of either form are told apart."""
+    return {
+        "escape": '"', "emptyValue": "", "mode": "FAILFAST", "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false", "charToEscapeQuoteEscaping": UNUSED_ESCAPE,
+        "nullValue": UNUSED_TOKEN if exact else NULL_TOKEN,
+    }
+
+
 def read_csv(spark: SparkSession, path: str, schema: str, exact: bool = False) -> DataFrame:
     """Read either form back without loss.  Records may span lines, so a file is
     read by one task; the writers above give one file per task."""
-    reader = (
-        spark.read.schema(schema)
-        .options(header=True, multiLine=True, escape='"', emptyValue="", lineSep="\n", mode="FAILFAST")
-        .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-        .option("charToEscapeQuoteEscaping", UNUSED_ESCAPE)
-        .option("nullValue", UNUSED_TOKEN if exact else NULL_TOKEN)
-    )
+    reader = spark.read.schema(schema).options(header=True, multiLine=True, lineSep="\n", **read_options(exact))
     return reader.csv(path)
+
+
+def read_csv_split(spark: SparkSession, path: str, schema: str, exact: bool = False) -> DataFrame:
+    """The same of files that are too large for one task each: every split of a file is
+    read by a task of its own.  The files are read twice."""
+    return typed(csv_records(spark, path), F.from_csv("value", schema, {"multiLine": "true", **read_options(exact)}))

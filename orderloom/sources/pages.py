@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.filters import cap
+from .spanning import json_records
 
 
 def scan_pages(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -25,12 +26,18 @@ def scan_json_array(spark: SparkSession, path: str, schema: str, pretty: bool =
 
     By default every line holds one array, which keeps files splittable.
     `pretty` reads arrays that spread over lines: one array per file, each file
-    read by one task, so large data should come in many files.
+    read by one task; `scan_json_split` reads large ones.
     """
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
     return reader.option("multiLine", pretty).json(path)
 
 
+def scan_json_split(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Records of files that hold one list of objects each, or objects one after the other,
+    over any lines.  Every split of a file is read by a task of its own, twice."""
+    return json_records(spark, path, schema)
+
+
 def array_records(df: DataFrame, column: str, element: str) -> DataFrame:
     """Records of a text column that holds JSON arrays; `element` is the struct type."""
     parsed = F.from_json(F.col(column), f"array<{element}>", {"mode": "FAILFAST"})
