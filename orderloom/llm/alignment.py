@@ -16,6 +16,7 @@ are joined by pair.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -24,15 +25,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .encoding import id_bytes, id_encoder
+from .encoding import Encode, id_bytes, id_encoder
 from .scratch import staged
 
 # Pairs whose counts every task gets: 16 MB at most.
 FREQUENT = 1 << 20
 # Distinct pairs that a counting task holds before it passes them on.
 HELD_PAIRS = 1 << 20
-# Tokens aligned at once; a longer text is aligned alone.
-RUN_TOKENS = 1 << 18
+# Bytes of text aligned at once, and tokens whose links are listed at once; a longer text is
+# handled alone.
+RUN_BYTES = W.CHUNK_BYTES
+RUN_TOKENS = 1 << 17
 OUTPUT = "n_a long, n_b long, n_groups long, n_links long, groups string, a_ids array<int>, b_ids array<int>"
 
 
@@ -50,17 +53,11 @@ def tokenizer(path: str) -> Tokenizer:
         return Tokenizer(path, file.read(), not path.endswith(".model"))
 
 
-class Cut:
-    """Cuts texts into ids whose bytes, side by side, are a space and the text."""
-
-    def __init__(self, of: Tokenizer):
-        self.spaced, self.encode, self.bytes = of.spaced, id_encoder(of.name, of.data, special=False), id_bytes(of.name, of.data)
-
-    def __call__(self, text: str) -> np.ndarray | None:
-        """The ids, or None where their bytes are others."""
-        ids = self.encode([" " + text if self.spaced else text])[0]
-        ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
-        return np.array(ids, dtype=np.int64) if b"".join(map(self.bytes.__getitem__, ids)) == b" " + text.encode() else None
+def cut(of: Tokenizer) -> Encode:
+    """Cuts texts into ids whose bytes, side by side, are a space and the text; None where
+    they are others."""
+    encode = id_encoder(of.name, of.data, special=False, check=True)
+    return (lambda texts: encode([" " + t for t in texts])) if of.spaced else encode
 
 
 def terminals(a_end: np.ndarray, b_end: np.ndarray) -> np.ndarray:
@@ -81,7 +78,9 @@ def terminals(a_end: np.ndarray, b_end: np.ndarray) -> np.ndarray:
 def links(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token of a, token of b) of all overlapping pairs, and where each overlap ends: an
     overlap is what two neighbouring ends of either side enclose."""
-    ends = np.union1d(a_end, b_end)
+    ends = np.concatenate([a_end, b_end])
+    ends.sort(kind="stable")  # merges two ascending runs
+    ends = ends[np.r_[True, ends[1:] != ends[:-1]]] if len(ends) else ends
     return np.searchsorted(a_end, ends), np.searchsorted(b_end, ends), ends
 
 
@@ -120,14 +119,14 @@ def aligned_run(
     a_end, b_end = np.cumsum(a_size[a_ids]), np.cumsum(b_size[b_ids])
     label = terminals(a_end, b_end)
     is_last = label[len(a_ids) :] == len(a_ids) + np.arange(len(b_ids))
-    last = np.flatnonzero(is_last) + len(a_ids)
-    n_groups = np.diff(offsets(is_last)[b_bound])
-    text_end = np.r_[0, b_end][b_bound]
-    n_links = np.diff(np.searchsorted(links(a_end, b_end)[2], text_end, side="right"))
+    group = offsets(is_last)
+    n_groups = np.diff(group[b_bound])
+    # Overlaps end where a token of either side does: at all ends, those of groups counted once.
+    n_links = np.diff(a_bound) + np.diff(b_bound) - n_groups
 
     # Tokens in the order of groups, side a before side b in each.
     side = np.repeat([0, 1], [len(a_ids), len(b_ids)])
-    key = 2 * np.searchsorted(last, label) + side
+    key = 2 * group[label - len(a_ids)] + side
     order = np.argsort(key, kind="stable")
     key = key[order]
     follows = np.r_[key[1:], -1]
@@ -160,35 +159,20 @@ def align(docs: DataFrame, a_path: str, b_path: str, keys: list[str], text: str
     names = OUTPUT.split(", ")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cuts: list[Cut] = []
+        cuts: list[Encode] = []
         none = np.zeros(0, np.int64)
         for batch in batches:
             if not cuts:
-                cuts = [Cut(t) for t in shared.value]
-                a_size, b_size = ([len(x) for x in c.bytes] for c in cuts)
-                a_size, b_size = np.array(a_size), np.array(b_size)
+                cuts = [cut(t) for t in shared.value]
+                a_size, b_size = (np.array([len(x) for x in id_bytes(t.name, t.data)]) for t in shared.value)
                 digits = Digits(max(len(a_size), len(b_size)) - 1)
-            a, b, row = [], [], 0
-
-            def out() -> pa.RecordBatch:
-                nonlocal row
-                columns = [c.slice(row, len(a)) for c in batch.columns[:-1]] + aligned_run(a, b, a_size, b_size, digits)
-                row += len(a)
-                a.clear(), b.clear()
-                return pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], *[n.split(" ")[0] for n in names]])
-
-            held = 0
-            for text_ in batch.column(batch.num_columns - 1).to_pylist():
-                both = [cut(text_) for cut in cuts] if text_ else [None]
-                whole = all(x is not None for x in both)
-                a.append(both[0] if whole else none)
-                b.append(both[1] if whole else none)
-                held += len(a[-1])
-                if held >= RUN_TOKENS:
-                    yield out()
-                    held = 0
-            if a:
-                yield out()
+            texts = batch.column(batch.num_columns - 1)
+            for rows, _, _ in W.chunks(texts, RUN_BYTES):
+                own = texts[rows].to_pylist()
+                both = [[none if not t else ids for t, ids in zip(own, encode(own))] for encode in cuts]
+                both = [(x, y) if x is not None and y is not None else (none, none) for x, y in zip(*both)]
+                columns = [c[rows] for c in batch.columns[:-1]] + aligned_run(*map(list, zip(*both)), a_size, b_size, digits)
+                yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], *[n.split(" ")[0] for n in names]])
 
     rows = docs.select(*keys, F.coalesce(F.col(text), F.lit("")).alias("text_"))
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1])
@@ -201,13 +185,20 @@ def flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
     return np.asarray(column.values)[bounds[0] : bounds[-1]].astype(np.int64), bounds - bounds[0]
 
 
-def link_codes(batch: pa.RecordBatch, a_size: np.ndarray, b_size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pair of ids (a in the upper 32 bits) of every link, and its row."""
-    (a_ids, _), (b_ids, bounds) = flat(batch.column("a_ids")), flat(batch.column("b_ids"))
-    a_end, b_end = np.cumsum(a_size[a_ids]), np.cumsum(b_size[b_ids])
-    at_a, at_b, ends = links(a_end, b_end)
-    last = np.r_[0, b_end][bounds[1:]]
-    return a_ids[at_a] << 32 | b_ids[at_b], np.searchsorted(last, ends)
+def link_codes(batch: pa.RecordBatch, a_size: np.ndarray, b_size: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Runs of rows: rows, the pair of ids (a in the upper 32 bits) of every link, and where
+    each row's links are."""
+    a_all, b_all = batch.column("a_ids"), batch.column("b_ids")
+    tokens = np.asarray(a_all.offsets).astype(np.int64)
+    row = 0
+    while row < batch.num_rows:
+        last = int(np.searchsorted(tokens, tokens[row] + RUN_TOKENS, side="right")) - 1
+        rows = slice(row, min(max(last, row + 1), batch.num_rows))
+        (a_ids, _), (b_ids, bounds) = flat(a_all[rows]), flat(b_all[rows])
+        a_end, b_end = np.cumsum(a_size[a_ids]), np.cumsum(b_size[b_ids])
+        at_a, at_b, ends = links(a_end, b_end)
+        yield rows, a_ids[at_a] << 32 | b_ids[at_b], np.searchsorted(ends, np.r_[0, b_end][bounds], side="right")
+        row = rows.stop
 
 
 def pair_counts(aligned: DataFrame, a_path: str, b_path: str) -> DataFrame:
@@ -217,10 +208,14 @@ def pair_counts(aligned: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for batch in batches:
-            met, m = np.unique(link_codes(batch, *sizes.value)[0], return_counts=True)
-            pairs, where = np.unique(np.concatenate([pairs, met]), return_inverse=True)
-            n = np.bincount(where, weights=np.concatenate([n, m]), minlength=len(pairs)).astype(np.int64)
+        new: list[tuple[np.ndarray, np.ndarray]] = []
+        for codes in chain((c for batch in batches for _, c, _ in link_codes(batch, *sizes.value)), [None]):
+            if codes is not None:
+                new.append(np.unique(codes, return_counts=True))
+            if codes is None or sum(len(c) for c, _ in new) > HELD_PAIRS // 2:
+                pairs, where = np.unique(np.concatenate([pairs, *[c for c, _ in new]]), return_inverse=True)
+                n = np.bincount(where, weights=np.concatenate([n, *[m for _, m in new]]), minlength=len(pairs)).astype(np.int64)
+                new = []
             if len(pairs) > HELD_PAIRS:
                 yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], names=["pair", "n"])
                 pairs, n = pairs[:0], n[:0]
@@ -268,21 +263,20 @@ def with_pair_counts(aligned: DataFrame, a_path: str, b_path: str, row: str, mos
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, n, best = table.value
         for batch in batches:
-            codes, owner = link_codes(batch, *sizes.value)
-            at = np.minimum(np.searchsorted(known, codes), max(0, len(known) - 1))
-            found = known[at] == codes if len(known) else np.zeros(len(codes), dtype=bool)
-            sums = W.sums(np.where(found, n[at], 0) if len(known) else np.zeros(len(codes), np.int64), owned(owner, batch.num_rows))
-            bests = W.sums(found & best[at] if len(known) else found, owned(owner, batch.num_rows))
-            rest, rest_owner = codes[~found], owner[~found]
-            rare = pa.ListArray.from_arrays(pa.array(owned(rest_owner, batch.num_rows).astype(np.int32)), pa.array(rest))
-            columns = [batch.column(name) for name in others] + [pa.array(bests), pa.array(sums), rare]
-            yield pa.RecordBatch.from_arrays(columns, names=[*others, "n_best", "count_sum", "rare_"])
+            for rows, codes, bounds in link_codes(batch, *sizes.value):
+                at = np.minimum(np.searchsorted(known, codes), max(0, len(known) - 1))
+                found = known[at] == codes if len(known) else np.zeros(len(codes), dtype=bool)
+                sums = W.sums(np.where(found, n[at], 0) if len(known) else np.zeros(len(codes), np.int64), bounds)
+                bests = W.sums(found & best[at] if len(known) else found, bounds)
+                rare = pa.ListArray.from_arrays(pa.array(offsets(~found)[bounds].astype(np.int32)), pa.array(codes[~found]))
+                columns = [batch.column(name)[rows] for name in others] + [pa.array(bests), pa.array(sums), rare]
+                yield pa.RecordBatch.from_arrays(columns, names=[*others, "n_best", "count_sum", "rare_"])
 
     kept = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in aligned.select(*others).schema.fields)
-    scored = aligned.mapInArrow(score, f"{kept}n_best long, count_sum long, rare_ array<long>")
+    # Stored, as ids go to Python in bounded batches then.
+    scored = staged(aligned.mapInArrow(score, f"{kept}n_best long, count_sum long, rare_ array<long>"), "pair-scores")
     if least <= 1:
         return scored.drop("rare_")
-    scored = staged(scored, "pair-scores")
     pairs = scored.filter(F.size("rare_") > 0).select(F.col(row).alias("row_"), F.explode("rare_").alias("pair"))
     per_row = pairs.groupBy("row_", "pair").agg(F.count("*").alias("links")).join(counts.filter(F.col("n") < least), "pair")
     more = per_row.groupBy("row_").agg(
@@ -292,7 +286,3 @@ def with_pair_counts(aligned: DataFrame, a_path: str, b_path: str, row: str, mos
     total = {"n_best": "more_best", "count_sum": "more_sum"}
     return joined.select(*others, *[(F.col(k) + F.coalesce(F.col(v), F.lit(0))).alias(k) for k, v in total.items()])
 
-
-def owned(owner: np.ndarray, rows: int) -> np.ndarray:
-    """The bounds of each row among ascending owners."""
-    return np.searchsorted(owner, np.arange(rows + 1))

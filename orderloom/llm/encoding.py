@@ -11,20 +11,36 @@ import json
 import re
 from collections.abc import Callable, Sequence
 
+import numpy as np
+
 from .token_counts import BYTE_LEVEL_PATTERN, byte_characters, merge_ranks
 
-Encode = Callable[[list[str]], list[Sequence[int]]]
+# Ids of texts; None where a check was asked for and failed.
+Encode = Callable[[list[str]], list[np.ndarray | None]]
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
+SPACE = "▁"
+
+
+def checked(ids: Sequence[int], of: list[bytes] | None, text: str) -> np.ndarray | None:
+    """The ids, or None if their bytes (`of` each id) aren't the text's."""
+    if of is not None:
+        ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
+        if b"".join(map(of.__getitem__, ids)) != text.encode():
+            return None
+    return np.asarray(ids, dtype=np.int64)
 
 
-def id_encoder(name: str, data: bytes, special: bool) -> Encode:
+def id_encoder(name: str, data: bytes, special: bool = True, check: bool = False) -> Encode:
     """Ids of whole texts, without added begin or end tokens.  `special`: strings of special
-    tokens inside a text are those tokens, as is the library's default; else plain text."""
+    tokens inside a text are those tokens, as is the library's default; else plain text.
+    `check`: None where the ids' bytes aren't the text's (of a .model file, a space's and
+    the text's)."""
+    of = id_bytes(name, data) if check else None
     if name.endswith(".model"):
         import sentencepiece
 
         pieces = sentencepiece.SentencePieceProcessor(model_proto=data)
-        return lambda texts: pieces.encode(texts, num_threads=1)
+        return lambda texts: [checked(ids, of, " " + t if t else "") for t, ids in zip(texts, pieces.encode(texts, num_threads=1))]
     spec = json.loads(data)
     ranks = merge_ranks(spec)
 
@@ -42,7 +58,7 @@ def id_encoder(name: str, data: bytes, special: bool) -> Encode:
         return library().encode_batch([text], add_special_tokens=False)[0].ids
 
     if ranks is None:
-        return lambda texts: [by_library(t) for t in texts]
+        return lambda texts: [checked(by_library(t), of, t) for t in texts]
     import tiktoken
 
     known = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -56,7 +72,7 @@ def id_encoder(name: str, data: bytes, special: bool) -> Encode:
         except ValueError:
             return by_library(text)
 
-    return lambda texts: [fast(t) for t in texts]
+    return lambda texts: [checked(fast(t), of, t) for t in texts]
 
 
 def id_bytes(name: str, data: bytes) -> list[bytes]:
@@ -68,7 +84,7 @@ def id_bytes(name: str, data: bytes) -> list[bytes]:
         pieces = sentencepiece.SentencePieceProcessor(model_proto=data)
         names = [pieces.id_to_piece(i) for i in range(pieces.get_piece_size())]
         found = [BYTE_PIECE.fullmatch(piece) for piece in names]
-        return [bytes([int(m[1], 16)]) if m else piece.replace("▁", " ").encode() for piece, m in zip(names, found)]
+        return [bytes([int(m[1], 16)]) if m else piece.replace(SPACE, " ").encode() for piece, m in zip(names, found)]
     spec = json.loads(data)
     to_byte = byte_characters()
     special = {t["content"]: t["id"] for t in spec["added_tokens"]}

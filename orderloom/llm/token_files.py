@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .encoding import id_encoder
+from . import words as W
+from .encoding import id_bytes, id_encoder
 from .scratch import BATCH, BATCH_BYTES, CLEANUP, setting, staged
 
 SEGMENT_IDS = 1 << 18
@@ -70,17 +71,30 @@ def fields(df: DataFrame, names: list[str]) -> str:
     return "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.select(*names).schema.fields)
 
 
-def encoded(docs: DataFrame, tokenizer_path: str, end_id: int, keys: list[str], text: str) -> DataFrame:
-    """Per row `keys`, tie_ and row_ (the order of rows of equal keys), n_ and ids_ (32-bit,
-    `end_id` last)."""
-    with open(tokenizer_path, "rb") as file:
-        shared = docs.sparkSession.sparkContext.broadcast((tokenizer_path, file.read()))  # one file of a few MB
+def read_file(path: str) -> bytes:
+    with open(path, "rb") as file:
+        return file.read()
+
+
+def id_type(tokenizer_path: str, end_id: int) -> str:
+    """The narrowest integers that hold every id, for rows on their way to the files."""
+    ids = max(len(id_bytes(tokenizer_path, read_file(tokenizer_path))), end_id + 1)
+    return "<u2" if ids <= 1 << 16 else "<u4"
+
+
+def encoded(docs: DataFrame, tokenizer_path: str, end_id: int, kind: str, keys: list[str], text: str) -> DataFrame:
+    """Per row `keys`, tie_ and row_ (the order of rows of equal keys), n_ and ids_ (of a
+    type, `end_id` last)."""
+    shared = docs.sparkSession.sparkContext.broadcast((tokenizer_path, read_file(tokenizer_path)))  # one file of a few MB
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = None
         for batch in batches:
             ids_of = ids_of or id_encoder(*shared.value, special=True)
-            ids = [np.append(np.asarray(ids_of([t])[0], dtype="<u4"), np.uint32(end_id)) for t in batch.column("text_").to_pylist()]
+            texts = batch.column("text_")
+            ids = []
+            for part, _, _ in W.chunks(texts):
+                ids += [np.append(x, end_id).astype(kind) for x in ids_of(texts[part].to_pylist())]
             columns = [*batch.columns[:-1], pa.array([len(i) for i in ids], pa.int64()), binary(ids)]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "n_", "ids_"])
 
@@ -89,14 +103,14 @@ def encoded(docs: DataFrame, tokenizer_path: str, end_id: int, keys: list[str],
     return rows.mapInArrow(encode, f"{fields(docs, keys)}tie_ long, row_ long, n_ long, ids_ binary")
 
 
-def ranked(rows: DataFrame) -> DataFrame:
+def ranked(rows: DataFrame, kind: str) -> DataFrame:
     """(rank, id, n) of the ids in `rows`: the commonest first, of equals the lowest."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, np.int64)
         for batch in batches:
             for ids in batch.column("ids_"):
-                more = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"), minlength=len(seen))
+                more = np.bincount(np.frombuffer(ids.as_buffer(), kind), minlength=len(seen))
                 more[: len(seen)] += seen
                 seen = more
         ids = np.flatnonzero(seen)
@@ -122,7 +136,7 @@ def running_total(parts: DataFrame, part: str, size: str) -> DataFrame:
     )
 
 
-def segments(rows: DataFrame, rank_of: np.ndarray, keys: list[str]) -> DataFrame:
+def segments(rows: DataFrame, kind: str, rank_of: np.ndarray, keys: list[str]) -> DataFrame:
     """The rows in ascending order of `keys`, packed."""
     shared = rows.sparkSession.sparkContext.broadcast(rank_of)  # one rank per id of the vocabulary
 
@@ -134,7 +148,7 @@ def segments(rows: DataFrame, rank_of: np.ndarray, keys: list[str]) -> DataFrame
         def segment() -> pa.RecordBatch:
             nonlocal place, before
             table = pa.Table.from_batches(held).combine_chunks()
-            ids = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in table["ids_"]])
+            ids = np.concatenate([np.frombuffer(x.as_buffer(), kind) for x in table["ids_"]])
             control, data = pack(shared.value[ids])
             columns = [table[k].combine_chunks() for k in (*keys, "n_")]
             documents = pa.StructArray.from_arrays(columns, names=[*keys, "n_"])
@@ -188,10 +202,11 @@ def write_tokens(
     not read.
     """
     spark = docs.sparkSession
-    rows = staged(encoded(docs, tokenizer_path, end_id, keys, text), "token-ids")
+    kind = id_type(tokenizer_path, end_id)
+    rows = staged(encoded(docs, tokenizer_path, end_id, kind, keys, text), "token-ids")
     with setting(spark, CLEANUP, "true"), setting(spark, BATCH, BATCH_BYTES):
-        ranked(rows).write.parquet(f"{path}/ranks")
-        segments(rows, np.argsort(id_of_rank(spark, path, end_id)), keys).write.option("compression", "none").parquet(f"{path}/segments")
+        ranked(rows, kind).write.parquet(f"{path}/ranks")
+        segments(rows, kind, np.argsort(id_of_rank(spark, path, end_id)), keys).write.option("compression", "none").parquet(f"{path}/segments")
         stored = spark.read.parquet(f"{path}/segments")
         sizes = stored.groupBy("part").agg(F.sum(F.aggregate("documents", F.lit(0).cast("long"), lambda n, d: n + d["n_"])).alias("size"))
         running_total(sizes, "part", "size").write.parquet(f"{path}/starts")

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from orderloom.llm import alignment as A
+from orderloom.llm import encoding
 from orderloom.llm import queries
 from orderloom.llm.scratch import staged
 
@@ -80,6 +81,7 @@ def test_pointers_end_at_common_ends(sizes, data):
     assert ends[got].tolist() == [min(c for c in common if c >= e) for e in ends.tolist()]
     a, b = placed(range(len(sizes)), sizes), placed(range(len(others)), np.diff([0, *others]).tolist())
     pairs = A.links(a_end, b_end)
+    assert len(pairs[0]) == len(sizes) + len(others) - len(common)
     assert list(zip(pairs[0].tolist(), pairs[1].tolist())) == sorted(brute_groups(a, b)[1])
 
 
@@ -89,6 +91,25 @@ def test_long_chains_converge():
     assert set(A.terminals(a_end, b_end).tolist()) == {len(a_end) + n - 1}
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \n\t\r▁aAb'1<>é日　\xa0"), st.characters(codec="utf-8")), max_size=30), max_size=4))
+def test_ids_have_the_texts_bytes_or_are_none(values):
+    if not _known:
+        for path in PATHS:
+            with open(path, "rb") as file:
+                data = file.read()
+            _known.append((encoding.id_encoder(path, data, special=False, check=True), encoding.id_bytes(path, data)))
+        _known.append(Library())
+    for (encode, of), spaced, library in zip(_known, (True, False), ((lambda t: _known[2].a.encode(t, add_special_tokens=False).ids), _known[2].b.encode)):
+        for text, got in zip(values, encode([" " + t if spaced else t for t in values])):
+            ids = library(" " + text if spaced else text)
+            same = b"".join(of[i] for i in ids) == (" " + text if text or spaced else "").encode()
+            assert got.tolist() == ids if same else got is None
+
+
+_known = []
+
+
 def texts(seed):
     odd = [r[1] for r in odd_corpus(seed=seed)]
     return odd + [
@@ -125,6 +146,7 @@ def test_the_query(spark, tmp_path, library):
 def test_rare_pairs_are_joined(spark, library, monkeypatch, most):
     monkeypatch.setattr(A, "HELD_PAIRS", 5)
     monkeypatch.setattr(A, "RUN_TOKENS", 30)
+    monkeypatch.setattr(A, "RUN_BYTES", 100)
     corpus = [t for t in texts(52) if len(t or "") < 400]
     rows = [(i, t, "en", "s", 0, 0.0) for i, t in enumerate(corpus)]
     aligned = staged(A.align(frame(spark, rows), *PATHS, ["doc_id"]), "aligned")

@@ -41,7 +41,7 @@ def test_ids_and_bytes_are_the_librarys():
     pieces = encoding.id_bytes(PATH, data)
     for special, ids in ((True, library()), (False, lambda t: [*plain.encode(t, add_special_tokens=False).ids, 2])):
         encode = encoding.id_encoder(PATH, data, special)
-        assert [[*map(int, x), 2] for x in encode(texts)] == [ids(t) for t in texts]
+        assert [[*x.tolist(), 2] for x in encode(texts)] == [ids(t) for t in texts]
     assert [b"".join(pieces[i] for i in x) for x in encode(texts)] == [t.encode() for t in texts]
 
 
@@ -84,6 +84,15 @@ def test_copies_of_one_row_are_cut(spark, monkeypatch):
     assert spark.read.parquet(f"{path}/segments").groupBy("part").sum().count() > 3
 
 
+def test_wide_ids(spark):
+    assert T.id_type(PATH, 2) == "<u2" and T.id_type(PATH, 70_000) == "<u4"
+    rows, path = odd_corpus(seed=44, n=10), scratch_path(spark, "files")
+    T.write_tokens(frame(spark, rows), PATH, 70_000, path, ["doc_id"])
+    ids = library()
+    got = T.read_tokens(spark, path).collect()
+    assert sorted((r["ids"] for r in got)) == sorted([*ids(r[1])[:-1], 70_000] for r in rows)
+
+
 def test_other_files_and_keys(spark):
     rows = odd_corpus(seed=42, n=20)
     path = scratch_path(spark, "files")
