@@ -17,6 +17,7 @@ from orderloom.plans.paged import curate
 from orderloom.plans.run import entity_counts, run_and_write, run_selected as run_datasets
 from orderloom.schemas import DATASETS, dataset_schema
 from orderloom.session import scratch_path, settings
+from orderloom.sinks.buckets import load_all_buckets, read_buckets
 from orderloom.sinks.csv import csv_lines as exact_lines, read_csv, read_csv_split, write_csv
 from orderloom.sinks.manifest import manifest as manifest_of
 from orderloom.sinks.outputs import load_all, write_measured
@@ -566,6 +567,17 @@ def load_incremental(spark, sf_dir):
     return contents(loaded(spark, sf_dir, ["orders", "order_transactions"], windows), ORDER_SHOWN)
 
 
+@query(with_(ORD, LIN, TXN) + entries(*ORDER_ENTRIES))
+def load_bucketed(spark, sf_dir):
+    """The same into tables in buckets, of which a load reads and writes what it touches."""
+    root = scratch_path(spark, "buckets")
+    names: dict = {}
+    for since, to in [(None, "1999-01-01"), ("1998-06-01", None)]:
+        results = run_datasets(spark, lambda name: landed(spark, sf_dir, name), ["orders", "order_transactions"], since=since, to=to)
+        names = load_all_buckets(spark, {name: df for tables in results.values() for name, df in tables.items()}, root)
+    return contents({name: read_buckets(spark, f"{root}/{name}") for name in names}, ORDER_SHOWN)
+
+
 @query(
     """WITH e AS (SELECT *, strftime(ts, '%Y-%m-%d') AS day, CASE WHEN event_id % 3 = 0 THEN 0 WHEN event_id % 3 = 1 THEN 1
       ELSE 2 END AS part FROM events)
