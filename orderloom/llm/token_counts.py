@@ -123,7 +123,11 @@ class TokenCache:
             if files.exists(folder)
             else self.spark.createDataFrame([], CACHE_SCHEMA)
         )
-        return stored.filter(F.col("tokenizer") == tokenizer).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+        # Grouped by a second column too: so this shuffle is none that a join on the digest could
+        # use as its own, and adaptive execution can split a digest that very many rows have.
+        apart = F.xxhash64("digest").alias("apart")
+        counts = stored.filter(F.col("tokenizer") == tokenizer).groupBy("digest", apart).agg(F.max("n_tokens").alias("n_tokens"))
+        return counts.select("digest", "n_tokens")
 
     def append(self, counts: DataFrame, tokenizer: str) -> None:
         with setting(self.spark, CLEANUP, "true"), setting(self.spark, BATCH, BATCH_BYTES):
