@@ -76,14 +76,13 @@ def pack(parts: list[Hashed], buffer: int, buckets: int) -> pa.RecordBatch:
     known = np.sort(place[repeated])
     keep = ~same
     bucket, low, place = bucket[keep], low[keep], place[keep] | np.where(marked[keep], MARK, np.uint32(0))
-    edges = np.searchsorted(bucket, np.arange(buckets + 1))
+    # Only buckets that the buffer has something for: of many buckets most are empty.
+    starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(bucket) else np.zeros(0, np.int64)
     rows: list[tuple] = []
-    for b in range(buckets):
-        i, j = edges[b], edges[b + 1]
-        if i < j:
-            step = low[i:j].copy()
-            step[1:] -= low[i : j - 1]
-            rows.append((b, buffer, ENTRIES, int(j - i), planes(step), planes(place[i:j]), None))
+    for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)]):
+        step = low[i:j].copy()
+        step[1:] -= low[i : j - 1]
+        rows.append((int(bucket[i]), buffer, ENTRIES, j - i, planes(step), planes(place[i:j]), None))
     home = int(buffer % buckets)
     owners = np.column_stack([np.concatenate(keys), np.concatenate(firsts)]).astype(np.int64)
     rows.append((home, buffer, OWNERS, 0, None, None, owners.tobytes()))

@@ -5,8 +5,8 @@ document into blocks of (width + 1) // 2 words.  So:
 
 1. index the hash of every grid block and probe the index with the hash of every
    rolling window of a block's length (`exchange`): the anchors;
-2. extend: every span of `width` words around an anchor is compared, as 128 bits
-   of hash, with all other extended spans.  Overlapping repeated spans join to
+2. extend: every span of `width` words around an anchor is compared, as 64 bits of a
+   second hash and those that pick its bucket, with all other extended spans.  Overlapping repeated spans join to
    the maximal exact repeat;
 3. remove the words of these spans.
 
