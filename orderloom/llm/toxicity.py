@@ -3,10 +3,10 @@
 Words are hashed into embeddings: a word's is the sum of three, of the word and of its
 first 5 and 7 bytes, so forms of a stem share what is learned.  Filters over 1, 2 and
 3 words run over the whole text; each keeps its maximum, and a logistic layer turns
-these into a logit.  It is trained on a bounded sample of labelled texts.  All other
-labelled texts, whole, calibrate it, from counts of their logits by language, with the
-classes weighed as they are among all labels.  For each language, a threshold on the
-calibrated score is set from these counts too.
+these into a logit.  It is trained on a bounded sample of labelled texts.  Then every
+text is scored once.  The logits of all other labelled texts calibrate it, by counts for
+each language, with the classes weighed as they are among all labels.  For each language, a
+threshold on the calibrated score is set from these counts too, wherever it falls.
 """
 
 from __future__ import annotations
@@ -158,58 +158,41 @@ def fit(ids: list[np.ndarray], truth: np.ndarray, epochs: int = 8, batch: int =
 
 
 class Judge(NamedTuple):
-    """A net, each language's threshold, and the one for all others."""
+    """A net, each language's threshold on scores, and the one for all others."""
 
     net: Net
     thresholds: dict[str, float]
     default: float
 
 
-def set_threshold(score: np.ndarray, truth: np.ndarray, cases: np.ndarray, weight: np.ndarray, default: float) -> float:
-    """The middle of the range of thresholds with the best F1; the default where there
-    are too few cases of a class.  An entry stands for so many cases and has their weight."""
+def set_threshold(raw: np.ndarray, truth: np.ndarray, cases: np.ndarray, weight: np.ndarray, default: float) -> float:
+    """The middle of the range of logits that, as thresholds, have the best F1; the default
+    where there are too few cases of a class.  An entry stands for so many cases and has
+    their weight."""
     if cases[truth == 1].sum() < FEWEST or cases[truth == 0].sum() < FEWEST:
         return default
-    order = np.argsort(-score, kind="stable")
+    order = np.argsort(-raw, kind="stable")
     hits, false = np.cumsum((weight * truth)[order]), np.cumsum((weight * (1 - truth))[order])
     f1 = 2 * hits / (hits + false + hits[-1])
-    f1[:-1][score[order][:-1] == score[order][1:]] = -1
+    f1[:-1][raw[order][:-1] == raw[order][1:]] = -1
     i = int(f1.argmax())
-    low = score[order][i + 1] if i + 1 < len(score) else 0.0
-    return float(np.clip((score[order][i] + low) / 2, 0.3, 0.9))
+    low = raw[order][i + 1] if i + 1 < len(raw) else raw[order][i]
+    return float((raw[order][i] + low) / 2)
 
 
-def logit_counts(net: Net, docs: DataFrame, known: DataFrame, fitted: DataFrame):
-    """For pandas: lang, raw (mean logit), n0 and n1 (cases of a class) of each step of the
-    logits of all labelled rows of (doc_id, lang, text) whose id is not among the fitted.
-    Every row of docs is scored where it lies; only ids and logits move."""
-    shared = docs.sparkSession.sparkContext.broadcast(tuple(net))
-
-    def raw(texts: pa.Array) -> pa.Array:
-        net = Net(*shared.value)
-        out = np.zeros(len(texts))
-        for rows, ids, first in word_ids(texts, SCORE_BYTES):
-            out[rows] = logits(net, ids, first)
-        return pa.array(out)
+class Fit(NamedTuple):
+    """A net, all known labels, the ids it was fitted on (None if it wasn't) and how many of
+    each class they are."""
 
-    rows = staged(docs.select("doc_id", "lang", F.arrow_udf(raw, "double")("text").alias("raw")), "logits")
-    rows = rows.join(known, "doc_id").join(fitted, "doc_id", "left_anti")
-    step = F.floor(F.greatest(F.least("raw", F.lit(LOGIT_RANGE)), F.lit(-LOGIT_RANGE)) / LOGIT_STEP).alias("step")
-    classes = [F.count_if(F.col("label") == c).alias(f"n{c}") for c in (0, 1)]
-    counts = rows.groupBy("lang", step).agg(F.avg("raw").alias("raw"), *classes)
-    return counts.toPandas().sort_values(["lang", "step"])
+    net: Net
+    known: DataFrame
+    ids: DataFrame | None
+    n: tuple[int, int]
 
 
-def learn(
-    docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang", label: str = "toxic", held_out: tuple[int, int] = (3, 1)
-) -> Judge:
-    """A judge from labelled documents whose fold (of `held_out[0]`) is not `held_out[1]`.
-
-    About `PER_CLASS` labels of each class and the texts of at most `SAMPLE_WORDS` words
-    among theirs are learned from, but a fifth; this and all other labelled texts, of any
-    length, calibrate and set the thresholds.  Without labels of both classes every score
-    is the same.
-    """
+def fitted(docs: DataFrame, labels: DataFrame, text: str, label: str, held_out: tuple[int, int]) -> Fit:
+    """A net from labelled documents whose fold is not the one held out: about `PER_CLASS`
+    labels of each class, and the texts of at most `SAMPLE_WORDS` words among theirs."""
     folds, out = held_out
     eligible = fold("doc_id", folds) != out
     known = known_labels(labels, label, eligible)
@@ -221,37 +204,90 @@ def learn(
             found += [ids[a:b].astype(np.uint16).tobytes() if b - a <= SAMPLE_WORDS else None for a, b in zip(first[:-1], first[1:])]
         return pa.array(found, pa.binary())
 
-    texts = docs.filter(eligible).select("doc_id", F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     # Bounded by PER_CLASS; of an id's texts one is taken.
+    texts = docs.filter(eligible).select("doc_id", F.col(text).alias("text"))
     rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", F.arrow_udf(ids_of, "binary")("text").alias("ids"))
     found = staged(rows.filter("ids IS NOT NULL").dropDuplicates(["doc_id"]), "sample-ids").toPandas().sort_values("doc_id")
     truth = found["label"].to_numpy(dtype=int)
     if len(set(truth.tolist())) < 2:
-        rng = np.random.default_rng(0)
-        return Judge(fresh(rng)._replace(out=np.zeros(FILTERS * len(WIDTHS), np.float32)), {}, THRESHOLD)
+        flat = fresh(np.random.default_rng(0))._replace(out=np.zeros(FILTERS * len(WIDTHS), np.float32))
+        return Fit(flat, known, None, (0, 0))
     ids = [np.frombuffer(x, np.uint16).reshape(-1, 1 + len(PREFIXES)) for x in found["ids"]]
     part = np.random.default_rng(1).permutation(len(ids)) % 5 == 0
     net = fit([x for x, p in zip(ids, part) if not p], truth[~part])
     # Bounded by PER_CLASS, as the sample is.
-    fitted = [(x,) for x in found["doc_id"][~part].tolist()]
-    fitted = docs.sparkSession.createDataFrame(fitted, StructType([texts.schema["doc_id"]]))
-    counts = logit_counts(net, texts, known, fitted)
+    own = [(x,) for x in found["doc_id"][~part].tolist()]
+    own = docs.sparkSession.createDataFrame(own, StructType([texts.schema["doc_id"]]))
+    return Fit(net, known, own, tuple(int((truth[~part] == c).sum()) for c in (0, 1)))
+
+
+def raw_logit(spark: SparkSession, net: Net, text: str | Column = "text") -> Column:
+    """The logit of a text, before calibration.  Null and empty texts have that of no words."""
+    shared = spark.sparkContext.broadcast(tuple(net))
+
+    def raw(texts: pa.Array) -> pa.Array:
+        net = Net(*shared.value)
+        out = np.zeros(len(texts))
+        for rows, ids, first in word_ids(texts, SCORE_BYTES):
+            out[rows] = logits(net, ids, first)
+        return pa.array(out)
+
+    return F.arrow_udf(raw, "double")(text)
+
+
+def logit_counts(rows: DataFrame, known: DataFrame, own: DataFrame):
+    """For pandas: lang, raw (mean logit), n0 and n1 (cases of a class) of each step of the
+    logits of all labelled rows of (doc_id, lang, raw) whose id is not among the net's own."""
+    rows = rows.join(known, "doc_id").join(own, "doc_id", "left_anti")
+    step = F.floor(F.greatest(F.least("raw", F.lit(LOGIT_RANGE)), F.lit(-LOGIT_RANGE)) / LOGIT_STEP).alias("step")
+    classes = [F.count_if(F.col("label") == c).alias(f"n{c}") for c in (0, 1)]
+    counts = rows.groupBy("lang", step).agg(F.avg("raw").alias("raw"), *classes)
+    return counts.toPandas().sort_values(["lang", "step"])
+
+
+def judged(found: Fit, rows: DataFrame) -> Judge:
+    """The net calibrated, and thresholds set, by all labelled rows of (doc_id, lang, raw)
+    that it was not fitted on.  Without labels of both classes every score is the same."""
+    net = found.net
+    if found.ids is None:
+        return Judge(net, {}, THRESHOLD)
+    counts = logit_counts(rows, found.known, found.ids)
     cases = np.concatenate([counts["n0"], counts["n1"]]).astype(float)
     raw, langs = np.tile(counts["raw"].to_numpy(), 2), np.tile(counts["lang"].to_numpy(dtype=object), 2)
     classes = np.repeat([0, 1], len(counts))
     raw, langs, classes, cases = raw[cases > 0], langs[cases > 0], classes[cases > 0], cases[cases > 0]
     weight = cases.copy()
     for c in (0, 1):
-        weight[classes == c] *= 1 + (truth[~part] == c).sum() / max(1, cases[classes == c].sum())
+        weight[classes == c] *= 1 + found.n[c] / max(1, cases[classes == c].sum())
     scale, shift = temperature(raw, classes, weight)
     net = net._replace(scale=scale, shift=shift)
-    score = sigmoid(scale * raw + shift)
-    default = set_threshold(score, classes, cases, weight, THRESHOLD)
+
+    def calibrated(at: float) -> float:
+        return float(sigmoid(np.array(scale * at + shift)))
+
+    default = set_threshold(raw, classes, cases, weight, np.nan)
     thresholds = {}
     for name in sorted({x for x in langs if x is not None}):
         own = langs == name
-        thresholds[name] = set_threshold(score[own], classes[own], cases[own], weight[own], default)
-    return Judge(net, thresholds, default)
+        thresholds[name] = set_threshold(raw[own], classes[own], cases[own], weight[own], default)
+    return Judge(
+        net,
+        {name: THRESHOLD if np.isnan(at) else calibrated(at) for name, at in thresholds.items()},
+        THRESHOLD if np.isnan(default) else calibrated(default),
+    )
+
+
+def learn(
+    docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang", label: str = "toxic", held_out: tuple[int, int] = (3, 1)
+) -> Judge:
+    """A judge from labelled documents whose fold (of `held_out[0]`) is not `held_out[1]`.
+
+    A bounded sample of their texts is learned from, but a fifth; this and all other
+    labelled texts, of any length, calibrate and set the thresholds.
+    """
+    found = fitted(docs, labels, text, label, held_out)
+    raw = raw_logit(docs.sparkSession, found.net, text).alias("raw")
+    return judged(found, staged(docs.select("doc_id", F.col(lang).cast("string").alias("lang"), raw), "logits"))
 
 
 def toxicity(spark: SparkSession, judge: Judge, text: str | Column = "text") -> Column:
@@ -275,7 +311,15 @@ def threshold(judge: Judge, lang: str | Column = "lang") -> Column:
     return F.coalesce(F.create_map(*pairs)[column], F.lit(judge.default)) if pairs else F.lit(judge.default)
 
 
-def scored(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang", **options) -> DataFrame:
+def score_of(judge: Judge, raw: str) -> Column:
+    """The score of a logit."""
+    at = F.lit(judge.net.scale) * F.col(raw) + F.lit(judge.net.shift)
+    return 1 / (1 + F.exp(-F.greatest(F.least(at, F.lit(60.0)), F.lit(-60.0))))
+
+
+def scored(
+    docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang", label: str = "toxic", held_out: tuple[int, int] = (3, 1)
+) -> DataFrame:
     """One row per document: doc_id, score, predicted (1 from 0.7 on), threshold (of its
     language) and rejected (score at or above that).
 
@@ -283,17 +327,25 @@ def scored(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "
     Rows with null or repeated ids, texts or languages are scored like others; no rows
     give no rows; other columns are not read.
     """
-    judge = learn(docs, labels, text, lang, **options)
-    score = toxicity(docs.sparkSession, judge, text)
-    rows = staged(docs.select("doc_id", threshold(judge, lang).alias("threshold"), score.alias("score")), "scores")
+    found = fitted(docs, labels, text, label, held_out)
+    raw = raw_logit(docs.sparkSession, found.net, text).alias("raw")
+    rows = staged(docs.select("doc_id", F.col(lang).cast("string").alias("lang"), raw), "logits")
+    judge = judged(found, rows)
+    rows = rows.select("doc_id", threshold(judge).alias("threshold"), score_of(judge, "raw").alias("score"))
     return rows.select(
         "doc_id", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "threshold",
         (F.col("score") >= F.col("threshold")).alias("rejected"),
     )
 
 
-def clean_documents(docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang", **options) -> DataFrame:
+def clean_documents(
+    docs: DataFrame, labels: DataFrame, text: str = "text", lang: str = "lang", label: str = "toxic", held_out: tuple[int, int] = (3, 1)
+) -> DataFrame:
     """The documents that are not rejected; columns stay as they are."""
-    judge = learn(docs, labels, text, lang, **options)
-    score = toxicity(docs.sparkSession, judge, text)
-    return staged(docs.filter(score < threshold(judge, lang)), "clean")
+    found = fitted(docs, labels, text, label, held_out)
+    held = docs.select(F.struct("*").alias("doc"), raw_logit(docs.sparkSession, found.net, text).alias("raw"))
+    rows = staged(held, "logits")
+    language = F.col("doc")[lang].cast("string")
+    judge = judged(found, rows.select(F.col("doc")["doc_id"].alias("doc_id"), language.alias("lang"), "raw"))
+    kept = rows.filter(score_of(judge, "raw") < threshold(judge, language))
+    return kept.select(*[F.col("doc")[name].alias(name) for name in docs.columns])
