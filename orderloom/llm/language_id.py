@@ -4,9 +4,10 @@ Every language has a model of 4-grams of letters (runs of anything else are one
 space).  Counts come from all texts to learn from, summed over tasks.  A model is a
 set of sorted arrays: hashes of n-grams with their probabilities, and hashes of
 contexts with their back-off weights.  A text gets the language whose model has the
-lowest cross-entropy per character.  On texts kept out of the counts, the scores are
-calibrated, and for each language the cross-entropy beyond which a text is rejected
-as foreign to it.
+lowest cross-entropy per character.  One text in 16 is kept out of the counts; on all of
+these the scores are calibrated, and for each language the cross-entropy beyond which a
+text is rejected as foreign to it.  Tasks sum up what both take: losses on a grid of
+sharpnesses, and a histogram of cross-entropies by language.
 
 No n-gram is dropped.  Models of more than about 2^22 4-grams are cut into parts by
 the two middle characters of a 4-gram, so that all n-grams of 3 and 4 that a 4-gram's
@@ -16,10 +17,12 @@ estimated from the counts of all parts.  A task holds one part at a time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 from pyspark import Broadcast
@@ -33,10 +36,14 @@ ORDER = 4
 # 4-grams in a part of the models, about; parts follow the pair modulo a prime.
 PART_GRAMS = 1 << 22
 PART_PRIME = 1_000_003
-# Texts the calibration takes at most, about; one in so many is kept out of the counts.
-CALIBRATION_TEXTS = 4000
+# One text in so many is kept out of the counts, for calibration.
 CALIBRATION_SHARE = 16
+# Sharpnesses to choose from; steps in which bits per character are counted.
+SHARPNESSES = 2.0 ** np.arange(0, 8, 0.25)
+BIT_STEP = 1 / 256
 REJECTED_SHARE = 0.002
+# Texts of its own that a language needs for a limit of its own; others share one.
+FEWEST = 500
 NOT_LETTERS = regex.compile(r"[^\p{L}\p{M}]+")
 LETTER = regex.compile(r"\p{L}")
 # Distinct grams whose scores a task remembers.
@@ -290,9 +297,10 @@ def shared_models(spark: SparkSession, counts: DataFrame, part_grams: int = PART
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", part_grams: int = PART_GRAMS) -> Identifier:
-    """An identifier from the texts of `docs`; rows with a null language are passed over.
-    The counts cover all texts but one in 16 (by a hash of the text), of which about
-    4,000 calibrate it."""
+    """An identifier from the texts of `docs`; rows with a null language are passed over, as
+    are texts without a letter.  The counts cover all texts but one in 16 (by a hash of the
+    text, so copies go together); all of these calibrate it.  Repeated rows count each.
+    Ids are not read."""
     rows = docs.select(F.col(lang).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text")).filter("lang IS NOT NULL")
     kept_out = F.pmod(F.xxhash64("text"), F.lit(CALIBRATION_SHARE)) == 0
     counted = rows.filter(~kept_out).mapInArrow(count_grams, "lang string, gram long, n long")
@@ -300,38 +308,54 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", part_grams: i
     langs, parts = shared_models(docs.sparkSession, counts, part_grams)
     if not langs:
         return Identifier([], [], 1.0, [])
-
-    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(parts, len(langs))
-        for batch in batches:
-            bits = entropies(batch.column("text"), scorer)
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(list(bits), pa.list_(pa.float64()))], names=["lang", "bits"])
-
-    calibration = rows.filter(kept_out)
-    share = min(1.0, CALIBRATION_TEXTS / max(1, calibration.count()))
-    chosen = calibration.filter(F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    found = chosen.mapInArrow(measured, "lang string, bits array<double>").toPandas()
+    summed = rows.filter(kept_out).mapInArrow(calibration_sums(langs, parts), "lang string, step long, n double")
+    # A row per sharpness, and per language and step of the bits that characters take.
+    found = staged(summed.groupBy("lang", "step").agg(F.sum("n").alias("n")), "calibration").toPandas()
     return calibrated(langs, parts, found)
 
 
-def calibrated(langs: list[str], parts: list[Broadcast], found) -> Identifier:
-    bits = np.array(found["bits"].tolist()).reshape(-1, len(langs))
-    truth = np.array([langs.index(x) if x in langs else -1 for x in found["lang"]], dtype=int)
-    usable = (truth >= 0) & ~np.isnan(bits).any(axis=1)
-    bits, truth = bits[usable], truth[usable]
-    if not len(bits):
-        return Identifier(langs, parts, 8.0, [float("inf")] * len(langs))
-    own = bits[np.arange(len(bits)), truth]
-
-    def loss(sharpness: float) -> float:
-        return float(np.mean(sharpness * (own - bits.min(axis=1)) - np.log2(confidence(bits, sharpness))))
+def calibration_sums(langs: list[str], parts: list[Broadcast]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For mapInArrow on (lang, text): the number of a language's texts by the bits per
+    character that its own model gives them, in steps; and with a null language, for each
+    sharpness, the sum of the losses of all texts."""
 
-    sharpness = min((2.0**x for x in np.arange(0, 8, 0.25)), key=loss)
-    limits = []
-    for i in range(len(langs)):
-        mine = own[truth == i]
-        limits.append(float(np.quantile(mine, 1 - REJECTED_SHARE)) + 0.5 if len(mine) else float("inf"))
-    return Identifier(langs, parts, sharpness, limits)
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer, index = Scorer(parts, len(langs)), {name: i for i, name in enumerate(langs)}
+        losses, seen = np.zeros(len(SHARPNESSES)), Counter()
+        for batch in batches:
+            bits = entropies(batch.column("text"), scorer)
+            truth = np.array([index.get(x, -1) for x in batch.column("lang").to_pylist()], dtype=int)
+            usable = (truth >= 0) & ~np.isnan(bits).any(axis=1)
+            bits, truth = bits[usable], truth[usable]
+            own = bits[np.arange(len(bits)), truth]
+            losses += [(s * (own - bits.min(axis=1, initial=np.inf)) - np.log2(confidence(bits, s))).sum() if len(own) else 0 for s in SHARPNESSES]
+            seen.update(zip(truth.tolist(), np.floor(own / BIT_STEP).astype(int).tolist()))
+        rows = [(None, i, loss) for i, loss in enumerate(losses.tolist())] + [(langs[t], step, float(n)) for (t, step), n in seen.items()]
+        columns = [pa.array(list(c), kind) for c, kind in zip(zip(*rows), (pa.string(), pa.int64(), pa.float64()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["lang", "step", "n"])
+
+    return sums
+
+
+def limit(own: pd.DataFrame) -> float:
+    """Half a bit beyond what all but the worst `REJECTED_SHARE` of texts take; `own` counts
+    them by steps."""
+    counts = own.groupby("step")["n"].sum().sort_index()
+    at = int(np.searchsorted(counts.cumsum().to_numpy(), (1 - REJECTED_SHARE) * counts.sum()))
+    return float((counts.index[min(at, len(counts) - 1)] + 1) * BIT_STEP) + 0.5
+
+
+def calibrated(langs: list[str], parts: list[Broadcast], found: pd.DataFrame) -> Identifier:
+    """The identifier by the sums of `calibration_sums`.  A language with too few texts has
+    the limit of all together, or the widest of any with its own if that is wider."""
+    counts = found[found["lang"].notna()]
+    if not len(counts):
+        return Identifier(langs, parts, 8.0, [float("inf")] * len(langs))
+    losses = found[found["lang"].isna()].sort_values("step")["n"].to_numpy()
+    own = {name: rows for name, rows in counts.groupby("lang")}
+    known = {name: limit(rows) for name, rows in own.items() if rows["n"].sum() >= FEWEST}
+    common = max([limit(counts), *known.values()])
+    return Identifier(langs, parts, float(SHARPNESSES[losses.argmin()]), [known.get(name, common) for name in langs])
 
 
 def identify(spark: SparkSession, identifier: Identifier, text: str | Column = "text") -> Column:
@@ -340,11 +364,11 @@ def identify(spark: SparkSession, identifier: Identifier, text: str | Column = "
     rejected (bits above the language's limit: likely another language)."""
     langs, parts, sharpness, limits = identifier
 
-    def guess(texts: pa.Array) -> pa.Array:
+    def guess(texts: pa.Array, scorer: Scorer) -> pa.Array:
         n = len(texts)
         lang, score, best, rejected = np.full(n, "und", dtype=object), np.zeros(n), np.full(n, np.nan), np.zeros(n, dtype=bool)
         if langs:
-            bits = entropies(texts, Scorer(parts, len(langs)))
+            bits = entropies(texts, scorer)
             some = np.flatnonzero(~np.isnan(bits).any(axis=1)) if n else []
             if len(some):
                 which = bits[some].argmin(axis=1)
@@ -357,4 +381,10 @@ def identify(spark: SparkSession, identifier: Identifier, text: str | Column = "
             names=["lang", "score", "bits", "rejected"],
         )
 
-    return F.arrow_udf(guess, "lang string, score double, bits double, rejected boolean")(text)
+    def guesses(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        # What a task has met it remembers over all its batches.
+        scorer = Scorer(parts, len(langs))
+        for texts in batches:
+            yield guess(texts, scorer)
+
+    return F.arrow_udf(guesses, "lang string, score double, bits double, rejected boolean")(text)

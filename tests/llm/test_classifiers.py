@@ -79,7 +79,8 @@ def test_long_texts_are_calibrated_on(spark):
     docs = spark.createDataFrame([(i, "en", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")
     known = spark.createDataFrame([(0, 1), (1, 0), (2, 0), (9, 1)], "doc_id long, label int")
     fitted = spark.createDataFrame([(2,)], "doc_id long")
-    got = X.logit_counts(X.fresh(np.random.default_rng(0)), docs, known, fitted)
+    raw = X.raw_logit(spark, X.fresh(np.random.default_rng(0))).alias("raw")
+    got = X.logit_counts(docs.select("doc_id", "lang", raw), known, fitted)
     assert got["n1"].sum() == 1 and got["n0"].sum() == 1
 
 
@@ -95,6 +96,61 @@ def test_toxicity_scores_texts_alone(spark):
     assert all(abs(a[t] - b[t]) < 1e-5 for t in texts) and a[""] == a[None]
 
 
+def plain_logit(net, ids):
+    """One text's logit by loops: every filter at every place, its largest response, if that
+    is above zero, weighed.  Places before and behind the text are padding."""
+    gap = max(X.WIDTHS)
+    pad = [[X.PAD] * ids.shape[1]]
+    words = np.concatenate([pad, ids, pad * (gap + 1)]).astype(int)
+    vectors = net.embed[words].sum(axis=1, dtype=np.float64)
+    pooled = []
+    for w in X.WIDTHS:
+        for f in range(X.FILTERS):
+            places = range(len(ids) + 1) if len(ids) else range(1)
+            responses = [sum(vectors[p + j] @ net.filters[w][j][:, f] for j in range(w)) + net.offsets[w][f] for p in places]
+            pooled.append(max(0.0, max(responses)))
+    return float(np.dot(pooled, net.out) + net.bias)
+
+
+def test_convolution_matches_plain_loops():
+    rng = np.random.default_rng(2)
+    net = X.fresh(rng)._replace(offsets={w: rng.normal(0, 0.1, X.FILTERS).astype(np.float32) for w in X.WIDTHS}, bias=0.3)
+    texts = ["a b c d e f", "one", "two words", "", "the same the same the same"]
+    (_, ids, first), = X.word_ids(pa.array(texts))
+    got = X.logits(net, ids, first)
+    want = [plain_logit(net, ids[a:b]) for a, b in zip(first[:-1], first[1:])]
+    assert np.allclose(got, want, atol=1e-4)
+
+
+def test_fitting_lowers_the_loss_as_gradients_say():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["ka", "lo", "mi", "vile"] if i % 2 else ["ka", "lo", "mi"], 12)) for i in range(40)]
+    (_, ids, first), = X.word_ids(pa.array(texts))
+    own, truth = [ids[a:b] for a, b in zip(first[:-1], first[1:])], np.array([int("vile" in t) for t in texts])
+
+    def loss(net):
+        p = samples.sigmoid(X.logits(net, ids, first))
+        return -np.mean(np.log(np.where(truth == 1, p, 1 - p)))
+
+    losses = [loss(X.fit(own, truth, epochs=n)) for n in (1, 4, 12)]
+    assert losses[0] > losses[1] > losses[2] and losses[2] < 0.3
+
+
+def test_thresholds_are_where_f1_is_best():
+    rng = np.random.default_rng(5)
+    raw, truth = rng.normal(0, 1, 300), (rng.random(300) < 0.3).astype(int)
+    raw[truth == 1] += 1.5
+    weight = cases = np.ones(300)
+    at = X.set_threshold(raw, truth, cases, weight, 9.0)
+
+    def f1(t):
+        hit = raw >= t
+        return 2 * (hit & (truth == 1)).sum() / (hit.sum() + truth.sum())
+
+    assert f1(at) >= max(f1(t) for t in raw) - 1e-9
+    assert X.set_threshold(raw[:30], truth[:30], cases[:30], weight[:30], 9.0) == 9.0
+
+
 def test_convolution_spans_no_two_texts():
     net = X.fresh(np.random.default_rng(0))
     texts = ["a b c d", "", "e", "f g"]
@@ -194,6 +250,89 @@ def test_kneser_ney_is_a_distribution():
         assert (np.diff(model.hashes[order].astype(object)) > 0).all()
 
 
+def kneser_ney(text_counts, discounts):
+    """Probabilities by dictionaries, straight from the definition: orders 1 to 4 of
+    interpolated models, lower orders counting the characters before an n-gram."""
+    tables = {4: dict(text_counts)}
+    for order in (3, 2, 1):
+        before = {}
+        for gram in tables[order + 1]:
+            before[gram[1:]] = before.get(gram[1:], 0) + 1
+        tables[order] = before
+    floor = 1 / (len(tables[1]) + 1)
+
+    def probability(gram):
+        value = floor
+        for order in range(1, 5):
+            own = gram[4 - order :]
+            context = {g: n for g, n in tables[order].items() if g[:-1] == own[:-1]}
+            if context:
+                total, less = sum(context.values()), discounts[order]
+                weight = less * len(context) / total
+                value = max(context.get(own, 0) - less, 0) / total + weight * value
+        return value
+
+    return probability
+
+
+def test_models_match_a_dictionary_kneser_ney():
+    rng = random.Random(9)
+    text = "   " + "".join(rng.choice("aab c") for _ in range(300)) + " "
+    counts = {}
+    for i in range(len(text) - 3):
+        counts[text[i : i + 4]] = counts.get(text[i : i + 4], 0) + 1
+    chars = np.array([ord(c) for c in text], dtype=np.uint16)
+    seen, n = np.unique(L.grams(chars, np.array([0, len(chars)]))[0], return_counts=True)
+    model = L.train(seen, n)
+    tables = {4: n}
+    codes = seen
+    for order in (3, 2, 1):
+        codes, tables[order] = np.unique(L.tail(codes, order), return_counts=True)
+    want = kneser_ney(counts, {order: L.discount(t) for order, t in tables.items()})
+    probes = ["".join(rng.choice("abc xz") for _ in range(4)) for _ in range(200)] + list(counts)
+    packed = np.array([sum(ord(c) << 16 * (3 - i) for i, c in enumerate(p)) for p in probes], dtype=np.uint64)
+    assert np.allclose(L.chance(model, packed, 4), [want(p) for p in probes], rtol=1e-5)
+
+
+def test_all_kept_out_texts_calibrate_by_language(spark, monkeypatch):
+    monkeypatch.setattr(L, "FEWEST", 5)
+    rows = languages(4, 900)
+    docs = frame(spark, rows + [(7000 + i, t, "rare", "s", 0, 0.0) for i, t in enumerate(["ka lo", "12"])])
+    sums, found = [], L.calibrated
+    monkeypatch.setattr(L, "calibrated", lambda *a: sums.append(a) or found(*a))
+    identifier = L.learn(docs)
+    (langs, parts, table), = sums
+    kept = {r["text"]: r["lang"] for r in docs.filter("pmod(xxhash64(text), 16) = 0 AND lang IS NOT NULL").collect()}
+    counted = table[table["lang"].notna()]
+    assert counted["n"].sum() == sum(L.LETTER.search(t) is not None for t in kept) > 30
+    # The same from every text's bits.
+    bits = L.entropies(pa.array(list(kept)), L.Scorer(parts, len(langs)))
+    usable = ~np.isnan(bits).any(axis=1)
+    bits, truth = bits[usable], np.array([langs.index(x) for x in kept.values()])[usable]
+    own = bits[np.arange(len(bits)), truth]
+    losses = [np.mean(s * (own - bits.min(axis=1)) - np.log2(L.confidence(bits, s))) for s in L.SHARPNESSES]
+    assert identifier.sharpness == L.SHARPNESSES[int(np.argmin(losses))]
+    for i, name in enumerate(langs):
+        mine = np.sort(own[truth == i])
+        if len(mine) >= 5:
+            assert mine[-1] + 0.5 <= identifier.limits[i] <= mine[-1] + 0.5 + L.BIT_STEP
+    assert np.isfinite(identifier.limits).all()
+
+
+def test_language_id_of_odd_rows(spark):
+    rows = languages(5, 300)
+    odd = [(None, t, lang, "s", 0, 0.0) for _, t, lang, *_ in rows[:3]] + rows[:5] + [(800, "ka lo " * 60_000, "aa", "s", 0, 0.0)]
+    docs = frame(spark, rows + odd + [(801, None, "aa", None, 0, 0.0), (802, "x", None, None, 0, 0.0)])
+    identifier = L.learn(docs)
+    got = docs.select("doc_id", "text", L.identify(spark, identifier).alias("g")).collect()
+    assert len(got) == len(rows) + len(odd) + 2
+    by_text = {}
+    for r in got:
+        by_text.setdefault(r["text"], set()).add(tuple(r["g"]))
+    assert all(len(x) == 1 for x in by_text.values())
+    assert next(iter(by_text["ka lo " * 60_000]))[0] == "aa" and next(iter(by_text[None]))[0] == "und"
+
+
 def test_no_gram_is_dropped_in_any_number_of_parts(spark):
     seen = {"aa": {}, "bb": {}}
     rng = random.Random(7)
