@@ -40,6 +40,8 @@ LOGIT_STEP = 1 / 256
 LOGIT_RANGE = 32
 THRESHOLD = 0.7
 FEWEST = 20
+# What recall counts against precision where thresholds are set: clean texts should stay.
+BETA = 0.5
 
 
 class Net(NamedTuple):
@@ -166,16 +168,16 @@ class Judge(NamedTuple):
 
 
 def set_threshold(raw: np.ndarray, truth: np.ndarray, cases: np.ndarray, weight: np.ndarray, default: float) -> float:
-    """The middle of the range of logits that, as thresholds, have the best F1; the default
-    where there are too few cases of a class.  An entry stands for so many cases and has
-    their weight."""
+    """The middle of the range of logits that, as thresholds, have the best F measure, in
+    which precision counts more (`BETA`); the default where there are too few cases of a
+    class.  An entry stands for so many cases and has their weight."""
     if cases[truth == 1].sum() < FEWEST or cases[truth == 0].sum() < FEWEST:
         return default
     order = np.argsort(-raw, kind="stable")
     hits, false = np.cumsum((weight * truth)[order]), np.cumsum((weight * (1 - truth))[order])
-    f1 = 2 * hits / (hits + false + hits[-1])
-    f1[:-1][raw[order][:-1] == raw[order][1:]] = -1
-    i = int(f1.argmax())
+    measure = (1 + BETA**2) * hits / (hits + false + BETA**2 * hits[-1])
+    measure[:-1][raw[order][:-1] == raw[order][1:]] = -1
+    i = int(measure.argmax())
     low = raw[order][i + 1] if i + 1 < len(raw) else raw[order][i]
     return float((raw[order][i] + low) / 2)
 

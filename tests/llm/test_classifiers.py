@@ -136,18 +136,18 @@ def test_fitting_lowers_the_loss_as_gradients_say():
     assert losses[0] > losses[1] > losses[2] and losses[2] < 0.3
 
 
-def test_thresholds_are_where_f1_is_best():
+def test_thresholds_are_where_f_is_best():
     rng = np.random.default_rng(5)
     raw, truth = rng.normal(0, 1, 300), (rng.random(300) < 0.3).astype(int)
     raw[truth == 1] += 1.5
     weight = cases = np.ones(300)
     at = X.set_threshold(raw, truth, cases, weight, 9.0)
 
-    def f1(t):
+    def f(t):
         hit = raw >= t
-        return 2 * (hit & (truth == 1)).sum() / (hit.sum() + truth.sum())
+        return (1 + X.BETA**2) * (hit & (truth == 1)).sum() / (hit.sum() + X.BETA**2 * truth.sum())
 
-    assert f1(at) >= max(f1(t) for t in raw) - 1e-9
+    assert f(at) >= max(f(t) for t in raw) - 1e-9
     assert X.set_threshold(raw[:30], truth[:30], cases[:30], weight[:30], 9.0) == 9.0
 
 
