@@ -9,14 +9,18 @@ items' spans by a second, wider hash, which extends hits to all their words.
 
 An item of n < 10 words is one span of n words, for which winnowing has k = n, w = 1:
 every n-gram of the documents is looked up.  That is done only for the lengths that
-occur.
+occur, in the same pass.
 
-The benchmark's tables are stored first, so their measured size decides whether Spark
-broadcasts them; beyond its threshold both joins shuffle narrow rows.
+Documents are tokenised once, for the fingerprints of all lengths, which are stored;
+then only texts with a hit are read again.  The benchmark's tables and the keys of hit
+texts are stored first, so their measured size decides whether Spark broadcasts them;
+beyond its threshold the joins shuffle.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,53 +78,82 @@ def item_spans(benchmark: DataFrame, item_id: str, text: str, span: int) -> Data
     )
 
 
-def gram_hashes(tokenized: DataFrame, tokens: str, k: int, *keep: str) -> DataFrame:
-    """`keep` and `g`, the hashes of all k-grams of each text's words."""
-    hashed = tokenized.select(*keep, F.transform(tokens, lambda x: F.xxhash64(x)).alias("g"))
-    return hashed.select(*keep, grams("g", k).alias("g")) if k > 1 else hashed
+def word_hashes(tokens: str) -> Column:
+    return F.transform(tokens, lambda x: F.xxhash64(x)).alias("h")
+
+
+def gram_of(width: int, span: int, k: int) -> tuple[int, int]:
+    """The length of the grams that stand for a span, and how many of them make a window."""
+    return (k, span - k + 1) if width == span else (width, 1)
+
+
+def fingerprints(hashed: DataFrame, widths: list[int], span: int, k: int, *keep: str) -> DataFrame:
+    """`keep` and prints, an array of (width, hash): each text's winnowed grams for spans of
+    every width, from its word hashes `h`."""
+    names = {width: f"g{width}" for width in widths}
+    sizes = {width: gram_of(width, span, k) for width in widths}
+    grammed = hashed.select(*keep, *[(grams("h", sizes[w][0]) if sizes[w][0] > 1 else F.col("h")).alias(names[w]) for w in widths])
+    picked = [winnow(names[w], sizes[w][1]) if sizes[w][1] > 1 else F.array_distinct(names[w]) for w in widths]
+    marked = [with_width(p, w) for w, p in zip(widths, picked)]
+    return grammed.select(*keep, F.concat(*marked).alias("prints"))
+
+
+def with_width(hashes: Column, width: int) -> Column:
+    return F.transform(hashes, lambda x: F.struct(F.lit(width).alias("width"), x.alias("hash")))
 
 
-def fingerprints(tokenized: DataFrame, tokens: str, k: int, w: int, *keep: str) -> DataFrame:
-    """Rows of `keep` and hash: each text's winnowed k-grams."""
-    picked = winnow("g", w) if w > 1 else F.array_distinct("g")
-    # Of a plain explode the optimizer would filter the texts by the size of the array,
-    # and for that compute all of it again, once more for every element.
-    rows = gram_hashes(tokenized, tokens, k, *keep).select(*keep, F.explode_outer(picked).alias("hash"))
-    return rows.filter("hash IS NOT NULL")
+def placed(hashes: Column, width: int) -> Column:
+    return F.transform(hashes, lambda x, i: F.struct(F.lit(width).alias("width"), i.alias("at"), x.alias("hash")))
 
 
-def shared_spans(docs: DataFrame, spans: DataFrame, text: str, span: int, k: int) -> DataFrame | None:
+def keyed_spans(tokens: str, candidates: str, width: int) -> Column:
+    """The candidates of a width that fit into the text, with the keys of their spans."""
+    fits = F.filter(candidates, lambda c: (c["width"] == width) & (c["at"] + width <= F.size(tokens)))
+    return F.transform(fits, lambda c: F.struct(c["width"].alias("width"), c["at"].alias("at"), *span_key(tokens, c["at"], width)))
+
+
+def printed(docs: DataFrame, spans: DataFrame, text: str, span: int, k: int, *keep: str) -> tuple[list[int], DataFrame]:
+    """The lengths of the benchmark's spans, and (`keep`, text keys, n_words, prints) of every
+    row, stored; `spans` as `item_spans`, stored."""
+    widths = sorted(r[0] for r in spans.select("width").distinct().collect())  # `span` at most
+    tokenized = docs.select(*keep, *text_key(text), words(text).alias("w"))
+    hashed = tokenized.select(*keep, *TEXT_KEY, F.size("w").cast("long").alias("n_words"), word_hashes("w"))
+    if not widths:
+        none = F.array().cast("array<struct<width:int,hash:bigint>>").alias("prints")
+        return widths, staged(hashed.select(*keep, *TEXT_KEY, "n_words", none), "prints")
+    return widths, staged(fingerprints(hashed, widths, span, k, *keep, *TEXT_KEY, "n_words"), "prints")
+
+
+def shared_spans(docs: DataFrame, prints: DataFrame, spans: DataFrame, widths: list[int], text: str, span: int, k: int) -> DataFrame:
     """(text keys, at, width, s1, s2) of the benchmark's spans in each distinct text that
-    has any; `spans` as `item_spans`, stored.  None if there are no spans."""
-    texts = docs.select(*text_key(text), F.col(text).alias("text"))
-    tokenized = texts.select(*TEXT_KEY, words("text").alias("w"))
-    lengths = sorted(r[0] for r in spans.select("width").distinct().collect())  # `span` at most
-    found = None
-    for width in lengths:
-        gram, window = (k, span - k + 1) if width == span else (width, 1)
-        wanted = fingerprints(spans.filter(F.col("width") == width), "span", gram, window, "width")
-        wanted = staged(wanted.select("hash").distinct(), "fingerprints")
-        hits = fingerprints(tokenized, "w", gram, window, *TEXT_KEY).join(wanted, "hash", "left_semi")
-        hits = staged(hits.distinct(), "hits")
-        # One text for each key that has a hit; copies are dropped before the shuffle.
-        once = texts.groupBy(*TEXT_KEY).agg(F.first("text").alias("text"))
-        # Both sides are dealt by key whatever their size, as the first one is anyway.
-        hit_texts = once.join(hits.select(*TEXT_KEY).distinct().hint("merge"), list(TEXT_KEY), "left_semi")
-        hit_texts = staged(hit_texts.select(*TEXT_KEY, words("text").alias("w")), "hit-texts")
-        at = F.posexplode_outer("g").alias("at", "hash")
-        places = gram_hashes(hit_texts, "w", gram, *TEXT_KEY).select(*TEXT_KEY, at)
-        places = places.join(hits, [*TEXT_KEY, "hash"], "left_semi").groupBy(*TEXT_KEY).agg(F.collect_set("at").alias("places"))
-        # Extend: all spans that hold a hit, as far as the text goes.
-        around = F.flatten(F.transform("places", lambda p: F.sequence(F.greatest(p - (width - gram), F.lit(0)), p)))
-        candidates = hit_texts.join(places, list(TEXT_KEY)).select(*TEXT_KEY, "w", F.array_distinct(around).alias("c"))
-        fits = F.filter("c", lambda c: c + width <= F.size("w"))
-        keyed = F.transform(fits, lambda at: F.struct(at.alias("at"), *span_key("w", at, width)))
-        candidates = candidates.select(*TEXT_KEY, F.explode_outer(keyed).alias("c")).select(*TEXT_KEY, "c.*")
-        candidates = candidates.withColumn("width", F.lit(width))
-        known = spans.filter(F.col("width") == width).select("s1", "s2").distinct()
-        shared = candidates.join(known, ["s1", "s2"], "left_semi").select(*TEXT_KEY, "at", "width", "s1", "s2")
-        found = shared if found is None else found.unionByName(shared)
-    return found
+    has any; `prints` and `widths` as `printed`."""
+    hashed = spans.select("width", word_hashes("span"))
+    own = [fingerprints(hashed.filter(F.col("width") == w), [w], span, k).select(F.explode("prints").alias("p")) for w in widths]
+    wanted = staged(reduce(DataFrame.unionAll, own).select("p.*").distinct(), "fingerprints")
+    found = prints.select(*TEXT_KEY, F.explode("prints").alias("p")).select(*TEXT_KEY, "p.*")
+    hits = staged(found.join(wanted, ["width", "hash"], "left_semi").distinct(), "hits")
+
+    # One text for each key that has a hit.
+    keys = staged(hits.select(*TEXT_KEY).distinct(), "hit-keys")
+    texts = docs.select(*text_key(text), F.col(text).alias("text")).join(keys, list(TEXT_KEY), "left_semi")
+    once = texts.groupBy(*TEXT_KEY).agg(F.first("text").alias("text"))
+    tokenized = staged(once.select(*TEXT_KEY, words("text").alias("w")), "hit-texts")
+
+    grammed = tokenized.select(*TEXT_KEY, word_hashes("w"))
+    sizes = {w: gram_of(w, span, k)[0] for w in widths}
+    by_width = [placed(grams("h", sizes[w]) if sizes[w] > 1 else F.col("h"), w) for w in widths]
+    places = grammed.select(*TEXT_KEY, F.explode_outer(F.concat(*by_width)).alias("g")).select(*TEXT_KEY, "g.*")
+    places = places.join(hits, [*TEXT_KEY, "width", "hash"], "left_semi")
+    # Extend: all spans that hold a hit, as far as the text goes.
+    reach = F.create_map(*[F.lit(x) for w in widths for x in (w, w - sizes[w])])[F.col("width")]
+    around = F.explode(F.sequence(F.greatest(F.col("at") - reach, F.lit(0)), F.col("at"))).alias("at")
+    starts_ = places.select(*TEXT_KEY, "width", around).distinct()
+    starts_ = starts_.groupBy(*TEXT_KEY).agg(F.collect_list(F.struct("width", "at")).alias("c"))
+    spanned = tokenized.join(starts_, list(TEXT_KEY))
+    keyed = [keyed_spans("w", "c", width) for width in widths]
+    candidates = spanned.select(*TEXT_KEY, F.explode_outer(F.concat(*keyed)).alias("c")).select(*TEXT_KEY, "c.*")
+    known = spans.select("width", "s1", "s2").distinct()
+    return candidates.join(known, ["width", "s1", "s2"], "left_semi").select(*TEXT_KEY, "at", "width", "s1", "s2")
 
 
 def contamination(
@@ -144,13 +177,13 @@ def contamination(
     """
     if not 0 < k <= span:
         raise ValueError("k must be between 1 and span")
-    rows = docs.select(*keys, *text_key(text), F.size(words(text)).cast("long").alias("n_words"))
     spans = staged(item_spans(benchmark, item_id, item_text, span), "spans")
-    found = shared_spans(docs, spans, text, span, k)
+    widths, prints = printed(docs, spans, text, span, k, *keys)
+    rows = prints.select(*keys, *TEXT_KEY, "n_words")
     none = F.array().cast("array<string>")
-    if found is None:
+    if not widths:
         return rows.select(*keys, "n_words", F.lit(0).cast("long").alias("n_hit"), none.alias("items"), F.lit(False).alias("contaminated"))
-    found = staged(found, "found")
+    found = staged(shared_spans(docs, prints, spans, widths, text, span, k), "found")
     # Words in the union of a text's spans: each counts from where the earlier ones end.
     so_far = Window.partitionBy(*TEXT_KEY).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     ends = found.groupBy(*TEXT_KEY, "at").agg(F.max(F.col("at") + F.col("width")).alias("end"))
@@ -159,7 +192,8 @@ def contamination(
     owners = spans.select("width", "s1", "s2", F.col("item_id").cast("string").alias("item")).distinct()
     owned = found.select(*TEXT_KEY, "width", "s1", "s2").distinct().join(owners, ["width", "s1", "s2"])
     items = owned.groupBy(*TEXT_KEY).agg(F.sort_array(F.collect_set("item")).alias("items"))
-    marks = n_hit.join(items, list(TEXT_KEY), "left")
+    # Stored apart from the join to all rows, so that a text which very many rows have can be split.
+    marks = staged(n_hit.join(items, list(TEXT_KEY), "left"), "marks")
     return rows.join(marks, list(TEXT_KEY), "left").select(
         *keys,
         "n_words",
@@ -169,13 +203,15 @@ def contamination(
     )
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+def clean_documents(
+    docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", span: int = SPAN, k: int = K
+) -> DataFrame:
     """The documents without those that hold a benchmark span; columns stay as they are."""
-    spans = staged(item_spans(benchmark, options.get("item_id", "item_id"), options.get("item_text", "text"), options.get("span", SPAN)), "spans")
-    found = shared_spans(docs, spans, text, options.get("span", SPAN), options.get("k", K))
-    if found is None:
+    spans = staged(item_spans(benchmark, item_id, item_text, span), "spans")
+    widths, prints = printed(docs, spans, text, span, k)
+    if not widths:
         return docs
+    found = shared_spans(docs, prints, spans, widths, text, span, k)
     marked = staged(found.select(*TEXT_KEY).distinct(), "contaminated")
-    names = docs.columns
     held = docs.select(F.struct("*").alias("doc"), *text_key(text))
-    return held.join(marked, list(TEXT_KEY), "left_anti").select(*[F.col("doc")[name].alias(name) for name in names])
+    return held.join(marked, list(TEXT_KEY), "left_anti").select(*[F.col("doc")[name].alias(name) for name in docs.columns])

@@ -85,6 +85,18 @@ def test_empty_tables(spark):
     assert D.contamination(empty(spark), some, ["doc_id"]).collect() == []
 
 
+def test_documents_are_tokenised_once(spark, monkeypatch):
+    """One pass writes the fingerprints of all lengths; besides, only hit texts are read."""
+    rows, items = odd_corpus(seed=8), items_from(odd_corpus(seed=8))
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    plans, staged = {}, D.staged
+    monkeypatch.setattr(D, "staged", lambda df, name: plans.update({name: df._jdf.queryExecution().optimizedPlan().toString()}) or staged(df, name))
+    result = D.contamination(frame(spark, rows), benchmark, ["doc_id"])
+    plans["result"] = result._jdf.queryExecution().optimizedPlan().toString()
+    assert {name for name, plan in plans.items() if "regexp_extract_all" in plan} == {"spans", "prints", "hit-texts"}
+    assert plans["prints"].count("regexp_extract_all") == 1 and "LeftSemi" in plans["hit-texts"]
+
+
 def test_native(spark):
     rows, items = odd_corpus(seed=8, n=5), [(1, "alpha beta")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
