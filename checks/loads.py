@@ -24,6 +24,7 @@ from orderloom.sinks.outputs import load_all, write_measured
 from orderloom.sources import datasets
 from orderloom.sources.bulk import keep_raw, scan_bulk, scan_lines, to_lines
 from orderloom.sources.pages import scan_json_split
+from orderloom.streaming.dataset import land_dataset, landed_tables, read_dataset_table
 from orderloom.streaming.landing import land_stream, read_landed
 
 from .fixtures import DRIFTS, base_and_increment, landed, table
@@ -365,6 +366,20 @@ def normalise_customers_all(spark, sf_dir):
     return contents({**tables, "customer": tables["customer"].withColumn("marketing", state)}, shown)
 
 
+@query(
+    with_(ORD, LIN, TXN)
+    # Lines of one id in one batch are versions of each other; these differ in their numbers.
+    + """, one AS (SELECT * FROM lin QUALIFY row_number() OVER (PARTITION BY id ORDER BY CAST(quantity AS VARCHAR) DESC,
+      variant_price DESC) = 1) """
+    + entries(*[(output, columns, rows.replace("lin", "one")) for output, columns, rows in ORDER_ENTRIES])
+)
+def stream_dataset(spark, sf_dir):
+    """The order export as a stream that lands all its tables."""
+    target = scratch_path(spark, "landed-dataset")
+    land_dataset(spark, landed(spark, sf_dir, "order"), "order", target, scratch_path(spark, "progress")).awaitTermination()
+    return contents({table: read_dataset_table(spark, target, table) for table in landed_tables(spark, target)}, ORDER_SHOWN)
+
+
 PAGED_SHOWN = {
     "orders": "id name email total_price customer_id",
     "order_line_items": "order_id row_number line_item_id quantity variant_id",
