@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from orderloom import schemas
 from orderloom.functions import entity_type, join_list
@@ -425,3 +425,51 @@ def level_columns(levels):
 def inventory_levels_paged(spark, sf_dir):
     docs = datasets.inventory_items_paged(inventory_pages(spark, sf_dir, "id", "inventoryLevels"))
     return level_columns(curated.inventory_levels(docs))
+
+
+# --- all parts of paged connections ------------------------------------------------
+
+
+def variant_entries(docs: DataFrame) -> DataFrame:
+    """Every variant in the rows of a paged dataset, with its place among its product's."""
+    entries = docs.select("id", "status", "variants.offset", F.posexplode("variants.edges").alias("place", "edge"))
+    place = (F.col("offset") + F.col("place") + 1).alias("place")
+    return entries.select("id", "status", place, F.col("edge.node.id").alias("variant_id"), F.col("edge.node.sku").alias("sku"))
+
+
+VARIANT_ENTRIES = (
+    with_(PART, PAIR)
+    + """SELECT product_id AS id, status, row_number() OVER (PARTITION BY l_partkey ORDER BY l_suppkey) AS place, variant_id,
+    'P' || l_partkey || '-S' || l_suppkey AS sku FROM pair JOIN prt ON prt.id = product_id WHERE """
+)
+
+
+def all_product_pages(spark, sf_dir):
+    return product_pages(spark, sf_dir, "id", "status", "variants")
+
+
+@query(VARIANT_ENTRIES + "true")
+def products_paged_parts(spark, sf_dir):
+    """Products of any number of variants keep them all."""
+    return variant_entries(datasets.products_paged(all_product_pages(spark, sf_dir), parts=True))
+
+
+@query(VARIANT_ENTRIES + "status = 'DRAFT'")
+def product_drafts_parts(spark, sf_dir):
+    return variant_entries(datasets.product_drafts(all_product_pages(spark, sf_dir), parts=True))
+
+
+@query(VARIANT_ENTRIES + "status = 'ARCHIVED'")
+def products_archived_parts(spark, sf_dir):
+    return variant_entries(datasets.products_archived(all_product_pages(spark, sf_dir), parts=True))
+
+
+@query(
+    with_(PAIR)
+    + "SELECT item_id AS id, row_number() OVER (PARTITION BY l_partkey ORDER BY l_suppkey) AS place, level_id FROM pair"
+)
+def inventory_items_paged_parts(spark, sf_dir):
+    docs = datasets.inventory_items_paged(inventory_pages(spark, sf_dir, "id", "inventoryLevels"), parts=True)
+    entries = docs.select("id", "inventoryLevels.offset", F.posexplode("inventoryLevels.edges").alias("place", "edge"))
+    place = (F.col("offset") + F.col("place") + 1).alias("place")
+    return entries.select("id", place, F.col("edge.node.id").alias("level_id"))

@@ -10,7 +10,7 @@ from orderloom.operators.keys import pk_violations as repeated_keys
 from orderloom.sources.bulk import scan_bulk, scan_lines
 
 from .fixtures import landed, table
-from .registry import LIN, ORD, PART, bulk, query, utc, with_
+from .registry import PAIR, LIN, ORD, PART, bulk, query, utc, with_
 
 
 @query(
@@ -103,15 +103,16 @@ def json_path_of_events(spark, sf_dir):
 
 
 @query(
-    with_(PART)
+    with_(PART, PAIR)
     + """SELECT 'gid://shop/Metafield/' || p_partkey || '-size' AS id, CAST(p_size AS INTEGER) AS whole,
     CAST(p_size AS DOUBLE) AS real_number FROM prt
-    UNION ALL SELECT 'gid://shop/Metafield/' || p_partkey || '-brand', NULL, NULL FROM prt"""
+    UNION ALL SELECT 'gid://shop/Metafield/' || p_partkey || '-brand', NULL, NULL FROM prt
+    UNION ALL SELECT 'gid://shop/Metafield/v-' || l_partkey || '-' || l_suppkey, CAST(n_lines AS INTEGER), CAST(n_lines AS DOUBLE)
+    FROM pair"""
 )
 def safe_cast(spark, sf_dir):
     fields = of_entity(bulk(spark, sf_dir, "product"), "Metafield")
-    specs = fields.where(F.col("namespace") == "spec")
-    return specs.select(
+    return fields.select(
         "id", F.col("value").try_cast("int").alias("whole"), F.col("value").try_cast("double").alias("real_number")
     )
 

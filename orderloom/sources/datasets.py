@@ -134,26 +134,40 @@ def orders_paged(
     return docs.join(few, docs["id"] == few["__key"], "left_semi")
 
 
-def products_paged(pages: DataFrame, max_items: int | None = None) -> DataFrame:
-    """A row per product, with the first of its connection's documents."""
-    return cap(first_documents(flatten_pages(pages, "products"), "variants"), max_items, "id")
+def owners_paged(pages: DataFrame, key: str, connection: str, max_items: int | None, parts: bool) -> DataFrame:
+    """A row per owner with the first of its connection's documents, or with `parts` a row
+    for each document, so that the rows together have all entries.  `max_items` counts
+    owners, the first by id."""
+    docs = flatten_pages(pages, key)
+    firsts = cap(first_documents(docs, connection), max_items, "id")
+    if not parts:
+        return firsts
+    if max_items is None:
+        return docs
+    few = firsts.select(F.col("id").alias("__key"))
+    return docs.join(few, docs["id"] == few["__key"], "left_semi")
+
+
+def products_paged(pages: DataFrame, max_items: int | None = None, parts: bool = False) -> DataFrame:
+    """A row per product with its first variants, or a row for each part of them."""
+    return owners_paged(pages, "products", "variants", max_items, parts)
 
 
 def customers_paged(pages: DataFrame, max_items: int | None = None) -> DataFrame:
     return flatten_pages(pages, "customers", max_items, ["id"])
 
 
-def inventory_items_paged(pages: DataFrame, max_items: int | None = None) -> DataFrame:
-    """A row per item, with the first of its connection's documents."""
-    return cap(first_documents(flatten_pages(pages, "inventoryItems"), "inventoryLevels"), max_items, "id")
+def inventory_items_paged(pages: DataFrame, max_items: int | None = None, parts: bool = False) -> DataFrame:
+    """A row per item with its first levels, or a row for each part of them."""
+    return owners_paged(pages, "inventoryItems", "inventoryLevels", max_items, parts)
 
 
-def product_drafts(pages: DataFrame) -> DataFrame:
-    return status_in(products_paged(pages), ["draft"])
+def product_drafts(pages: DataFrame, parts: bool = False) -> DataFrame:
+    return status_in(products_paged(pages, parts=parts), ["draft"])
 
 
-def products_archived(pages: DataFrame) -> DataFrame:
-    return status_in(products_paged(pages), ["archived"])
+def products_archived(pages: DataFrame, parts: bool = False) -> DataFrame:
+    return status_in(products_paged(pages, parts=parts), ["archived"])
 
 
 # --- fixed values: owner columns by owner type, name -> path below `owner` ---
