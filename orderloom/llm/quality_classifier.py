@@ -2,7 +2,7 @@
 
 Every token has a sparse random index vector that its hash gives.  A token's word
 vector is the sum of the index vectors of its neighbours, up to two places away,
-over all documents: each task sums its own, and the sums are added in two levels.
+over all documents: each task sums its own, and the sums are added up a tree.
 Tokens are hashed into a fixed number of rows, with regions of their own for words,
 words in capitals, and marks, so the table is bounded.
 
@@ -32,7 +32,9 @@ REGIONS = (1 << 14, 1 << 12, 1 << 12)
 ROWS = sum(REGIONS)
 REACH = 2
 BLOCK = 1 << 11
-FIRST_LEVEL = 64
+# Sums that are added at a time, and levels of the tree: enough for 16 million tasks.
+FAN_IN = 64
+LEVELS = 4
 PER_CLASS = 6000
 HIDDEN = 32
 THRESHOLD = 0.7
@@ -89,7 +91,7 @@ def context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     blocks = table.astype(np.int64).reshape(-1, BLOCK * SIZE)
     some = np.flatnonzero(blocks.any(axis=1))
     yield pa.RecordBatch.from_arrays(
-        [pa.array(some), pa.array([TaskContext.get().partitionId() % FIRST_LEVEL] * len(some), pa.int64()), pa.array([blocks[b].tobytes() for b in some], pa.binary())],
+        [pa.array(some), pa.array([TaskContext.get().partitionId()] * len(some), pa.int64()), pa.array([blocks[b].tobytes() for b in some], pa.binary())],
         names=["block", "part", "sums"],
     )
 
@@ -106,11 +108,13 @@ def word_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     taken out.  Its size is fixed, ROWS x SIZE."""
     schema = "block long, part long, sums binary"
     sums = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(context_sums, schema)
-    sums = sums.groupBy("block", "part").applyInArrow(add_blocks, schema)
-    sums = staged(sums.groupBy("block").applyInArrow(add_blocks, schema), "context-sums")
+    for _ in range(LEVELS):
+        above = sums.withColumn("part", F.floor(F.col("part") / FAN_IN))
+        sums = above.groupBy("block", "part").applyInArrow(add_blocks, schema)
+    sums = staged(sums, "context-sums")
     table = np.zeros((ROWS // BLOCK, BLOCK * SIZE))
-    for row in sums.collect():
-        table[row["block"]] = np.frombuffer(row["sums"], np.int64)
+    for row in sums.collect():  # a block each
+        table[row["block"]] += np.frombuffer(row["sums"], np.int64)
     table = unit(table.reshape(ROWS, SIZE))
     return unit(table - table.mean(axis=0)).astype(np.float32)
 

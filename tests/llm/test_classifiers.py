@@ -204,6 +204,61 @@ def test_contexts_match_brute_force():
     assert np.array_equal(table.reshape(C.ROWS, C.SIZE), want)
 
 
+def test_sums_up_a_deep_tree(spark, monkeypatch):
+    docs = spark.createDataFrame([(t,) for _, t, *_ in odd_corpus(seed=12)], "text string").repartition(23)
+    monkeypatch.setattr(C, "FAN_IN", 3)
+    deep = C.word_vectors(docs)
+    assert np.array_equal(deep, C.word_vectors(docs.coalesce(1)))
+    monkeypatch.setattr(C, "LEVELS", 1)
+    assert np.array_equal(deep, C.word_vectors(docs))
+
+
+def plain_features(vectors, text):
+    """One document's features, token by token."""
+    (_, buffer, bounds), = W_chunks([text])
+    rows, hashes, _ = C.tokens(buffer, bounds)
+    n = len(rows)
+    if not n:
+        return np.zeros(C.features())
+    index = np.zeros((n, C.SIZE))
+    for place, sign in C.index_vectors(hashes):
+        for i in range(n):
+            index[i, place[i]] += sign[i]
+    mean = sum(vectors[r].astype(float) for r in rows) / n
+    alike = sum(float(vectors[a] @ vectors[b]) for a, b in zip(rows[1:], rows[:-1])) / n
+    again = sum(a == b for a, b in zip(hashes[1:], hashes[:-1])) / n
+    kinds = np.searchsorted(np.cumsum(C.REGIONS), rows, side="right")
+    shares = [float(np.mean(kinds == k)) for k in range(len(C.REGIONS))]
+    return np.array([*mean, np.linalg.norm(mean), np.linalg.norm(index.mean(axis=0)), alike, again, *shares, np.log(n)])
+
+
+def test_features_match_plain_loops():
+    texts = ["a b! c", "", "LOUD words LOUD words ###", None, "same same same", "!!"]
+    vectors = C.unit(np.random.default_rng(6).normal(size=(C.ROWS, C.SIZE))).astype(np.float32)
+    got = C.pooled(vectors, pa.array(texts, pa.string()))
+    assert np.allclose(got, [plain_features(vectors, t) for t in texts], atol=1e-5)
+
+
+def test_the_networks_gradient():
+    rng = np.random.default_rng(7)
+    x, truth = rng.normal(size=(200, 5)), rng.integers(0, 2, 200)
+    x[:, 0] += 2 * truth
+    net = C.fit(x, truth, epochs=30)
+    p = samples.sigmoid(C.logits(net, x))
+    assert np.mean((p > 0.5) == truth) > 0.8
+
+    def loss(w):
+        p = samples.sigmoid(C.logits(net._replace(w2=w), x))
+        weight = np.where(truth == 1, 0.5 / truth.mean(), 0.5 / (1 - truth.mean()))
+        return -np.mean(weight * np.log(np.where(truth == 1, p, 1 - p))) + 0.5e-4 * (w**2).sum()
+
+    # Near a minimum of the loss whose gradient the steps follow.
+    base = loss(net.w2)
+    for _ in range(10):
+        step = rng.normal(size=net.w2.shape)
+        assert loss(net.w2 + 0.5 * step) > base - 1e-3
+
+
 def W_chunks(texts):
     from orderloom.llm import words
 
