@@ -334,6 +334,25 @@ def location_with_levels(spark, sf_dir):
     return nested.select("id", "name", F.array_size("levels").alias("n_levels"), join_list(shown).alias("levels"))
 
 
+@query(
+    with_(LOC, PAIR)
+    + """, hot AS (SELECT *, CASE WHEN l_partkey % 3 = 0 THEN (SELECT min(id) FROM loc) ELSE location_id END AS owner FROM pair),
+    few AS (SELECT *, row_number() OVER (PARTITION BY owner ORDER BY level_id) AS n FROM hot),
+    lists AS (SELECT owner, CAST(count(*) AS INTEGER) AS n_levels, string_agg(level_id, ',' ORDER BY n) AS levels
+              FROM few WHERE n <= 1000 GROUP BY owner)
+    SELECT id, n_levels, levels FROM loc LEFT JOIN lists ON owner = id"""
+)
+def hot_location_levels(spark, sf_dir):
+    """The first 1,000 levels of each location; one location has a third of all levels."""
+    locations = bulk(spark, sf_dir, "location").select("id")
+    least = locations.agg(F.min("id")).first()[0]
+    levels = of_entity(bulk(spark, sf_dir, "inventory"), "InventoryLevel", app="shop")
+    part = F.regexp_extract("id", r"/(\d+)-", 1).cast("long")
+    owner = F.when(part % 3 == 0, F.lit(least)).otherwise(F.col("location.id")).alias("owner")
+    nested = with_children(locations, levels.select("id", owner), 1000, ["id"], ["id"], link="owner", name="levels")
+    return nested.select("id", F.array_size("levels").alias("n_levels"), join_list(F.transform("levels", lambda e: e["id"])).alias("levels"))
+
+
 # --- ordinals --------------------------------------------------------------------
 
 

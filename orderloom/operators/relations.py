@@ -11,7 +11,11 @@ from .ordinals import occurrence
 # --- fixed value: entries of one connection that a document carries ---------
 CONNECTION_SIZE = 250
 # --- end of fixed values ----------------------------------------------------
-SLICES = 32
+# Owners that may be split, and keys that the sketch of heavy owners tracks.
+HOT_OWNERS = 1024
+TRACKED_OWNERS = 1 << 16
+# Children of a slice of a heavy owner, about.
+SLICE_ROWS = 1 << 20
 
 
 def distinct_keys(df: DataFrame, key: str = "id", name: str = "__key") -> DataFrame:
@@ -52,6 +56,16 @@ def orphans(child: DataFrame, parent: DataFrame, key: str = "id", link: str = "p
     return linked.join(keys, linked[link] == keys["__key"], "left_anti")
 
 
+def heavy_owners(child: DataFrame, link: str, slice_rows: int | None = None) -> dict:
+    """The heaviest owners, `HOT_OWNERS` at most, and into how many slices of about
+    `slice_rows` children each is to be cut.  One pass over the links; tasks sketch their
+    own, so a heavy owner costs no task more than another.  What the sketch estimates
+    decides only how the work is dealt."""
+    rows = SLICE_ROWS if slice_rows is None else slice_rows
+    top = child.agg(F.expr(f"approx_top_k(`{link}`, {HOT_OWNERS}, {TRACKED_OWNERS})").alias("top")).first()["top"]
+    return {r["item"]: -(-r["count"] // rows) for r in top or [] if r["item"] is not None and r["count"] > rows}
+
+
 def with_children(
     parent: DataFrame,
     child: DataFrame,
@@ -64,11 +78,18 @@ def with_children(
 ) -> DataFrame:
     """Every parent with its first n children nested as a list.
 
-    The first n are taken in two steps, of each slice of the input and then of all,
-    so a parent's children never meet in one task: it sees n of each of at most
-    `SLICES` slices, whatever n is, and no list exceeds n.
+    The first n are taken in two steps, of each slice of an owner's children and then of
+    all.  A sketch of the links finds heavy owners and how many slices each needs, so a
+    slice stays small however many children an owner has; other owners have one.  The
+    limit of n also runs before each shuffle, and no list exceeds n.
     """
-    sliced = child.withColumn("__slice", F.spark_partition_id() % SLICES)
+    slices = heavy_owners(child, link)
+    of_owner = F.lit(1)
+    if slices:
+        kind = child.schema[link].dataType
+        known = F.create_map(*[F.lit(x).cast(t) for pair in slices.items() for x, t in zip(pair, (kind, "int"))])
+        of_owner = F.coalesce(known[F.col(link)], F.lit(1))
+    sliced = child.withColumn("__slice", F.spark_partition_id() % of_owner)
     first = F.row_number().over(Window.partitionBy(link, "__slice").orderBy(*order))
     few = sliced.withColumn("__ordinal", first).where(F.col("__ordinal") <= n)
     ordinal = F.row_number().over(Window.partitionBy(link).orderBy(*order))

@@ -99,7 +99,7 @@ def spanning_records(spark: SparkSession, path: str | list[str], form: Form, hea
     """The text of every record, as `value`; of a form with `header` without each file's
     first."""
     lines = split_lines(spark, path)
-    shared = spark.sparkContext.broadcast(split_states(lines, form))  # one entry per split
+    states = split_states(lines, form)  # one entry per split
     names = [f.split()[0] for f in PARTS.split(", ")]
 
     def rows(file: int, start: int, found: list[tuple[int | None, bool, str]]) -> pa.RecordBatch:
@@ -122,10 +122,10 @@ def spanning_records(spark: SparkSession, path: str | list[str], form: Form, hea
             if (file, start) != at:
                 if at is not None and held:
                     yield rows(*at, left())
-                if (file, start) not in shared.value:
+                if (file, start) not in states:
                     raise ValueError("the splits of a file have changed between two passes")
                 at, held = (file, start), []
-                state, owner, first = shared.value[at]
+                state, owner, first = states[at]
                 fresh = False
                 is_first = start == 0
             (head, records, tail), state = form.cut(values, state)

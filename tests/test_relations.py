@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from orderloom.operators import relations
 from orderloom.operators.entities import write_split
 from orderloom.operators.filters import of_entity
 from orderloom.operators.keys import pk_violations
@@ -140,3 +141,27 @@ def test_parents_without_parts_keep_a_row(spark):
 def test_copies_of_a_root_do_not_multiply(spark):
     mixed = spark.createDataFrame([("P/1", None), ("P/1", None), ("V/1", "P/1")], "id string, __parentId string")
     assert rows(linked_to(mixed, mixed.where("id = 'P/1'"), 2).select("id")) == [("P/1",), ("P/1",), ("V/1",)]
+
+
+def test_heavy_owners_are_cut_by_their_size(spark, monkeypatch):
+    hot = spark.range(60_000).select(F.lit("hot").alias("parent_id"), F.col("id").alias("line"))
+    warm = spark.range(15_000).select(F.lit("warm").alias("parent_id"), F.col("id").alias("line"))
+    cold = spark.range(30_000).select(F.concat(F.lit("c"), F.col("id") % 3000).alias("parent_id"), F.col("id").alias("line"))
+    children = hot.unionAll(warm).unionAll(cold).repartition(16)
+    assert relations.heavy_owners(children, "parent_id", 5000) == {"hot": 12, "warm": 3}
+    monkeypatch.setattr(relations, "SLICE_ROWS", 5000)
+    parents = spark.createDataFrame([("hot",), ("warm",), ("c7",), ("none",)], "id string")
+    for n in (1, 7, 4000):
+        got = {r["id"]: r["first"] for r in with_children(parents, children, n, ["line"], ["line"], name="first").collect()}
+        assert [x["line"] for x in got["hot"]] == list(range(n)) and [x["line"] for x in got["warm"]] == list(range(n))
+        assert [x["line"] for x in got["c7"]] == [7 + 3000 * i for i in range(min(n, 10))] and got["none"] is None
+    # No task of the first step gets more of the hot owner than a slice of it.
+    sizes = children.where("parent_id = 'hot'").groupBy(F.spark_partition_id() % 12).count().collect()
+    assert max(r["count"] for r in sizes) < 2 * 5000 + 60_000 / 16
+
+
+def test_no_heavy_owners_of_no_rows(spark):
+    none = spark.createDataFrame([], "parent_id string, line long")
+    assert relations.heavy_owners(none, "parent_id") == {}
+    nulls = spark.range(50).select(F.lit(None).cast("string").alias("parent_id"), F.col("id").alias("line"))
+    assert relations.heavy_owners(nulls, "parent_id", 10) == {}
