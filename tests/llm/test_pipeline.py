@@ -1,13 +1,14 @@
 """Every stage of the pipeline, on what its predecessor kept."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from orderloom.llm import mixing, simhash, toxicity
 from orderloom.llm.scratch import staged
 
 from ..conftest import SMALL
-from .corpus import ascii_words
+from .corpus import ascii_words, frame, odd_corpus
 from .test_decontamination import brute as contaminated
 from .test_mixing import brute_targets
 from .test_simhash import brute_fingerprint, brute_groups
@@ -93,3 +94,24 @@ def test_empty_documents(spark):
     for _, stage in P.STAGES:
         docs = staged(stage(spark, docs, SMALL), "empty")
         assert docs.count() == 0
+
+
+def test_odd_rows(spark):
+    """Null texts, ids, languages and sources, repeated rows, very long texts, and columns
+    whose names the stages use themselves."""
+    rows = odd_corpus(seed=61, n=40)
+    rows += rows[-3:] + [(None, None, None, None, 7, 0.5), (777, "long words " * 20_000, "en", "s0", 7, 0.5)]
+    docs = frame(spark, rows).withColumn("raw", F.lit(1)).withColumn("doc", F.lit("x")).withColumn("simhash", F.lit("y"))
+    for name, stage in P.STAGES[:-1]:
+        kept = staged(stage(spark, docs, SMALL), "odd")
+        assert kept.columns == docs.columns
+        before = {repr(tuple(r)) for r in docs.collect()}
+        assert {repr(tuple(r)) for r in kept.collect()} <= before
+        docs = kept
+    assert docs.count() > 0
+    shards = P.STAGES[-1][1](spark, docs, SMALL)
+    assert shards.count() == docs.count()
+    slots = {}
+    for r in shards.select("shard", "slot").collect():
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(own) == list(range(len(own))) for own in slots.values())
