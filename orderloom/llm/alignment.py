@@ -36,7 +36,7 @@ HELD_PAIRS = 1 << 20
 # handled alone.
 RUN_BYTES = W.CHUNK_BYTES
 RUN_TOKENS = 1 << 17
-OUTPUT = "n_a long, n_b long, n_groups long, n_links long, groups string, a_ids array<int>, b_ids array<int>"
+OUTPUT = "n_a long, n_b long, n_groups long, n_links long, groups string, a_ids binary, b_ids binary"
 
 
 class Tokenizer(NamedTuple):
@@ -104,8 +104,25 @@ def offsets(sizes: list[int] | np.ndarray) -> np.ndarray:
     return np.cumsum(np.r_[0, np.asarray(sizes, dtype=np.int64)])
 
 
-def as_lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values.astype(np.int32)))
+def id_type(sizes: np.ndarray) -> str:
+    """The narrowest integers that hold the ids of a vocabulary, as stored."""
+    return "<u2" if len(sizes) <= 1 << 16 else "<u4"
+
+
+def packed_ids(ids: np.ndarray, bounds: np.ndarray, kind: str) -> pa.Array:
+    """The ids of each text as a binary value."""
+    data = ids.astype(kind)
+    return pa.Array.from_buffers(
+        pa.binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * data.itemsize).astype(np.int32)), pa.py_buffer(data)]
+    )
+
+
+def flat_ids(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, and each text's bounds."""
+    _, offsets_, data = column.buffers()
+    bounds = np.frombuffer(offsets_, np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    ids = np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]] if data is not None else np.zeros(0, np.uint8)
+    return ids.view(kind).astype(np.int64), (bounds - bounds[0]) // np.dtype(kind).itemsize
 
 
 def aligned_run(
@@ -142,17 +159,19 @@ def aligned_run(
         pa.large_string(), len(a), [None, pa.py_buffer(text_bounds), pa.py_buffer(data[stays])]
     ).cast(pa.string())
     counts = [pa.array(np.diff(x)) for x in (a_bound, b_bound)]
-    return [*counts, pa.array(n_groups), pa.array(n_links), groups, as_lists(a_ids, a_bound), as_lists(b_ids, b_bound)]
+    ids = [packed_ids(a_ids, a_bound, id_type(a_size)), packed_ids(b_ids, b_bound, id_type(b_size))]
+    return [*counts, pa.array(n_groups), pa.array(n_links), groups, *ids]
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, keys: list[str], text: str = "text") -> DataFrame:
-    """Returns `keys`, n_a, n_b, n_groups, n_links, groups, a_ids and b_ids of every row.
+    """Returns `keys`, n_a, n_b, n_groups, n_links, groups, a_ids and b_ids of every row; ids
+    are packed as 16-bit little-endian integers, or 32-bit ones of larger vocabularies.
 
     A text with a space before it is cut whole by both tokenizers; strings of special tokens
     are plain text, none are added.  `groups` names the ids between byte offsets at which
     tokens of both sides end: `a1,a2|b1;a3|b2,b3`.  A link is a pair of tokens whose bytes
     overlap.  Null and empty texts, and those that either tokenizer's bytes do not give
-    back, have no tokens: zeros, empty lists, empty `groups`.  Repeated rows stay; no rows
+    back, have no tokens: zeros, no ids, empty `groups`.  Repeated rows stay; no rows
     give no rows; other columns are not read.
     """
     shared = docs.sparkSession.sparkContext.broadcast((tokenizer(a_path), tokenizer(b_path)))  # two files of a few MB
@@ -179,22 +198,17 @@ def align(docs: DataFrame, a_path: str, b_path: str, keys: list[str], text: str
     return rows.mapInArrow(run, kept + OUTPUT)
 
 
-def flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    """All values of a list column and each row's bounds."""
-    bounds = np.asarray(column.offsets).astype(np.int64)
-    return np.asarray(column.values)[bounds[0] : bounds[-1]].astype(np.int64), bounds - bounds[0]
-
-
 def link_codes(batch: pa.RecordBatch, a_size: np.ndarray, b_size: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
     """Runs of rows: rows, the pair of ids (a in the upper 32 bits) of every link, and where
     each row's links are."""
     a_all, b_all = batch.column("a_ids"), batch.column("b_ids")
-    tokens = np.asarray(a_all.offsets).astype(np.int64)
+    a_kind, b_kind = id_type(a_size), id_type(b_size)
+    tokens = flat_ids(a_all, a_kind)[1]
     row = 0
     while row < batch.num_rows:
         last = int(np.searchsorted(tokens, tokens[row] + RUN_TOKENS, side="right")) - 1
         rows = slice(row, min(max(last, row + 1), batch.num_rows))
-        (a_ids, _), (b_ids, bounds) = flat(a_all[rows]), flat(b_all[rows])
+        (a_ids, _), (b_ids, bounds) = flat_ids(a_all[rows], a_kind), flat_ids(b_all[rows], b_kind)
         a_end, b_end = np.cumsum(a_size[a_ids]), np.cumsum(b_size[b_ids])
         at_a, at_b, ends = links(a_end, b_end)
         yield rows, a_ids[at_a] << 32 | b_ids[at_b], np.searchsorted(ends, np.r_[0, b_end][bounds], side="right")
