@@ -582,7 +582,19 @@ def load_incremental(spark, sf_dir):
     return contents(loaded(spark, sf_dir, ["orders", "order_transactions"], windows), ORDER_SHOWN)
 
 
-@query(with_(ORD, LIN, TXN) + entries(*ORDER_ENTRIES))
+@query(
+    with_(ORD, LIN, TXN)
+    # A table has a key once; of equally new rows the one with the greatest text.
+    + """, one AS (SELECT * FROM lin QUALIFY row_number() OVER (PARTITION BY id ORDER BY CAST(quantity AS VARCHAR) DESC,
+      variant_price DESC) = 1),
+    dearest AS (SELECT * FROM lin QUALIFY row_number() OVER (PARTITION BY id ORDER BY variant_price DESC) = 1) """
+    + entries(
+        *[
+            (output, columns, rows.replace("lin", "dearest" if output == "order_variant" else "one"))
+            for output, columns, rows in ORDER_ENTRIES
+        ]
+    )
+)
 def load_bucketed(spark, sf_dir):
     """The same into tables in buckets, of which a load reads and writes what it touches."""
     root = scratch_path(spark, "buckets")
