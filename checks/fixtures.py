@@ -18,6 +18,10 @@ from orderloom.session import scratch_path
 from orderloom.sources.bulk import to_lines
 
 PAGE_SIZE = 50
+# Lines of one file of an export, less where lines are long.
+LINES_PER_FILE = 1_000_000
+LONG_LINES = {"custom": 50_000, "customer_arrays": 10_000, "customer_pages": 10_000, "order_pages": 2_000,
+              "product_pages": 500, "inventory_pages": 500}
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 # Monotone in the line order and in the supplier order: a hot order or part is
 # sorted in blocks.  Line numbers are few, so part keys divide an order further.
@@ -33,11 +37,16 @@ _landed: dict[tuple[str, str, str], str] = {}
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Folder with the JSON lines of a fixture, written once per application."""
+    """Folder with the JSON lines of a fixture, written once per application.
+
+    The lines repeat their field names, so they are compressed.  A compressed file is read
+    by one task; a file has a bounded number of lines.
+    """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _landed:
         path = scratch_path(spark, f"export-{name}")
-        EXPORTS[name](spark, sf_dir).write.option("compression", "none").text(path)
+        writer = EXPORTS[name](spark, sf_dir).write.option("compression", "gzip")
+        writer.option("maxRecordsPerFile", LONG_LINES.get(name, LINES_PER_FILE)).text(path)
         _landed[key] = path
     return _landed[key]
 
