@@ -3,11 +3,14 @@
 Everything here is a DataFrame over whole tables.  Lists that Spark has to
 gather (line items of an order, levels of an item) are built in documents of
 bounded size; short lists (transactions, addresses, tags) are made from columns
-of one row.
+of one row.  Rows are shuffled as the columns of the tables: what a document says
+of them is written out when its page is complete.  So its columns are functions of
+`at`, which finds a table's column: in a frame, or in a row of a list.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -29,6 +32,9 @@ LINE_BLOCK = "struct(l_linenumber, l_partkey div 256)"
 PAIR_BLOCK = "l_suppkey div 4096"
 
 
+At = Callable[[str], Column]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -78,6 +84,17 @@ def day_after(base: str, days: Column) -> Column:
     return F.date_add(F.lit(base).cast("date"), days.cast("int"))
 
 
+def numbered(docs: DataFrame, key: str) -> DataFrame:
+    """Documents of `nest_connections`, numbered for their pages."""
+    return docs.withColumns({"page_key": F.col(key), "page_part": F.coalesce("part", F.lit(0))}).drop("part")
+
+
+def connection(at: At, columns: Callable[[At], list[Column]]) -> Column:
+    """A document's part of its connection; `columns` gives those of an entry."""
+    edges = F.transform(at("edges"), lambda e: F.struct(F.struct(*columns(e["node"].getField)).alias("node")))
+    return F.struct(F.coalesce(at("offset"), F.lit(0)).alias("offset"), edges.alias("edges"))
+
+
 def lines_of(*frames: DataFrame) -> DataFrame:
     """Several entities as the lines of one export."""
     return reduce(DataFrame.unionAll, [to_lines(f) for f in frames])
@@ -86,21 +103,24 @@ def lines_of(*frames: DataFrame) -> DataFrame:
 # --- orders ------------------------------------------------------------------
 
 
-def order_rows(spark: SparkSession, sf_dir: str, transactions: bool = True) -> DataFrame:
+def order_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
-    c = table(spark, sf_dir, "customer")
-    joined = o.join(c, o["o_custkey"] == c["c_custkey"])
-    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
-    total = money(F.col("o_totalprice"))
-    email = F.concat(F.lower("c_name"), F.lit("@example.com"))
-    created = F.col("o_orderdate")
-    country = F.concat(F.lit("N"), text(F.col("c_nationkey")))
+    c = table(spark, sf_dir, "customer").drop("c_acctbal")
+    return o.join(c, o["o_custkey"] == c["c_custkey"]).drop("c_custkey")
+
+
+def order_columns(at: At = F.col, transactions: bool = True) -> list[Column]:
+    status, priority = at("o_orderstatus"), at("o_orderpriority")
+    total = money(at("o_totalprice"))
+    email = F.concat(F.lower(at("c_name")), F.lit("@example.com"))
+    created = at("o_orderdate")
+    country = F.concat(F.lit("N"), text(at("c_nationkey")))
     kinds = F.array(F.lit("AUTHORIZATION"), F.lit("CAPTURE"), F.lit("REFUND"))
-    steps = F.sequence(F.lit(1), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    steps = F.sequence(F.lit(1), (at("o_orderkey") % 3 + 1).cast("int"))
     transaction = F.transform(
         steps,
         lambda i: F.struct(
-            make_gid("Transaction", F.col("o_orderkey"), i).alias("id"),
+            make_gid("Transaction", at("o_orderkey"), i).alias("id"),
             F.element_at(kinds, i).alias("kind"),
             F.lit("SUCCESS").alias("status"),
             F.lit(False).alias("test"),
@@ -110,12 +130,12 @@ def order_rows(spark: SparkSession, sf_dir: str, transactions: bool = True) -> D
         ),
     )
     columns = [
-        make_gid("Order", F.col("o_orderkey")).alias("id"),
-        F.concat(F.lit("#"), text(F.col("o_orderkey"))).alias("name"),
+        make_gid("Order", at("o_orderkey")).alias("id"),
+        F.concat(F.lit("#"), text(at("o_orderkey"))).alias("name"),
         email.alias("email"),
         F.lit(None).cast("string").alias("phone"),
         instant(created).alias("createdAt"),
-        instant(plus_days(created, F.col("o_orderkey") % 30)).alias("updatedAt"),
+        instant(plus_days(created, at("o_orderkey") % 30)).alias("updatedAt"),
         instant(created).alias("processedAt"),
         F.when(status == "P", instant(plus_days(created, F.lit(1)))).alias("cancelledAt"),
         F.when(status == "P", F.lit("customer")).alias("cancelReason"),
@@ -126,17 +146,17 @@ def order_rows(spark: SparkSession, sf_dir: str, transactions: bool = True) -> D
         F.when(status != "P", money(F.lit(0))).alias("totalTaxSet"),
         money(F.lit(5)).alias("totalShippingPriceSet"),
         F.struct(
-            make_gid("Customer", F.col("o_custkey")).alias("id"),
-            F.col("c_name").alias("firstName"),
-            F.col("c_mktsegment").alias("lastName"),
+            make_gid("Customer", at("o_custkey")).alias("id"),
+            at("c_name").alias("firstName"),
+            at("c_mktsegment").alias("lastName"),
             email.alias("email"),
         ).alias("customer"),
         F.struct(
-            F.col("c_name").alias("firstName"),
-            F.concat(F.lit("City "), text(F.col("c_nationkey"))).alias("city"),
+            at("c_name").alias("firstName"),
+            F.concat(F.lit("City "), text(at("c_nationkey"))).alias("city"),
             country.alias("country"),
         ).alias("shippingAddress"),
-        F.when(status != "O", F.struct(F.col("c_name").alias("firstName"), country.alias("country"))).alias(
+        F.when(status != "O", F.struct(at("c_name").alias("firstName"), country.alias("country"))).alias(
             "billingAddress"
         ),
     ]
@@ -146,23 +166,24 @@ def order_rows(spark: SparkSession, sf_dir: str, transactions: bool = True) -> D
             .when(priority != "2-HIGH", transaction)
             .alias("transactions")
         )
-    return joined.select("o_orderkey", *columns)
+    return columns
 
 
-def line_item_columns() -> list[Column]:
-    sku = F.concat(F.lit("P"), text(F.col("l_partkey")), F.lit("-S"), text(F.col("l_suppkey")))
+def line_item_columns(at: At = F.col, order: Column | None = None) -> list[Column]:
+    order = at("l_orderkey") if order is None else order
+    sku = F.concat(F.lit("P"), text(at("l_partkey")), F.lit("-S"), text(at("l_suppkey")))
     return [
-        make_gid("LineItem", *[F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("id"),
-        F.concat(F.lit("Part "), text(F.col("l_partkey"))).alias("title"),
-        F.col("l_quantity").cast("int").alias("quantity"),
+        make_gid("LineItem", order, *[at(c) for c in ("l_linenumber", "l_partkey", "l_suppkey")]).alias("id"),
+        F.concat(F.lit("Part "), text(at("l_partkey"))).alias("title"),
+        at("l_quantity").cast("int").alias("quantity"),
         sku.alias("sku"),
         F.when(
-            F.col("l_linenumber") != 7,
+            at("l_linenumber") != 7,
             F.struct(
-                make_gid("ProductVariant", F.col("l_partkey"), F.col("l_suppkey")).alias("id"),
-                F.concat(F.lit("S"), text(F.col("l_suppkey"))).alias("title"),
+                make_gid("ProductVariant", at("l_partkey"), at("l_suppkey")).alias("id"),
+                F.concat(F.lit("S"), text(at("l_suppkey"))).alias("title"),
                 sku.alias("sku"),
-                F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("price"),
+                at("l_extendedprice").cast("decimal(18,2)").cast("string").alias("price"),
             ),
         ).alias("variant"),
     ]
@@ -175,22 +196,21 @@ def line_item_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_of(order_rows(spark, sf_dir).drop("o_orderkey"), line_item_rows(spark, sf_dir))
+    return lines_of(order_rows(spark, sf_dir).select(*order_columns()), line_item_rows(spark, sf_dir))
 
 
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with nested line items; `page_key` and `page_part` number the documents."""
-    node = F.struct(*line_item_columns())
-    lists = connection_documents(
-        table(spark, sf_dir, "lineitem"), "l_orderkey", LINE_ORDER, node, F.expr(LINE_BLOCK)
-    )
-    rows = order_rows(spark, sf_dir, transactions=False)
-    docs = nest_connections(rows, lists, "o_orderkey", "l_orderkey")
-    return docs.select(
-        F.col("o_orderkey").alias("page_key"),
-        F.coalesce("part", F.lit(0)).alias("page_part"),
-        *[c for c in rows.columns if c != "o_orderkey"],
-        F.struct(F.coalesce("offset", F.lit(0)).alias("offset"), "edges").alias("lineItems"),
+    """Orders with their line items in documents, as rows of the tables; `page_key` and
+    `page_part` number the documents."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
+    lists = connection_documents(lines, "l_orderkey", LINE_ORDER, None, F.expr(LINE_BLOCK))
+    return numbered(nest_connections(order_rows(spark, sf_dir), lists, "o_orderkey", "l_orderkey"), "o_orderkey")
+
+
+def order_node(at: At) -> Column:
+    return F.struct(
+        *order_columns(at, transactions=False),
+        connection(at, lambda item: line_item_columns(item, at("o_orderkey"))).alias("lineItems"),
     )
 
 
@@ -211,80 +231,81 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def handle() -> Column:
-    return F.concat(F.translate("p_name", " ", "-"), F.lit("-"), text(F.col("p_partkey")))
+def handle(at: At = F.col) -> Column:
+    return F.concat(F.translate(at("p_name"), " ", "-"), F.lit("-"), text(at("p_partkey")))
 
 
-def part_created() -> Column:
-    return day_after("2020-01-01", F.col("p_partkey") % 365)
+def part_created(at: At = F.col) -> Column:
+    return day_after("2020-01-01", at("p_partkey") % 365)
 
 
-def part_updated() -> Column:
-    return F.date_add(part_created(), F.col("p_size"))
+def part_updated(at: At = F.col) -> Column:
+    return F.date_add(part_created(at), at("p_size"))
 
 
-def part_status() -> Column:
+def part_status(at: At = F.col) -> Column:
     statuses = F.array(*[F.lit(s) for s in ("ACTIVE", "DRAFT", "ARCHIVED", "UNLISTED")])
-    return F.element_at(statuses, F.col("p_size") % 4 + 1)
+    return F.element_at(statuses, at("p_size") % 4 + 1)
 
 
-def product_columns() -> list[Column]:
+def product_columns(at: At = F.col) -> list[Column]:
     return [
-        make_gid("Product", F.col("p_partkey")).alias("id"),
-        F.col("p_name").alias("title"),
-        handle().alias("handle"),
-        F.col("p_brand").alias("vendor"),
-        F.col("p_type").alias("productType"),
-        F.when(F.col("p_size") % 10 == 0, F.array().cast("array<string>"))
-        .otherwise(F.split("p_name", " "))
+        make_gid("Product", at("p_partkey")).alias("id"),
+        at("p_name").alias("title"),
+        handle(at).alias("handle"),
+        at("p_brand").alias("vendor"),
+        at("p_type").alias("productType"),
+        F.when(at("p_size") % 10 == 0, F.array().cast("array<string>"))
+        .otherwise(F.split(at("p_name"), " "))
         .alias("tags"),
-        part_status().alias("status"),
-        instant(part_created()).alias("createdAt"),
-        instant(part_updated()).alias("updatedAt"),
-        F.when(part_status() != "DRAFT", instant(part_created())).alias("publishedAt"),
-        F.col("p_size").alias("totalInventory"),
+        part_status(at).alias("status"),
+        instant(part_created(at)).alias("createdAt"),
+        instant(part_updated(at)).alias("updatedAt"),
+        F.when(part_status(at) != "DRAFT", instant(part_created(at))).alias("publishedAt"),
+        at("p_size").alias("totalInventory"),
     ]
 
 
-def variant_columns() -> list[Column]:
+def variant_columns(at: At = F.col, part: Column | None = None) -> list[Column]:
+    part = at("l_partkey") if part is None else part
     return [
-        make_gid("ProductVariant", F.col("l_partkey"), F.col("l_suppkey")).alias("id"),
-        F.concat(F.lit("S"), text(F.col("l_suppkey"))).alias("title"),
-        F.concat(F.lit("P"), text(F.col("l_partkey")), F.lit("-S"), text(F.col("l_suppkey"))).alias("sku"),
-        F.col("price").cast("decimal(18,2)").cast("string").alias("price"),
-        F.col("quantity").cast("int").alias("inventoryQuantity"),
+        make_gid("ProductVariant", part, at("l_suppkey")).alias("id"),
+        F.concat(F.lit("S"), text(at("l_suppkey"))).alias("title"),
+        F.concat(F.lit("P"), text(part), F.lit("-S"), text(at("l_suppkey"))).alias("sku"),
+        at("price").cast("decimal(18,2)").cast("string").alias("price"),
+        at("quantity").cast("int").alias("inventoryQuantity"),
     ]
 
 
-def image_columns() -> list[Column]:
+def image_columns(at: At = F.col) -> list[Column]:
     return [
-        make_gid("ProductImage", F.col("p_partkey")).alias("id"),
-        F.concat(F.lit("https://img.example.com/"), text(F.col("p_partkey")), F.lit(".png")).alias("url"),
-        F.col("p_name").alias("altText"),
-        (F.col("p_size") + 100).alias("width"),
+        make_gid("ProductImage", at("p_partkey")).alias("id"),
+        F.concat(F.lit("https://img.example.com/"), text(at("p_partkey")), F.lit(".png")).alias("url"),
+        at("p_name").alias("altText"),
+        (at("p_size") + 100).alias("width"),
         F.lit(200).alias("height"),
     ]
 
 
-def product_metafield(key: str, value: Column, kind: str) -> list[Column]:
+def product_metafield(key: str, value: Column, kind: str, at: At = F.col) -> list[Column]:
     return [
-        make_gid("Metafield", F.col("p_partkey"), F.lit(key)).alias("id"),
+        make_gid("Metafield", at("p_partkey"), F.lit(key)).alias("id"),
         F.lit("spec").alias("namespace"),
         F.lit(key).alias("key"),
         value.alias("value"),
         F.lit(kind).alias("type"),
-        instant(part_created()).alias("createdAt"),
+        instant(part_created(at)).alias("createdAt"),
     ]
 
 
-def variant_metafield() -> list[Column]:
+def variant_metafield(at: At = F.col) -> list[Column]:
     return [
-        make_gid("Metafield", F.lit("v"), F.col("l_partkey"), F.col("l_suppkey")).alias("id"),
+        make_gid("Metafield", F.lit("v"), at("l_partkey"), at("l_suppkey")).alias("id"),
         F.lit("stock").alias("namespace"),
         F.lit("lines").alias("key"),
-        text(F.col("n_lines")).alias("value"),
+        text(at("n_lines")).alias("value"),
         F.lit("number_integer").alias("type"),
-        instant(F.col("shipped")).alias("createdAt"),
+        instant(at("shipped")).alias("createdAt"),
     ]
 
 
@@ -303,53 +324,65 @@ def product_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    level = F.struct(
-        F.struct(
+    """Products with their variants in documents, as rows of the tables."""
+    variants = pairs(spark, sf_dir).select("l_partkey", "l_suppkey", "n_lines", "quantity", "price")
+    lists = connection_documents(variants, "l_partkey", ["l_suppkey"], None, F.expr(PAIR_BLOCK))
+    return numbered(nest_connections(table(spark, sf_dir, "part"), lists, "p_partkey", "l_partkey"), "p_partkey")
+
+
+def product_node(at: At) -> Column:
+    def variant(pair: At) -> list[Column]:
+        level = F.struct(
             F.struct(
-                make_gid("Location", F.col("l_suppkey")).alias("id"),
-                F.concat(F.lit("S"), text(F.col("l_suppkey"))).alias("name"),
-            ).alias("location")
-        ).alias("node")
-    )
-    item = F.struct(
-        make_gid("InventoryItem", F.col("l_partkey")).alias("id"),
-        F.struct(F.array(level).alias("edges")).alias("inventoryLevels"),
-    )
-    node = F.struct(
-        *variant_columns(),
-        (F.col("n_lines") * 0.5).cast("string").alias("weight"),
-        F.lit("KILOGRAMS").alias("weightUnit"),
-        item.alias("inventoryItem"),
-    )
-    lists = connection_documents(pairs(spark, sf_dir), "l_partkey", ["l_suppkey"], node, F.expr(PAIR_BLOCK))
-    part = table(spark, sf_dir, "part")
-    images = F.struct(F.array(F.struct(F.struct(*image_columns()).alias("node"))).alias("edges"))
-    docs = nest_connections(part, lists, "p_partkey", "l_partkey")
-    return docs.select(
-        F.col("p_partkey").alias("page_key"),
-        F.coalesce("part", F.lit(0)).alias("page_part"),
-        *product_columns(),
-        F.struct(F.coalesce("offset", F.lit(0)).alias("offset"), "edges").alias("variants"),
-        images.alias("images"),
-    )
+                F.struct(
+                    make_gid("Location", pair("l_suppkey")).alias("id"),
+                    F.concat(F.lit("S"), text(pair("l_suppkey"))).alias("name"),
+                ).alias("location")
+            ).alias("node")
+        )
+        item = F.struct(
+            make_gid("InventoryItem", at("p_partkey")).alias("id"),
+            F.struct(F.array(level).alias("edges")).alias("inventoryLevels"),
+        )
+        return [
+            *variant_columns(pair, at("p_partkey")),
+            (pair("n_lines") * 0.5).cast("string").alias("weight"),
+            F.lit("KILOGRAMS").alias("weightUnit"),
+            item.alias("inventoryItem"),
+        ]
+
+    images = F.struct(F.array(F.struct(F.struct(*image_columns(at)).alias("node"))).alias("edges"))
+    return F.struct(*product_columns(at), connection(at, variant).alias("variants"), images.alias("images"))
 
 
 def metafield_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part, pair = table(spark, sf_dir, "part"), pairs(spark, sf_dir)
+    """Metafields of products and variants, as rows of the tables; `field` is their key."""
+    part, pair = table(spark, sf_dir, "part"), pairs(spark, sf_dir).select("l_partkey", "l_suppkey", "n_lines", "shipped")
+    by_part = part.select("p_partkey", "p_name", "p_brand", "p_size")
+    own = by_part.select("*", F.explode(F.array(F.lit("size"), F.lit("brand"))).alias("field"), F.lit(0).alias("page_part"))
+    # A part's suppliers are paged too, so no page grows with a hot part.
+    of_variants = pair.join(by_part.select("p_partkey", "p_name"), pair["l_partkey"] == F.col("p_partkey")).select(
+        "*", F.lit("lines").alias("field"), (F.col("l_suppkey") + 1).alias("page_part")
+    )
+    docs = own.unionByName(of_variants, allowMissingColumns=True)
+    return docs.withColumn("page_key", F.col("p_partkey"))
+
+
+def metafield_node(at: At) -> Column:
     product = [
-        make_gid("Product", F.col("p_partkey")).alias("id"),
-        F.col("p_name").alias("title"),
-        handle().alias("handle"),
+        make_gid("Product", at("p_partkey")).alias("id"),
+        at("p_name").alias("title"),
+        handle(at).alias("handle"),
     ]
     owner = "struct<id:string,title:string,handle:string,sku:string,product:struct<id:string,title:string,handle:string>>"
     none = F.lit(None).cast("string")
     no_product = F.lit(None).cast("struct<id:string,title:string,handle:string>")
     of_product = F.struct(*product, none.alias("sku"), no_product.alias("product")).cast(owner).alias("owner")
-    sku = F.concat(F.lit("P"), text(F.col("l_partkey")), F.lit("-S"), text(F.col("l_suppkey")))
+    sku = F.concat(F.lit("P"), text(at("l_partkey")), F.lit("-S"), text(at("l_suppkey")))
     of_variant = (
         F.struct(
-            make_gid("ProductVariant", F.col("l_partkey"), F.col("l_suppkey")).alias("id"),
-            F.concat(F.lit("S"), text(F.col("l_suppkey"))).alias("title"),
+            make_gid("ProductVariant", at("l_partkey"), at("l_suppkey")).alias("id"),
+            F.concat(F.lit("S"), text(at("l_suppkey"))).alias("title"),
             none.alias("handle"),
             sku.alias("sku"),
             F.struct(*product).alias("product"),
@@ -357,24 +390,10 @@ def metafield_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .cast(owner)
         .alias("owner")
     )
-    first = F.lit(0).alias("page_part")
-    by_part = [F.col("p_partkey").alias("page_key"), first]
-    variants = pair.join(part, pair["l_partkey"] == part["p_partkey"])
-    return (
-        part.select(*by_part, *product_metafield("size", text(F.col("p_size")), "number_integer"), of_product)
-        .unionByName(
-            part.select(*by_part, *product_metafield("brand", F.col("p_brand"), "single_line_text_field"), of_product)
-        )
-        # A part's suppliers are paged too, so no page grows with a hot part.
-        .unionByName(
-            variants.select(
-                F.col("p_partkey").alias("page_key"),
-                (F.col("l_suppkey") + 1).alias("page_part"),
-                *variant_metafield(),
-                of_variant,
-            )
-        )
-    )
+    size = F.struct(*product_metafield("size", text(at("p_size")), "number_integer", at), of_product)
+    brand = F.struct(*product_metafield("brand", at("p_brand"), "single_line_text_field", at), of_product)
+    lines = F.struct(*variant_metafield(at), of_variant)
+    return F.when(at("field") == "lines", lines).when(at("field") == "size", size).otherwise(brand)
 
 
 # --- customers, inventory, locations, events -----------------------------------
@@ -383,34 +402,37 @@ def metafield_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, n, r = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
     joined = c.join(n, c["c_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"])
-    created = day_after("2019-01-01", F.col("c_custkey") % 700)
-    nation = text(F.col("c_nationkey"))
+    return joined.drop("n_nationkey", "n_regionkey", "r_regionkey")
+
+
+def customer_columns(at: At = F.col) -> list[Column]:
+    created = day_after("2019-01-01", at("c_custkey") % 700)
+    nation = text(at("c_nationkey"))
 
     def address(number: int, town: str) -> Column:
         return F.struct(
-            make_gid("MailingAddress", F.col("c_custkey"), F.lit(number)).alias("id"),
-            F.col("c_name").alias("firstName"),
-            F.col("c_mktsegment").alias("lastName"),
+            make_gid("MailingAddress", at("c_custkey"), F.lit(number)).alias("id"),
+            at("c_name").alias("firstName"),
+            at("c_mktsegment").alias("lastName"),
             F.concat(F.lit(town), nation).alias("city"),
-            F.col("r_name").alias("province"),
-            F.col("n_name").alias("country"),
-            F.col("c_name").alias("name"),
-            F.substring("r_name", 1, 2).alias("provinceCode"),
+            at("r_name").alias("province"),
+            at("n_name").alias("country"),
+            at("c_name").alias("name"),
+            F.substring(at("r_name"), 1, 2).alias("provinceCode"),
             F.concat(F.lit("N"), nation).alias("countryCodeV2"),
         )
 
     home, second = address(1, "City "), address(2, "Second ")
-    in_debt = F.col("c_acctbal") < 0
-    return joined.select(
-        F.col("c_custkey").alias("page_key"),
-        make_gid("Customer", F.col("c_custkey")).alias("id"),
-        F.col("c_name").alias("firstName"),
-        F.col("c_mktsegment").alias("lastName"),
-        F.concat(F.lower("c_name"), F.lit("@example.com")).alias("email"),
+    in_debt = at("c_acctbal") < 0
+    return [
+        make_gid("Customer", at("c_custkey")).alias("id"),
+        at("c_name").alias("firstName"),
+        at("c_mktsegment").alias("lastName"),
+        F.concat(F.lower(at("c_name")), F.lit("@example.com")).alias("email"),
         instant(created).alias("createdAt"),
-        instant(F.date_add(created, F.col("c_nationkey"))).alias("updatedAt"),
+        instant(F.date_add(created, at("c_nationkey"))).alias("updatedAt"),
         F.when(
-            F.col("c_mktsegment") != "MACHINERY",
+            at("c_mktsegment") != "MACHINERY",
             F.struct(
                 F.when(in_debt, F.lit("UNSUBSCRIBED")).otherwise(F.lit("SUBSCRIBED")).alias("marketingState"),
                 F.lit("SINGLE_OPT_IN").alias("marketingOptInLevel"),
@@ -418,53 +440,55 @@ def customer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("emailMarketingConsent"),
         F.when(~in_debt, home).alias("defaultAddress"),
         F.when(in_debt, F.slice(F.array(home), 1, 0))
-        .when(F.col("c_nationkey") % 2 == 0, F.array(home))
+        .when(at("c_nationkey") % 2 == 0, F.array(home))
         .otherwise(F.array(home, second))
         .alias("addresses"),
-    )
+    ]
 
 
 def customer_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_of(customer_rows(spark, sf_dir).drop("page_key"))
+    return lines_of(customer_rows(spark, sf_dir).select(*customer_columns()))
 
 
-def item_columns(price: bool = False) -> list[Column]:
-    sku = F.concat(F.lit("P"), text(F.col("p_partkey")))
+def item_columns(at: At = F.col, price: bool = False) -> list[Column]:
+    sku = F.concat(F.lit("P"), text(at("p_partkey")))
     variant = [
-        make_gid("ProductVariant", F.col("p_partkey")).alias("id"),
-        F.col("p_type").alias("title"),
+        make_gid("ProductVariant", at("p_partkey")).alias("id"),
+        at("p_type").alias("title"),
         sku.alias("sku"),
         F.struct(
-            make_gid("Product", F.col("p_partkey")).alias("id"),
-            F.col("p_name").alias("title"),
-            handle().alias("handle"),
+            make_gid("Product", at("p_partkey")).alias("id"),
+            at("p_name").alias("title"),
+            handle(at).alias("handle"),
         ).alias("product"),
     ]
     if price:
-        variant.append(F.col("p_retailprice").cast("decimal(18,2)").cast("string").alias("price"))
+        variant.append(at("p_retailprice").cast("decimal(18,2)").cast("string").alias("price"))
     return [
-        make_gid("InventoryItem", F.col("p_partkey")).alias("id"),
+        make_gid("InventoryItem", at("p_partkey")).alias("id"),
         sku.alias("sku"),
-        (F.col("p_size") % 2 == 0).alias("tracked"),
-        instant(part_created()).alias("createdAt"),
-        instant(part_updated()).alias("updatedAt"),
+        (at("p_size") % 2 == 0).alias("tracked"),
+        instant(part_created(at)).alias("createdAt"),
+        instant(part_updated(at)).alias("updatedAt"),
         F.struct(*variant).alias("variant"),
     ]
 
 
-def level_columns() -> list[Column]:
+def level_columns(at: At = F.col, part: Column | None = None) -> list[Column]:
+    part = at("l_partkey") if part is None else part
+
     def amount(name: str, value: str) -> Column:
-        return F.struct(F.lit(name).alias("name"), F.col(value).cast("int").alias("quantity"))
+        return F.struct(F.lit(name).alias("name"), at(value).cast("int").alias("quantity"))
 
     return [
-        make_gid("InventoryLevel", F.col("l_partkey"), F.col("l_suppkey")).alias("id"),
+        make_gid("InventoryLevel", part, at("l_suppkey")).alias("id"),
         F.array(amount("available", "quantity"), amount("on_hand", "n_lines")).alias("quantities"),
         F.struct(
-            make_gid("Location", F.col("l_suppkey")).alias("id"),
-            F.concat(F.lit("S"), text(F.col("l_suppkey"))).alias("name"),
-            (F.col("l_suppkey") % 5 != 0).alias("isActive"),
+            make_gid("Location", at("l_suppkey")).alias("id"),
+            F.concat(F.lit("S"), text(at("l_suppkey"))).alias("name"),
+            (at("l_suppkey") % 5 != 0).alias("isActive"),
         ).alias("location"),
-        instant(F.col("shipped")).alias("updatedAt"),
+        instant(at("shipped")).alias("updatedAt"),
     ]
 
 
@@ -478,21 +502,25 @@ def inventory_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inventory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    node = F.struct(*level_columns(), text(F.col("quantity")).alias("available"))
-    lists = connection_documents(pairs(spark, sf_dir), "l_partkey", ["l_suppkey"], node, F.expr(PAIR_BLOCK))
-    part = table(spark, sf_dir, "part")
-    docs = nest_connections(part, lists, "p_partkey", "l_partkey")
+    """Inventory items with their levels in documents, as rows of the tables."""
+    levels = pairs(spark, sf_dir).select("l_partkey", "l_suppkey", "n_lines", "quantity", "shipped")
+    lists = connection_documents(levels, "l_partkey", ["l_suppkey"], None, F.expr(PAIR_BLOCK))
+    return numbered(nest_connections(table(spark, sf_dir, "part"), lists, "p_partkey", "l_partkey"), "p_partkey")
+
+
+def inventory_node(at: At) -> Column:
+    def level(pair: At) -> list[Column]:
+        return [*level_columns(pair, at("p_partkey")), text(pair("quantity")).alias("available")]
+
     cost = F.struct(
-        F.col("p_retailprice").cast("decimal(18,2)").cast("string").alias("amount"), F.lit("USD").alias("currencyCode")
+        at("p_retailprice").cast("decimal(18,2)").cast("string").alias("amount"), F.lit("USD").alias("currencyCode")
     )
-    return docs.select(
-        F.col("p_partkey").alias("page_key"),
-        F.coalesce("part", F.lit(0)).alias("page_part"),
-        *item_columns(price=True),
-        F.concat(F.lit("N"), text(F.col("p_size"))).alias("countryCodeOfOrigin"),
-        (F.col("p_size") > 25).alias("requiresShipping"),
-        F.when(F.col("p_size") % 7 != 0, cost).alias("unitCost"),
-        F.struct(F.coalesce("offset", F.lit(0)).alias("offset"), "edges").alias("inventoryLevels"),
+    return F.struct(
+        *item_columns(at, price=True),
+        F.concat(F.lit("N"), text(at("p_size"))).alias("countryCodeOfOrigin"),
+        (at("p_size") > 25).alias("requiresShipping"),
+        F.when(at("p_size") % 7 != 0, cost).alias("unitCost"),
+        connection(at, level).alias("inventoryLevels"),
     )
 
 
@@ -640,34 +668,39 @@ def mixed_customer_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- pages -----------------------------------------------------------------------
 
 
-def page_lines(docs: DataFrame, name: str) -> DataFrame:
+def page_lines(docs: DataFrame, name: str, node: Callable[[At], Column]) -> DataFrame:
     """Page envelopes of at most PAGE_SIZE keys and one part each: keys are unique
-    within a part, so a page is bounded whatever the data."""
-    node = F.struct(*[F.col(c) for c in docs.columns if c not in ("page_key", "page_part")])
+    within a part, so a page is bounded whatever the data.  `node` gives a document of
+    a row."""
+    row = F.struct(*[F.col(c) for c in docs.columns if c not in ("page_key", "page_part")])
     pages = (
-        docs.select(
-            F.expr(f"page_key div {PAGE_SIZE}").alias("page"),
-            "page_part",
-            F.struct(node.alias("node")).alias("edge"),
-        )
+        docs.select(F.expr(f"page_key div {PAGE_SIZE}").alias("page"), "page_part", row.alias("row"))
         .groupBy("page", "page_part")
-        .agg(F.collect_list("edge").alias("edges"))
+        .agg(F.collect_list("row").alias("rows"))
     )
+    edges = F.transform("rows", lambda r: F.struct(node(r.getField).alias("node")))
     cursor = F.concat_ws("-", text(F.col("page")), text(F.col("page_part")))
     info = F.struct(F.lit(True).alias("hasNextPage"), cursor.alias("endCursor"))
-    return pages.select(F.to_json(F.struct(F.struct(info.alias("pageInfo"), "edges").alias(name))).alias("value"))
+    page = F.struct(info.alias("pageInfo"), edges.alias("edges"))
+    return pages.select(F.to_json(F.struct(page.alias(name))).alias("value"))
 
 
 def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customer_rows(spark, sf_dir).withColumn("page_part", F.lit(0))
+    return customer_rows(spark, sf_dir).withColumns({"page_key": F.col("c_custkey"), "page_part": F.lit(0)})
+
+
+def customer_node(at: At) -> Column:
+    return F.struct(*customer_columns(at))
 
 
 def customer_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as JSON arrays, one array of at most PAGE_SIZE records per line."""
-    rows = customer_rows(spark, sf_dir)
-    record = F.struct(*[F.col(c) for c in rows.columns if c != "page_key"])
-    arrays = rows.groupBy(F.expr(f"page_key div {PAGE_SIZE}").alias("page")).agg(F.collect_list(record).alias("records"))
-    return arrays.select(F.to_json("records").alias("value"))
+    arrays = (
+        customer_rows(spark, sf_dir)
+        .groupBy(F.expr(f"c_custkey div {PAGE_SIZE}").alias("page"))
+        .agg(F.collect_list(F.struct("*")).alias("rows"))
+    )
+    return arrays.select(F.to_json(F.transform("rows", lambda r: customer_node(r.getField))).alias("value"))
 
 
 # --- increments ------------------------------------------------------------------
@@ -707,9 +740,9 @@ EXPORTS = {
     "customer_mixed": mixed_customer_export,
     **{f"drift_{i}": lambda s, d, i=i: drift_export(s, d, i) for i in range(DRIFTS)},
     "customer_arrays": customer_arrays,
-    "order_pages": lambda s, d: page_lines(order_documents(s, d), "orders"),
-    "product_pages": lambda s, d: page_lines(product_documents(s, d), "products"),
-    "customer_pages": lambda s, d: page_lines(customer_documents(s, d), "customers"),
-    "inventory_pages": lambda s, d: page_lines(inventory_documents(s, d), "inventoryItems"),
-    "metafield_pages": lambda s, d: page_lines(metafield_documents(s, d), "metafields"),
+    "order_pages": lambda s, d: page_lines(order_documents(s, d), "orders", order_node),
+    "product_pages": lambda s, d: page_lines(product_documents(s, d), "products", product_node),
+    "customer_pages": lambda s, d: page_lines(customer_documents(s, d), "customers", customer_node),
+    "inventory_pages": lambda s, d: page_lines(inventory_documents(s, d), "inventoryItems", inventory_node),
+    "metafield_pages": lambda s, d: page_lines(metafield_documents(s, d), "metafields", metafield_node),
 }

@@ -1,12 +1,18 @@
-"""What the exports of the checks cost: size of their files."""
+"""What the exports of the checks cost: size of their files, and of what is shuffled to build them."""
 
 import gzip
 from pathlib import Path
 
+import pytest
+from pyspark.sql import functions as F
+
 from checks import fixtures
 from checks.fixtures import EXPORTS, landed
+from orderloom.operators import relations
+from orderloom.operators.relations import connection_documents, nest_connections
 
 SMALL = "/root/testdata/sf0.001"
+PAGES = ["order_pages", "product_pages", "inventory_pages", "metafield_pages", "customer_pages"]
 
 
 def test_exports_are_compressed_into_files_of_bounded_lines(spark, tmp_path, monkeypatch):
@@ -17,3 +23,52 @@ def test_exports_are_compressed_into_files_of_bounded_lines(spark, tmp_path, mon
     lines = [text.count(b"\n") for text in texts]
     assert max(lines) <= 700 and sum(lines) == EXPORTS["order"](spark, SMALL).count()
     assert sum(f.stat().st_size for f in files) * 5 < sum(map(len, texts))
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_pages_are_written_out_after_the_last_shuffle(spark, name):
+    """Before it rows are columns of the tables: no global ids, no other text of documents."""
+    plan = EXPORTS[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    below = plan.partition("Exchange")[2]
+    assert "Scan parquet" in below and "gid://" not in below
+
+
+def test_children_of_documents_are_shuffled_once(spark):
+    df = EXPORTS["order_pages"](spark, SMALL)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(l_orderkey" in line and "Reused" not in line]
+    ids = {line.split("plan_id=")[1] for line in moved}
+    assert len(ids) == 1, plan
+
+
+@pytest.fixture
+def owners(spark):
+    """A heavy owner, a light one of several documents, small ones, and children without one."""
+    n = F.col("id")
+    owner = F.when(n < 3000, "hot").when(n < 3700, "warm").when(n < 3900, F.lit(None)).otherwise(F.concat(F.lit("s"), n % 50))
+    return spark.range(0, 5000, 1, 8).select(owner.alias("link"), F.pmod(n * 7919, F.lit(5000)).alias("line"), n.alias("payload"))
+
+
+@pytest.mark.parametrize("narrow", [True, False])
+@pytest.mark.parametrize("listed", [1000, 10**6])
+def test_documents_are_the_same_however_owners_are_dealt(owners, monkeypatch, listed, narrow):
+    monkeypatch.setattr(relations, "LISTED_ROWS", listed)
+    node = None if narrow else F.struct("line", "payload")
+    docs = connection_documents(owners, "link", ["line"], node, F.expr("line div 500"), size=250).collect()
+    want: dict = {}
+    for r in owners.orderBy("line").collect():
+        want.setdefault(r["link"], []).append((r["line"], r["payload"]))
+    got: dict = {}
+    for r in sorted(docs, key=lambda r: r["part"]):
+        entries = got.setdefault(r["link"], [])
+        assert r["offset"] == r["part"] * 250 == len(entries) and 0 < len(r["edges"]) <= 250
+        entries += [tuple(e["node"]) for e in r["edges"]]
+    assert got == want
+
+
+def test_parents_without_a_key_keep_their_row(spark):
+    parents = spark.createDataFrame([(1, "a"), (None, "b")], "k int, name string")
+    parts = spark.createDataFrame([(1, 0), (None, 0)], "link int, part int")
+    got = nest_connections(parents, parts, "k", "link").collect()
+    assert sorted(map(tuple, got), key=repr) == [(1, "a", 0), (None, "b", None)]
