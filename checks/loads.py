@@ -24,7 +24,7 @@ from orderloom.sinks.outputs import load_all, remove, write_measured
 from orderloom.sources import datasets
 from orderloom.sources.bulk import keep_raw, scan_bulk, scan_lines, to_lines
 from orderloom.sources.pages import scan_json_split
-from orderloom.streaming.dataset import land_dataset, landed_tables, read_dataset_table
+from orderloom.streaming.dataset import land_dataset, read_dataset
 from orderloom.streaming.landing import land_stream, read_landed
 
 from .fixtures import DRIFTS, LINES_PER_FILE, base_and_increment, landed, table
@@ -377,7 +377,7 @@ def stream_dataset(spark, sf_dir):
     """The order export as a stream that lands all its tables."""
     target = scratch_path(spark, "landed-dataset")
     land_dataset(spark, landed(spark, sf_dir, "order"), "order", target, scratch_path(spark, "progress")).awaitTermination()
-    return contents({table: read_dataset_table(spark, target, table) for table in landed_tables(spark, target)}, ORDER_SHOWN)
+    return contents(read_dataset(spark, target), ORDER_SHOWN)
 
 
 PAGED_SHOWN = {

@@ -6,6 +6,9 @@ what it wrote, in all tables.  Beside the tables, `_lines` holds which version o
 line a batch brought.  Readers take, for each line, the newest version of all batches, and
 of every table the rows that came with it.  So a changed order also replaces its child
 rows, fewer ones too, and a version that arrives late changes nothing.
+
+Most lines come once, in a batch and in all.  Bare hashes of the keys tell which may have come
+again; only these are compared, and other rows stay where they are.
 """
 
 from __future__ import annotations
@@ -19,9 +22,10 @@ from ..operators.loads import latest_per_key
 from ..operators.reshape import PARENT_LINK
 from ..plans.normalise import contract_keys, normalise, stage
 from ..schemas import dataset_schema
+from ..session import scratch_path
 from ..sinks.outputs import remove
 
-LINES, BATCH, LINE, NEWEST = "_lines", "batch_id", "line_", "newest_"
+LINES, BATCH, LINE, NEWEST, HASH = "_lines", "batch_id", "line_", "newest_", "hash_"
 
 
 def line_key(df: DataFrame) -> list[str]:
@@ -37,11 +41,37 @@ def newest_lines(batch: DataFrame, newest: str) -> DataFrame:
     return known.unionByName(batch.where(F.col("id").isNull()))
 
 
+def stored(spark: SparkSession, df: DataFrame, name: str, kept: list[str] | None = None) -> DataFrame:
+    """A short frame on the shared folder: joins with it are planned by its measured size."""
+    path = scratch_path(spark, name)
+    if kept is not None:
+        kept.append(path)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_newest(spark: SparkSession, batch: DataFrame, name: str, newest: str, kept: list[str]) -> DataFrame:
+    """The batch staged, one version of every line.  Lines are staged as they come; if some
+    came in several versions, these are reduced and the rest is staged again with them."""
+    lines = stage(spark, batch, name, kept)
+    hashed = lines.withColumn(HASH, F.when(F.col("id").isNotNull(), F.xxhash64(*line_key(lines))))
+    counts = hashed.where(F.col(HASH).isNotNull()).groupBy(HASH).agg(F.count(F.lit(1)).alias("n"))
+    repeated = stored(spark, counts.where("n > 1").select(HASH), f"repeated-{name}", kept)
+    if repeated.isEmpty():
+        return lines
+    once = hashed.join(repeated, HASH, "left_anti").select(*lines.columns)
+    several = hashed.join(repeated, HASH, "left_semi").select(*lines.columns)
+    whole = kept[0]
+    lines = stage(spark, once.unionByName(newest_lines(several, newest)), name, kept)
+    remove(spark, whole)
+    return lines
+
+
 def land_batch(spark: SparkSession, batch: DataFrame, batch_id: int, name: str, target: str, newest: str = "updatedAt") -> list[str]:
     """Land one batch of lines of a fixed dataset; gives the tables that it has rows for."""
     kept: list[str] = []
     try:
-        lines = stage(spark, newest_lines(batch, newest), name, kept)
+        lines = stage_newest(spark, batch, name, newest, kept)
         keys = contract_keys(name, lines)
         entities = normalise(lines, name, keys, children=False)
         tables = normalise(lines, name, keys)
@@ -52,6 +82,8 @@ def land_batch(spark: SparkSession, batch: DataFrame, batch_id: int, name: str,
         for table, df in tables.items():
             line = F.col("id" if table in entities else "parent_id")
             df.withColumn(LINE, line).write.mode("overwrite").parquet(f"{target}/{table}/{folder}")
+        for table in set(landed_tables(spark, target)) - set(tables):  # of an attempt before
+            remove(spark, f"{target}/{table}/{folder}")
         return list(tables)
     finally:
         for path in kept:
@@ -80,21 +112,34 @@ def land_dataset(
     return writer.trigger(availableNow=True).start()
 
 
-def landed_lines(spark: SparkSession, target: str) -> DataFrame:
-    """(id, parent_id, batch_id): the batch that brought the newest version of each line."""
-    lines = spark.read.parquet(f"{target}/{LINES}")
+def newest_versions(lines: DataFrame) -> DataFrame:
+    """Of each line the version that counts, with its batch."""
     order = [F.col(NEWEST).desc_nulls_last(), F.col(BATCH).desc()]
-    return latest_per_key(lines, ["id", "parent_id"], order).select("id", "parent_id", BATCH)
+    return latest_per_key(lines, ["id", "parent_id"], order)
+
 
+def changed_lines(spark: SparkSession, target: str) -> DataFrame | None:
+    """(id, parent_id, batch_id) of the ids that several batches brought, for each line the
+    batch of its newest version; None if there are none."""
+    lines = spark.read.parquet(f"{target}/{LINES}").withColumn(HASH, F.xxhash64("id"))
+    batches = lines.groupBy(HASH).agg(F.min(BATCH).alias("first"), F.max(BATCH).alias("last"))
+    several = stored(spark, batches.where("first < last").select(HASH), "several")
+    if several.isEmpty():
+        return None
+    return stored(spark, newest_versions(lines.join(several, HASH, "left_semi")).select("id", "parent_id", BATCH), "changed")
 
-def landed_rows(spark: SparkSession, target: str, table: str) -> DataFrame:
+
+def landed_rows(spark: SparkSession, target: str, table: str, changed: DataFrame | None) -> DataFrame:
     """A table's rows of the newest lines, with the columns it was landed with."""
     rows = spark.read.parquet(f"{target}/{table}")
-    newest = landed_lines(spark, target).select(F.col("id").alias("of_"), F.col("parent_id").alias("below_"), F.col(BATCH).alias("in_"))
+    if changed is None:
+        return rows
+    newest = changed.select(F.col("id").alias("of_"), F.col("parent_id").alias("below_"), F.col(BATCH).alias("in_"))
     same: Column = (F.col(LINE) == F.col("of_")) & (F.col(BATCH) == F.col("in_"))
     if linked(rows):
         same = same & F.col("parent_id").eqNullSafe(F.col("below_"))
-    return rows.join(newest, same, "left_semi").unionByName(rows.where(F.col(LINE).isNull()))
+    unchanged = rows.join(newest.select("of_").distinct(), F.col(LINE) == F.col("of_"), "left_anti")
+    return unchanged.unionByName(rows.join(newest, same, "left_semi"))
 
 
 def linked(rows: DataFrame) -> bool:
@@ -102,9 +147,16 @@ def linked(rows: DataFrame) -> bool:
     return "parent_id" in rows.columns and bool(rows.schema["parent_id"].metadata.get("linked"))
 
 
+def read_dataset(spark: SparkSession, target: str, tables: Sequence[str] | None = None) -> dict[str, DataFrame]:
+    """Landed tables as they are now, all or some.  What has changed is looked up once, at the call."""
+    changed = changed_lines(spark, target)
+    names = landed_tables(spark, target) if tables is None else tables
+    return {table: landed_rows(spark, target, table, changed).drop(LINE, BATCH) for table in names}
+
+
 def read_dataset_table(spark: SparkSession, target: str, table: str) -> DataFrame:
     """A landed table as it is now."""
-    return landed_rows(spark, target, table).drop(LINE, BATCH)
+    return read_dataset(spark, target, [table])[table]
 
 
 def landed_tables(spark: SparkSession, target: str) -> list[str]:
@@ -118,8 +170,7 @@ def landed_tables(spark: SparkSession, target: str) -> list[str]:
 def compact_dataset(spark: SparkSession, target: str, folded: str, tables: Sequence[str] | None = None) -> None:
     """Write what readers see to a new folder, where the stream can go on.  Rows keep their
     batch, so that a version which arrives late is still told from a new one."""
+    changed = changed_lines(spark, target)
     for table in tables or landed_tables(spark, target):
-        landed_rows(spark, target, table).write.partitionBy(BATCH).parquet(f"{folded}/{table}")
-    lines = spark.read.parquet(f"{target}/{LINES}")
-    order = [F.col(NEWEST).desc_nulls_last(), F.col(BATCH).desc()]
-    latest_per_key(lines, ["id", "parent_id"], order).write.partitionBy(BATCH).parquet(f"{folded}/{LINES}")
+        landed_rows(spark, target, table, changed).write.partitionBy(BATCH).parquet(f"{folded}/{table}")
+    newest_versions(spark.read.parquet(f"{target}/{LINES}")).write.partitionBy(BATCH).parquet(f"{folded}/{LINES}")
