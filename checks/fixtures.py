@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from orderloom.functions import make_gid
-from orderloom.operators.relations import connection_documents, nest_connections
+from orderloom.operators.relations import nest_by_page
 from orderloom.session import scratch_path
 from orderloom.sources.bulk import to_lines
 
@@ -84,9 +84,9 @@ def day_after(base: str, days: Column) -> Column:
     return F.date_add(F.lit(base).cast("date"), days.cast("int"))
 
 
-def numbered(docs: DataFrame, key: str) -> DataFrame:
-    """Documents of `nest_connections`, numbered for their pages."""
-    return docs.withColumns({"page_key": F.col(key), "page_part": F.coalesce("part", F.lit(0))}).drop("part")
+def numbered(frames: list[DataFrame]) -> list[DataFrame]:
+    """Documents of `nest_by_page`, numbered for their pages."""
+    return [docs.withColumn("page_part", F.coalesce("part", F.lit(0))).drop("part") for docs in frames]
 
 
 def connection(at: At, columns: Callable[[At], list[Column]]) -> Column:
@@ -199,12 +199,12 @@ def order_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines_of(order_rows(spark, sf_dir).select(*order_columns()), line_item_rows(spark, sf_dir))
 
 
-def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with their line items in documents, as rows of the tables; `page_key` and
-    `page_part` number the documents."""
+def order_documents(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Orders with their line items in documents, as rows of the tables; `page` and
+    `page_part` say where a document goes."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *LINE_ORDER)
-    lists = connection_documents(lines, "l_orderkey", LINE_ORDER, None, F.expr(LINE_BLOCK))
-    return numbered(nest_connections(order_rows(spark, sf_dir), lists, "o_orderkey", "l_orderkey"), "o_orderkey")
+    orders = order_rows(spark, sf_dir)
+    return numbered(nest_by_page(orders, lines, "o_orderkey", "l_orderkey", LINE_ORDER, F.expr(LINE_BLOCK), PAGE_SIZE))
 
 
 def order_node(at: At) -> Column:
@@ -219,18 +219,28 @@ def order_node(at: At) -> Column:
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part and supplier pairs with their line count, quantity, price and last shipping."""
-    return (
-        table(spark, sf_dir, "lineitem")
-        .groupBy("l_partkey", "l_suppkey")
-        .agg(
-            F.count(F.lit(1)).alias("n_lines"),
-            F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
-            F.max("l_extendedprice").alias("price"),
-            F.max("l_shipdate").alias("shipped"),
-        )
+    return pairs_of(table(spark, sf_dir, "lineitem"))
+
+
+def pairs_of(lines: DataFrame, *also: str) -> DataFrame:
+    return lines.groupBy(*also, "l_partkey", "l_suppkey").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
+        F.max("l_extendedprice").alias("price"),
+        F.max("l_shipdate").alias("shipped"),
     )
 
 
+def part_documents(spark: SparkSession, sf_dir: str, *values: str) -> list[DataFrame]:
+    """Parts with these values of their pairs in documents, as rows of the tables."""
+
+    def shape(lines: DataFrame, *also: str) -> DataFrame:
+        return pairs_of(lines, *also).select(*also, "l_partkey", "l_suppkey", *values)
+
+    part, lines = table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem")
+    return numbered(nest_by_page(part, lines, "p_partkey", "l_partkey", ["l_suppkey"], F.expr(PAIR_BLOCK), PAGE_SIZE, shape))
+
+
 def handle(at: At = F.col) -> Column:
     return F.concat(F.translate(at("p_name"), " ", "-"), F.lit("-"), text(at("p_partkey")))
 
@@ -323,11 +333,9 @@ def product_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def product_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Products with their variants in documents, as rows of the tables."""
-    variants = pairs(spark, sf_dir).select("l_partkey", "l_suppkey", "n_lines", "quantity", "price")
-    lists = connection_documents(variants, "l_partkey", ["l_suppkey"], None, F.expr(PAIR_BLOCK))
-    return numbered(nest_connections(table(spark, sf_dir, "part"), lists, "p_partkey", "l_partkey"), "p_partkey")
+def product_documents(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Products with their variants in documents."""
+    return part_documents(spark, sf_dir, "n_lines", "quantity", "price")
 
 
 def product_node(at: At) -> Column:
@@ -355,7 +363,7 @@ def product_node(at: At) -> Column:
     return F.struct(*product_columns(at), connection(at, variant).alias("variants"), images.alias("images"))
 
 
-def metafield_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def metafield_documents(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Metafields of products and variants, as rows of the tables; `field` is their key."""
     part, pair = table(spark, sf_dir, "part"), pairs(spark, sf_dir).select("l_partkey", "l_suppkey", "n_lines", "shipped")
     by_part = part.select("p_partkey", "p_name", "p_brand", "p_size")
@@ -365,7 +373,7 @@ def metafield_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*", F.lit("lines").alias("field"), (F.col("l_suppkey") + 1).alias("page_part")
     )
     docs = own.unionByName(of_variants, allowMissingColumns=True)
-    return docs.withColumn("page_key", F.col("p_partkey"))
+    return [docs.withColumn("page", F.expr(f"p_partkey div {PAGE_SIZE}"))]
 
 
 def metafield_node(at: At) -> Column:
@@ -501,11 +509,9 @@ def inventory_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def inventory_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Inventory items with their levels in documents, as rows of the tables."""
-    levels = pairs(spark, sf_dir).select("l_partkey", "l_suppkey", "n_lines", "quantity", "shipped")
-    lists = connection_documents(levels, "l_partkey", ["l_suppkey"], None, F.expr(PAIR_BLOCK))
-    return numbered(nest_connections(table(spark, sf_dir, "part"), lists, "p_partkey", "l_partkey"), "p_partkey")
+def inventory_documents(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Inventory items with their levels in documents."""
+    return part_documents(spark, sf_dir, "n_lines", "quantity", "shipped")
 
 
 def inventory_node(at: At) -> Column:
@@ -668,16 +674,16 @@ def mixed_customer_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- pages -----------------------------------------------------------------------
 
 
-def page_lines(docs: DataFrame, name: str, node: Callable[[At], Column]) -> DataFrame:
+def page_lines(frames: list[DataFrame], name: str, node: Callable[[At], Column]) -> DataFrame:
     """Page envelopes of at most PAGE_SIZE keys and one part each: keys are unique
     within a part, so a page is bounded whatever the data.  `node` gives a document of
-    a row."""
-    row = F.struct(*[F.col(c) for c in docs.columns if c not in ("page_key", "page_part")])
-    pages = (
-        docs.select(F.expr(f"page_key div {PAGE_SIZE}").alias("page"), "page_part", row.alias("row"))
-        .groupBy("page", "page_part")
-        .agg(F.collect_list("row").alias("rows"))
-    )
+    a row.  Each frame has pages of its own."""
+    return reduce(DataFrame.unionAll, [pages_of(docs, name, node) for docs in frames])
+
+
+def pages_of(docs: DataFrame, name: str, node: Callable[[At], Column]) -> DataFrame:
+    row = F.struct(*[F.col(c) for c in docs.columns if c not in ("page", "page_part")])
+    pages = docs.select("page", "page_part", row.alias("row")).groupBy("page", "page_part").agg(F.collect_list("row").alias("rows"))
     edges = F.transform("rows", lambda r: F.struct(node(r.getField).alias("node")))
     cursor = F.concat_ws("-", text(F.col("page")), text(F.col("page_part")))
     info = F.struct(F.lit(True).alias("hasNextPage"), cursor.alias("endCursor"))
@@ -685,8 +691,8 @@ def page_lines(docs: DataFrame, name: str, node: Callable[[At], Column]) -> Data
     return pages.select(F.to_json(F.struct(page.alias(name))).alias("value"))
 
 
-def customer_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customer_rows(spark, sf_dir).withColumns({"page_key": F.col("c_custkey"), "page_part": F.lit(0)})
+def customer_documents(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    return [customer_rows(spark, sf_dir).withColumns({"page": F.expr(f"c_custkey div {PAGE_SIZE}"), "page_part": F.lit(0)})]
 
 
 def customer_node(at: At) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -138,19 +138,25 @@ def connection_documents(
     lists = listed_documents(light, link, entry, size)
     if heavy or loose:
         lists = lists.unionAll(blocked_documents(child.where(apart), link, order, entry, block, size))
+    return edges_of(lists, size, link)
+
+
+def edges_of(lists: DataFrame, size: int, *keys: str) -> DataFrame:
+    """(keys, part, offset, edges) of lists cut into parts."""
     edges = F.transform("__entries", lambda e: F.struct(e["node"].alias("node"))).alias("edges")
-    return lists.select(link, "part", (F.col("part") * size).cast("bigint").alias("offset"), edges)
+    return lists.select(*keys, "part", (F.col("part") * size).cast("bigint").alias("offset"), edges)
 
 
-def listed_documents(child: DataFrame, link: str, entry: Column, size: int) -> DataFrame:
-    """(link, part, __entries) of owners whose children fit one list."""
-    lists = child.groupBy(link).agg(F.array_sort(F.collect_list(entry)).alias("__all"))
+def listed_documents(child: DataFrame, link: str, entry: Column, size: int, *also: str) -> DataFrame:
+    """(link, part, __entries) of owners whose children fit one list; `also` are columns
+    that the link decides."""
+    lists = child.groupBy(*also, link).agg(F.array_sort(F.collect_list(entry)).alias("__all"))
     last = F.expr(f"(array_size(__all) - 1) div {size}")
     parts = F.transform(
         F.sequence(F.lit(0).cast("bigint"), last.cast("bigint")),
         lambda i: F.struct(i.alias("part"), F.slice("__all", (i * size + 1).cast("int"), F.lit(size)).alias("__entries")),
     )
-    return lists.select(link, F.inline(parts))
+    return lists.select(*also, link, F.inline(parts))
 
 
 def blocked_documents(
@@ -184,6 +190,46 @@ def nest_connections(parent: DataFrame, connections: DataFrame, key: str, link:
     return with_parts.unionByName(without, allowMissingColumns=True).unionByName(unknown, allowMissingColumns=True)
 
 
+def nest_by_page(
+    parent: DataFrame,
+    rows: DataFrame,
+    key: str,
+    link: str,
+    order: Sequence[str],
+    block: Column,
+    page_size: int,
+    shape: Callable[..., DataFrame] = lambda rows, *also: rows,
+    size: int = CONNECTION_SIZE,
+) -> list[DataFrame]:
+    """`nest_connections` with the `connection_documents` of `shape(rows)`, for documents
+    that go on pages of `page_size` keys, `page`.  `shape` may aggregate the rows; it groups
+    by the columns that it is given, too.
+
+    Rows and parents are dealt by their page, once: what is done with them per pair, per
+    owner and per page then needs no shuffle.  So the join is one of pages, and the key is
+    compared within a page.  Heavy owners, found by a sketch of the bare rows, are in a
+    frame of their own and spread over many tasks.
+    """
+    heavy, _ = heavy_links(rows, link, LISTED_ROWS)
+    page, number = f"{link}_page", f"`{{}}` div {page_size}"
+    parent = parent.withColumn("page", F.expr(number.format(key)))
+    linked = rows.where(F.col(link).isNotNull())
+    light, owners = linked, parent
+    if heavy:
+        light = linked.where(~F.col(link).isin(list(heavy)))
+        owners = parent.where(F.coalesce(~F.col(key).isin(list(heavy)), F.lit(True)))
+    child = shape(light.withColumn(page, F.expr(number.format(link))).repartition(page), page)
+    node = F.struct(*order, *[c for c in child.columns if c not in (page, link, *order)])
+    lists = edges_of(listed_documents(child, link, F.struct(node.alias("node")).alias("__entry"), size, page), size, page, link)
+    # Equal, but no key of the join.
+    same = owners[key].between(lists[link], lists[link])
+    frames = [owners.join(lists, (owners["page"] == lists[page]) & same, "left").drop(page, link)]
+    if heavy:
+        apart = connection_documents(shape(linked.where(F.col(link).isin(list(heavy)))), link, order, None, block, size)
+        frames.append(nest_connections(parent.where(F.col(key).isin(list(heavy))), apart, key, link))
+    return frames
+
+
 def linked_to(mixed: DataFrame, roots: DataFrame, depth: int, link: str = "__parentId") -> DataFrame:
     """The given root rows of a mixed frame and everything linked below them.
 

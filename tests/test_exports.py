@@ -10,6 +10,7 @@ from checks import fixtures
 from checks.fixtures import EXPORTS, landed
 from orderloom.operators import relations
 from orderloom.operators.relations import connection_documents, nest_connections
+from orderloom.session import settings
 
 SMALL = "/root/testdata/sf0.001"
 PAGES = ["order_pages", "product_pages", "inventory_pages", "metafield_pages", "customer_pages"]
@@ -72,3 +73,32 @@ def test_parents_without_a_key_keep_their_row(spark):
     parts = spark.createDataFrame([(1, 0), (None, 0)], "link int, part int")
     got = nest_connections(parents, parts, "k", "link").collect()
     assert sorted(map(tuple, got), key=repr) == [(1, "a", 0), (None, "b", None)]
+
+
+@pytest.mark.parametrize("name, table, link", [("order_pages", "orders", "l_orderkey"), ("product_pages", "part", "l_partkey"), ("inventory_pages", "part", "l_partkey")])
+def test_rows_of_a_page_are_dealt_once(spark, name, table, link):
+    """Pairs, lists and pages are made of lines where their page is; parents are dealt to them."""
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        plan = EXPORTS[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    dealt = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    assert sum(f"hashpartitioning({link}_page" in line for line in dealt) == 1, plan
+    assert sum("hashpartitioning(page#" in line for line in dealt) == 1, plan
+    customers = [line for line in dealt if "_custkey#" in line]
+    assert len(dealt) == 2 + len(customers), plan
+
+
+@pytest.mark.parametrize("listed", [1500, 10**6])
+def test_documents_by_page_are_those_of_the_parts(spark, owners, monkeypatch, listed):
+    monkeypatch.setattr(relations, "LISTED_ROWS", listed)
+    codes = F.create_map(*[F.lit(x) for pair in (("hot", 1000), ("warm", 1001)) for x in pair])
+    number = F.coalesce(codes[F.col("link")], F.expr("try_cast(substring(link, 2) as int)")).cast("int")
+    rows_ = owners.select(number.alias("link"), "line", "payload")
+    parents = spark.createDataFrame([(k, f"n{k}") for k in [*range(45), 1000, 1001, 1050]] + [(None, "none")], "k int, name string")
+    block = F.expr("line div 500")
+    frames = relations.nest_by_page(parents, rows_, "k", "link", ["line"], block, 50)
+    assert len(frames) == 1 + (listed == 1500)
+    got = [r for f in frames for r in f.select("k", "name", "part", "offset", "edges", "page").collect()]
+    assert all(r["page"] == (None if r["k"] is None else r["k"] // 50) for r in got)
+    docs = connection_documents(rows_, "link", ["line"], None, block)
+    want = nest_connections(parents, docs, "k", "link").select("k", "name", "part", "offset", "edges").collect()
+    assert sorted((tuple(r)[:5] for r in got), key=repr) == sorted(map(tuple, want), key=repr)
