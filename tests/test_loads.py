@@ -39,6 +39,22 @@ def test_upsert_keeps_columns_in_order(spark):
     assert rows(upsert(base, increment, ["id"], newest())) == MERGED
 
 
+def test_only_small_keys_are_broadcast(spark, tmp_path):
+    """Keys in compressed lists look small to the optimizer; what counts is their measured size."""
+
+    def stored(name, start, owners):
+        item = F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.concat(F.lit("gid://shop/InventoryLevel/"), "id", F.lit("-"), i))
+        docs = spark.range(start, start + owners, 1, 2).select(item.alias("ids"))
+        docs.write.option("compression", "zstd").parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name)).select(F.explode("ids").alias("id"))
+
+    base = stored("base", 0, 4000)
+    for name, owners, join in (("large", 3000, "SortMergeJoin"), ("small", 10, "BroadcastHashJoin")):
+        merged = upsert(base, stored(name, 2000, owners), ["id"], [F.col("id")])
+        assert merged.count() == 100 * max(4000, 2000 + owners)
+        assert join in merged._jdf.queryExecution().executedPlan().toString()
+
+
 def test_partition_upsert_leaves_other_partitions_alone(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.createDataFrame(BASE, SCHEMA).write.partitionBy("part").parquet(path)
