@@ -1,6 +1,7 @@
 """What the exports of the checks cost: size of their files, and of what is shuffled to build them."""
 
 import gzip
+import zlib
 from pathlib import Path
 
 import pytest
@@ -26,6 +27,23 @@ def test_exports_are_compressed_into_files_of_bounded_lines(spark, tmp_path, mon
     assert sum(f.stat().st_size for f in files) * 5 < sum(map(len, texts))
 
 
+def test_exports_are_compressed_at_the_fastest_level(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "_landed", {})
+    files = list(Path(landed(spark, SMALL, "order")).glob("part-*"))
+    texts = [gzip.decompress(f.read_bytes()) for f in files]
+    fast, usual = (sum(len(zlib.compress(t, level)) for t in texts) for level in (1, 6))
+    size = sum(f.stat().st_size for f in files)
+    assert abs(size - fast) < abs(size - usual)
+
+
+def test_lists_are_sorted_by_compiled_code(spark, owners):
+    """Not by a lambda that is interpreted for every comparison."""
+    docs = connection_documents(owners, "link", ["line"], None, F.expr("line div 500"))
+    for df in (docs, *[EXPORTS[name](spark, SMALL) for name in PAGES[:3]]):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "sort_array(" in plan and "array_sort(" not in plan
+
+
 @pytest.mark.parametrize("name", PAGES)
 def test_pages_are_written_out_after_the_last_shuffle(spark, name):
     """Before it rows are columns of the tables: no global ids, no other text of documents."""
