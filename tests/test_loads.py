@@ -1,9 +1,14 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from orderloom.operators import loads
 from orderloom.operators.loads import full_load, latest_per_key, upsert, upsert_partitions
+from orderloom.session import shared_dir
+from orderloom.sinks.buckets import load_all_buckets, read_buckets
+from orderloom.sinks.outputs import load_all
 from orderloom.streaming.landing import compact, land_stream, read_landed
 
 from .conftest import rows
@@ -138,3 +143,50 @@ def test_a_malformed_line_fails_the_stream(spark, tmp_path):
         with pytest.raises(Exception):
             stream.awaitTermination()
         (source / f"{name}.json").unlink()
+
+
+VERSIONS = [("a", 1, "old", "x"), ("a", 2, "new", "x"), ("b", 1, "only", "y"), (None, 1, "older", "z"), (None, 2, "newer", "z"), ("c", 1, "only", "y")]
+
+
+@pytest.mark.parametrize("limit", [10 << 20, 0])
+def test_only_rows_whose_key_repeats_are_compared(spark, tmp_path, monkeypatch, limit):
+    """Unless the repeated keys are too many to be broadcast."""
+    spark.createDataFrame(VERSIONS, SCHEMA).write.parquet(str(tmp_path / "rows"))
+    held = spark.read.schema(SCHEMA).parquet(str(tmp_path / "rows"))
+    compared, whole = [], loads.latest_per_key
+
+    def seen(df, key, order):
+        compared.extend(r["id"] for r in df.select("id").collect())
+        return whole(df, key, order)
+
+    monkeypatch.setattr(loads, "latest_per_key", seen)
+    monkeypatch.setattr(loads, "BROADCAST_BYTES", limit)
+    kept = []
+    got = loads.latest_of_stored(held, ["id"], newest(), kept)
+    assert rows(got) == rows(whole(held, ["id"], newest())) and len(kept) == 1
+    assert sorted(compared, key=str) == ([None, None, "a", "a"] + ([] if limit else ["b", "c"]))
+
+
+def test_rows_whose_keys_occur_once_are_not_shuffled(spark, tmp_path):
+    spark.range(1000).selectExpr("string(id) id", "1 version").write.parquet(str(tmp_path / "rows"))
+    held = spark.read.parquet(str(tmp_path / "rows"))
+    got = loads.latest_of_stored(held, ["id"], newest(), [])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan and got.count() == 1000
+    increment = got.where("id > 500")
+    plan = loads.upsert(held, increment, ["id"], newest(), unique=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+    assert loads.upsert(held, increment, ["id"], newest(), unique=True).count() == 1000
+
+
+def test_loads_leave_no_copies(spark, tmp_path):
+    versions = spark.createDataFrame(VERSIONS, SCHEMA)
+    left = {p.name for p in Path(shared_dir(spark), "orderloom").glob("*/*")}
+    load_all_buckets(spark, {"thing": versions}, str(tmp_path / "b"))
+    load_all(spark, {"thing": versions.where("id = 'b'")}, None, str(tmp_path / "1"))
+    load_all(spark, {"thing": versions}, str(tmp_path / "1"), str(tmp_path / "2"), newest="version")
+    assert {p.name for p in Path(shared_dir(spark), "orderloom").glob("*/*")} == left
+    want = [("a", 2, "new", "x"), ("b", 1, "only", "y"), ("c", 1, "only", "y"), (None, 2, "newer", "z")]
+    assert rows(spark.read.parquet(str(tmp_path / "2" / "thing"))) == sorted(want, key=repr)
+    # Without an update time the greatest text counts.
+    assert rows(read_buckets(spark, str(tmp_path / "b" / "thing"))) == sorted(want[:3] + [(None, 2, "newer", "z")], key=repr)
